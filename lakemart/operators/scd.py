@@ -33,7 +33,7 @@ from lakemart.functions.dates import minus_millis
 from lakemart.operators.cdc import CHANGE_TYPE, DELETE, UPDATE_PRE
 from lakemart.operators.dedupe import dedupe
 from lakemart.operators.merge import upsert
-from lakemart.operators.sequence import next_value
+from lakemart.operators.sequence import next_value, order_bounds
 
 START, END, CURRENT, DELETED, DELETE_SEQ = "start_at", "end_at", "is_current", "_is_delete", "_delete_seq"
 
@@ -95,7 +95,8 @@ def scd2_apply(target: DataFrame | None, changes: DataFrame, keys: Sequence[str]
     payload = list(dict.fromkeys(keys + attrs + [seq, start]))
     spark = changes.sparkSession
     schema = scd2_schema(changes, keys, seq, attrs, start)
-    if target is None:
+    initial = target is None
+    if initial:
         target = spark.createDataFrame([], schema)
 
     ch = changes.filter(~F.col(change_col).isin(*drop_values)) if change_col else changes
@@ -112,22 +113,37 @@ def scd2_apply(target: DataFrame | None, changes: DataFrame, keys: Sequence[str]
     hist = target.join(touched, keys, "left_semi")
     hist_cols = [F.col(START).alias(c) if (c == start and c not in target.columns) else F.col(c)
                  for c in payload]
-    versions = (hist.select(*hist_cols, F.lit(0).alias("_src"))
-                .unionByName(ups.select(*payload, F.lit(1).alias("_src"))))
+    versions = ups.select(*payload, F.lit(1).alias("_src"))
+    if not initial:   # initial load: no history to pull through
+        versions = hist.select(*hist_cols, F.lit(0).alias("_src")).unionByName(versions)
     versions = versions.withColumn("_h", F.xxhash64(*[F.col(c) for c in attrs]) if attrs else F.lit(0))
     # data first, arrival last: equal (key, seq) resolve the same way whatever
     # the batch order; only exact replays fall through to `_src`
     versions = dedupe(versions, keys + [seq], [*tiebreak, "_h", "_src"], desc=True)
 
     # tombstones: smallest delete sequence per key, new or already recorded
-    tomb = hist.filter(F.col(DELETE_SEQ).isNotNull()).select(*keys, F.col(DELETE_SEQ).alias("_ds"))
+    tomb = None if initial else \
+        hist.filter(F.col(DELETE_SEQ).isNotNull()).select(*keys, F.col(DELETE_SEQ).alias("_ds"))
     if dels is not None:
-        tomb = tomb.unionByName(dels.select(*keys, F.col(seq).alias("_ds")))
+        d_t = dels.select(*keys, F.col(seq).alias("_ds"))
+        tomb = d_t if tomb is None else tomb.unionByName(d_t)
+    if tomb is None:
+        tomb = spark.createDataFrame([], T.StructType(
+            [schema[k] for k in keys] + [T.StructField("_ds", schema[DELETE_SEQ].dataType)]))
     tomb = tomb.groupBy(*keys).agg(F.min("_ds").alias("_ds"))
     versions = versions.join(tomb, keys, "left")
     versions = versions.filter(F.col("_ds").isNull() | (F.col(seq) < F.col("_ds")))
 
-    versions = next_value(versions, keys, [seq], start, "_next", skew_safe=skew_safe)
+    bounds = None
+    if skew_safe:
+        # order range from the cheap inputs (batch + target column), not
+        # from the derived version set
+        span = ch.select(F.col(seq))
+        if not initial:
+            span = span.unionByName(target.select(F.col(seq)))
+        bounds = order_bounds(span, seq)
+    versions = next_value(versions, keys, [seq], start, "_next", skew_safe=skew_safe,
+                          bounds=bounds)
     deleted = F.col("_ds").isNotNull()
     rebuilt = versions.select(
         *[F.col(c) for c in keys + attrs + ([seq] if seq not in keys + attrs else [])],
@@ -147,7 +163,10 @@ def scd2_apply(target: DataFrame | None, changes: DataFrame, keys: Sequence[str]
         F.lit(None).cast(schema[END].dataType).alias(END),
         F.lit(False).alias(CURRENT), F.lit(True).alias(DELETED),
         F.col("_ds").cast(schema[DELETE_SEQ].dataType).alias(DELETE_SEQ))
-    rest = target.join(touched, keys, "left_anti")
     cols = schema.fieldNames()
-    return (rest.select(*cols).unionByName(rebuilt.select(*cols))
-                .unionByName(markers.select(*cols)))
+    out = rebuilt.select(*cols)
+    if dels is not None or not initial:
+        out = out.unionByName(markers.select(*cols))
+    if not initial:
+        out = target.join(touched, keys, "left_anti").select(*cols).unionByName(out)
+    return out

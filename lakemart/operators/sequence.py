@@ -4,8 +4,8 @@ A plain ``Window.partitionBy(key).orderBy(t)`` sends every row of a key to
 one task.  When a single key carries a large share of the data (a third of
 all rows is the design assumption) that task holds the whole group.  The
 primitives here split each key's timeline into *order buckets*: contiguous
-ranges of the ordering value, of equal width over the global range (the
-range is read with a lazy scalar subquery).  The window runs per
+ranges of the ordering value, of equal width over the global range (one
+one-row aggregate, preferably over a cheap source of the same column).  The window runs per
 ``(key, bucket)``, so a hot key is spread over many tasks, and a small
 per-bucket summary stitches the buckets back together:
 
@@ -34,16 +34,31 @@ BUCKET = "_obkt"
 DEFAULT_BUCKETS = 32
 
 
-def _bucket_expr(df: DataFrame, order_col: str, n_buckets: int, descending: bool) -> Column:
+def order_bounds(df: DataFrame, order_col: str) -> tuple[float | None, float | None]:
+    """``(min, max)`` of the numeric image of an ordering column: a single
+    one-row aggregate (partial per task, nothing data-sized reaches the
+    driver).  Pass a cheap frame with the same column -- a base table or a
+    change batch -- rather than a deep derived plan."""
     num = order_number(order_col, df.schema[order_col].dataType)
-    rng = df.select(F.struct(F.min(num).alias("lo"), F.max(num).alias("hi"))).scalar()
-    lo, hi = rng.getField("lo"), rng.getField("hi")
-    width = F.greatest((hi - lo) / F.lit(float(n_buckets)), F.lit(1e-9))
-    b = F.least(F.floor((num - lo) / width), F.lit(n_buckets - 1)).cast("int")
+    row = df.select(F.min(num).alias("lo"), F.max(num).alias("hi")).first()
+    return (row["lo"], row["hi"]) if row is not None else (None, None)
+
+
+def _bucket_expr(df: DataFrame, order_col: str, n_buckets: int,
+                 bounds: tuple | None) -> Column:
+    num = order_number(order_col, df.schema[order_col].dataType)
+    lo, hi = bounds if bounds is not None else order_bounds(df, order_col)
+    if lo is None or hi is None:
+        return F.lit(-1)
+    # literal range: the expression is identical in every branch that
+    # uses it, so Spark reuses the exchange instead of recomputing it
+    width = max((float(hi) - float(lo)) / n_buckets, 1e-9)
+    b = F.greatest(F.least(F.floor((num - F.lit(float(lo))) / F.lit(width)), F.lit(n_buckets - 1)),
+                   F.lit(0)).cast("int")
     # NULL order values sort first ascending and last descending (Spark's
     # defaults); bucket -1 is first in ascending and last in descending
     # bucket order, so it holds them in both directions.
-    return F.coalesce(b, F.lit(-1))
+    return F.when(num.isNull(), F.lit(-1)).otherwise(b)
 
 
 def _order_exprs(order: Sequence[str], descending: bool) -> list[Column]:
@@ -61,7 +76,8 @@ def null_safe_on(left: str, right: str, cols: Sequence[str]) -> Column:
 def carry_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   cols: Sequence[str], out: Sequence[str] | None = None,
                   include_current: bool = True, descending: bool = False,
-                  skew_safe: bool = True, n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                  skew_safe: bool = True, n_buckets: int = DEFAULT_BUCKETS,
+                  bounds: tuple | None = None) -> DataFrame:
     """Last non-NULL value of each of ``cols`` up to (or strictly before)
     the current row, per key, in ``order`` (first column buckets).
 
@@ -79,7 +95,7 @@ def carry_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         return df.withColumns({o: F.last(F.col(c), ignorenulls=True).over(w)
                                for c, o in zip(cols, out)})
 
-    rows = (df.withColumn(BUCKET, _bucket_expr(df, order[0], n_buckets, descending))
+    rows = (df.withColumn(BUCKET, _bucket_expr(df, order[0], n_buckets, bounds))
               .repartition(*[F.col(k) for k in keys], F.col(BUCKET)))
     w_in = (Window.partitionBy(*keys, BUCKET).orderBy(*oexpr)
             .rowsBetween(Window.unboundedPreceding, hi))
@@ -109,7 +125,8 @@ def carry_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 def next_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str,
-               out: str, skew_safe: bool = True, n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+               out: str, skew_safe: bool = True, n_buckets: int = DEFAULT_BUCKETS,
+               bounds: tuple | None = None) -> DataFrame:
     """Value of ``col`` on the next row of the same key in ``order``
     (``lead``) -- exact when ``col`` is non-NULL on every row, e.g. the next
     version's start in an SCD2 timeline."""
@@ -117,4 +134,4 @@ def next_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: st
         w = Window.partitionBy(*keys).orderBy(*_order_exprs(order, False))
         return df.withColumn(out, F.lead(F.col(col)).over(w))
     return carry_forward(df, keys, order, [col], [out], include_current=False,
-                         descending=True, skew_safe=True, n_buckets=n_buckets)
+                         descending=True, skew_safe=True, n_buckets=n_buckets, bounds=bounds)

@@ -142,7 +142,7 @@ scd2d AS (
 
 
 def dim_customer(spark, d) -> DataFrame:
-    return cut_lineage(marts.build_dim_scd2(customer_scd2(spark, d), "customer_sk", "o_custkey"))
+    return marts.build_dim_scd2(customer_scd2(spark, d), "customer_sk", "o_custkey")
 
 
 def telemetry_bronze(spark, d, with_copies: bool = True) -> DataFrame:

@@ -20,6 +20,7 @@ from lakemart.operators.dedupe import dedupe
 from lakemart.operators.joins import as_of_join, bounded_broadcast, lookup_key
 from lakemart.operators.rollup import hourly_rollup, milestone_pivot, union_distinct
 from lakemart.operators.scd import END, START, scd1_apply
+from lakemart.operators.sequence import order_bounds
 
 # --- fixed values: static location lookup (city, realm_name, realm_code, region, language_region)
 LOCATION_LOOKUP_ROWS = [
@@ -235,11 +236,13 @@ def build_fact_order(history: DataFrame, key: str, status_col: str, time_col: st
     h = history if touched is None else history.join(touched.select(key), key, "left_semi")
     f = milestone_pivot(h, key, status_col, time_col, statuses,
                         carry_cols=list(carry_cols), order=order)
+    tb = None
     if header is not None:
         src = header if touched is None else header.join(touched.select(key), key, "left_semi")
         f = src.join(f, key, "left")
+        tb = order_bounds(header, asof_col)
     f = as_of_join(f, customer_dim, [customer_key], asof_col, START, [customer_sk],
-                   dim_end=dim_end)
+                   dim_end=dim_end, time_bounds=tb)
     for dim, fact_col, dim_col, take in lookups:
         f = lookup_key(f, dim, fact_col, dim_col, take)
     for out, expr in date_roles.items():

@@ -29,7 +29,8 @@ def build_session(master: str | None = None, app: str = "lakemart",
     """Local/test session.  On a cluster use the session the platform gives
     and call :func:`configure` on it instead."""
     b = (SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
-         .config("spark.driver.memory", "16g"))
+         .config("spark.driver.memory", "16g")
+         .config("spark.ui.showConsoleProgress", "false"))
     if master:
         b = b.master(master)
     for k, v in BASE_CONF.items():
