@@ -95,4 +95,5 @@ def check_primary_key(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def check_foreign_key(fact: DataFrame, fk: str, dim: DataFrame, pk: str) -> DataFrame:
     """Fact rows whose non-NULL ``fk`` has no ``pk`` in the dimension."""
     return (fact.filter(F.col(fk).isNotNull())
-                .join(dim.select(F.col(pk).alias(fk)), fk, "left_anti"))
+                .join(dim.select(F.col(pk).alias(fk)), fk, "left_anti")
+                .select(*fact.columns))
