@@ -11,24 +11,38 @@ from pyspark.sql import types as T
 from lakemart.functions.keys import normalize_expr
 from lakemart.operators.sequence import carry_forward, order_bounds
 
-# Largest side we broadcast without asking Spark's runtime statistics.
+# Largest side we broadcast on our own: a row cap and a byte cap (rows x
+# estimated row width from the schema); whichever is smaller applies.
 DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+
+_WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
+          T.FloatType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8,
+          T.TimestampNTZType: 8, T.DecimalType: 16}
+
+
+def row_width(schema: T.StructType) -> int:
+    """Estimated bytes per row (strings and nested values counted at 32)."""
+    return sum(_WIDTH.get(type(f.dataType), 32) for f in schema.fields) + 8
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      known_rows: int | None = None) -> DataFrame:
+                      known_rows: int | None = None,
+                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Broadcast hint only behind a proven size bound.
 
-    ``known_rows`` is a static bound (a calendar of N days, a literal
-    table).  Without it the bound is checked by counting at most
-    ``max_rows + 1`` rows.  Past the bound the plain frame is returned and
-    the join stays a shuffle join (AQE may still convert it at run time
-    from measured shuffle sizes).
+    The cap is ``min(max_rows, max_bytes / row_width)``.  ``known_rows`` is
+    a static bound (a calendar of N days, a literal table).  Without it the
+    bound is checked by counting at most ``cap + 1`` rows (the scan stops
+    there).  Past the bound the plain frame is returned and the join stays
+    a shuffle join; AQE may still convert it at run time from measured
+    shuffle sizes.
     """
+    cap = min(max_rows, max_bytes // row_width(df.schema))
     if known_rows is not None:
-        return F.broadcast(df) if known_rows <= max_rows else df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+        return F.broadcast(df) if known_rows <= cap else df
+    n = df.limit(cap + 1).count()
+    return F.broadcast(df) if n <= cap else df
 
 
 def touched_history(full: DataFrame, touched: DataFrame, keys: Sequence[str]) -> DataFrame:
