@@ -678,8 +678,10 @@ def q_fact_event(spark, d):
     ev = silver_events(spark, d)
     users = marts.build_dim_scd1(table(spark, d, "customer").select(F.col("c_custkey").alias("user_id")),
                                  "customer_sk", "user_id")
-    return marts.build_fact_event(ev, users, marts.calendar_for(ev, "ts"), key="user_id",
-                                  vehicle_sk="customer_sk")
+    # calendar bounds from the raw feed (a superset of the silver dates):
+    # one scan + aggregate instead of repeating the dedupe
+    cal = marts.calendar_for(events_with_copies(spark, d), "ts")
+    return marts.build_fact_event(ev, users, cal, key="user_id", vehicle_sk="customer_sk")
 
 
 def q_silver_telemetry(spark, d):
@@ -688,8 +690,8 @@ def q_silver_telemetry(spark, d):
 
 def q_fact_telemetry(spark, d):
     silver = silver_telemetry(spark, d)
-    return marts.build_fact_telemetry(silver, vehicle_dim(spark, d),
-                                      marts.calendar_for(silver, "reading_timestamp"))
+    cal = marts.calendar_for(telemetry_bronze(spark, d), "reading_timestamp")
+    return marts.build_fact_telemetry(silver, vehicle_dim(spark, d), cal)
 
 
 def q_erase(spark, d):

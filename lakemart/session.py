@@ -75,8 +75,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/scratch/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` to the shared checkpoint folder (reliable, survives
-    executor loss) and return a DataFrame reading it back."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder
+    and return a DataFrame reading it back.
+
+    Survives executor loss (shared storage) and computes ``df`` once --
+    an eager reliable ``Dataset.checkpoint`` runs the plan twice (once to
+    count, once to write) unless the data is also cached.  The read-back is
+    columnar, so later steps prune columns and push filters into it.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
