@@ -16,16 +16,19 @@ def erased_keys(dim: DataFrame, entities: DataFrame, natural_key: str, sk: str)
 
 
 def erase(entities: DataFrame, dim: DataFrame, facts: Mapping[str, DataFrame],
-          natural_key: str, sk: str, fact_natural_key: Mapping[str, str] | None = None
-          ) -> tuple[DataFrame, dict[str, DataFrame]]:
+          natural_key: str, sk: str, fact_natural_key: Mapping[str, str] | None = None,
+          key_map: DataFrame | None = None) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Return ``(dim_without_entities, {name: fact_without_entities})``.
 
     A fact row goes when its surrogate key belongs to an erased entity, or
     -- when the fact also carries the natural key (``fact_natural_key``) --
     when that matches, which also catches rows whose surrogate key is NULL.
-    Both are anti joins; nothing is collected.
+    ``key_map`` (natural key -> surrogate key, every version ever issued)
+    defaults to ``dim``; pass the full history when the dimension no longer
+    holds the deleted entity's versions.  Anti joins only; nothing is
+    collected.
     """
-    sks = erased_keys(dim, entities, natural_key, sk)
+    sks = erased_keys(key_map if key_map is not None else dim, entities, natural_key, sk)
     out = {}
     for name, f in facts.items():
         kept = f.join(sks, sk, "left_anti")

@@ -81,20 +81,25 @@ def scd2_apply(target: DataFrame | None, changes: DataFrame, keys: Sequence[str]
                attrs: Sequence[str], start: str | None = None,
                change_col: str | None = None, delete_values: Sequence[str] = (DELETE,),
                drop_values: Sequence[str] = (UPDATE_PRE,), tiebreak: Sequence[str] = (),
-               end_offset_ms: int = 1, skew_safe: bool = True) -> DataFrame:
+               end_offset_ms: int = 1, skew_safe: bool = True,
+               stamp_col: str | None = None) -> DataFrame:
     """Apply a batch of changes to an SCD2 table (see module doc).
 
     ``seq`` orders versions; ``start`` (default ``seq``) is the instant a
     version becomes valid.  With ``change_col`` set, rows whose change type
     is in ``drop_values`` are ignored and rows in ``delete_values`` are
     deletes.  Output columns: keys, attrs, seq, ``start_at``, ``end_at``,
-    ``is_current``, ``_is_delete``, ``_delete_seq``.
+    ``is_current``, ``_is_delete``, ``_delete_seq`` (and ``stamp_col``: the
+    run time on rebuilt rows, kept on untouched ones -- the high-water
+    column for incremental downstream reads).
     """
     keys, attrs = list(keys), list(attrs)
     start = start or seq
     payload = list(dict.fromkeys(keys + attrs + [seq, start]))
     spark = changes.sparkSession
     schema = scd2_schema(changes, keys, seq, attrs, start)
+    if stamp_col:
+        schema = schema.add(stamp_col, T.TimestampType())
     initial = target is None
     if initial:
         target = spark.createDataFrame([], schema)
@@ -155,6 +160,7 @@ def scd2_apply(target: DataFrame | None, changes: DataFrame, keys: Sequence[str]
         (F.col("_next").isNull() & ~deleted).alias(CURRENT),
         deleted.alias(DELETED),
         F.col("_ds").cast(schema[DELETE_SEQ].dataType).alias(DELETE_SEQ),
+        *([F.current_timestamp().alias(stamp_col)] if stamp_col else []),
     )
     # a deleted key with no surviving version keeps one tombstone row, so a
     # later batch carrying older versions of it is still blocked
@@ -165,7 +171,8 @@ def scd2_apply(target: DataFrame | None, changes: DataFrame, keys: Sequence[str]
         F.lit(None).cast(schema[START].dataType).alias(START),
         F.lit(None).cast(schema[END].dataType).alias(END),
         F.lit(False).alias(CURRENT), F.lit(True).alias(DELETED),
-        F.col("_ds").cast(schema[DELETE_SEQ].dataType).alias(DELETE_SEQ))
+        F.col("_ds").cast(schema[DELETE_SEQ].dataType).alias(DELETE_SEQ),
+        *([F.current_timestamp().alias(stamp_col)] if stamp_col else []))
     cols = schema.fieldNames()
     out = rebuilt.select(*cols)
     if dels is not None or not initial:

@@ -69,12 +69,14 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence
 
 
 def load(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str], buckets: int,
-         initial: bool) -> None:
-    """Bootstrap-vs-incremental switch: first run replaces, later runs merge."""
+         initial: bool,
+         how: Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame] = upsert) -> None:
+    """Bootstrap-vs-incremental switch: first run replaces, later runs merge
+    with ``how`` (default: upsert)."""
     if initial:
         write_bucketed(df, path, keys, buckets)
     else:
-        merge_into(spark, path, df, keys, buckets)
+        merge_into(spark, path, df, keys, buckets, how=how)
 
 
 # Microsecond timestamps in JSON (the writer's default keeps milliseconds).
