@@ -26,7 +26,8 @@ from lakemart.plans import marts
 from lakemart.session import configure, cut_lineage, scratch_path
 from lakemart.sinks.tables import compact, write_json
 from lakemart.sources.files import parse_json_rescued, read_window, rescued_keys, with_lineage
-from lakemart.streaming.ingest import append_stream, apply_stream, dedupe_stream, json_stream
+from lakemart.streaming.ingest import (append_stream, apply_stream, dedupe_stream, json_stream,
+                                       rollup_stream, upsert_windows)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -791,6 +792,28 @@ def q_stream_scd2(spark, d):
     return spark.read.parquet(state["path"])
 
 
+def q_stream_rollup(spark, d):
+    """Hourly rollup of the event feed as a stream: two time-ordered drops,
+    event-time windows with a watermark, update mode, upserted per batch."""
+    ev = table(spark, d, "events")
+    src, out, ck = (scratch_path(spark, "landing-roll"), scratch_path(spark, "roll"),
+                    scratch_path(spark, "ckpt-roll"))
+    mid = F.lit("2024-01-15").cast("timestamp_ntz")
+    write_json(ev.filter(F.col("ts") < mid), f"{src}/drop=0", files=2)
+    write_json(ev.filter(F.col("ts") >= mid), f"{src}/drop=1", files=2)
+    stream = spark.readStream.schema(EVENT_SCHEMA_PROPS).option("maxFilesPerTrigger", 2).json(f"{src}/*")
+    agg = rollup_stream(stream, ["user_id"], "ts", "1 hour", "2 hours", {
+        "events_count": F.count("event_id"),
+        "max_value": F.max("value"),
+        "min_value": F.min("value"),
+        "value_sum": rollup.exact_sum("value").cast("double"),
+    })
+    last = upsert_windows(spark, agg, out, ["user_id"], ck)
+    res = spark.read.parquet(f"{out}/v={last}")
+    return res.select("user_id", F.col("period_start").cast("timestamp_ntz").alias("period_start"),
+                      "events_count", "max_value", "min_value", "value_sum")
+
+
 QUERIES: dict[str, Query] = {name[2:]: fn for name, fn in sorted(globals().items())
                              if name.startswith("q_") and callable(fn)}
 QUERIES = {f"q_{k}": v for k, v in QUERIES.items()}

@@ -433,4 +433,9 @@ ORACLE_SQL: dict[str, str] = {
     "q_stream_dedupe": f"SELECT {_EVENT_COLS} FROM events",
 
     "q_stream_scd2": f"WITH {SCD2_SQL} SELECT {_SCD2_COLS} FROM scd2",
+
+    "q_stream_rollup": """SELECT user_id, date_trunc('hour', ts) AS period_start, count(event_id) AS events_count,
+          max(value) AS max_value, min(value) AS min_value,
+          CAST(sum(CAST(value AS DECIMAL(38,2))) AS DOUBLE) AS value_sum
+        FROM events GROUP BY user_id, date_trunc('hour', ts)""",
 }

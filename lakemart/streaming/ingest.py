@@ -73,3 +73,45 @@ def dedupe_stream(df: DataFrame, keys: Sequence[str], event_time: str, watermark
     if isinstance(t, T.TimestampNTZType):
         df = df.withColumn(event_time, F.col(event_time).cast(T.TimestampType()))
     return df.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark(list(keys))
+
+
+def rollup_stream(df: DataFrame, keys: Sequence[str], event_time: str, every: str, watermark: str,
+                  aggs: dict) -> DataFrame:
+    """Tumbling-window rollup of a stream (the streaming form of the hourly
+    rollup): ``groupBy(keys, window(t, every)).agg(...)`` with a watermark
+    bounding the state.  Run it in ``update`` mode and upsert each
+    micro-batch by ``(keys, period_start)`` (see :func:`upsert_windows`) so
+    a window refined by late rows is replaced, never duplicated.  Rows
+    older than the watermark are dropped by Spark.
+    """
+    t = df.schema[event_time].dataType
+    if isinstance(t, T.TimestampNTZType):
+        df = df.withColumn(event_time, F.col(event_time).cast(T.TimestampType()))
+    w = F.window(F.col(event_time), every)
+    return (df.withWatermark(event_time, watermark)
+              .groupBy(*keys, w.alias("_w"))
+              .agg(*[v.alias(k) for k, v in aggs.items()])
+              .select(*keys, F.col("_w.start").alias("period_start"), *aggs.keys()))
+
+
+def upsert_windows(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str],
+                   checkpoint: str) -> int | None:
+    """Run a windowed aggregate in ``update`` mode, upserting every
+    micro-batch into a versioned Parquet table under ``path``: batch ``n``
+    writes ``path/v=n`` from ``v=n-1`` plus the batch, so no folder is read
+    while it is written.  Returns the last version written."""
+    from lakemart.operators.merge import upsert
+
+    state = {}
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        cur = state.get("t")
+        out = batch if cur is None else upsert(cur, batch, list(keys) + ["period_start"])
+        out.write.mode("overwrite").parquet(f"{path}/v={batch_id}")
+        state["t"] = spark.read.parquet(f"{path}/v={batch_id}")
+        state["last"] = batch_id
+
+    q = (df.writeStream.outputMode("update").foreachBatch(apply)
+           .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return state.get("last")
