@@ -5,7 +5,10 @@ one task.  When a single key carries a large share of the data (a third of
 all rows is the design assumption) that task holds the whole group.  The
 primitives here split each key's timeline into *order buckets*: contiguous
 ranges of the ordering value, of equal width over the global range (one
-one-row aggregate, preferably over a cheap source of the same column).  The window runs per
+one-row aggregate, preferably over a cheap source of the same column).  The
+number of buckets grows with the row count (``ROWS_PER_BUCKET``), so even a
+key holding every row is cut into tasks of bounded size when its rows are
+spread in time.  The window runs per
 ``(key, bucket)``, so a hot key is spread over many tasks, and a small
 per-bucket summary stitches the buckets back together:
 
@@ -31,23 +34,38 @@ from pyspark.sql import functions as F
 from lakemart.functions.dates import order_number
 
 BUCKET = "_obkt"
-DEFAULT_BUCKETS = 32
+MIN_BUCKETS = 32
+MAX_BUCKETS = 1 << 20
+# Order buckets are sized so that a single key holding *every* row still
+# has about this many rows per (key, bucket) task, on evenly spread data.
+ROWS_PER_BUCKET = 2_000_000
+
+
+def order_bounds(df: DataFrame, order_col: str) -> tuple:
+    """``(min, max, rows)`` of the numeric image of an ordering column: a
+    single one-row aggregate (partial per task, nothing data-sized reaches
+    the driver).  Pass a cheap frame with the same column -- a base table or
+    a change batch -- rather than a deep derived plan."""
+    num = order_number(order_col, df.schema[order_col].dataType)
+    row = df.select(F.min(num).alias("lo"), F.max(num).alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    return (row["lo"], row["hi"], row["n"]) if row is not None else (None, None, 0)
 
 
-def order_bounds(df: DataFrame, order_col: str) -> tuple[float | None, float | None]:
-    """``(min, max)`` of the numeric image of an ordering column: a single
-    one-row aggregate (partial per task, nothing data-sized reaches the
-    driver).  Pass a cheap frame with the same column -- a base table or a
-    change batch -- rather than a deep derived plan."""
-    num = order_number(order_col, df.schema[order_col].dataType)
-    row = df.select(F.min(num).alias("lo"), F.max(num).alias("hi")).first()
-    return (row["lo"], row["hi"]) if row is not None else (None, None)
+def bucket_count(rows: int | None) -> int:
+    """Buckets for ``rows`` rows: grows with the data so a hot key's share
+    per task stays bounded (``ROWS_PER_BUCKET``), never below 32."""
+    if not rows:
+        return MIN_BUCKETS
+    return int(min(MAX_BUCKETS, max(MIN_BUCKETS, -(-rows // ROWS_PER_BUCKET))))
 
 
-def _bucket_expr(df: DataFrame, order_col: str, n_buckets: int,
+def _bucket_expr(df: DataFrame, order_col: str, n_buckets: int | None,
                  bounds: tuple | None) -> Column:
     num = order_number(order_col, df.schema[order_col].dataType)
-    lo, hi = bounds if bounds is not None else order_bounds(df, order_col)
+    b3 = tuple(bounds) if bounds is not None else order_bounds(df, order_col)
+    lo, hi = b3[0], b3[1]
+    if n_buckets is None:
+        n_buckets = bucket_count(b3[2] if len(b3) > 2 else None)
     if lo is None or hi is None:
         return F.lit(-1)
     # literal range: the expression is identical in every branch that
@@ -76,7 +94,7 @@ def null_safe_on(left: str, right: str, cols: Sequence[str]) -> Column:
 def carry_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   cols: Sequence[str], out: Sequence[str] | None = None,
                   include_current: bool = True, descending: bool = False,
-                  skew_safe: bool = True, n_buckets: int = DEFAULT_BUCKETS,
+                  skew_safe: bool = True, n_buckets: int | None = None,
                   bounds: tuple | None = None) -> DataFrame:
     """Last non-NULL value of each of ``cols`` up to (or strictly before)
     the current row, per key, in ``order`` (first column buckets).
@@ -125,7 +143,7 @@ def carry_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 def next_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str,
-               out: str, skew_safe: bool = True, n_buckets: int = DEFAULT_BUCKETS,
+               out: str, skew_safe: bool = True, n_buckets: int | None = None,
                bounds: tuple | None = None) -> DataFrame:
     """Value of ``col`` on the next row of the same key in ``order``
     (``lead``) -- exact when ``col`` is non-NULL on every row, e.g. the next

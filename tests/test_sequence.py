@@ -44,3 +44,15 @@ def test_hot_key_is_split_across_tasks(spark):
     assert "_obkt" in plan    # windows are partitioned by (key, order bucket)
     hot_buckets = out.filter("k = 0").select("i").count()
     assert hot_buckets == df.filter("k = 0").count()
+
+
+def test_hot_key_rows_spread_over_buckets(spark):
+    from lakemart.operators.sequence import _bucket_expr, bucket_count
+    # one key with a third of the rows, spread over time
+    df = spark.range(30000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
+                                   (F.col("id") * 7).alias("t"))
+    b = df.withColumn("b", _bucket_expr(df, "t", 32, None))
+    per = b.filter("k = 0").groupBy("b").count().collect()
+    assert len(per) == 32
+    assert max(r["count"] for r in per) <= 2 * (10000 // 32)
+    assert bucket_count(10) == 32 and bucket_count(10**12) == 500_000
