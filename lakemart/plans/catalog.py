@@ -26,6 +26,7 @@ from lakemart.plans import marts
 from lakemart.session import configure, cut_lineage, scratch_path
 from lakemart.sinks.tables import compact, write_json
 from lakemart.sources.files import parse_json_rescued, read_window, rescued_keys, with_lineage
+from lakemart.sources.schema import drift_state
 from lakemart.streaming.ingest import (append_stream, apply_stream, dedupe_stream, json_stream,
                                        rollup_stream, upsert_windows)
 
@@ -814,6 +815,23 @@ def q_stream_rollup(spark, d):
                       "events_count", "max_value", "min_value", "value_sum")
 
 
+def q_drift_state(spark, d):
+    """Audit rows derived from the feed: per (source = event type, batch =
+    day) the comma list of JSON keys that had to be rescued; the drift
+    state is the latest row per source."""
+    ev = table(spark, d, "events")
+    lines = _json_lines(spark, d).join(ev.select("event_id", "event_type", "ts"), "event_id")
+    parsed = parse_json_rescued(lines, T.StructType([T.StructField("k", T.IntegerType())]))
+    keys = parsed.select("event_type", F.to_date("ts").alias("batch"),
+                         F.explode_outer(F.split(rescued_keys(), ",")).alias("key"))
+    audit = (keys.groupBy(F.col("event_type").alias("source"), "batch")
+                 .agg(F.array_join(F.array_sort(F.collect_set("key")), ",").alias("active_extra_columns"))
+                 .withColumn("run_ts", F.col("batch").cast("timestamp"))
+                 .withColumn("batch_id", F.date_format("batch", "yyyyMMdd")))
+    st = drift_state(audit)
+    return st.select("source", F.array_join("extra_columns", ",").alias("extra_columns"))
+
+
 QUERIES: dict[str, Query] = {name[2:]: fn for name, fn in sorted(globals().items())
                              if name.startswith("q_") and callable(fn)}
 QUERIES = {f"q_{k}": v for k, v in QUERIES.items()}

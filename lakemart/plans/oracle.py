@@ -434,6 +434,18 @@ ORACLE_SQL: dict[str, str] = {
 
     "q_stream_scd2": f"WITH {SCD2_SQL} SELECT {_SCD2_COLS} FROM scd2",
 
+    "q_drift_state": f"""WITH {JSON_SQL},
+        p AS (SELECT e.event_type AS source, CAST(e.ts AS DATE) AS batch,
+                     CASE WHEN json_valid(j.raw) THEN list_filter(json_keys(j.raw),
+                       lambda x: x <> 'k' OR (TRY_CAST(json_extract_string(j.raw, '$.k') AS INTEGER) IS NULL
+                                              AND json_extract_string(j.raw, '$.k') IS NOT NULL)) END AS ks
+              FROM j JOIN events e ON j.event_id = e.event_id),
+        a AS (SELECT source, batch,
+                     array_to_string(list_sort(list_distinct(flatten(list(coalesce(ks, []))))), ',') AS cols
+              FROM p GROUP BY source, batch),
+        l AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY batch DESC) AS rn FROM a)
+        SELECT source, cols AS extra_columns FROM l WHERE rn = 1""",
+
     "q_stream_rollup": """SELECT user_id, date_trunc('hour', ts) AS period_start, count(event_id) AS events_count,
           max(value) AS max_value, min(value) AS min_value,
           CAST(sum(CAST(value AS DECIMAL(38,2))) AS DOUBLE) AS value_sum

@@ -90,3 +90,14 @@ def test_compact_keeps_multiset_and_json_precision(spark):
     write_json(ev, j, files=2)
     back = spark.read.schema("event_id long, ts timestamp_ntz").json(j)
     assert rows(back) == rows(ev)
+
+
+def test_analyze_external_table(spark):
+    from lakemart.sinks.tables import analyze
+    path = scratch_path(spark, "t-analyze")
+    publish(spark.range(100).withColumn("x", F.col("id") % 3), path)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS lm_analyze_t USING parquet LOCATION '{path}'")
+    analyze(spark, "lm_analyze_t", ["x"])
+    desc = {r[0]: r[1] for r in spark.sql("DESCRIBE TABLE EXTENDED lm_analyze_t").collect()}
+    assert "100 rows" in desc.get("Statistics", "")
+    spark.sql("DROP TABLE lm_analyze_t")
