@@ -136,11 +136,12 @@ def scd2_apply(target: DataFrame | None, changes: DataFrame, keys: Sequence[str]
         d_t = dels.select(*keys, F.col(seq).alias("_ds"))
         tomb = d_t if tomb is None else tomb.unionByName(d_t)
     if tomb is None:
-        tomb = spark.createDataFrame([], T.StructType(
-            [schema[k] for k in keys] + [T.StructField("_ds", schema[DELETE_SEQ].dataType)]))
-    tomb = tomb.groupBy(*keys).agg(F.min("_ds").alias("_ds"))
-    versions = versions.join(tomb, keys, "left")
-    versions = versions.filter(F.col("_ds").isNull() | (F.col(seq) < F.col("_ds")))
+        # initial load without deletes: nothing can be tombstoned
+        versions = versions.withColumn("_ds", F.lit(None).cast(schema[DELETE_SEQ].dataType))
+    else:
+        tomb = tomb.groupBy(*keys).agg(F.min("_ds").alias("_ds"))
+        versions = versions.join(tomb, keys, "left")
+        versions = versions.filter(F.col("_ds").isNull() | (F.col(seq) < F.col("_ds")))
 
     bounds = None
     if skew_safe:
@@ -162,6 +163,10 @@ def scd2_apply(target: DataFrame | None, changes: DataFrame, keys: Sequence[str]
         F.col("_ds").cast(schema[DELETE_SEQ].dataType).alias(DELETE_SEQ),
         *([F.current_timestamp().alias(stamp_col)] if stamp_col else []),
     )
+    cols = schema.fieldNames()
+    out = rebuilt.select(*cols)
+    if tomb is None:
+        return out
     # a deleted key with no surviving version keeps one tombstone row, so a
     # later batch carrying older versions of it is still blocked
     markers = tomb.join(versions.select(*keys), keys, "left_anti").select(
@@ -173,10 +178,7 @@ def scd2_apply(target: DataFrame | None, changes: DataFrame, keys: Sequence[str]
         F.lit(False).alias(CURRENT), F.lit(True).alias(DELETED),
         F.col("_ds").cast(schema[DELETE_SEQ].dataType).alias(DELETE_SEQ),
         *([F.current_timestamp().alias(stamp_col)] if stamp_col else []))
-    cols = schema.fieldNames()
-    out = rebuilt.select(*cols)
-    if dels is not None or not initial:
-        out = out.unionByName(markers.select(*cols))
+    out = out.unionByName(markers.select(*cols))
     if not initial:
         out = target.join(touched, keys, "left_anti").select(*cols).unionByName(out)
     return out
