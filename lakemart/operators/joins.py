@@ -152,8 +152,13 @@ def as_of_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], fact_time:
     if skew_safe:
         # versions outside the facts' range fall into the end buckets
         bounds = time_bounds if time_bounds is not None else order_bounds(facts, fact_time)
+    # only version rows carry a value; the bucket summary needs them plus
+    # the (key, time) of the facts so every bucket has a summary row -- a
+    # column-pruned scan and a partial aggregate, not a second full shuffle
+    presence = f.select(*kcols, "_aj_t", "_aj_side", F.lit(None).cast(fact_struct_type).alias("_aj_fact"),
+                        F.lit(None).cast(dim_struct_type).alias("_aj_dim"))
     carried = carry_forward(u, kcols, ["_aj_t", "_aj_side"], ["_aj_dim"], skew_safe=skew_safe,
-                            bounds=bounds)
+                            bounds=bounds, summary_input=d.unionByName(presence))
     out = carried.filter(F.col("_aj_side") == 1)
     # a fact with a NULL key or time matches nothing (equi-join semantics)
     valid = F.lit(True)

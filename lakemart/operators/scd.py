@@ -33,7 +33,8 @@ from lakemart.functions.dates import minus_millis
 from lakemart.operators.cdc import CHANGE_TYPE, DELETE, UPDATE_PRE
 from lakemart.operators.dedupe import dedupe
 from lakemart.operators.merge import upsert
-from lakemart.operators.sequence import next_value, order_bounds
+from lakemart.operators.joins import bounded_broadcast
+from lakemart.operators.sequence import BUCKET, next_value, order_bounds, with_order_bucket
 
 START, END, CURRENT, DELETED, DELETE_SEQ = "start_at", "end_at", "is_current", "_is_delete", "_delete_seq"
 
@@ -125,9 +126,25 @@ def scd2_apply(target: DataFrame | None, changes: DataFrame, keys: Sequence[str]
     if not initial:   # initial load: no history to pull through
         versions = hist.select(*hist_cols, F.lit(0).alias("_src")).unionByName(versions)
     versions = versions.withColumn("_h", F.xxhash64(*[F.col(c) for c in attrs]) if attrs else F.lit(0))
+    group = keys + [seq]
+    bounds = pre = None
+    if skew_safe:
+        # one shuffle by (key, order bucket) serves the dedupe below and the
+        # `lead` window; the range comes from the cheap inputs (batch +
+        # target column), not from the derived version set
+        span = ch.select(F.col(seq))
+        if not initial:
+            span = span.unionByName(target.select(F.col(seq)))
+        bounds = order_bounds(span, seq)
+        if start == seq:
+            # duplicates of a (key, seq) share the start, so the per-bucket
+            # summary of the lead can skip the dedupe (partial aggregate)
+            pre = versions.select(*keys, seq)
+        versions = with_order_bucket(versions, keys, seq, bounds=bounds)
+        group = keys + [BUCKET, seq]       # same groups: the bucket is a function of seq
     # data first, arrival last: equal (key, seq) resolve the same way whatever
     # the batch order; only exact replays fall through to `_src`
-    versions = dedupe(versions, keys + [seq], [*tiebreak, "_h", "_src"], desc=True)
+    versions = dedupe(versions, group, [*tiebreak, "_h", "_src"], desc=True)
 
     # tombstones: smallest delete sequence per key, new or already recorded
     tomb = None if initial else \
@@ -135,24 +152,26 @@ def scd2_apply(target: DataFrame | None, changes: DataFrame, keys: Sequence[str]
     if dels is not None:
         d_t = dels.select(*keys, F.col(seq).alias("_ds"))
         tomb = d_t if tomb is None else tomb.unionByName(d_t)
+    still_bucketed = skew_safe
     if tomb is None:
         # initial load without deletes: nothing can be tombstoned
         versions = versions.withColumn("_ds", F.lit(None).cast(schema[DELETE_SEQ].dataType))
     else:
         tomb = tomb.groupBy(*keys).agg(F.min("_ds").alias("_ds"))
-        versions = versions.join(tomb, keys, "left")
+        # one row per deleted key: a broadcast under the size bound keeps the
+        # (key, bucket) partitioning; otherwise the lead re-shuffles
+        small = bounded_broadcast(tomb)
+        still_bucketed = skew_safe and small is not tomb
+        versions = versions.join(small, keys, "left")
         versions = versions.filter(F.col("_ds").isNull() | (F.col(seq) < F.col("_ds")))
+        if pre is not None:
+            pre = pre.join(small, keys, "left").filter(F.col("_ds").isNull() | (F.col(seq) < F.col("_ds")))
 
-    bounds = None
-    if skew_safe:
-        # order range from the cheap inputs (batch + target column), not
-        # from the derived version set
-        span = ch.select(F.col(seq))
-        if not initial:
-            span = span.unionByName(target.select(F.col(seq)))
-        bounds = order_bounds(span, seq)
+    if skew_safe and not still_bucketed:
+        versions = versions.drop(BUCKET)
     versions = next_value(versions, keys, [seq], start, "_next", skew_safe=skew_safe,
-                          bounds=bounds)
+                          bounds=bounds, bucketed=still_bucketed,
+                          summary_input=pre.select(*keys, seq) if pre is not None else None)
     deleted = F.col("_ds").isNotNull()
     rebuilt = versions.select(
         *[F.col(c) for c in keys + attrs + ([seq] if seq not in keys + attrs else [])],

@@ -60,7 +60,7 @@ def bucket_count(rows: int | None) -> int:
 
 
 def _bucket_expr(df: DataFrame, order_col: str, n_buckets: int | None,
-                 bounds: tuple | None) -> Column:
+                 bounds: tuple | None, keys: Sequence[str] = ()) -> Column:
     num = order_number(order_col, df.schema[order_col].dataType)
     b3 = tuple(bounds) if bounds is not None else order_bounds(df, order_col)
     lo, hi = b3[0], b3[1]
@@ -76,7 +76,28 @@ def _bucket_expr(df: DataFrame, order_col: str, n_buckets: int | None,
     # NULL order values sort first ascending and last descending (Spark's
     # defaults); bucket -1 is first in ascending and last in descending
     # bucket order, so it holds them in both directions.
-    return F.when(num.isNull(), F.lit(-1)).otherwise(b)
+    # A row with a NULL key goes to bucket -1 as well: the whole NULL-key
+    # group then sits in one bucket and needs no carry-in, so the stitching
+    # join can be a plain equi-join on (keys, bucket) that reuses the
+    # existing partitioning (a null-safe join would hash on coalesce(key)
+    # and re-shuffle every row).
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()
+    return F.when(num.isNull() | null_key, F.lit(-1)).otherwise(b)
+
+
+def with_order_bucket(df: DataFrame, keys: Sequence[str], order_col: str,
+                      n_buckets: int | None = None, bounds: tuple | None = None) -> DataFrame:
+    """Add the order-bucket column and hash-partition by ``(keys, bucket)``.
+
+    Callers that group by ``(keys, order...)`` before a :func:`carry_forward`
+    (e.g. a dedupe on ``(key, sequence)``) can group by ``(keys, bucket,
+    order...)`` instead -- the same groups, since the bucket is a function
+    of the order value -- and pass ``bucketed=True`` to reuse this one
+    shuffle for both steps."""
+    return (df.withColumn(BUCKET, _bucket_expr(df, order_col, n_buckets, bounds, keys))
+              .repartition(*[F.col(k) for k in keys], F.col(BUCKET)))
 
 
 def _order_exprs(order: Sequence[str], descending: bool) -> list[Column]:
@@ -95,13 +116,27 @@ def carry_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   cols: Sequence[str], out: Sequence[str] | None = None,
                   include_current: bool = True, descending: bool = False,
                   skew_safe: bool = True, n_buckets: int | None = None,
-                  bounds: tuple | None = None) -> DataFrame:
+                  bounds: tuple | None = None, bucketed: bool = False,
+                  summary_input: DataFrame | None = None) -> DataFrame:
     """Last non-NULL value of each of ``cols`` up to (or strictly before)
     the current row, per key, in ``order`` (first column buckets).
 
     Equals ``last(c, ignorenulls) OVER (PARTITION BY keys ORDER BY order
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW | 1 PRECEDING)`` when
-    ``order`` is unique within a key.
+    ``order`` is unique within a key.  ``bounds`` = ``(min, max[, rows])`` of
+    the first order column (see :func:`order_bounds`); values outside it
+    still land in the first or last bucket, so a loose range is safe.
+    ``n_buckets`` defaults to :func:`bucket_count` of the row count.
+    ``bucketed=True``: ``df`` comes from :func:`with_order_bucket` with the
+    same keys and first order column and is still partitioned that way (only
+    narrow steps or broadcast joins since), so no new shuffle is made.
+
+    ``summary_input``: a cheaper frame with the same key, order and value
+    columns, the same set of (key, bucket) pairs as ``df`` and the same
+    per-(key, bucket) last non-NULL values -- e.g. the value-carrying rows
+    plus a narrow (key, order) projection of the others.  The bucket summary is then a map-side partial aggregate
+    of it instead of a second pass over ``df``'s shuffle (column pruning
+    makes the two branches differ, so Spark cannot reuse that exchange).
     """
     keys, order, cols = list(keys), list(order), list(cols)
     out = list(out) if out is not None else list(cols)
@@ -113,8 +148,12 @@ def carry_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         return df.withColumns({o: F.last(F.col(c), ignorenulls=True).over(w)
                                for c, o in zip(cols, out)})
 
-    rows = (df.withColumn(BUCKET, _bucket_expr(df, order[0], n_buckets, bounds))
-              .repartition(*[F.col(k) for k in keys], F.col(BUCKET)))
+    if bounds is None and not bucketed:
+        bounds = order_bounds(df, order[0])      # one range for rows and summary
+    if bucketed:
+        rows = df
+    else:
+        rows = with_order_bucket(df, keys, order[0], n_buckets, bounds)
     w_in = (Window.partitionBy(*keys, BUCKET).orderBy(*oexpr)
             .rowsBetween(Window.unboundedPreceding, hi))
     tmp = [f"_cf_in_{i}" for i in range(len(cols))]
@@ -124,7 +163,12 @@ def carry_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     # one row per (key, bucket): the bucket's last non-NULL value of each col
     ord_struct = F.struct(*[F.col(c) for c in order])
     pick = F.min_by if descending else F.max_by
-    summ = rows.groupBy(*keys, BUCKET).agg(*[
+    if summary_input is not None:
+        src = summary_input if BUCKET in summary_input.columns else \
+            summary_input.withColumn(BUCKET, _bucket_expr(summary_input, order[0], n_buckets, bounds, keys))
+    else:
+        src = rows
+    summ = src.groupBy(*keys, BUCKET).agg(*[
         pick(F.col(c), F.when(F.col(c).isNotNull(), ord_struct)).alias(f"_cf_last_{i}")
         for i, c in enumerate(cols)])
     w_b = (Window.partitionBy(*keys)
@@ -135,8 +179,11 @@ def carry_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         for i in range(len(cols))])
     s = summ.alias("_s")
     r = rows.alias("_r")
-    joined = r.join(s, null_safe_on("_r", "_s", keys + [BUCKET]), "left")
-    keep = [F.col(f"_r.{c}") for c in df.columns if c not in out]
+    on = F.lit(True)
+    for c in keys + [BUCKET]:
+        on = on & (F.col(f"_r.{c}") == F.col(f"_s.{c}"))
+    joined = r.join(s, on, "left")
+    keep = [F.col(f"_r.{c}") for c in df.columns if c not in out and c != BUCKET]
     vals = [F.coalesce(F.col(f"_r.{t}"), F.col(f"_s._cf_carry_{i}")).alias(o)
             for i, (t, o) in enumerate(zip(tmp, out))]
     return joined.select(*keep, *vals)
@@ -144,7 +191,8 @@ def carry_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 def next_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str,
                out: str, skew_safe: bool = True, n_buckets: int | None = None,
-               bounds: tuple | None = None) -> DataFrame:
+               bounds: tuple | None = None, bucketed: bool = False,
+               summary_input: DataFrame | None = None) -> DataFrame:
     """Value of ``col`` on the next row of the same key in ``order``
     (``lead``) -- exact when ``col`` is non-NULL on every row, e.g. the next
     version's start in an SCD2 timeline."""
@@ -152,4 +200,5 @@ def next_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: st
         w = Window.partitionBy(*keys).orderBy(*_order_exprs(order, False))
         return df.withColumn(out, F.lead(F.col(col)).over(w))
     return carry_forward(df, keys, order, [col], [out], include_current=False,
-                         descending=True, skew_safe=True, n_buckets=n_buckets, bounds=bounds)
+                         descending=True, skew_safe=True, n_buckets=n_buckets, bounds=bounds,
+                         bucketed=bucketed, summary_input=summary_input)

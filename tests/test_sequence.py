@@ -11,7 +11,8 @@ def _data(spark, n=3000, seed=3):
     rnd = random.Random(seed)
     out = []
     for i in range(n):
-        k = 0 if rnd.random() < 0.4 else rnd.randint(1, 30)   # key 0 is hot
+        r = rnd.random()
+        k = 0 if r < 0.4 else (None if r > 0.97 else rnd.randint(1, 30))   # key 0 is hot; some NULL keys
         v = rnd.randint(0, 9) if rnd.random() < 0.3 else None
         t = rnd.randint(0, 10**6) if rnd.random() > 0.01 else None
         out.append((k, t, i, v))
