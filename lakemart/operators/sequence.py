@@ -134,9 +134,10 @@ def carry_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     ``summary_input``: a cheaper frame with the same key, order and value
     columns, the same set of (key, bucket) pairs as ``df`` and the same
     per-(key, bucket) last non-NULL values -- e.g. the value-carrying rows
-    plus a narrow (key, order) projection of the others.  The bucket summary is then a map-side partial aggregate
-    of it instead of a second pass over ``df``'s shuffle (column pruning
-    makes the two branches differ, so Spark cannot reuse that exchange).
+    plus a narrow (key, order) projection of the others.  The bucket
+    summary is then a map-side partial aggregate of it instead of a second
+    pass over ``df``'s shuffle (column pruning makes the two branches
+    differ, so Spark cannot reuse that exchange).
     """
     keys, order, cols = list(keys), list(order), list(cols)
     out = list(out) if out is not None else list(cols)

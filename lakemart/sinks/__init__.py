@@ -1,4 +1,4 @@
-from lakemart.sinks.tables import (analyze, compact, load, merge_into, publish, write_bucketed,
+from lakemart.sinks.tables import (analyze, compact, compact_all, load, merge_into, publish, write_bucketed,
                                    write_json)
 
-__all__ = ["analyze", "compact", "load", "merge_into", "publish", "write_bucketed", "write_json"]
+__all__ = ["analyze", "compact", "compact_all", "load", "merge_into", "publish", "write_bucketed", "write_json"]

@@ -106,6 +106,14 @@ def compact(spark: SparkSession, src: str, dst: str, rows_per_file: int = 5_000_
     return n
 
 
+def compact_all(spark: SparkSession, tables: dict[str, str], rows_per_file: int = 5_000_000,
+                fmt: str = "parquet") -> dict[str, int]:
+    """Compact a list of tables: ``{src_path: dst_path}`` -> output file
+    counts.  One Spark job per table (driver-side loop over table names,
+    never over rows)."""
+    return {src: compact(spark, src, dst, rows_per_file, fmt=fmt) for src, dst in tables.items()}
+
+
 def analyze(spark: SparkSession, table: str, columns: Sequence[str] = ()) -> None:
     """``ANALYZE TABLE .. COMPUTE STATISTICS [FOR COLUMNS ..]`` on a catalog
     table (feeds the cost-based optimizer)."""

@@ -115,3 +115,21 @@ def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
     return (spark.read.text(path)
                  .filter(F.trim(F.col("value")) != "")
                  .withColumn("_source_file", F.col("_metadata.file_path")))
+
+
+def read_change_feed(spark: SparkSession, path: str, starting_version: int = 0,
+                     ending_version: int | None = None, stream: bool = False,
+                     version_col: str = "_commit_version") -> DataFrame:
+    """Rows of a change log (as written by
+    :func:`lakemart.operators.cdc.snapshot_diff`) from ``starting_version``
+    on.  Batch: the version range is a filter pushed into the Parquet scan.
+    Stream: new change files as they arrive (use with ``availableNow``)."""
+    if stream:
+        schema = spark.read.parquet(path).schema
+        df = spark.readStream.schema(schema).parquet(path)
+    else:
+        df = spark.read.parquet(path)
+    cond = F.col(version_col) >= F.lit(starting_version)
+    if ending_version is not None:
+        cond = cond & (F.col(version_col) <= F.lit(ending_version))
+    return df.filter(cond)

@@ -101,3 +101,22 @@ def test_analyze_external_table(spark):
     desc = {r[0]: r[1] for r in spark.sql("DESCRIBE TABLE EXTENDED lm_analyze_t").collect()}
     assert "100 rows" in desc.get("Statistics", "")
     spark.sql("DROP TABLE lm_analyze_t")
+
+
+def test_read_change_feed_versions_and_compact_all(spark):
+    from lakemart.operators.cdc import snapshot_diff
+    from lakemart.sinks.tables import compact_all
+    from lakemart.sources.files import read_change_feed
+    path = scratch_path(spark, "t-cdf")
+    s0 = spark.createDataFrame([(1, "a")], "k int, v string")
+    s1 = spark.createDataFrame([(1, "b"), (2, "c")], "k int, v string")
+    publish(snapshot_diff(s0.limit(0), s0, ["k"], 1), path, "append")
+    publish(snapshot_diff(s0, s1, ["k"], 2), path, "append")
+    assert read_change_feed(spark, path).count() == 4
+    assert rows(read_change_feed(spark, path, 2), "k", "_change_type") == [
+        (1, "update_postimage"), (1, "update_preimage"), (2, "insert")]
+    plan = read_change_feed(spark, path, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(_commit_version,2)" in plan
+    dst = scratch_path(spark, "t-cdf-c")
+    assert compact_all(spark, {path: dst}, rows_per_file=10) == {path: 1}
+    assert spark.read.parquet(dst).count() == 4
