@@ -29,6 +29,7 @@ from lakemart.operators.scd import scd1_apply, scd2_apply
 from lakemart.plans import marts
 from lakemart.sinks.tables import load, merge_into, publish, write_bucketed
 from lakemart.sources.files import read_window
+from lakemart.sources.schema import evolve_stored_schema
 from lakemart.streaming.ingest import append_stream, apply_stream, json_stream, stream_table
 
 BUCKETS = 16
@@ -81,18 +82,26 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame:
-    df = spark.read.parquet(path)
+    # bronze files written before a schema evolution lack the new columns
+    df = spark.read.option("mergeSchema", "true").parquet(path)
     return df.drop("_bucket") if "_bucket" in df.columns else df
 
 
 # ------------------------------------------------------------------ bronze
 
-def ingest_feed(spark: SparkSession, root: str, landing: str, feed: str, schema: T.StructType) -> None:
+def ingest_feed(spark: SparkSession, root: str, landing: str, feed: str, schema: T.StructType,
+                evolve: bool = False) -> str:
     """New JSON files of a landing folder -> append to ``bronze/<feed>``
     (typed columns, ``_rescued_data``, ``_corrupt_record``, ``_source_file``,
-    ``_ingested_at``); exactly once through the stream checkpoint."""
+    ``_ingested_at``); exactly once through the stream checkpoint.  With
+    ``evolve`` the stored feed schema gains any new field first (returned
+    as the drift action, e.g. for the health audit)."""
+    action = "none"
+    if evolve:
+        schema, action = evolve_stored_schema(spark, landing, _p(root, "_schemas", feed), schema)
     append_stream(json_stream(spark, landing, schema), _p(root, "bronze", feed),
                   _p(root, "_checkpoints", "bronze", feed))
+    return action
 
 
 def ingest_customer_snapshot(spark: SparkSession, root: str, snapshot: DataFrame, version: int) -> None:

@@ -50,3 +50,41 @@ def drift_state(audit: DataFrame, source_col: str = "source", order: Sequence[st
                    .drop("_rn"))
     cols = F.filter(F.split(F.coalesce(F.col(columns_col), F.lit("")), ","), lambda x: x != "")
     return latest.select(source_col, cols.alias("extra_columns"))
+
+
+def store_schema(spark, schema: T.StructType, path: str) -> None:
+    """Persist a schema as one JSON line with Spark (works on any shared
+    filesystem the cluster can write; no driver-side file I/O)."""
+    spark.createDataFrame([(schema.json(),)], "schema string").coalesce(1) \
+        .write.mode("overwrite").text(path)
+
+
+def load_schema(spark, path: str) -> T.StructType | None:
+    """The stored schema, or None when nothing was stored yet."""
+    from pyspark.errors import AnalysisException
+    try:
+        row = spark.read.text(path).first()
+    except AnalysisException:
+        return None
+    return schema_from_json(row[0]) if row else None
+
+
+def infer_json_schema(spark, path: str, sampling_ratio: float = 1.0) -> T.StructType:
+    """Schema of the JSON files under ``path`` inferred by Spark's reader
+    (``samplingRatio`` bounds the inference scan on large landings)."""
+    return spark.read.option("samplingRatio", sampling_ratio).json(path).schema
+
+
+def evolve_stored_schema(spark, landing: str, schema_path: str, base: T.StructType,
+                         sampling_ratio: float = 1.0) -> tuple[T.StructType, str]:
+    """Schema on arrival, new columns added:
+    start from the stored schema (or ``base``), add any field the landing
+    files now carry, store the result, and return ``(schema, drift_action)``.
+    Known fields keep their types; unknown values of a known field go to
+    the rescued-data column at parse time."""
+    known = load_schema(spark, schema_path) or base
+    inferred = infer_json_schema(spark, landing, sampling_ratio)
+    new, action = detect_drift(known, inferred)
+    evolved = evolve_schema(known, T.StructType([f for f in inferred.fields if f.name in set(new)]))
+    store_schema(spark, evolved, schema_path)
+    return evolved, action

@@ -53,3 +53,24 @@ def test_foreach_batch_scd2_equals_batch(spark):
     want = scd2_apply(None, o, *args, tiebreak=["o_orderkey"])
     cols = ["o_custkey", "o_orderkey", "start_at", "end_at", "is_current"]
     assert rows(state["t"], *cols) == rows(want, *cols)
+
+
+def test_schema_evolution_adds_columns_across_batches(spark, tmp_path):
+    import json as _json
+    from lakemart.sources.schema import evolve_stored_schema
+    land = tmp_path / "land"
+    land.mkdir()
+    (land / "b1.json").write_text("\n".join(_json.dumps({"event_id": i, "value": 1.5}) for i in range(3)) + "\n")
+    root = scratch_path(spark, "evo")
+    base = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("value", T.DoubleType())])
+    s1, a1 = evolve_stored_schema(spark, str(land), f"{root}/_schema", base)
+    assert a1 == "none" and s1.fieldNames() == ["event_id", "value"]
+    append_stream(json_stream(spark, str(land), s1), f"{root}/bronze", f"{root}/_ck")
+    (land / "b2.json").write_text(_json.dumps({"event_id": 9, "value": 2.0, "firmware": "fw1.2"}) + "\n")
+    s2, a2 = evolve_stored_schema(spark, str(land), f"{root}/_schema", base)
+    assert a2 == "added column 'firmware'" and s2.fieldNames() == ["event_id", "value", "firmware"]
+    # new query on the evolved schema (the stream restarts from its checkpoint)
+    append_stream(json_stream(spark, str(land), s2), f"{root}/bronze", f"{root}/_ck")
+    bronze = spark.read.option("mergeSchema", "true").parquet(f"{root}/bronze")
+    got = {r.event_id: r.firmware for r in bronze.collect()}
+    assert got == {0: None, 1: None, 2: None, 9: "fw1.2"}
