@@ -2,11 +2,11 @@
 JSON export, compaction and statistics.
 
 A merge target is stored partitioned by a hash bucket of its key
-(``_bucket = pmod(xxhash64(keys), n)``).  A merge then reads only the
-buckets the source touches (partition pruning), recomputes them, and
-rewrites just those buckets (dynamic partition overwrite).  The recomputed
-buckets are first materialised in the shared checkpoint folder so the
-write never reads the files it replaces.
+(``_bucket = pmod(xxhash64(keys), n)``).  A merge materialises the source
+batch once, reads only the buckets it touches (partition pruning),
+recomputes them, and rewrites just those buckets (dynamic partition
+overwrite).  The recomputed buckets are first materialised in the shared
+checkpoint folder so the write never reads the files it replaces.
 """
 
 from __future__ import annotations
@@ -55,7 +55,8 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence
                how: Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame] = upsert) -> None:
     """Apply ``how(target, source, keys)`` (upsert, delete_matching, SCD
     apply, ...) to a bucketed target, rewriting only touched buckets."""
-    src = source.withColumn(BUCKET_COL, bucket_expr(keys, buckets))
+    # the batch is computed once: bucket ids and the merge read the copy
+    src = cut_lineage(source.withColumn(BUCKET_COL, bucket_expr(keys, buckets)), "merge-src")
     # at most `buckets` small ints reach the driver
     touched = [r[0] for r in src.select(BUCKET_COL).distinct().collect()]
     if not touched:
