@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart.functions.dates import minus_millis
-from lakemart.operators.cdc import CHANGE_TYPE, DELETE, UPDATE_PRE
+from lakemart.operators.cdc import DELETE, UPDATE_PRE
 from lakemart.operators.dedupe import dedupe
 from lakemart.operators.merge import upsert
 from lakemart.operators.joins import bounded_broadcast

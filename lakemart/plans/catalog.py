@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemart.functions.dates import date_key, minus_millis, truncate
+from lakemart.functions.dates import minus_millis, truncate
 from lakemart.functions.keys import normalize_expr, surrogate_key_expr
 from lakemart.operators import audit, cdc, cleanse, dedupe, erase, joins, merge, rollup, scd
 from lakemart.plans import marts

@@ -24,7 +24,6 @@ from lakemart.functions.keys import surrogate_key
 from lakemart.operators.cdc import snapshot_diff
 from lakemart.operators.cleanse import require_keys, stamp
 from lakemart.operators.erase import erase
-from lakemart.operators.joins import lookup_key
 from lakemart.operators.scd import scd1_apply, scd2_apply
 from lakemart.plans import marts
 from lakemart.sinks.tables import load, merge_into, publish, write_bucketed

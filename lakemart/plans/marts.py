@@ -19,7 +19,7 @@ from lakemart.operators.cleanse import (enforce_schema, enrich_telemetry, live_r
 from lakemart.operators.dedupe import dedupe
 from lakemart.operators.joins import as_of_join, bounded_broadcast, lookup_key
 from lakemart.operators.rollup import hourly_rollup, milestone_pivot, union_distinct
-from lakemart.operators.scd import END, START, scd1_apply
+from lakemart.operators.scd import START, scd1_apply
 from lakemart.operators.sequence import order_bounds
 
 # --- fixed values: static location lookup (city, realm_name, realm_code, region, language_region)
