@@ -120,3 +120,21 @@ def test_read_change_feed_versions_and_compact_all(spark):
     dst = scratch_path(spark, "t-cdf-c")
     assert compact_all(spark, {path: dst}, rows_per_file=10) == {path: 1}
     assert spark.read.parquet(dst).count() == 4
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    from lakemart.sinks.tables import save_bucketed_table
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        o = spark.read.parquet(f"{SF}/orders.parquet")
+        li = spark.read.parquet(f"{SF}/lineitem.parquet").withColumnRenamed("l_orderkey", "o_orderkey")
+        a = save_bucketed_table(o, "lm_b_orders", scratch_path(spark, "b-o"), ["o_orderkey"], 8)
+        b = save_bucketed_table(li, "lm_b_lines", scratch_path(spark, "b-l"), ["o_orderkey"], 8)
+        j = a.join(b, "o_orderkey")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert j.count() == li.join(o, "o_orderkey").count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS lm_b_orders")
+        spark.sql("DROP TABLE IF EXISTS lm_b_lines")
