@@ -92,18 +92,46 @@ def normalized_lookup(df: DataFrame, lookup: DataFrame, col: str, lookup_col: st
     return left.join(right, left["_nrm_l"] == right["_nrm_r"], "left").drop("_nrm_l", "_nrm_r")
 
 
+def hot_keys(df: DataFrame, key: str, min_rows: int, max_keys: int = 1000) -> DataFrame:
+    """Keys with at least ``min_rows`` rows, at most ``max_keys`` of them
+    (the largest): a partially aggregated count, then a distributed top-k.
+    Stays a DataFrame -- nothing is collected."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return (counts.filter(F.col("_n") >= min_rows)
+                  .orderBy(F.col("_n").desc(), F.col(key).asc()).limit(max_keys)
+                  .select(key, F.lit(True).alias("_hot")))
+
+
 def salted_join(df: DataFrame, dim: DataFrame, key: str, salt_cols: Sequence[str],
-                buckets: int = 16, how: str = "left") -> DataFrame:
+                buckets: int = 16, how: str = "left", hot_rows: int | None = None,
+                max_hot_keys: int = 1000) -> DataFrame:
     """Equi-join that spreads a hot key over ``buckets`` tasks.
 
-    Each fact row gets a deterministic salt from a hash of ``salt_cols``
-    (so a recomputed partition gets the same salt); the dimension is
-    replicated once per salt value.  Result equals the unsalted join.
-    Use when a key holds a large share of the rows and AQE's skew-join
-    split is not applicable.
+    Each fact row of a hot key gets a deterministic salt from a hash of
+    ``salt_cols`` (a recomputed partition gets the same salt); the
+    dimension rows of hot keys are replicated once per salt value.  With
+    ``hot_rows`` only keys with at least that many fact rows are salted (at
+    most ``max_hot_keys``, found by :func:`hot_keys` and broadcast -- the
+    list has a fixed bound); every other key joins with salt 0 and the
+    dimension is not replicated for it.  Without ``hot_rows`` every key is
+    salted.  The result equals the unsalted join.  Use when a key holds a
+    large share of the rows and AQE's skew-join split does not apply.
     """
-    f = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.lit(buckets)))
-    d = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1).cast("long"))))
+    h = F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.lit(buckets))
+    all_salts = F.sequence(F.lit(0), F.lit(buckets - 1).cast("long"))
+    fan = F.explode(all_salts)
+    if hot_rows is None:
+        f = df.withColumn("_salt", h)
+        d = dim.withColumn("_salt", fan)
+    else:
+        hot = F.broadcast(hot_keys(df, key, hot_rows, max_hot_keys))
+        f = (df.join(hot, key, "left")
+               .withColumn("_salt", F.when(F.col("_hot"), h).otherwise(F.lit(0)))
+               .drop("_hot"))
+        d = (dim.join(hot, key, "left")
+                .withColumn("_salt", F.explode(F.when(F.col("_hot"), all_salts)
+                                                .otherwise(F.array(F.lit(0).cast("long")))))
+                .drop("_hot"))
     return f.join(d, [key, "_salt"], how).drop("_salt")
 
 

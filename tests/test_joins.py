@@ -60,6 +60,11 @@ def test_salted_equals_unsalted(spark):
     a = rows(salted_join(f, dim, "k", ["e"], buckets=8))
     b = rows(f.join(dim, "k", "left"))
     assert a == b
+    # selective: only the hot key (70% of rows) is salted and replicated
+    sel = salted_join(f, dim, "k", ["e"], buckets=8, hot_rows=500)
+    assert rows(sel) == b
+    plan = sel._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode" in plan
 
 
 def test_bounded_broadcast_and_lookup(spark):
