@@ -90,3 +90,18 @@ def test_touched_history_no_fanout(spark):
     full = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, v string")
     touched = spark.createDataFrame([(1,), (1,), (1,)], "k int")
     assert rows(touched_history(full, touched, ["k"])) == [(1, "a"), (1, "b")]
+
+
+def test_as_of_multi_column_keys(spark):
+    d = spark.range(300).select((F.col("id") % 3).alias("k1"), (F.col("id") % 2).alias("k2"),
+                                (F.col("id") * 17 % 211).alias("s"), F.col("id").alias("v")) \
+        .dropDuplicates(["k1", "k2", "s"])
+    f = spark.range(400).select(F.col("id").alias("fid"), (F.col("id") % 4).alias("k1"),
+                                (F.col("id") % 2).alias("k2"), (F.col("id") * 13 % 223).alias("t"))
+    got = rows(as_of_join(f, d, ["k1", "k2"], "t", "s", ["v"]), "fid", "v")
+    d.createOrReplaceTempView("d2"); f.createOrReplaceTempView("f2")
+    want = spark.sql("""
+        WITH dn AS (SELECT k1, k2, s, v, lead(s) OVER (PARTITION BY k1, k2 ORDER BY s) AS nx FROM d2)
+        SELECT f2.fid, dn.v FROM f2 LEFT JOIN dn ON f2.k1 = dn.k1 AND f2.k2 = dn.k2 AND dn.s <= f2.t
+               AND (dn.nx IS NULL OR f2.t < dn.nx)""")
+    assert got == rows(want)

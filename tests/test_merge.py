@@ -50,3 +50,9 @@ def test_insert_missing_idempotent(spark):
     once = insert_missing(t, s, ["k"])
     assert rows(once) == [(1, "a"), (2, "b")]
     assert rows(insert_missing(once, s, ["k"])) == rows(once)
+
+
+def test_upsert_multi_column_keys(spark):
+    t = spark.createDataFrame([(1, "a", "old"), (1, "b", "old")], "k1 int, k2 string, v string")
+    s = spark.createDataFrame([(1, "b", "new"), (2, "a", "new")], "k1 int, k2 string, v string")
+    assert rows(upsert(t, s, ["k1", "k2"])) == [(1, "a", "old"), (1, "b", "new"), (2, "a", "new")]

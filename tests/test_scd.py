@@ -107,3 +107,17 @@ def test_scd1_guard_and_plain(spark):
     t = scd1_apply(None, newer, ["k"], "seq")
     assert rows(scd1_apply(t, older, ["k"], "seq")) == [(1, 5, "new"), (2, 1, "x")]
     assert rows(scd1_apply(t, older, ["k"], "seq", guard_sequence=False)) == [(1, 2, "old"), (2, 1, "x")]
+
+
+def test_multi_column_keys(spark):
+    ch = spark.createDataFrame([("a", 1, ts(0), "x"), ("a", 1, ts(2), "y"), ("a", 2, ts(1), "z"),
+                                ("b", 1, ts(0), "w")], "k1 string, k2 int, seq timestamp, a string")
+    one = scd2_apply(None, ch, ["k1", "k2"], "seq", ["a"])
+    two = scd2_apply(spark.createDataFrame(scd2_apply(None, ch.filter("a = 'y'"), ["k1", "k2"], "seq",
+                                                      ["a"]).collect(),
+                                           one.schema),
+                     ch.filter("a <> 'y'"), ["k1", "k2"], "seq", ["a"])
+    cols = ["k1", "k2", "a", "start_at", "end_at", "is_current"]
+    assert rows(one, *cols) == rows(two, *cols)
+    cur = sorted((r.k1, r.k2, r.a) for r in one.collect() if r.is_current)
+    assert cur == [("a", 1, "y"), ("a", 2, "z"), ("b", 1, "w")]
