@@ -8,6 +8,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakemart.operators.joins import bounded_broadcast
+
 
 def erased_keys(dim: DataFrame, entities: DataFrame, natural_key: str, sk: str) -> DataFrame:
     """Surrogate keys of every dimension version of the erased entities
@@ -28,15 +30,18 @@ def erase(entities: DataFrame, dim: DataFrame, facts: Mapping[str, DataFrame],
     holds the deleted entity's versions.  Anti joins only; nothing is
     collected.
     """
-    sks = erased_keys(key_map if key_map is not None else dim, entities, natural_key, sk)
+    # erasure requests are few: keys broadcast under a bound, facts not shuffled
+    sks = bounded_broadcast(erased_keys(key_map if key_map is not None else dim, entities,
+                                        natural_key, sk).distinct())
+    ents = bounded_broadcast(entities.select(natural_key).distinct())
     out = {}
     for name, f in facts.items():
         kept = f.join(sks, sk, "left_anti")
         nk = (fact_natural_key or {}).get(name)
         if nk:
-            kept = kept.join(entities.select(F.col(natural_key).alias(nk)), nk, "left_anti")
+            kept = kept.join(ents.select(F.col(natural_key).alias(nk)), nk, "left_anti")
         out[name] = kept
-    dim_kept = dim.join(entities.select(natural_key), natural_key, "left_anti")
+    dim_kept = dim.join(ents, natural_key, "left_anti")
     return dim_kept, out
 
 

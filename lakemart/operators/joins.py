@@ -48,10 +48,11 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
 def touched_history(full: DataFrame, touched: DataFrame, keys: Sequence[str]) -> DataFrame:
     """All rows of ``full`` whose key occurs in ``touched``.
 
-    A left semi join: a key touched many times does not multiply rows, and
-    the touched side needs no ``distinct`` of its own.
+    A left semi join: a key touched many times does not multiply rows.  The
+    touched keys are de-duplicated (partial aggregation) and broadcast when
+    a bounded count proves them small, so ``full`` is not shuffled.
     """
-    return full.join(touched.select(*keys), list(keys), "left_semi")
+    return full.join(bounded_broadcast(touched.select(*keys).distinct()), list(keys), "left_semi")
 
 
 def lookup_key(df: DataFrame, dim: DataFrame, on: str | Column | Sequence, dim_on: str | Sequence[str],

@@ -3,6 +3,10 @@
 ``MERGE`` semantics are rebuilt from joins: NULL keys never match (plain
 ``=``), unmatched target rows pass through untouched.  Each operator is
 lazy; persisting the result is the job of :mod:`lakemart.sinks`.
+
+The batch side (source keys) is broadcast when a bounded count proves it
+small, so the target -- usually far larger -- is never shuffled for a
+merge; past the bound both sides shuffle by key.
 """
 
 from __future__ import annotations
@@ -12,6 +16,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakemart.operators.joins import bounded_broadcast
+
 
 class DuplicateSourceKeys(ValueError):
     """Several source rows match one target key (a merge must not guess)."""
@@ -48,13 +54,13 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
     """
     if check_unique:
         assert_unique_keys(source, keys)
-    kept = target.join(source.select(*keys), list(keys), "left_anti")
+    kept = target.join(bounded_broadcast(source.select(*keys)), list(keys), "left_anti")
     return kept.unionByName(source, allowMissingColumns=True)
 
 
 def delete_matching(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows whose key does not occur in the source."""
-    return target.join(source.select(*keys), list(keys), "left_anti")
+    return target.join(bounded_broadcast(source.select(*keys)), list(keys), "left_anti")
 
 
 def delete_where(target: DataFrame, predicate: Column) -> DataFrame:
@@ -71,7 +77,7 @@ def update_matching(target: DataFrame, source: DataFrame, keys: Sequence[str],
     ``{"price": "s.price"}``.  The source must be unique per key.
     """
     s_cols = list(source_cols) if source_cols is not None else [c for c in source.columns]
-    s = source.select(*set(list(keys) + s_cols)).alias("s")
+    s = bounded_broadcast(source.select(*dict.fromkeys(list(keys) + s_cols))).alias("s")
     t = target.alias("t")
     j = t.join(s, merge_condition(keys), "left")
     matched = F.col(f"s.{keys[0]}").isNotNull()

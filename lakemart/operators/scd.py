@@ -56,7 +56,7 @@ def scd1_apply(target: DataFrame | None, changes: DataFrame, keys: Sequence[str]
         return latest
     if not guard_sequence:
         return upsert(target, latest, keys)
-    touched = latest.select(*keys)     # unique already: one row per key
+    touched = bounded_broadcast(latest.select(*keys))     # unique already: one row per key
     old = target.join(touched, keys, "left_semi").withColumn("_src", F.lit(0))
     cand = old.unionByName(latest.withColumn("_src", F.lit(1)), allowMissingColumns=True)
     win = dedupe(cand, keys, [seq, "_src", *tiebreak], desc=True).drop("_src")
@@ -118,6 +118,10 @@ def scd2_apply(target: DataFrame | None, changes: DataFrame, keys: Sequence[str]
     # distinct (partial aggregation): a key changed a million times is one
     # row on the build side of the semi / anti joins
     touched = touched.distinct()
+    if not initial:
+        # a batch touches few keys: broadcast them (bounded) so the target
+        # is filtered in place rather than shuffled
+        touched = bounded_broadcast(touched)
 
     hist = target.join(touched, keys, "left_semi")
     hist_cols = [F.col(START).alias(c) if (c == start and c not in target.columns) else F.col(c)
