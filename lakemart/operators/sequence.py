@@ -35,10 +35,13 @@ from lakemart.functions.dates import order_number
 
 BUCKET = "_obkt"
 MIN_BUCKETS = 32
-MAX_BUCKETS = 1 << 20
+MAX_BUCKETS = 1 << 22
 # Order buckets are sized so that a single key holding *every* row still
-# has about this many rows per (key, bucket) task, on evenly spread data.
-ROWS_PER_BUCKET = 2_000_000
+# has about this many rows per (key, bucket) task on evenly spread data; a
+# key with a third of the rows packed into 1% of the time range gets about
+# 8M rows per task.  The per-key carry-in window runs over at most
+# MAX_BUCKETS summary rows (key, bucket, value).
+ROWS_PER_BUCKET = 250_000
 
 
 def order_bounds(df: DataFrame, order_col: str) -> tuple:
