@@ -276,6 +276,11 @@ ORACLE_SQL: dict[str, str] = {
           CAST(date_trunc('hour', ts) AS DATE) AS period_date
         FROM events GROUP BY user_id, date_trunc('hour', ts)""",
 
+    "q_hourly_rollup_by_type": """SELECT event_type, date_trunc('hour', ts) AS period_start,
+          count(event_id) AS events_count, count(DISTINCT user_id) AS users,
+          CAST(sum(CAST(value AS DECIMAL(38,2))) AS DOUBLE) AS value_sum, max(value) AS max_value
+        FROM events GROUP BY event_type, date_trunc('hour', ts)""",
+
     "q_high_water": """SELECT (SELECT max(o_orderdate) FROM orders) AS hw_orderdate,
         (SELECT max(CAST(substring(c_name, 10, 100) AS INTEGER)) FROM customer) AS max_cust_num""",
 
