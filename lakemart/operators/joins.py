@@ -136,11 +136,17 @@ def salted_join(df: DataFrame, dim: DataFrame, key: str, salt_cols: Sequence[str
     return f.join(d, [key, "_salt"], how).drop("_salt")
 
 
+# Broadcast as-of plan only when no key has more versions than this (each
+# fact is compared with the versions of its key).
+MAX_VERSIONS_PER_KEY = 1000
+
+
 def as_of_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], fact_time: str,
                dim_start: str, take: Sequence[str], dim_keys: Sequence[str] | None = None,
                dim_end: str | None = None, end_inclusive: bool = True,
                prefix: str = "", skew_safe: bool = True,
-               time_bounds: tuple | None = None) -> DataFrame:
+               time_bounds: tuple | None = None, strategy: str = "auto",
+               max_versions_per_key: int = MAX_VERSIONS_PER_KEY) -> DataFrame:
     """Validity-interval (as-of) left join: for every fact row the dimension
     version with the latest ``dim_start <= fact_time`` for the same key.
 
@@ -154,9 +160,23 @@ def as_of_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], fact_time:
     Exactly one output row per fact row.  ``time_bounds`` = ``(min, max)``
     of the fact time (see :func:`~lakemart.operators.sequence.order_bounds`)
     spares a pass over ``facts`` when the caller knows a cheaper source.
+
+    ``strategy``: ``"carry"`` always uses the timeline above (facts are
+    shuffled once); ``"broadcast"`` / ``"auto"`` use a broadcast equi-join
+    on the key with ``start <= t < next_start`` as residual -- the facts are
+    not shuffled at all -- when the version table passes the broadcast size
+    bound and no key has more than ``max_versions_per_key`` versions (both
+    checked with bounded actions); otherwise they fall back to the timeline.
     """
     keys = list(keys)
     dkeys = list(dim_keys) if dim_keys else keys
+    if strategy in ("auto", "broadcast"):
+        out = _as_of_broadcast(facts, dim, keys, dkeys, fact_time, dim_start, list(take), dim_end,
+                               end_inclusive, prefix, max_versions_per_key)
+        if out is not None:
+            return out
+    elif strategy != "carry":
+        raise ValueError("strategy must be 'auto', 'broadcast' or 'carry'")
     t_type = facts.schema[fact_time].dataType
     fact_cols = facts.columns
     take = list(take)
@@ -201,3 +221,41 @@ def as_of_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], fact_time:
     dim_val = F.when(valid, F.col("_aj_dim"))
     return out.select(*[F.col(f"_aj_fact.{c}").alias(c) for c in fact_cols],
                       *[dim_val.getField(c).alias(prefix + c) for c in take])
+
+
+def _as_of_broadcast(facts: DataFrame, dim: DataFrame, keys, dkeys, fact_time: str, dim_start: str,
+                     take, dim_end, end_inclusive: bool, prefix: str,
+                     max_versions: int) -> DataFrame | None:
+    """Broadcast plan of :func:`as_of_join`, or None when its bounds fail."""
+    from pyspark.sql import Window
+
+    t_type = facts.schema[fact_time].dataType
+    fields = list(dict.fromkeys(take + ([dim_end] if dim_end else [])))
+    v = dim.filter(F.col(dim_start).isNotNull())
+    for k in dkeys:
+        v = v.filter(F.col(k).isNotNull())
+    v = v.select(*[F.col(k).alias(f"_ab_k{i}") for i, k in enumerate(dkeys)],
+                 F.col(dim_start).cast(t_type).alias("_ab_s"),
+                 *[F.col(c).alias(f"_ab_v{i}") for i, c in enumerate(fields)])
+    kc = [f"_ab_k{i}" for i in range(len(dkeys))]
+    v = v.dropDuplicates(kc + ["_ab_s"])                  # one version per (key, start)
+    small = bounded_broadcast(v)
+    if small is v:                                        # too large to broadcast
+        return None
+    per_key = v.groupBy(*kc).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    if per_key is not None and per_key > max_versions:
+        return None
+    w = Window.partitionBy(*kc).orderBy("_ab_s")
+    v = F.broadcast(v.withColumn("_ab_next", F.lead("_ab_s").over(w)))
+    t = F.col(fact_time)
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        cond = cond & (F.col(k) == F.col(f"_ab_k{i}"))
+    cond = cond & (F.col("_ab_s") <= t) & (F.col("_ab_next").isNull() | (t < F.col("_ab_next")))
+    if dim_end:
+        end = F.col(f"_ab_v{fields.index(dim_end)}").cast(t_type)
+        cond = cond & (end.isNull() | ((t <= end) if end_inclusive else (t < end)))
+    j = facts.join(v, cond, "left")
+    return j.select(*[facts[c] for c in facts.columns],
+                    *[F.col(f"_ab_v{fields.index(c)}").alias(prefix + c) for c in take])
+

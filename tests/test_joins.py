@@ -25,18 +25,20 @@ def test_as_of_edges(spark):
         (6, 3, ts(3)),            # key without versions
         (7, 2, None),             # NULL time
     ], "fid int, k int, t timestamp")
-    for skew_safe in (True, False):
-        out = as_of_join(facts, dim, ["k"], "t", "start_at", ["attr"], skew_safe=skew_safe)
+    for strategy, skew_safe in (("broadcast", True), ("carry", True), ("carry", False)):
+        out = as_of_join(facts, dim, ["k"], "t", "start_at", ["attr"], skew_safe=skew_safe,
+                         strategy=strategy)
         got = dict(rows(out, "fid", "attr"))
-        assert got == {1: "v1", 2: "v1", 3: None, 4: "v5", 5: None, 6: None, 7: None}
+        assert got == {1: "v1", 2: "v1", 3: None, 4: "v5", 5: None, 6: None, 7: None}, strategy
         assert out.count() == facts.count()
 
 
 def test_as_of_with_end(spark):
     dim = spark.createDataFrame([(1, ts(1), ts(2), "closed")], "k int, start_at timestamp, end_at timestamp, a string")
     facts = spark.createDataFrame([(1, 1, ts(2)), (2, 1, ts(3))], "fid int, k int, t timestamp")
-    out = as_of_join(facts, dim, ["k"], "t", "start_at", ["a"], dim_end="end_at")
-    assert dict(rows(out, "fid", "a")) == {1: "closed", 2: None}
+    for strategy in ("broadcast", "carry"):
+        out = as_of_join(facts, dim, ["k"], "t", "start_at", ["a"], dim_end="end_at", strategy=strategy)
+        assert dict(rows(out, "fid", "a")) == {1: "closed", 2: None}
 
 
 def test_as_of_matches_range_join(spark):
@@ -44,7 +46,15 @@ def test_as_of_matches_range_join(spark):
                                 F.col("id").alias("v")).dropDuplicates(["k", "s"])
     f = spark.range(500).select(F.col("id").alias("fid"), (F.col("id") % 9).alias("k"),
                                 (F.col("id") * 31 % 101).alias("t"))
-    got = rows(as_of_join(f, d, ["k"], "t", "s", ["v"], prefix="d_"), "fid", "d_v")
+    got = rows(as_of_join(f, d, ["k"], "t", "s", ["v"], prefix="d_", strategy="carry"), "fid", "d_v")
+    got_b = as_of_join(f, d, ["k"], "t", "s", ["v"], prefix="d_", strategy="broadcast")
+    plan = got_b._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "_obkt" not in plan      # facts not shuffled
+    assert rows(got_b, "fid", "d_v") == got
+    # too many versions per key -> falls back to the timeline plan
+    fb = as_of_join(f, d, ["k"], "t", "s", ["v"], prefix="d_", max_versions_per_key=2)
+    assert "_obkt" in fb._jdf.queryExecution().executedPlan().toString()
+    assert rows(fb, "fid", "d_v") == got
     d.createOrReplaceTempView("d"); f.createOrReplaceTempView("f")
     want = spark.sql("""
         WITH dn AS (SELECT k, s, v, lead(s) OVER (PARTITION BY k ORDER BY s) AS nx FROM d)
