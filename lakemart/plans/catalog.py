@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart.functions.dates import minus_millis, truncate
-from lakemart.functions.keys import normalize_expr, surrogate_key_expr
+from lakemart.functions.keys import (ACCENTED, NORMALIZE_DROP_PATTERN, UNACCENTED, normalize_expr,
+                                     surrogate_key_expr)
 from lakemart.operators import audit, cdc, cleanse, dedupe, erase, joins, merge, rollup, scd
 from lakemart.plans import marts
 from lakemart.session import configure, cut_lineage, scratch_path
@@ -216,7 +217,6 @@ def _md5_key(*cols: str) -> str:
 
 
 def _nrm_sql(c: str) -> str:
-    from lakemart.functions.keys import ACCENTED, NORMALIZE_DROP_PATTERN, UNACCENTED
     return (f"lower(regexp_replace(translate({c}, '{ACCENTED}', '{UNACCENTED}'), "
             f"'{NORMALIZE_DROP_PATTERN}', '', 'g'))")
 
@@ -847,6 +847,5 @@ def q_drift_state(spark, d):
     return st.select("source", F.array_join("extra_columns", ",").alias("extra_columns"))
 
 
-QUERIES: dict[str, Query] = {name[2:]: fn for name, fn in sorted(globals().items())
+QUERIES: dict[str, Query] = {name: fn for name, fn in sorted(globals().items())
                              if name.startswith("q_") and callable(fn)}
-QUERIES = {f"q_{k}": v for k, v in QUERIES.items()}
