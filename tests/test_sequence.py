@@ -57,3 +57,19 @@ def test_hot_key_rows_spread_over_buckets(spark):
     assert len(per) == 32
     assert max(r["count"] for r in per) <= 2 * (10000 // 32)
     assert bucket_count(10) == 32 and bucket_count(10**12) == 4_000_000
+
+
+def test_hot_key_rows_spread_over_shuffle_partitions(spark):
+    from lakemart.operators.sequence import with_order_bucket
+    n = 60000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
+                               (F.col("id") * 7).alias("t"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")       # keep the 8 planned partitions
+    try:
+        parts = (with_order_bucket(df, ["k"], "t", n_buckets=64)
+                 .groupBy(F.spark_partition_id().alias("p")).count().collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    biggest = max(r["count"] for r in parts)
+    # a third of the rows share key 0; a key-only hash would put them in one task
+    assert biggest < n / 3 * 0.5
