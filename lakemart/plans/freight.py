@@ -185,11 +185,13 @@ def silver_location_lookup(spark: SparkSession, root: str) -> None:
 
 def gold_dimensions(spark: SparkSession, root: str, start: str, end: str) -> None:
     s = lambda n: _read(spark, _p(root, "silver", n))
-    publish(marts.build_dim_scd2(s("customers"), "customer_sk", "customer_id"),
+    publish(stamp(marts.build_dim_scd2(s("customers").drop("_insert_update_ts"), "customer_sk",
+                                       "customer_id")),
             _p(root, "gold", "dim_customer"), "replace")
-    publish(marts.build_dim_scd1(s("vehicles"), "vehicle_sk", "vehicle_id"),
+    publish(stamp(marts.build_dim_scd1(s("vehicles").drop("_insert_update_ts"), "vehicle_sk", "vehicle_id")),
             _p(root, "gold", "dim_vehicle"), "replace")
-    publish(marts.build_dim_location(s("orders"), "origin_city", "destination_city", s("location_lookup")),
+    publish(stamp(marts.build_dim_location(s("orders"), "origin_city", "destination_city",
+                                           s("location_lookup"))),
             _p(root, "gold", "dim_location"), "replace")
     publish(marts.build_dim_date(spark, start, end), _p(root, "gold", "dim_date"), "replace")
 
