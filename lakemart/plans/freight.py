@@ -183,13 +183,25 @@ def silver_location_lookup(spark: SparkSession, root: str) -> None:
 
 # ------------------------------------------------------------------ gold
 
-def gold_dimensions(spark: SparkSession, root: str, start: str, end: str) -> None:
+def gold_dimensions(spark: SparkSession, root: str, start: str, end: str, touched_since=None) -> None:
+    """Customer and vehicle dimensions are upserted by surrogate key from
+    the silver rows stamped since ``touched_since`` (all rows on the first
+    run) -- an SCD2 rebuild re-stamps the versions whose interval changed,
+    so closed versions are refreshed too.  Location and calendar
+    dimensions are small and rebuilt."""
     s = lambda n: _read(spark, _p(root, "silver", n))
-    publish(stamp(marts.build_dim_scd2(s("customers").drop("_insert_update_ts"), "customer_sk",
-                                       "customer_id")),
-            _p(root, "gold", "dim_customer"), "replace")
-    publish(stamp(marts.build_dim_scd1(s("vehicles").drop("_insert_update_ts"), "vehicle_sk", "vehicle_id")),
-            _p(root, "gold", "dim_vehicle"), "replace")
+
+    def window(df: DataFrame) -> DataFrame:
+        if touched_since is None:
+            return df
+        return df.filter(F.col("_insert_update_ts") >= F.lit(touched_since).cast("timestamp"))
+
+    for name, src, sk, key, build in (
+            ("dim_customer", "customers", "customer_sk", "customer_id", marts.build_dim_scd2),
+            ("dim_vehicle", "vehicles", "vehicle_sk", "vehicle_id", marts.build_dim_scd1)):
+        path = _p(root, "gold", name)
+        rows = stamp(build(window(s(src)).drop("_insert_update_ts"), sk, key))
+        load(spark, rows, path, [sk], BUCKETS, initial=not exists(spark, path))
     publish(stamp(marts.build_dim_location(s("orders"), "origin_city", "destination_city",
                                            s("location_lookup"))),
             _p(root, "gold", "dim_location"), "replace")
@@ -268,7 +280,7 @@ def gold_erase_customers(spark: SparkSession, root: str) -> None:
     tmp_d, tmp_f = _p(root, "gold", "_dim_customer_erased"), _p(root, "gold", "_fact_order_erased")
     publish(dim2, tmp_d, "replace")
     publish(facts["order"], tmp_f, "replace")
-    publish(spark.read.parquet(tmp_d), _p(root, "gold", "dim_customer"), "replace")
+    write_bucketed(spark.read.parquet(tmp_d), _p(root, "gold", "dim_customer"), ["customer_sk"], BUCKETS)
     write_bucketed(spark.read.parquet(tmp_f), _p(root, "gold", "fact_order_fulfillment"),
                    ["order_id"], BUCKETS)
 
@@ -283,7 +295,7 @@ def run_all(spark: SparkSession, root: str, start: str, end: str, touched_since=
     silver_customers(spark, root)
     silver_orders(spark, root)
     silver_location_lookup(spark, root)
-    gold_dimensions(spark, root, *calendar)
+    gold_dimensions(spark, root, *calendar, touched_since=touched_since)
     gold_fact_order(spark, root, touched_since)
     gold_fact_shipment_event(spark, root)
     gold_fact_telemetry(spark, root, touched_since)

@@ -138,6 +138,11 @@ def test_freight_jobs_two_batches(spark, tmp_path):
 
     # erasure: no residue of customer 2 anywhere in gold
     assert rd("gold", "dim_customer").filter("customer_id = 2").count() == 0
+    # incremental dims: customer 1's old version was closed by the upsert
+    c1 = sorted((r.company_name, r.is_current) for r in rd("gold", "dim_customer")
+                .filter("customer_id = 1").collect())
+    assert c1 == [("Prancing Pony", False), ("Prancing Pony Inn", True)]
+    assert {r.vehicle_id: r.model for r in rd("gold", "dim_vehicle").collect()} == {"V1": "Mumak", "V2": "Mule"}
 
     # telemetry: the late reading re-aggregates the whole hour from silver
     ft = {(r.vehicle_id, r.period_start_timestamp.hour): r for r in rd("gold", "fact_vehicle_telemetry").collect()}
