@@ -42,16 +42,20 @@ START, END, CURRENT, DELETED, DELETE_SEQ = "start_at", "end_at", "is_current", "
 # ----------------------------------------------------------------- type 1
 
 def scd1_apply(target: DataFrame | None, changes: DataFrame, keys: Sequence[str], seq: str,
-               tiebreak: Sequence[str] = (), guard_sequence: bool = True) -> DataFrame:
+               tiebreak: Sequence[str] = (), guard_sequence: bool = True,
+               desc: bool = True) -> DataFrame:
     """Current state per key.
 
-    The batch is reduced to its latest row per key.  With
-    ``guard_sequence`` (default) a target row survives when it is newer
-    than the incoming one, so batches may arrive in any order; without it
-    the incoming row always replaces the target row (plain upsert).
+    The batch is reduced to its latest row per key (earliest with
+    ``desc=False``: first delivery wins, e.g. events delivered at least
+    once).  With ``guard_sequence`` (default) a target row survives when it
+    is newer (older) than the incoming one, so batches may arrive in any
+    order; on a tie the target row stays for ``desc=False`` and is replaced
+    for ``desc=True``.  Without the guard the incoming row always replaces
+    the target row (plain upsert).
     """
     keys = list(keys)
-    latest = dedupe(changes, keys, seq, desc=True, tiebreak=tiebreak)
+    latest = dedupe(changes, keys, seq, desc=desc, tiebreak=tiebreak)
     if target is None:
         return latest
     if not guard_sequence:
@@ -59,7 +63,7 @@ def scd1_apply(target: DataFrame | None, changes: DataFrame, keys: Sequence[str]
     touched = bounded_broadcast(latest.select(*keys))     # unique already: one row per key
     old = target.join(touched, keys, "left_semi").withColumn("_src", F.lit(0))
     cand = old.unionByName(latest.withColumn("_src", F.lit(1)), allowMissingColumns=True)
-    win = dedupe(cand, keys, [seq, "_src", *tiebreak], desc=True).drop("_src")
+    win = dedupe(cand, keys, [seq, "_src", *tiebreak], desc=desc).drop("_src")
     rest = target.join(touched, keys, "left_anti")
     return rest.unionByName(win, allowMissingColumns=True)
 

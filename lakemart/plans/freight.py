@@ -132,14 +132,17 @@ def silver_shipment_events(spark: SparkSession, root: str, start, end) -> None:
     out = stamp(marts.silver_events(bronze, "event_id", "event_timestamp", EVENTS,
                                     tiebreak=["source_system"]))
     path = _p(root, "silver", "shipment_events")
-    load(spark, out, path, ["event_id"], BUCKETS, initial=not exists(spark, path))
+    # first delivery wins across batches too (a re-delivered id never replaces it)
+    load(spark, out, path, ["event_id"], BUCKETS, initial=not exists(spark, path),
+         how=lambda t, s, k: scd1_apply(t, s, k, "event_timestamp", desc=False))
 
 
 def silver_telemetry(spark: SparkSession, root: str, start, end) -> None:
     bronze = read_window(_read(spark, _p(root, "bronze", "telemetry")), "_ingested_at", start, end)
     out = stamp(marts.silver_telemetry(bronze))
     path = _p(root, "silver", "telemetry")
-    load(spark, out, path, ["reading_id"], BUCKETS, initial=not exists(spark, path))
+    load(spark, out, path, ["reading_id"], BUCKETS, initial=not exists(spark, path),
+         how=lambda t, s, k: scd1_apply(t, s, k, "reading_timestamp", desc=False))
 
 
 def _scd2_stream(spark: SparkSession, root: str, src: str, dst: str, keys, seq, attrs,

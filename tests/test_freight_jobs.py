@@ -86,10 +86,13 @@ def test_freight_jobs_two_batches(spark, tmp_path):
         _order("ORD-1", "delivered", "2024-03-03T09:00:00", delivery="2024-03-03T09:00:00"),
         _order("ORD-1", "picked_up", "2024-03-02T09:00:00")])                    # late change
     _write(f"{land}/telemetry", "b2.json", [_reading("R4", "V1", "2024-03-01T10:50:00", 70.0, 140)])  # late
+    _write(f"{land}/shipment_events", "b2.json", [   # E1 delivered again, later
+        {"event_id": "E1", "order_id": "ORD-1", "vehicle_id": "V1", "event_type": "gps_ping",
+         "event_timestamp": "2024-03-01T11:00:00", "latitude": 1.0, "longitude": 2.0, "source_system": "c"}])
     _write(f"{land}/vehicles", "b2.json", [_vehicle("V1", "Mumak", "2024-02-01T00:00:00"),
                                            _vehicle("V2", "Old", "2023-01-01T00:00:00")])   # stale V2
     for feed, schema in (("orders", freight.ORDERS), ("telemetry", freight.TELEMETRY),
-                         ("vehicles", freight.VEHICLES)):
+                         ("vehicles", freight.VEHICLES), ("shipment_events", freight.EVENTS)):
         freight.ingest_feed(spark, root, f"{land}/{feed}", feed, schema)
     freight.ingest_customer_snapshot(spark, root, _customers(spark, [
         (1, "Prancing Pony Inn", "a@x", "1 Road", "Bree", "1", "premium", "inn", d(2020, 1, 1),

@@ -121,3 +121,12 @@ def test_multi_column_keys(spark):
     assert rows(one, *cols) == rows(two, *cols)
     cur = sorted((r.k1, r.k2, r.a) for r in one.collect() if r.is_current)
     assert cur == [("a", 1, "y"), ("a", 2, "z"), ("b", 1, "w")]
+
+
+def test_scd1_earliest_first_delivery_wins(spark):
+    s = "k int, seq int, v string"
+    first = scd1_apply(None, spark.createDataFrame([(1, 5, "first")], s), ["k"], "seq", desc=False)
+    later = spark.createDataFrame([(1, 7, "redelivered"), (1, 5, "same-time")], s)
+    assert rows(scd1_apply(first, later, ["k"], "seq", desc=False), "v") == [("first",)]
+    earlier = spark.createDataFrame([(1, 3, "earlier")], s)
+    assert rows(scd1_apply(first, earlier, ["k"], "seq", desc=False), "v") == [("earlier",)]
