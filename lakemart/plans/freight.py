@@ -32,6 +32,8 @@ from lakemart.sources.schema import evolve_stored_schema
 from lakemart.streaming.ingest import append_stream, apply_stream, json_stream, stream_table
 
 BUCKETS = 16
+# Bronze feeds are partitioned by ingest date; windowed silver reads prune by it.
+INGEST_DATE = "_ingest_date"
 
 # --- source schemas (fixed values: column names and types of the feeds) -----
 ORDERS = T.StructType([
@@ -98,8 +100,9 @@ def ingest_feed(spark: SparkSession, root: str, landing: str, feed: str, schema:
     action = "none"
     if evolve:
         schema, action = evolve_stored_schema(spark, landing, _p(root, "_schemas", feed), schema)
-    append_stream(json_stream(spark, landing, schema), _p(root, "bronze", feed),
-                  _p(root, "_checkpoints", "bronze", feed))
+    append_stream(json_stream(spark, landing, schema, ingest_date_col=INGEST_DATE),
+                  _p(root, "bronze", feed), _p(root, "_checkpoints", "bronze", feed),
+                  partition_by=[INGEST_DATE])
     return action
 
 
@@ -119,7 +122,8 @@ def ingest_customer_snapshot(spark: SparkSession, root: str, snapshot: DataFrame
 # ------------------------------------------------------------------ silver
 
 def silver_vehicles(spark: SparkSession, root: str, start, end) -> None:
-    bronze = read_window(_read(spark, _p(root, "bronze", "vehicles")), "_ingested_at", start, end)
+    bronze = read_window(_read(spark, _p(root, "bronze", "vehicles")), "_ingested_at", start, end,
+                         partition_col=INGEST_DATE)
     out = stamp(marts.silver_scd1(bronze, "vehicle_id", "last_updated", VEHICLES))
     path = _p(root, "silver", "vehicles")
     # sequence-guarded: an older vehicle record never overwrites a newer one
@@ -128,7 +132,8 @@ def silver_vehicles(spark: SparkSession, root: str, start, end) -> None:
 
 
 def silver_shipment_events(spark: SparkSession, root: str, start, end) -> None:
-    bronze = read_window(_read(spark, _p(root, "bronze", "shipment_events")), "_ingested_at", start, end)
+    bronze = read_window(_read(spark, _p(root, "bronze", "shipment_events")), "_ingested_at", start, end,
+                         partition_col=INGEST_DATE)
     out = stamp(marts.silver_events(bronze, "event_id", "event_timestamp", EVENTS,
                                     tiebreak=["source_system"]))
     path = _p(root, "silver", "shipment_events")
@@ -138,7 +143,8 @@ def silver_shipment_events(spark: SparkSession, root: str, start, end) -> None:
 
 
 def silver_telemetry(spark: SparkSession, root: str, start, end) -> None:
-    bronze = read_window(_read(spark, _p(root, "bronze", "telemetry")), "_ingested_at", start, end)
+    bronze = read_window(_read(spark, _p(root, "bronze", "telemetry")), "_ingested_at", start, end,
+                         partition_col=INGEST_DATE)
     out = stamp(marts.silver_telemetry(bronze))
     path = _p(root, "silver", "telemetry")
     load(spark, out, path, ["reading_id"], BUCKETS, initial=not exists(spark, path),

@@ -17,17 +17,21 @@ RESCUED_COL = "_rescued_data"
 
 def read_window(df: DataFrame, ts_col: str, start, end, dedupe_keys: Sequence[str] | None = None,
                 order_col: str | None = None, desc: bool = True,
-                tiebreak: Sequence[str] = ()) -> DataFrame:
+                tiebreak: Sequence[str] = (), partition_col: str | None = None) -> DataFrame:
     """Rows with ``start <= ts_col <= end`` (both inclusive; date bounds
     mean midnight), optionally reduced to the latest (``desc``) or earliest
     row per ``dedupe_keys``.
 
     The bounds are literals cast to the column's type, so the filter is
-    pushed into the Parquet scan (row-group skipping on min/max stats and,
-    for a partitioned layout, partition pruning).
+    pushed into the Parquet scan (row-group skipping on min/max stats).
+    ``partition_col`` names a date partition column derived from ``ts_col``
+    (e.g. the ingest date); the same window on it prunes whole partitions.
     """
     t = df.schema[ts_col].dataType
     out = df.filter(F.col(ts_col).between(F.lit(start).cast(t), F.lit(end).cast(t)))
+    if partition_col:
+        out = out.filter(F.col(partition_col).between(F.to_date(F.lit(start).cast(t)),
+                                                      F.to_date(F.lit(end).cast(t))))
     if dedupe_keys:
         out = dedupe(out, dedupe_keys, order_col or ts_col, desc=desc, tiebreak=tiebreak)
     return out

@@ -13,8 +13,14 @@ from pyspark.sql import types as T
 from lakemart.sources.files import parse_json_rescued
 
 
+# A landing backlog is read in micro-batches of at most this many files
+# (``availableNow`` honours it), so one run never plans one giant batch.
+MAX_FILES_PER_TRIGGER = 1000
+
+
 def json_stream(spark: SparkSession, src: str, schema: T.StructType,
-                rescue: bool = True, max_files_per_trigger: int | None = None) -> DataFrame:
+                rescue: bool = True, max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
+                ingest_date_col: str | None = None) -> DataFrame:
     """New JSON-lines files under ``src`` as a stream.
 
     The file source's log in the checkpoint remembers which files were
@@ -32,7 +38,11 @@ def json_stream(spark: SparkSession, src: str, schema: T.StructType,
         out = parse_json_rescued(lines, schema)
     else:
         out = r.schema(schema).json(src).withColumn("_source_file", F.col("_metadata.file_path"))
-    return out.withColumn("_ingested_at", F.current_timestamp())
+    out = out.withColumn("_ingested_at", F.current_timestamp())
+    if ingest_date_col:
+        # partition column for the bronze table: windowed reads prune by it
+        out = out.withColumn(ingest_date_col, F.to_date(F.col("_ingested_at")))
+    return out
 
 
 def append_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
@@ -58,9 +68,14 @@ def apply_stream(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint
     q.awaitTermination()
 
 
-def stream_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
-    """Stream the files of a table (new files only after the first run)."""
-    return spark.readStream.schema(schema).format(fmt).load(path)
+def stream_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
+                 max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> DataFrame:
+    """Stream the files of a table (new files only after the first run),
+    in micro-batches of at most ``max_files_per_trigger`` files."""
+    r = spark.readStream.schema(schema).format(fmt)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.load(path)
 
 
 def dedupe_stream(df: DataFrame, keys: Sequence[str], event_time: str, watermark: str) -> DataFrame:

@@ -138,3 +138,15 @@ def test_bucketed_tables_join_without_shuffle(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP TABLE IF EXISTS lm_b_orders")
         spark.sql("DROP TABLE IF EXISTS lm_b_lines")
+
+
+def test_read_window_prunes_partitions(spark):
+    import datetime as dt
+    path = scratch_path(spark, "t-part")
+    df = spark.createDataFrame([(i, dt.datetime(2024, 1, 1 + i % 5, 12)) for i in range(50)],
+                               "id int, ts timestamp").withColumn("d", F.to_date("ts"))
+    publish(df, path, partition_by=["d"])
+    w = read_window(spark.read.parquet(path), "ts", "2024-01-02", "2024-01-03", partition_col="d")
+    plan = w._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(d" in plan and "2024-01-02" in plan
+    assert w.count() == 10      # the 2nd at 12:00; the 3rd at 12:00 is after the end bound (midnight)
