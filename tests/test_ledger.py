@@ -57,3 +57,9 @@ def test_location_lookup_fixed_values(spark):
     lk = marts.location_lookup(spark)
     assert lk.count() == 26 and lk.columns == ["city", "realm_name", "realm_code", "region",
                                                 "language_region"]
+
+
+def test_l28_carry_list_is_a_list_not_a_substring(spark):
+    df = spark.createDataFrame([(1, 1, "created", "x")], "order_id int, t int, status string, order string")
+    out = milestone_pivot(df, "order_id", "status", "t", ["created"], carry_cols=["order"])
+    assert rows(out, "order_id", "order") == [(1, "x")]
