@@ -131,11 +131,15 @@ def scd2_apply(target: DataFrame | None, changes: DataFrame, keys: Sequence[str]
     hist_cols = [F.col(START).alias(c) if (c == start and c not in target.columns) else F.col(c)
                  for c in payload]
     versions = ups.select(*payload, F.lit(1).alias("_src"))
+    # narrow (key, seq) image of the same rows: surviving keys and the lead's
+    # bucket summary are read from it instead of re-running the full plan
+    narrow = ups.select(*keys, seq)
     if not initial:   # initial load: no history to pull through
         versions = hist.select(*hist_cols, F.lit(0).alias("_src")).unionByName(versions)
+        narrow = hist.select(*keys, seq).unionByName(narrow)
     versions = versions.withColumn("_h", F.xxhash64(*[F.col(c) for c in attrs]) if attrs else F.lit(0))
     group = keys + [seq]
-    bounds = pre = None
+    bounds = None
     if skew_safe:
         # one shuffle by (key, order bucket) serves the dedupe below and the
         # `lead` window; the range comes from the cheap inputs (batch +
@@ -144,10 +148,6 @@ def scd2_apply(target: DataFrame | None, changes: DataFrame, keys: Sequence[str]
         if not initial:
             span = span.unionByName(target.select(F.col(seq)))
         bounds = order_bounds(span, seq)
-        if start == seq:
-            # duplicates of a (key, seq) share the start, so the per-bucket
-            # summary of the lead can skip the dedupe (partial aggregate)
-            pre = versions.select(*keys, seq)
         versions = with_order_bucket(versions, keys, seq, bounds=bounds)
         group = keys + [BUCKET, seq]       # same groups: the bucket is a function of seq
     # data first, arrival last: equal (key, seq) resolve the same way whatever
@@ -170,16 +170,17 @@ def scd2_apply(target: DataFrame | None, changes: DataFrame, keys: Sequence[str]
         # (key, bucket) partitioning; otherwise the lead re-shuffles
         small = bounded_broadcast(tomb)
         still_bucketed = skew_safe and small is not tomb
-        versions = versions.join(small, keys, "left")
-        versions = versions.filter(F.col("_ds").isNull() | (F.col(seq) < F.col("_ds")))
-        if pre is not None:
-            pre = pre.join(small, keys, "left").filter(F.col("_ds").isNull() | (F.col(seq) < F.col("_ds")))
+        alive = F.col("_ds").isNull() | (F.col(seq) < F.col("_ds"))
+        versions = versions.join(small, keys, "left").filter(alive)
+        narrow = narrow.join(small, keys, "left").filter(alive).select(*keys, seq)
 
     if skew_safe and not still_bucketed:
         versions = versions.drop(BUCKET)
+    # duplicates of a (key, seq) share the start when start == seq, so the
+    # lead's per-bucket summary can be a partial aggregate of `narrow`
     versions = next_value(versions, keys, [seq], start, "_next", skew_safe=skew_safe,
                           bounds=bounds, bucketed=still_bucketed,
-                          summary_input=pre.select(*keys, seq) if pre is not None else None)
+                          summary_input=narrow if (skew_safe and start == seq) else None)
     deleted = F.col("_ds").isNotNull()
     rebuilt = versions.select(
         *[F.col(c) for c in keys + attrs + ([seq] if seq not in keys + attrs else [])],
@@ -196,7 +197,7 @@ def scd2_apply(target: DataFrame | None, changes: DataFrame, keys: Sequence[str]
         return out
     # a deleted key with no surviving version keeps one tombstone row, so a
     # later batch carrying older versions of it is still blocked
-    markers = tomb.join(versions.select(*keys), keys, "left_anti").select(
+    markers = tomb.join(narrow.select(*keys).distinct(), keys, "left_anti").select(
         *keys,
         *[F.lit(None).cast(schema[c].dataType).alias(c) for c in attrs if c != seq],
         *([F.col("_ds").cast(schema[seq].dataType).alias(seq)] if seq not in keys + attrs else []),
