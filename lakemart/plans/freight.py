@@ -314,3 +314,53 @@ def run_all(spark: SparkSession, root: str, start: str, end: str, touched_since=
 def today_window(days_back: int = 1, days_ahead: int = 1) -> tuple[str, str]:
     t = dt.date.today()
     return str(t - dt.timedelta(days=days_back)), str(t + dt.timedelta(days=days_ahead))
+
+
+FEEDS = {"orders": ORDERS, "shipment_events": EVENTS, "telemetry": TELEMETRY, "vehicles": VEHICLES}
+
+
+def main(argv=None) -> None:
+    """Command line for scheduled runs (``spark-submit`` or ``python -m``):
+
+    ``ingest --root R --feed orders --landing L [--evolve]`` (bronze);
+    ``snapshot --root R --customers PATH --version N`` (customer changes);
+    ``run --root R [--start D --end D] [--since TS]`` (silver and gold).
+    The session comes from the platform; ``spark.checkpoint.dir`` must
+    name shared storage."""
+    import argparse
+
+    from lakemart.session import configure
+
+    ap = argparse.ArgumentParser(prog="lakemart.plans.freight")
+    sub = ap.add_subparsers(dest="cmd", required=True)
+    a = sub.add_parser("ingest")
+    a.add_argument("--root", required=True)
+    a.add_argument("--feed", required=True, choices=sorted(FEEDS))
+    a.add_argument("--landing", required=True)
+    a.add_argument("--evolve", action="store_true")
+    b = sub.add_parser("snapshot")
+    b.add_argument("--root", required=True)
+    b.add_argument("--customers", required=True)
+    b.add_argument("--version", type=int, required=True)
+    c = sub.add_parser("run")
+    c.add_argument("--root", required=True)
+    c.add_argument("--start")
+    c.add_argument("--end")
+    c.add_argument("--since")
+    c.add_argument("--calendar", nargs=2, default=["2024-01-01", "2026-12-31"])
+    args = ap.parse_args(argv)
+
+    spark = configure(SparkSession.builder.getOrCreate())
+    if args.cmd == "ingest":
+        action = ingest_feed(spark, args.root, args.landing, args.feed, FEEDS[args.feed], evolve=args.evolve)
+        print(f"{args.feed}: drift {action}")
+    elif args.cmd == "snapshot":
+        ingest_customer_snapshot(spark, args.root, spark.read.parquet(args.customers), args.version)
+    else:
+        d0, d1 = today_window()
+        run_all(spark, args.root, args.start or d0, args.end or d1, touched_since=args.since,
+                calendar=tuple(args.calendar))
+
+
+if __name__ == "__main__":
+    main()
