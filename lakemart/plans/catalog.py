@@ -381,14 +381,14 @@ def q_date_parts(spark, d):
                     minus_millis("l_shipdate").alias("ship_minus_ms"))
 
 
-def _json_lines(spark, d):
+def _json_lines(spark, d, *extra: str):
     ev = table(spark, d, "events")
     raw = (F.when(F.col("event_type") == "click", F.replace(F.col("props"), F.lit("}"),
                                                             F.lit(', "src": "web"}')))
             .when(F.col("event_type") == "error", F.lit('{"k": "oops"}'))
             .when(F.col("event_type") == "signup", F.concat(F.lit("x"), F.col("props")))
             .otherwise(F.col("props")))
-    return ev.select("event_id", raw.alias("value"))
+    return ev.select("event_id", *extra, raw.alias("value"))
 
 
 JSON_SQL = """j AS (
@@ -843,8 +843,7 @@ def q_drift_state(spark, d):
     """Audit rows derived from the feed: per (source = event type, batch =
     day) the comma list of JSON keys that had to be rescued; the drift
     state is the latest row per source."""
-    ev = table(spark, d, "events")
-    lines = _json_lines(spark, d).join(ev.select("event_id", "event_type", "ts"), "event_id")
+    lines = _json_lines(spark, d, "event_type", "ts")       # one scan, no self-join
     parsed = parse_json_rescued(lines, T.StructType([T.StructField("k", T.IntegerType())]))
     keys = parsed.select("event_type", F.to_date("ts").alias("batch"),
                          F.explode_outer(F.split(rescued_keys(), ",")).alias("key"))
