@@ -26,6 +26,7 @@ from lakemart.operators.cleanse import require_keys, stamp
 from lakemart.operators.erase import erase
 from lakemart.operators.scd import scd1_apply, scd2_apply
 from lakemart.plans import marts
+from lakemart.session import cut_lineage
 from lakemart.sinks.tables import load, merge_into, publish, write_bucketed
 from lakemart.sources.files import read_window
 from lakemart.sources.schema import evolve_stored_schema
@@ -67,6 +68,7 @@ CUSTOMER_ATTRS = ["company_name", "contact_email", "address", "city", "postal_co
                   "signup_date"]
 ORDER_ATTRS = ["customer_id", "product_code", "product_name", "quantity", "total_amount", "status",
                "payment_method", "origin_city", "destination_city", "order_date", "delivery_date"]
+FEEDS = {"orders": ORDERS, "shipment_events": EVENTS, "telemetry": TELEMETRY, "vehicles": VEHICLES}
 # ------------------------------------------------------------------------------
 
 
@@ -119,6 +121,61 @@ def ingest_customer_snapshot(spark: SparkSession, root: str, snapshot: DataFrame
     publish(spark.read.parquet(snap_path + f"_v{version}"), snap_path, "replace")
 
 
+# --- fixed values: per-feed bad-record rules, keys and lateness -------------------
+def feed_rules(feed: str) -> dict:
+    """Bad-record rules per feed (a row breaking any rule counts as bad)."""
+    c = F.col
+    return {
+        "orders": {"missing_amount": c("total_amount").isNull(), "negative_amount": c("total_amount") < 0,
+                   "blank_city": (F.trim(c("origin_city")) == "") | (F.trim(c("destination_city")) == "")},
+        "shipment_events": {"null_vehicle": c("vehicle_id").isNull(),
+                            "bad_temperature": c("temperature_celsius") == 999},
+        "telemetry": {"bad_speed": c("speed_kmh") >= 300},
+        "vehicles": {},
+    }[feed]
+
+
+FEED_KEYS = {"orders": ["order_id", "_change_ts"], "shipment_events": ["event_id"],
+             "telemetry": ["reading_id"], "vehicles": ["vehicle_id", "last_updated"]}
+FEED_EVENT_TIME = {"shipment_events": "event_timestamp", "telemetry": "reading_timestamp"}
+LATE_DAYS = 3
+# -----------------------------------------------------------------------------------
+
+
+def audit_batch(spark: SparkSession, root: str, feed: str, batch_id: str, since, drift_action: str = "none",
+                base: T.StructType | None = None) -> DataFrame:
+    """Append one audit row for the bronze rows of ``feed`` ingested at or
+    after ``since``: rows, bad records, duplicates, late records, drift
+    action, active extra columns and the classification.  Returns it."""
+    from lakemart.operators.audit import health_audit, late_rows
+    from lakemart.sources.schema import load_schema
+
+    bronze = _read(spark, _p(root, "bronze", feed)).filter(
+        F.col("_ingested_at") >= F.lit(since).cast("timestamp"))
+    run_ts = bronze.select(F.max("_ingested_at")).scalar()
+    late = None
+    if feed in FEED_EVENT_TIME:
+        # late = older than the batch's newest event by more than LATE_DAYS
+        # (event time, so replays of old data are judged the same way)
+        et = FEED_EVENT_TIME[feed]
+        late = late_rows(bronze, et, bronze.select(F.max(et)).scalar(), LATE_DAYS)
+    stored = load_schema(spark, _p(root, "_schemas", feed))
+    base_names = set((base or FEEDS[feed]).fieldNames())
+    extra = [f for f in (stored.fieldNames() if stored else []) if f not in base_names]
+    row = (health_audit(bronze, F.lit(feed), FEED_KEYS[feed], feed_rules(feed), late,
+                        drift=F.lit(drift_action))
+           .select(F.lit(batch_id).alias("batch_id"), run_ts.alias("run_ts"), "source",
+                   F.col("rows_added").cast("int").alias("rows_added"),
+                   F.col("bad_records").cast("int").alias("bad_records"),
+                   F.col("duplicates").cast("int").alias("duplicates"),
+                   F.col("late_records").cast("int").alias("late_records"),
+                   "drift_action", F.lit(",".join(extra)).alias("active_extra_columns"),
+                   "classification"))
+    out = cut_lineage(row, "audit-row")
+    publish(out, _p(root, "audit"), "append")
+    return out
+
+
 # ------------------------------------------------------------------ silver
 
 def silver_vehicles(spark: SparkSession, root: str, start, end) -> None:
@@ -316,8 +373,6 @@ def today_window(days_back: int = 1, days_ahead: int = 1) -> tuple[str, str]:
     return str(t - dt.timedelta(days=days_back)), str(t + dt.timedelta(days=days_ahead))
 
 
-FEEDS = {"orders": ORDERS, "shipment_events": EVENTS, "telemetry": TELEMETRY, "vehicles": VEHICLES}
-
 
 def main(argv=None) -> None:
     """Command line for scheduled runs (``spark-submit`` or ``python -m``):

@@ -69,9 +69,13 @@ def test_freight_jobs_two_batches(spark, tmp_path):
         _reading("R3", "V2", "2024-03-01T11:00:00", 10.0, 5, "idle")])
     _write(f"{land}/vehicles", "b1.json", [_vehicle("V1", "Oliphaunt", "2024-01-01T00:00:00"),
                                            _vehicle("V2", "Mule", "2024-01-01T00:00:00")])
+    t_ingest1 = time.strftime("%Y-%m-%d %H:%M:%S", time.gmtime(time.time() - 1))
     for feed, schema in (("orders", freight.ORDERS), ("shipment_events", freight.EVENTS),
                          ("telemetry", freight.TELEMETRY), ("vehicles", freight.VEHICLES)):
         freight.ingest_feed(spark, root, f"{land}/{feed}", feed, schema)
+    a1 = freight.audit_batch(spark, root, "shipment_events", "b1", t_ingest1).first()
+    assert (a1.rows_added, a1.duplicates, a1.bad_records) == (3, 1, 1)
+    assert a1.classification == "bad_records,duplicates"
     freight.ingest_customer_snapshot(spark, root, _customers(spark, [
         (1, "Prancing Pony", "a@x", "1 Road", "Bree", "1", "premium", "inn", d(2020, 1, 1), d(2024, 2, 1)),
         (2, "Bag End", "b@x", "2 Hill", "Hobbiton", "2", "standard", "home", d(2020, 1, 1), d(2024, 2, 1)),
@@ -83,7 +87,8 @@ def test_freight_jobs_two_batches(spark, tmp_path):
 
     # ---- batch 2
     _write(f"{land}/orders", "b2.json", [
-        _order("ORD-1", "delivered", "2024-03-03T09:00:00", delivery="2024-03-03T09:00:00"),
+        dict(_order("ORD-1", "delivered", "2024-03-03T09:00:00", delivery="2024-03-03T09:00:00"),
+             source_batch="B2"),                                                  # drifted column
         _order("ORD-1", "picked_up", "2024-03-02T09:00:00")])                    # late change
     _write(f"{land}/telemetry", "b2.json", [_reading("R4", "V1", "2024-03-01T10:50:00", 70.0, 140)])  # late
     _write(f"{land}/shipment_events", "b2.json", [   # E1 delivered again, later
@@ -91,9 +96,17 @@ def test_freight_jobs_two_batches(spark, tmp_path):
          "event_timestamp": "2024-03-01T11:00:00", "latitude": 1.0, "longitude": 2.0, "source_system": "c"}])
     _write(f"{land}/vehicles", "b2.json", [_vehicle("V1", "Mumak", "2024-02-01T00:00:00"),
                                            _vehicle("V2", "Old", "2023-01-01T00:00:00")])   # stale V2
-    for feed, schema in (("orders", freight.ORDERS), ("telemetry", freight.TELEMETRY),
+    t_ingest2 = time.strftime("%Y-%m-%d %H:%M:%S", time.gmtime(time.time() - 1))
+    drift = freight.ingest_feed(spark, root, f"{land}/orders", "orders", freight.ORDERS, evolve=True)
+    assert drift == "added column 'source_batch'"
+    for feed, schema in (("telemetry", freight.TELEMETRY),
                          ("vehicles", freight.VEHICLES), ("shipment_events", freight.EVENTS)):
         freight.ingest_feed(spark, root, f"{land}/{feed}", feed, schema)
+    a2 = freight.audit_batch(spark, root, "orders", "b2", t_ingest2, drift).first()
+    assert a2.classification == "schema_drift" and a2.active_extra_columns == "source_batch"
+    from lakemart.sources.schema import drift_state
+    st = {r.source: r.extra_columns for r in drift_state(spark.read.parquet(f"{root}/audit")).collect()}
+    assert st == {"orders": ["source_batch"], "shipment_events": []}
     freight.ingest_customer_snapshot(spark, root, _customers(spark, [
         (1, "Prancing Pony Inn", "a@x", "1 Road", "Bree", "1", "premium", "inn", d(2020, 1, 1),
          d(2024, 3, 2)),
