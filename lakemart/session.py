@@ -40,7 +40,10 @@ def build_session(master: str | None = None, app: str = "lakemart",
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:
+        pass
     return spark
 
 
@@ -63,9 +66,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = tempfile.mkdtemp(prefix="lakemart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(root)
+    try:                        # classic sessions: also register it for RDD checkpoints
+        sc = spark.sparkContext
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(root)
+    except Exception:           # Spark Connect has no SparkContext; tables suffice
+        pass
     return root
 
 
