@@ -17,7 +17,7 @@ from lakemart.functions.keys import normalize_expr, surrogate_key
 from lakemart.operators.cleanse import (enforce_schema, enrich_telemetry, live_rows,
                                         normalize_telemetry, require_keys, require_non_blank)
 from lakemart.operators.dedupe import dedupe
-from lakemart.operators.joins import as_of_join, bounded_broadcast, lookup_key
+from lakemart.operators.joins import as_of_join, bounded_broadcast, lookup_key, touched_history
 from lakemart.operators.rollup import hourly_rollup, milestone_pivot, union_distinct
 from lakemart.operators.scd import START, scd1_apply
 from lakemart.operators.sequence import order_bounds
@@ -233,12 +233,12 @@ def build_fact_order(history: DataFrame, key: str, status_col: str, time_col: st
        each dimension broadcast behind a size bound;
     5. ``delivery_days`` and ``is_on_time`` (false when undelivered).
     """
-    h = history if touched is None else history.join(touched.select(key), key, "left_semi")
+    h = history if touched is None else touched_history(history, touched, [key])
     f = milestone_pivot(h, key, status_col, time_col, statuses,
                         carry_cols=list(carry_cols), order=order)
     tb = None
     if header is not None:
-        src = header if touched is None else header.join(touched.select(key), key, "left_semi")
+        src = header if touched is None else touched_history(header, touched, [key])
         f = src.join(f, key, "left")
         tb = order_bounds(header, asof_col)
     f = as_of_join(f, customer_dim, [customer_key], asof_col, START, [customer_sk],
