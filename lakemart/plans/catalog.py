@@ -465,10 +465,11 @@ def q_role_playing(spark, d):
     f = joins.lookup_key(f, supp, "l_suppkey", "s_suppkey", {"s_nationkey": "s_nationkey"})
     f = joins.lookup_key(f, nation, "c_nationkey", "n_nationkey", {"cust_nation": "n_name"})
     f = joins.lookup_key(f, nation, "s_nationkey", "n_nationkey", {"supp_nation": "n_name"})
+    cal_rows = cal.count()          # one size check for both date roles (days, not data)
     f = joins.lookup_key(f, cal, F.to_date("l_shipdate"), "full_date", {"ship_date_key": "date_key"},
-                         max_broadcast_rows=marts.CALENDAR_MAX_ROWS)
+                         max_broadcast_rows=marts.CALENDAR_MAX_ROWS, dim_rows=cal_rows)
     f = joins.lookup_key(f, cal, F.to_date("o_orderdate"), "full_date", {"order_date_key": "date_key"},
-                         max_broadcast_rows=marts.CALENDAR_MAX_ROWS)
+                         max_broadcast_rows=marts.CALENDAR_MAX_ROWS, dim_rows=cal_rows)
     return f.select("l_orderkey", "l_linenumber", "cust_nation", "supp_nation", "ship_date_key",
                     "order_date_key")
 

@@ -245,10 +245,12 @@ def build_fact_order(history: DataFrame, key: str, status_col: str, time_col: st
                    dim_end=dim_end, time_bounds=tb)
     for dim, fact_col, dim_col, take in lookups:
         f = lookup_key(f, dim, fact_col, dim_col, take)
+    # one size check for the calendar, shared by every date role
+    cal_rows = date_dim.count() if date_roles else 0
     for out, expr in date_roles.items():
         e = F.col(expr) if isinstance(expr, str) else expr
         f = lookup_key(f, date_dim, F.to_date(e), "full_date", {out: "date_key"},
-                       max_broadcast_rows=CALENDAR_MAX_ROWS)
+                       max_broadcast_rows=CALENDAR_MAX_ROWS, dim_rows=cal_rows)
     dd = F.col(delivery_date) if isinstance(delivery_date, str) else delivery_date
     days = F.datediff(dd, F.col(order_date))
     return (f.withColumn("delivery_days", days)
