@@ -233,36 +233,44 @@ def _nrm_sql(c: str) -> str:
 # ----------------------------------------------------------------- queries
 
 def q_dedupe_latest(spark, d):
+    """Latest order per customer (order date, ties by order key)."""
     return dedupe.dedupe(table(spark, d, "orders"), ["o_custkey"], "o_orderdate", desc=True,
                          tiebreak=["o_orderkey"])
 
 
 def q_dedupe_earliest(spark, d):
+    """Earliest delivery per event id over events plus late copies."""
     return dedupe.dedupe(events_with_copies(spark, d), ["event_id"], "ts", desc=False,
                          tiebreak=["value"])
 
 
 def q_distinct_rows(spark, d):
+    """D3: distinct (nation, segment) pairs of customers."""
     return dedupe.distinct_rows(table(spark, d, "customer"), ["c_nationkey", "c_mktsegment"])
 
 
 def q_distinct_key(spark, d):
+    """One customer per nation, deterministically the smallest key."""
     return dedupe.distinct_key(table(spark, d, "customer"), ["c_nationkey"], "c_custkey")
 
 
 def q_latest_per_key(spark, d):
+    """Latest event per user by (ts, event id)."""
     return dedupe.latest_per_key(table(spark, d, "events"), ["user_id"], ["ts", "event_id"])
 
 
 def q_sample_n(spark, d):
+    """Reproducible 100-order sample (hash order, distributed top-k)."""
     return dedupe.sample_n_md5(table(spark, d, "orders"), 100, "o_orderkey")
 
 
 def q_read_window(spark, d):
+    """Orders dated 1997-01-01..1997-12-31, bounds inclusive, pushed down."""
     return read_window(table(spark, d, "orders"), "o_orderdate", "1997-01-01", "1997-12-31")
 
 
 def q_read_window_dedupe(spark, d):
+    """Windowed read of events reduced to the latest per user."""
     return read_window(table(spark, d, "events"), "ts", "2024-01-10", "2024-01-20",
                        dedupe_keys=["user_id"], order_col="ts", desc=True, tiebreak=["event_id"])
 
@@ -281,20 +289,24 @@ DOC_SQL = """docs AS (
 
 
 def q_require_keys(spark, d):
+    """Documents whose text is present (NULL texts fixture-derived by source)."""
     return (cleanse.require_keys(_doc_texts(spark, d), ["text"])
             .select("doc_id", "lang", "source", F.length("text").alias("text_chars")))
 
 
 def q_non_blank(spark, d):
+    """Documents whose text is present and not empty."""
     return (cleanse.require_non_blank(_doc_texts(spark, d), ["text"])
             .select("doc_id", "lang", "source", F.length("text").alias("text_chars")))
 
 
 def q_live_rows(spark, d):
+    """Live (not deleted) versions of the SCD2-with-deletes history."""
     return cleanse.live_rows(events_scd2_deletes(spark, d))
 
 
 def q_deleted_rows(spark, d):
+    """Versions flagged deleted in the SCD2-with-deletes history."""
     return cleanse.deleted_rows(events_scd2_deletes(spark, d))
 
 
@@ -308,11 +320,13 @@ def _customer_snapshots(spark, d):
 
 
 def q_snapshot_diff(spark, d):
+    """Change feed between two customer snapshots."""
     old, new = _customer_snapshots(spark, d)
     return cdc.snapshot_diff(old, new, ["c_custkey"], version=1)
 
 
 def q_split_changes(spark, d):
+    """P5: upserts of that change feed (pre-images and deletes removed)."""
     return cdc.upserts_only(q_snapshot_diff(spark, d))
 
 
@@ -337,40 +351,48 @@ EVENT_SCHEMA_PROPS = T.StructType(EVENT_SCHEMA.fields + [T.StructField("props",
 
 
 def q_enforce_schema(spark, d):
+    """Stringly-typed events cast back with try_cast, closed column list."""
     return cleanse.enforce_schema(_raw_events(spark, d), EVENT_SCHEMA)
 
 
 def q_null_out_of_range(spark, d):
+    """Event values outside [1, 100] become NULL; rows kept."""
     ev = table(spark, d, "events").select("event_id", "user_id", "ts", "value")
     return cleanse.null_out_of_range(ev, {"value": (1, 100)})
 
 
 def q_add_flags(spark, d):
+    """NULL-safe flag (value > 50) and event date on sparse events."""
     ev = sparse_events(spark, d)
     return (cleanse.add_flags(ev, {"is_high": F.col("value") > 50})
             .select("event_id", "is_high", F.to_date("ts").alias("event_date")))
 
 
 def q_status_timestamps(spark, d):
+    """P10: one timestamp column per event type."""
     ev = table(spark, d, "events").select("event_id", "event_type", "ts")
     return rollup.status_timestamps(ev, "event_type", "ts", EVENT_TYPES)
 
 
 def q_normalize_str(spark, d):
+    """Accent-folded, punctuation-free, lower-case conversation texts (whole texts)."""
     c = table(spark, d, "conversations")
     return c.select("conv_id", "turn", normalize_expr("text").alias("nrm_text"))
 
 
 def q_surrogate_key(spark, d):
+    """md5 surrogate key of (customer, order date) per order."""
     o = table(spark, d, "orders")
     return o.select(surrogate_key_expr(["o_custkey", "o_orderdate"]).alias("order_sk"), "o_orderkey")
 
 
 def q_dim_date(spark, d):
+    """Calendar over the order-date range with its attributes."""
     return marts.calendar_for(table(spark, d, "orders"), "o_orderdate")
 
 
 def q_date_parts(spark, d):
+    """Hour truncation, date, day difference, minus 1 ms on line items."""
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
     o = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
     j = li.join(o, "l_orderkey")
@@ -401,6 +423,7 @@ JSON_SQL = """j AS (
 
 
 def q_parse_json_rescued(spark, d):
+    """JSON lines parsed with rescued keys and corrupt-line flag."""
     parsed = parse_json_rescued(_json_lines(spark, d), T.StructType([T.StructField("k", T.IntegerType())]))
     return parsed.select("event_id", "k",
                          F.when(F.col("_rescued_data").isNotNull(), rescued_keys()).alias("rescued_keys"),
@@ -416,16 +439,19 @@ def quarantine_rules() -> dict:
 
 
 def q_quarantine(spark, d):
+    """Q5: events breaking quality rules, with the rule names."""
     ev = table(spark, d, "events")
     return audit.rule_violations(ev, quarantine_rules()).select("event_id", "violations")
 
 
 def q_with_lineage(spark, d):
+    """Source file name of every event row."""
     ev = with_lineage(table(spark, d, "events"), base_name=True, ingested_col=None)
     return ev.select("event_id", F.col("_source_file").alias("source_file"))
 
 
 def q_lookup_table(spark, d):
+    """Literal region-code lookup joined to nations."""
     codes = spark.createDataFrame(REGION_CODES, "r_name string, region_code string")
     n = table(spark, d, "nation")
     r = table(spark, d, "region")
@@ -436,6 +462,7 @@ def q_lookup_table(spark, d):
 
 
 def q_touched_history(spark, d):
+    """Full order history of customers with an order since 2001-07-01."""
     o = table(spark, d, "orders")
     touched = o.filter(F.col("o_orderdate") >= F.lit("2001-07-01").cast("timestamp_ntz"))
     return joins.touched_history(o, touched, ["o_custkey"])
@@ -448,6 +475,7 @@ def _line_facts(spark, d):
 
 
 def q_as_of_join(spark, d):
+    """Customer-priority version in effect at each line item's ship date."""
     versions = cut_lineage(scd.scd2_apply(None, order_changes(spark, d), ["o_custkey"], "o_orderdate",
                                           ORDER_SCD_ATTRS, tiebreak=["o_orderkey"]))
     return joins.as_of_join(_line_facts(spark, d), versions, ["o_custkey"], "l_shipdate", "start_at",
@@ -455,6 +483,7 @@ def q_as_of_join(spark, d):
 
 
 def q_role_playing(spark, d):
+    """Customer and supplier nation, ship and order date keys per line item."""
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate")
     o = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate")
     f = li.join(o, "l_orderkey")
@@ -475,6 +504,7 @@ def q_role_playing(spark, d):
 
 
 def q_dim_lookup(spark, d):
+    """Event to user surrogate key and date key."""
     ev = table(spark, d, "events")
     users = marts.build_dim_scd1(table(spark, d, "customer").select(F.col("c_custkey").alias("user_id")),
                                  "customer_sk", "user_id")
@@ -493,6 +523,7 @@ def _mangled_nations(spark, d):
 
 
 def q_normalized_lookup(spark, d):
+    """Mangled nation names matched on their normalised form."""
     lookup = table(spark, d, "nation").select("n_nationkey", "n_name", "n_regionkey")
     out = joins.normalized_lookup(_mangled_nations(spark, d), lookup, "raw_name", "n_name",
                                   take=["n_nationkey", "n_regionkey"])
@@ -507,6 +538,7 @@ def _skewed_events(spark, d):
 
 
 def q_skew_join(spark, d):
+    """Events skewed onto five users joined to users with selective salting."""
     users = table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"), "c_name", "c_mktsegment")
     # only keys with >= 1% of the fact rows are salted (at most 1000 keys)
     ev = _skewed_events(spark, d)
@@ -516,6 +548,7 @@ def q_skew_join(spark, d):
 
 
 def q_hourly_rollup(spark, d):
+    """A1-A3: per user and hour: counts, exact average, extremes, active share."""
     ev = table(spark, d, "events")
     agg = rollup.period_rollup(ev, ["user_id"], "ts", "hour", {
         "events_count": F.count("event_id"),
@@ -541,6 +574,7 @@ def q_hourly_rollup_by_type(spark, d):
 
 
 def q_high_water(spark, d):
+    """Latest order date and highest customer number."""
     o = table(spark, d, "orders")
     c = table(spark, d, "customer")
     cust_max = c.select(F.max(F.substring("c_name", 10, 100).cast("int"))).scalar()
@@ -552,6 +586,7 @@ ALL_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lin
 
 
 def q_row_counts(spark, d):
+    """Row count of every driver table."""
     return rollup.row_counts({t: table(spark, d, t) for t in ALL_TABLES})
 
 
@@ -564,16 +599,19 @@ def _orders_split(spark, d):
 
 
 def q_upsert(spark, d):
+    """M1: urgent orders (price changed) upserted into finished orders."""
     _, t, s = _orders_split(spark, d)
     return merge.upsert(t, s, ["o_orderkey"])
 
 
 def q_delete_matching(spark, d):
+    """M2/M3: orders minus the urgent ones."""
     o, _, s = _orders_split(spark, d)
     return merge.delete_matching(o, s, ["o_orderkey"])
 
 
 def q_update_matching(spark, d):
+    """M4: price update for open orders matched by high-priority ones."""
     o = table(spark, d, "orders")
     src = (o.filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
             .select("o_orderkey", (F.col("o_totalprice") + 100).alias("new_price")))
@@ -582,11 +620,13 @@ def q_update_matching(spark, d):
 
 
 def q_insert_missing(spark, d):
+    """M5: urgent orders inserted where not yet present."""
     _, t, s = _orders_split(spark, d)
     return merge.insert_missing(t, s, ["o_orderkey"])
 
 
 def q_scd1(spark, d):
+    """Current event per user, later batch applied first (sequence guard)."""
     ev = table(spark, d, "events")
     cut = F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")
     t = scd.scd1_apply(None, ev.filter(~cut), ["user_id"], "ts", tiebreak=["event_id"])
@@ -594,31 +634,37 @@ def q_scd1(spark, d):
 
 
 def q_scd2(spark, d):
+    """SCD2 of orders per customer, two batches out of order."""
     return customer_scd2(spark, d)
 
 
 def q_scd2_deletes(spark, d):
+    """SCD2 of events per user with deletes, later half applied first."""
     return events_scd2_deletes(spark, d)
 
 
 def q_fill_forward(spark, d):
+    """Sparse event values completed by the latest earlier value per user."""
     ev = sparse_events(spark, d).select("event_id", "user_id", "ts", "event_type", "value")
     return cdc.fill_forward(ev, ["user_id"], ["ts", "event_id"], ["value"])
 
 
 def q_milestone_pivot(spark, d):
+    """Last time of each event type, latest value and status per user."""
     ev = table(spark, d, "events")
     return rollup.milestone_pivot(ev, "user_id", "event_type", "ts", EVENT_TYPES, carry_cols=["value"],
                                   order=["ts", "event_id"])
 
 
 def q_union_distinct(spark, d):
+    """Nation keys of customers and suppliers, as a set."""
     c = table(spark, d, "customer").select(F.col("c_nationkey").alias("nationkey"))
     s = table(spark, d, "supplier").select(F.col("s_nationkey").alias("nationkey"))
     return c.union(s).dropDuplicates()
 
 
 def q_dim_customer(spark, d):
+    """G1: SCD2 customer dimension with md5(customer|start) keys."""
     return dim_customer(spark, d)
 
 
@@ -636,10 +682,12 @@ def silver_vehicles(spark, d):
 
 
 def q_silver_vehicles(spark, d):
+    """Typed current-state suppliers (as vehicles) from two deliveries."""
     return silver_vehicles(spark, d)
 
 
 def q_dim_vehicle(spark, d):
+    """SCD1 vehicle dimension with md5(key)."""
     return marts.build_dim_scd1(silver_vehicles(spark, d), "vehicle_sk", "s_suppkey")
 
 
@@ -668,11 +716,13 @@ def _nation_city_lookup(spark, d):
 
 
 def q_dim_location(spark, d):
+    """City dimension from customer/supplier nations with lookup and unknown member."""
     return marts.build_dim_location(_city_pairs(spark, d), "origin_city", "destination_city",
                                     _nation_city_lookup(spark, d))
 
 
 def q_fact_order(spark, d):
+    """Order fact: line milestones, as-of customer key, nation, date keys, delivery days."""
     li = table(spark, d, "lineitem")
     header = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     cust = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
@@ -698,10 +748,12 @@ def silver_events(spark, d):
 
 
 def q_silver_events(spark, d):
+    """Typed events, first delivery per id, event date."""
     return silver_events(spark, d)
 
 
 def q_fact_event(spark, d):
+    """Event fact with user and date keys."""
     ev = silver_events(spark, d)
     users = marts.build_dim_scd1(table(spark, d, "customer").select(F.col("c_custkey").alias("user_id")),
                                  "customer_sk", "user_id")
@@ -712,16 +764,19 @@ def q_fact_event(spark, d):
 
 
 def q_silver_telemetry(spark, d):
+    """Events as telemetry readings, deduplicated, cleansed, flagged."""
     return silver_telemetry(spark, d)
 
 
 def q_fact_telemetry(spark, d):
+    """Vehicle x hour telemetry fact with vehicle and date keys (flagship)."""
     silver = silver_telemetry(spark, d)
     cal = marts.calendar_for(telemetry_bronze(spark, d), "reading_timestamp")
     return marts.build_fact_telemetry(silver, vehicle_dim(spark, d), cal)
 
 
 def q_erase(spark, d):
+    """Order fact after erasing customers with a negative balance."""
     o = table(spark, d, "orders")
     fact = o.select("o_orderkey", "o_custkey",
                     surrogate_key_expr(["o_custkey", "o_orderdate"]).alias("customer_sk"))
@@ -733,6 +788,7 @@ def q_erase(spark, d):
 
 
 def q_erase_dim(spark, d):
+    """Customer dimension after the same erasure."""
     entities = table(spark, d, "customer").filter(F.col("c_acctbal") < 0) \
         .select(F.col("c_custkey").alias("o_custkey"))
     dim, _ = erase.erase(entities, dim_customer(spark, d, batches=False), {}, "o_custkey", "customer_sk")
@@ -740,15 +796,18 @@ def q_erase_dim(spark, d):
 
 
 def q_check_pk(spark, d):
+    """Q6: (order, line number) keys violating NOT NULL + UNIQUE."""
     return audit.check_primary_key(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
 def q_check_fk(spark, d):
+    """Q7: orders whose customer is missing (none)."""
     return audit.check_foreign_key(table(spark, d, "orders"), "o_custkey", table(spark, d, "customer"),
                                    "c_custkey").select("o_orderkey", "o_custkey")
 
 
 def q_check_fk_orphans(spark, d):
+    """Q7: orphans after shifting low-priority orders' customer keys."""
     o = table(spark, d, "orders")
     shifted = o.withColumn("o_custkey", F.when(F.col("o_orderpriority") == "5-LOW",
                                                F.col("o_custkey") + 1000).otherwise(F.col("o_custkey")))
@@ -757,6 +816,7 @@ def q_check_fk_orphans(spark, d):
 
 
 def q_health_audit(spark, d):
+    """Q1/Q4: health row per event type: rows, bad, duplicates, late, label."""
     ev = events_with_copies(spark, d)
     batch_ts = ev.select(F.max("ts")).scalar()
     late = F.col("ts") < batch_ts - F.expr("INTERVAL 20 DAYS")
@@ -765,16 +825,19 @@ def q_health_audit(spark, d):
 
 
 def q_key_share(spark, d):
+    """Q8: the five users with most events and their share."""
     return rollup.key_share(table(spark, d, "events"), "user_id", 5)
 
 
 def q_compact(spark, d):
+    """Q10: line items rewritten into few files; rows unchanged."""
     dst = scratch_path(spark, "compact-lineitem")
     compact(spark, f"{d.rstrip('/')}/lineitem.parquet", dst, rows_per_file=250_000)
     return spark.read.parquet(dst)
 
 
 def q_stream_ingest(spark, d):
+    """Events landed as JSON files, ingested by an availableNow stream."""
     src, out, ck = (scratch_path(spark, "landing-events"), scratch_path(spark, "bronze-events"),
                     scratch_path(spark, "ckpt-events"))
     write_json(table(spark, d, "events"), src, files=4)
@@ -784,6 +847,7 @@ def q_stream_ingest(spark, d):
 
 
 def q_stream_dedupe(spark, d):
+    """Stream dedupe: duplicate deliveries dropped within a watermark."""
     ev = table(spark, d, "events")
     src, out, ck = (scratch_path(spark, "landing-dups"), scratch_path(spark, "bronze-dups"),
                     scratch_path(spark, "ckpt-dups"))
@@ -796,6 +860,7 @@ def q_stream_dedupe(spark, d):
 
 
 def q_stream_scd2(spark, d):
+    """K2: SCD2 of orders applied per micro-batch with foreachBatch."""
     ch = order_changes(spark, d)
     src, tgt, ck = (scratch_path(spark, "landing-orders"), scratch_path(spark, "scd2-orders"),
                     scratch_path(spark, "ckpt-scd2"))
