@@ -482,6 +482,15 @@ def q_as_of_join(spark, d):
                             take=["o_orderpriority", "start_at"], prefix="v_")
 
 
+def q_as_of_join_timeline(spark, d):
+    """J2 through the timeline plan (union + hot-key-safe carry-forward),
+    the plan used when the version table is too large to broadcast."""
+    versions = cut_lineage(scd.scd2_apply(None, order_changes(spark, d), ["o_custkey"], "o_orderdate",
+                                          ORDER_SCD_ATTRS, tiebreak=["o_orderkey"]))
+    return joins.as_of_join(_line_facts(spark, d), versions, ["o_custkey"], "l_shipdate", "start_at",
+                            take=["o_orderpriority", "start_at"], prefix="v_", strategy="carry")
+
+
 def q_role_playing(spark, d):
     """Customer and supplier nation, ship and order date keys per line item."""
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate")
