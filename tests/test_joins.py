@@ -115,3 +115,22 @@ def test_as_of_multi_column_keys(spark):
         SELECT f2.fid, dn.v FROM f2 LEFT JOIN dn ON f2.k1 = dn.k1 AND f2.k2 = dn.k2 AND dn.s <= f2.t
                AND (dn.nx IS NULL OR f2.t < dn.nx)""")
     assert got == rows(want)
+
+
+def test_hot_keys_threshold_and_cap(spark):
+    from lakemart.operators.joins import hot_keys
+    df = spark.createDataFrame([(k,) for k in [1] * 50 + [2] * 30 + [3] * 5], "k int")
+    assert rows(hot_keys(df, "k", 10), "k") == [(1,), (2,)]
+    assert rows(hot_keys(df, "k", 10, max_keys=1), "k") == [(1,)]
+
+
+def test_row_width_drives_byte_cap(spark):
+    from pyspark.sql import types as T
+
+    from lakemart.operators.joins import bounded_broadcast, row_width
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
+    assert row_width(schema) == 8 + 32 + 8
+    df = spark.range(100).selectExpr("id AS a", "cast(id AS string) AS b")
+    assert bounded_broadcast(df, max_bytes=48 * 50) is df            # cap of 50 rows < 100
+    plan = df.join(bounded_broadcast(df, max_bytes=48 * 200), "a")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
