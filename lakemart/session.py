@@ -6,6 +6,7 @@ this module only owns the few session-level settings they rely on.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -59,11 +60,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for materialised intermediates.
 
     Reads ``spark.checkpoint.dir`` from the session (the cluster's shared
-    storage).  Only when it is unset -- local runs and tests -- a fresh
-    directory is created and recorded in the session.
+    storage).  When it is unset, a single-process ``local`` master (tests,
+    local runs) gets a fresh directory, recorded in the session; any other
+    master raises, because executors would each write to their own disk.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError("set spark.checkpoint.dir to storage that the driver and all "
+                             f"executors share (master is {master or 'unknown'!r})")
         root = tempfile.mkdtemp(prefix="lakemart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     try:                        # classic sessions: also register it for RDD checkpoints
@@ -78,7 +84,21 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/scratch/{name}-{uuid.uuid4().hex}"
+    path = f"{root}/scratch/{name}-{uuid.uuid4().hex}"
+    delete_on_exit(spark, path)
+    return path
+
+
+def delete_on_exit(spark: SparkSession, path: str) -> None:
+    """Remove ``path`` when the application ends (readers may still need it
+    until then).  A Connect session has no JVM handle; its scratch folder is
+    cleaned by whoever owns ``spark.checkpoint.dir``."""
+    try:
+        jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
+    except Exception:
+        return
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(jsc.hadoopConfiguration()).deleteOnExit(p)
 
 
 def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
