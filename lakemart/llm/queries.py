@@ -2,12 +2,30 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakemart.llm import exact, sharding
+from lakemart.llm import bpe, exact, sharding, simhash
 from lakemart.llm.common import table
 
 SHARDS = 8
+RANKS = "byte_bpe_50k.tiktoken"
+
+
+def op4_simhash(spark: SparkSession, d: str) -> DataFrame:
+    """Fingerprint and near-copy component of every document."""
+    found = simhash.near_groups(table(spark, d, "documents"), "doc_id", "text", shingle=3, distance=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op9_bpe(spark: SparkSession, d: str) -> DataFrame:
+    """Digests of every document's token ids and of the bytes decoded from them."""
+    t = bpe.Tokenizer(spark, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    coded = t.encode(table(spark, d, "documents").select("doc_id", "text"), "text", "ids")
+    back = t.decode(coded.select("doc_id", "ids"), "ids", "decoded")
+    return back.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                       F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op8_rendezvous(spark: SparkSession, d: str) -> DataFrame:
@@ -21,7 +39,8 @@ def op10_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact.groups(table(spark, d, "documents"), "doc_id", "text", keep="largest")
 
 
-QUERIES = {"op8_rendezvous": op8_rendezvous, "op10_exact_dedup": op10_exact_dedup}
+QUERIES = {"op4_simhash": op4_simhash, "op9_bpe": op9_bpe,
+           "op8_rendezvous": op8_rendezvous, "op10_exact_dedup": op10_exact_dedup}
 
 ORACLE_SQL = {
     "op10_exact_dedup": """
