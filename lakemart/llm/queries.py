@@ -6,13 +6,35 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import bpe, exact, sharding, simhash
+from lakemart.llm import bpe, exact, gam, pii, sharding, simhash
 from lakemart.llm.common import table
+from lakemart.session import cut_lineage
 
 SHARDS = 8
 RANKS = "byte_bpe_50k.tiktoken"
 
 
+def op3_pii(spark: SparkSession, d: str) -> DataFrame:
+    """Personal data in every document."""
+    found = pii.find(table(spark, d, "documents").select("doc_id", "text"), "text", "found")
+    base = F.filter("found", lambda x: x["base"])
+    return found.select("doc_id", *[pii.count_of(base, k.name).alias(f"n_{k.name}") for k in pii.KINDS if k.base],
+                        F.sha2(pii.listed(base), 256).alias("base_sha256"),
+                        pii.listed(F.col("found")).alias("spans"),
+                        F.array_join(F.transform("found", lambda x: F.format_string("%.2f", x["score"])), ",")
+                        .alias("scores"))
+
+
+def op5_quality(spark: SparkSession, d: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = table(spark, d, "documents")
+    rows = cut_lineage(docs.select("doc_id", gam.signals_of("text").alias("signals")), "signals")
+    model = gam.fit(rows, table(spark, d, "labels"), "doc_id", "quality")
+    scored = rows.select("doc_id", gam.is_held_out("doc_id").alias("held_out"),
+                         gam.score_signals(model, "signals").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op4_simhash(spark: SparkSession, d: str) -> DataFrame:
     """Fingerprint and near-copy component of every document."""
     found = simhash.near_groups(table(spark, d, "documents"), "doc_id", "text", shingle=3, distance=3)
@@ -39,7 +61,7 @@ def op10_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact.groups(table(spark, d, "documents"), "doc_id", "text", keep="largest")
 
 
-QUERIES = {"op4_simhash": op4_simhash, "op9_bpe": op9_bpe,
+QUERIES = {"op3_pii": op3_pii, "op5_quality": op5_quality, "op4_simhash": op4_simhash, "op9_bpe": op9_bpe,
            "op8_rendezvous": op8_rendezvous, "op10_exact_dedup": op10_exact_dedup}
 
 ORACLE_SQL = {
