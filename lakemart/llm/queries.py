@@ -6,14 +6,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import bpe, exact, gam, pii, sharding, simhash
+from lakemart.llm import bpe, exact, gam, html, pii, sharding, simhash, warc
 from lakemart.llm.common import table
-from lakemart.session import cut_lineage
+from lakemart.session import cut_lineage, scratch_path
 
 SHARDS = 8
 RANKS = "byte_bpe_50k.tiktoken"
 
 
+def op1_warc(spark: SparkSession, d: str) -> DataFrame:
+    """Every page written to WARC archives, normalised and read back."""
+    back = warc.round_trip(table(spark, d, "pages"), "page_id", "url", "html", scratch_path(spark, "warc"))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op2_html(spark: SparkSession, d: str) -> DataFrame:
+    """Visible text of every page."""
+    pages = table(spark, d, "pages").select("page_id", "url", "html")
+    return html.extract(pages, "html").select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op3_pii(spark: SparkSession, d: str) -> DataFrame:
     """Personal data in every document."""
     found = pii.find(table(spark, d, "documents").select("doc_id", "text"), "text", "found")
@@ -61,10 +73,19 @@ def op10_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact.groups(table(spark, d, "documents"), "doc_id", "text", keep="largest")
 
 
-QUERIES = {"op3_pii": op3_pii, "op5_quality": op5_quality, "op4_simhash": op4_simhash, "op9_bpe": op9_bpe,
+QUERIES = {"op1_warc": op1_warc, "op2_html": op2_html, "op3_pii": op3_pii, "op5_quality": op5_quality, "op4_simhash": op4_simhash, "op9_bpe": op9_bpe,
            "op8_rendezvous": op8_rendezvous, "op10_exact_dedup": op10_exact_dedup}
 
 ORACLE_SQL = {
+    "op1_warc": """
+WITH sized AS (
+  SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS payload_bytes FROM pages),
+kept AS (
+  SELECT body, max(page_id) AS keep FROM sized WHERE payload_bytes >= 1000 GROUP BY body)
+SELECT s.page_id, s.payload_bytes, sha1(s.body) AS payload_digest,
+       CASE WHEN k.keep IS NULL OR k.keep IS NOT DISTINCT FROM s.page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN k.keep IS DISTINCT FROM s.page_id THEN k.keep END AS refers_to
+FROM sized s LEFT JOIN kept k ON s.body = k.body""",
     "op10_exact_dedup": """
 SELECT doc_id,
        max(doc_id) OVER same AS keep_id,
