@@ -6,11 +6,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import bpe, exact, gam, html, pii, sharding, simhash, warc
+from lakemart.llm import bpe, exact, gam, html, mixing, pii, sharding, simhash, warc
 from lakemart.llm.common import table
 from lakemart.session import cut_lineage, scratch_path
 
 SHARDS = 8
+DOMAINS, WEIGHTS = ["clean", "toxic", "low"], [0.92, 0.07, 0.01]
+ANCHOR, MARGIN = "clean", 0.02
 RANKS = "byte_bpe_50k.tiktoken"
 
 
@@ -62,6 +64,12 @@ def op9_bpe(spark: SparkSession, d: str) -> DataFrame:
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_mixing(spark: SparkSession, d: str) -> DataFrame:
+    """Posteriors, rate and copies of every document for the target mix."""
+    return mixing.mix(table(spark, d, "documents"), "doc_id", "text", mixing.label_domains(table(spark, d, "labels")),
+                      DOMAINS, WEIGHTS, ANCHOR, MARGIN)
+
+
 def op8_rendezvous(spark: SparkSession, d: str) -> DataFrame:
     """All documents over eight equal shards, and where nine would put them."""
     return sharding.assign(table(spark, d, "documents"), "doc_id", "text",
@@ -73,7 +81,7 @@ def op10_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact.groups(table(spark, d, "documents"), "doc_id", "text", keep="largest")
 
 
-QUERIES = {"op1_warc": op1_warc, "op2_html": op2_html, "op3_pii": op3_pii, "op5_quality": op5_quality, "op4_simhash": op4_simhash, "op9_bpe": op9_bpe,
+QUERIES = {"op1_warc": op1_warc, "op2_html": op2_html, "op3_pii": op3_pii, "op5_quality": op5_quality, "op6_mixing": op6_mixing, "op4_simhash": op4_simhash, "op9_bpe": op9_bpe,
            "op8_rendezvous": op8_rendezvous, "op10_exact_dedup": op10_exact_dedup}
 
 ORACLE_SQL = {
