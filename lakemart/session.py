@@ -6,6 +6,7 @@ this module only owns the few session-level settings they rely on.
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
@@ -113,3 +114,15 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps now.  They go when
+    the driver's JVM collects the plans that refer to them; an iterative job
+    fills the disks long before the driver's heap calls for a collection."""
+    try:
+        jvm = spark.sparkContext._jvm
+    except Exception:           # Spark Connect: the server keeps its own pace
+        return
+    gc.collect()
+    jvm.System.gc()
