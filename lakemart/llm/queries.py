@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import bpe, exact, gam, html, mixing, pii, sharding, simhash, warc
+from lakemart.llm import bpe, exact, gam, html, mixing, neighbours, pii, sharding, simhash, warc
 from lakemart.llm.common import table
 from lakemart.session import cut_lineage, scratch_path
 
@@ -70,6 +70,11 @@ def op6_mixing(spark: SparkSession, d: str) -> DataFrame:
                       DOMAINS, WEIGHTS, ANCHOR, MARGIN)
 
 
+def op7_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth one."""
+    return neighbours.nearest(table(spark, d, "embeddings"), "vec_id", "embedding", F.pmod("vec_id", F.lit(20)) == 0, k=20)
+
+
 def op8_rendezvous(spark: SparkSession, d: str) -> DataFrame:
     """All documents over eight equal shards, and where nine would put them."""
     return sharding.assign(table(spark, d, "documents"), "doc_id", "text",
@@ -81,7 +86,7 @@ def op10_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact.groups(table(spark, d, "documents"), "doc_id", "text", keep="largest")
 
 
-QUERIES = {"op1_warc": op1_warc, "op2_html": op2_html, "op3_pii": op3_pii, "op5_quality": op5_quality, "op6_mixing": op6_mixing, "op4_simhash": op4_simhash, "op9_bpe": op9_bpe,
+QUERIES = {"op1_warc": op1_warc, "op2_html": op2_html, "op3_pii": op3_pii, "op5_quality": op5_quality, "op6_mixing": op6_mixing, "op7_neighbours": op7_neighbours, "op4_simhash": op4_simhash, "op9_bpe": op9_bpe,
            "op8_rendezvous": op8_rendezvous, "op10_exact_dedup": op10_exact_dedup}
 
 ORACLE_SQL = {
