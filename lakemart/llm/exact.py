@@ -308,6 +308,6 @@ def keep_rows(df: DataFrame, id_col: str, text_col: str, keep: str = "smallest")
     """The owner's row of each distinct text, with the columns of ``df``.
     Texts are shuffled once, after the copies inside a task are merged."""
     found = owners(df, id_col, text_col, keep, carry=True)
-    text = F.when(~F.col("row.was_null"), F.decode(F.col("body"), F.lit("UTF-8")))
+    text = F.when(~F.col("row.was_null"), F.decode(F.col("body"), "UTF-8"))
     return found.select(*[text.alias(c) if c == text_col else F.col("row.cols").getField(c).alias(c)
                           for c in df.columns])

@@ -6,11 +6,11 @@
    from the (domain, signal, bin) counts, give them.
 2. Projected-gradient least squares finds non-negative document rates whose
    expected tokens per domain, ``sum(rate * tokens * posterior)``, match the
-   targets.  Steps are scaled by the documents' tokens and the domains' mass,
-   so that rare domains converge as fast as common ones.
+   targets: the sum over domains of ``(expected - target)^2 / target``, by
+   projected gradient steps with Nesterov's momentum.
 
-Built-in SQL expressions only.  In the scaled metric the step of a document
-depends on its posteriors alone, and these on its bins alone; so documents
+Built-in SQL expressions only.  With steps scaled by the documents' tokens, a
+document's step depends on its posteriors alone, and these on its bins alone; so documents
 with equal bins share a rate, and the fit runs on one row per combination of
 bins with its summed tokens - an exact pre-aggregation.  Every iteration is
 one distributed aggregate of a few sums; the driver keeps the K residuals.
@@ -19,8 +19,8 @@ broadcast of their rates.
 
 Defined results: a null text counts as empty, has no tokens and gets the rate
 of its bins; labels whose identifier or domain is null teach nothing; without
-any label the posteriors are uniform; a domain without mass cannot reach its
-target and is left out of the fit; repeated rows get the same rate; empty
+any label the posteriors are uniform; a domain without mass misses its target
+and leaves the others theirs; repeated rows get the same rate; empty
 tables give no rows; other columns pass through.
 """
 
@@ -39,6 +39,7 @@ INSULTS = ["clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum",
 SHARES = [0.0, 0.01, 0.05, 0.2, 0.5]
 COUNTS = [0.0, 1.0, 3.0]
 # -----------------------------------------------------------------------------------
+LEAST_SHARE = 1e-3              # of the budget: smaller targets weigh like this one
 PRIOR = 2.0                     # weight of the independent estimate, in labels
 
 
@@ -130,7 +131,7 @@ def posteriors(combos: DataFrame, labelled: DataFrame, domains: Sequence[str],
 
 
 def fit_rates(combos: DataFrame, domains: Sequence[str], weights: Sequence[float], anchor: str | None = None,
-              margin: float = 0.0, steps: int = 80, tolerance: float = 1e-7) -> DataFrame:
+              margin: float = 0.0, steps: int = 60, tolerance: float = 1e-5) -> DataFrame:
     """Rates (``rate``) of combinations (combo, tokens, p) whose expected
     domain tokens match ``weights`` of a budget.
 
@@ -147,28 +148,35 @@ def fit_rates(combos: DataFrame, domains: Sequence[str], weights: Sequence[float
     at = domains.index(anchor) if anchor else None
     budget = sum(now) if at is None or share[at] == 0 else now[at] * (1 + margin) / share[at]
     target = [budget * s for s in share]
-    scale = [1.0 / sums[f"m{i}_{i}"] if sums[f"m{i}_{i}"] > 0 else 0.0 for i in range(k)]
+    # squared misses relative to the targets: a domain that is all but absent cannot outweigh the others
+    scale = [1.0 / max(t, LEAST_SHARE * budget, 1e-9) for t in target]
     # a bound of the largest eigenvalue of the scaled normal matrix: its largest row sum
     rows = [sum(abs(sums[f"m{i}_{j}"]) * (scale[i] * scale[j]) ** 0.5 for j in range(k)) for i in range(k)]
     step = 1.0 / max(max(rows), 1e-12)
-    history: list[list[float]] = []
+    history: list[list[float]] = []                     # of each step: momentum, then the move per domain
 
-    def rate() -> Column:
-        r = F.lit(1.0)
-        if history:
-            moves = F.array(*[F.array(*[F.lit(float(v)) for v in g]) for g in history])
-            r = F.aggregate(moves, r, lambda a, g: F.greatest(F.lit(0.0), a - sum((g[i] * p[i] for i in range(k)), F.lit(0.0))))
-        return r
+    def state() -> Column:
+        """``r``: the rates after the steps so far, ``y``: where the next gradient is taken."""
+        start = F.struct(F.lit(1.0).alias("r"), F.lit(1.0).alias("y"))
+        if not history:
+            return start
+        moves = F.array(*[F.array(*[F.lit(float(v)) for v in h]) for h in history])
 
-    totals = now
+        def move(a, h):
+            r = F.greatest(F.lit(0.0), a["y"] - sum((h[i + 1] * p[i] for i in range(k)), F.lit(0.0)))
+            return F.struct(r.alias("r"), (r + h[0] * (r - a["r"])).alias("y"))
+
+        return F.aggregate(moves, start, move)
+
+    totals, t = now, 1.0
     for _ in range(steps if sum(now) > 0 else 0):
-        off = [step * scale[i] * (totals[i] - target[i]) for i in range(k)]
-        if max(map(abs, off)) < tolerance:
+        after = (1 + (1 + 4 * t * t) ** 0.5) / 2
+        history.append([(t - 1) / after, *[step * scale[i] * (totals[i] - target[i]) for i in range(k)]])
+        got = combos.withColumn("y", state()["y"]).agg(*[F.sum(n * F.col("y") * p[i]).alias(f"t{i}") for i in range(k)]).first()
+        before, totals, t = totals, [got[f"t{i}"] for i in range(k)], after
+        if max(abs(x - y) for x, y in zip(before, totals)) <= tolerance * budget:
             break
-        history.append(off)
-        got = combos.withColumn("rate", rate()).agg(*[F.sum(n * F.col("rate") * p[i]).alias(f"t{i}") for i in range(k)]).first()
-        totals = [got[f"t{i}"] for i in range(k)]
-    return combos.withColumn("rate", rate())
+    return combos.withColumn("rate", state()["r"])
 
 
 def _plan(work: DataFrame, id_col: str, labels: DataFrame, domains, weights, anchor, margin, signals) -> DataFrame:

@@ -6,14 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from lakemart.llm import bpe, exact, gam, html, mixing, neighbours, pii, sharding, simhash, warc
 from lakemart.llm.common import table
 from lakemart.session import cut_lineage, scratch_path
 
 SHARDS = 8
-DOMAINS, WEIGHTS = ["clean", "toxic", "low"], [0.92, 0.07, 0.01]
-ANCHOR, MARGIN = "clean", 0.02
-RANKS = "byte_bpe_50k.tiktoken"
+DOMAINS, WEIGHTS = corpus_pipeline.DOMAINS, corpus_pipeline.WEIGHTS
+ANCHOR, MARGIN, RANKS = corpus_pipeline.ANCHOR, corpus_pipeline.MARGIN, corpus_pipeline.RANKS
 
 
 def op1_warc(spark: SparkSession, d: str) -> DataFrame:
@@ -86,8 +86,19 @@ def op10_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact.groups(table(spark, d, "documents"), "doc_id", "text", keep="largest")
 
 
-QUERIES = {"op1_warc": op1_warc, "op2_html": op2_html, "op3_pii": op3_pii, "op5_quality": op5_quality, "op6_mixing": op6_mixing, "op7_neighbours": op7_neighbours, "op4_simhash": op4_simhash, "op9_bpe": op9_bpe,
-           "op8_rendezvous": op8_rendezvous, "op10_exact_dedup": op10_exact_dedup}
+QUERIES = {
+    "op1_warc": op1_warc,
+    "op2_html": op2_html,
+    "op3_pii": op3_pii,
+    "op4_simhash": op4_simhash,
+    "op5_quality": op5_quality,
+    "op6_mixing": op6_mixing,
+    "op7_neighbours": op7_neighbours,
+    "op8_rendezvous": op8_rendezvous,
+    "op9_bpe": op9_bpe,
+    "op10_exact_dedup": op10_exact_dedup,
+    "pipeline": corpus_pipeline.run,
+}
 
 ORACLE_SQL = {
     "op1_warc": """
