@@ -16,11 +16,11 @@ def date_key(c) -> Column:
     return F.date_format(_c(c), "yyyyMMdd").cast("int")
 
 
-def truncate(unit: str, c, keep_ntz: bool = True) -> Column:
-    """``date_trunc`` that keeps ``timestamp_ntz`` inputs NTZ (the built-in
-    returns a session-zone TIMESTAMP for NTZ input)."""
+def truncate(unit: str, c, dtype: T.DataType | None = None) -> Column:
+    """``date_trunc``; pass the input's type to keep ``timestamp_ntz`` inputs
+    NTZ (the built-in returns a session-zone TIMESTAMP for them)."""
     out = F.date_trunc(unit, _c(c))
-    return out.cast(T.TimestampNTZType()) if keep_ntz else out
+    return out.cast(dtype) if isinstance(dtype, T.TimestampNTZType) else out
 
 
 def minus_millis(c, n: int = 1) -> Column:

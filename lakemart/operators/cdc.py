@@ -32,7 +32,13 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], version:
     nothing.  Every row gets ``_commit_version = version``.
     """
     keys = list(keys)
-    data = [c for c in new.columns if c not in keys]
+    # a column that only one snapshot has counts as NULL in the other
+    data = [c for c in dict.fromkeys([*new.columns, *old.columns]) if c not in keys]
+    for c in data:
+        if c not in old.columns:
+            old = old.withColumn(c, F.lit(None).cast(new.schema[c].dataType))
+        if c not in new.columns:
+            new = new.withColumn(c, F.lit(None).cast(old.schema[c].dataType))
     cmp = list(compare) if compare is not None else data
     o = old.select(*keys, F.struct(*[F.col(c) for c in data]).alias("_o"))
     n = new.select(*keys, F.struct(*[F.col(c) for c in data]).alias("_n"))
@@ -71,7 +77,8 @@ def upserts_only(df: DataFrame, change_col: str = CHANGE_TYPE) -> DataFrame:
 
 
 def fill_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                 cols: Sequence[str], skew_safe: bool = True) -> DataFrame:
+                 cols: Sequence[str], skew_safe: bool | str = "auto") -> DataFrame:
     """Complete sparse updates: each of ``cols`` takes the latest non-NULL
-    value seen so far for its key (a full post-image from partial ones)."""
+    value seen so far for its key (a full post-image from partial ones).
+    ``skew_safe='auto'`` splits timelines only when some key is hot."""
     return carry_forward(df, keys, order, cols, skew_safe=skew_safe)

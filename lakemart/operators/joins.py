@@ -9,40 +9,46 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart.functions.keys import normalize_expr
-from lakemart.operators.sequence import carry_forward, order_bounds
+from lakemart.operators.sequence import carry_forward, has_hot_key, is_bucketable, order_bounds
 
-# Largest side we broadcast on our own: a row cap and a byte cap (rows x
-# estimated row width from the schema); whichever is smaller applies.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
+# Largest side we broadcast on our own, by Spark's own size estimate.  Estimates
+# of Parquet scans are file bytes; the cap leaves room for their decompression.
+DEFAULT_BROADCAST_BYTES = 16 * 1024 * 1024
 
 _WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
           T.FloatType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8,
           T.TimestampNTZType: 8, T.DecimalType: 16}
 
 
-def row_width(schema: T.StructType) -> int:
-    """Estimated bytes per row (strings and nested values counted at 32)."""
-    return sum(_WIDTH.get(type(f.dataType), 32) for f in schema.fields) + 8
+def row_width(schema: T.StructType) -> int | None:
+    """Bytes per row of fixed-width columns; None when a column has no fixed
+    width (text, arrays)."""
+    widths = [_WIDTH.get(type(f.dataType)) for f in schema.fields]
+    return None if None in widths else sum(widths) + 8
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      known_rows: int | None = None,
+def plan_bytes(df: DataFrame) -> int | None:
+    """Spark's estimate of the size of ``df``, from statistics; runs nothing.
+    None where the plan cannot be asked (Spark Connect)."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    except AttributeError:
+        return None
+
+
+def bounded_broadcast(df: DataFrame, known_rows: int | None = None,
                       max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint only behind a proven size bound.
-
-    The cap is ``min(max_rows, max_bytes / row_width)``.  ``known_rows`` is
-    a static bound (a calendar of N days, a literal table).  Without it the
-    bound is checked by counting at most ``cap + 1`` rows (the scan stops
-    there).  Past the bound the plain frame is returned and the join stays
-    a shuffle join; AQE may still convert it at run time from measured
-    shuffle sizes.
+    """Broadcast hint only behind a size bound.
+
+    ``known_rows`` is a static bound (a calendar of N days, a literal table)
+    and counts only for fixed-width columns.  Otherwise the bound is Spark's
+    own size estimate of the plan; nothing is run for it.  Past the bound the
+    plain frame is returned and the join stays a shuffle join; AQE may still
+    convert it at run time from measured shuffle sizes.
     """
-    cap = min(max_rows, max_bytes // row_width(df.schema))
-    if known_rows is not None:
-        return F.broadcast(df) if known_rows <= cap else df
-    n = df.limit(cap + 1).count()
-    return F.broadcast(df) if n <= cap else df
+    width = row_width(df.schema)
+    size = known_rows * width if known_rows is not None and width else plan_bytes(df)
+    return F.broadcast(df) if size is not None and size <= max_bytes else df
 
 
 def touched_history(full: DataFrame, touched: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -50,21 +56,19 @@ def touched_history(full: DataFrame, touched: DataFrame, keys: Sequence[str]) ->
 
     A left semi join: a key touched many times does not multiply rows.  The
     touched keys are de-duplicated (partial aggregation) and broadcast when
-    a bounded count proves them small, so ``full`` is not shuffled.
+    their size estimate is small, so ``full`` is not shuffled.
     """
     return full.join(bounded_broadcast(touched.select(*keys).distinct()), list(keys), "left_semi")
 
 
 def lookup_key(df: DataFrame, dim: DataFrame, on: str | Column | Sequence, dim_on: str | Sequence[str],
-               take: Mapping[str, str], how: str = "left",
-               max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-               dim_rows: int | None = None) -> DataFrame:
+               take: Mapping[str, str], how: str = "left", dim_rows: int | None = None) -> DataFrame:
     """Left-join a dimension and pull ``take`` = {new_name: dim_column}.
 
     Call once per role (origin / destination city, order / delivery date):
     every call gets its own aliased copy of the dimension.  ``on`` may be
     an expression (e.g. ``to_date(ts)``).  The dimension side is broadcast
-    only under a checked row bound.
+    only under a size bound.
     """
     ons = list(on) if isinstance(on, (list, tuple)) else [on]
     dims = [dim_on] if isinstance(dim_on, str) else list(dim_on)
@@ -73,7 +77,7 @@ def lookup_key(df: DataFrame, dim: DataFrame, on: str | Column | Sequence, dim_o
     left = df.withColumns({t: (F.col(o) if isinstance(o, str) else o) for t, o in zip(tmp_l, ons)})
     right = dim.select(*[F.col(d).alias(t) for d, t in zip(dims, tmp_r)],
                        *[F.col(src).alias(name) for name, src in take.items()])
-    right = bounded_broadcast(right, max_broadcast_rows, dim_rows)
+    right = bounded_broadcast(right, dim_rows)
     cond = F.lit(True)
     for a, b in zip(tmp_l, tmp_r):
         cond = cond & (left[a] == right[b])
@@ -81,14 +85,13 @@ def lookup_key(df: DataFrame, dim: DataFrame, on: str | Column | Sequence, dim_o
 
 
 def normalized_lookup(df: DataFrame, lookup: DataFrame, col: str, lookup_col: str,
-                      take: Sequence[str] | None = None,
-                      max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                      take: Sequence[str] | None = None) -> DataFrame:
     """Left join on the normalised form of a string key (accents folded,
     punctuation dropped, lower case) -- the lookup is broadcast under a
-    checked bound."""
+    size bound."""
     take = list(take) if take is not None else [c for c in lookup.columns]
     right = lookup.select(normalize_expr(lookup_col).alias("_nrm_r"), *take)
-    right = bounded_broadcast(right, max_broadcast_rows)
+    right = bounded_broadcast(right)
     left = df.withColumn("_nrm_l", normalize_expr(col))
     return left.join(right, left["_nrm_l"] == right["_nrm_r"], "left").drop("_nrm_l", "_nrm_r")
 
@@ -106,7 +109,9 @@ def hot_keys(df: DataFrame, key: str, min_rows: int, max_keys: int = 1000) -> Da
 def salted_join(df: DataFrame, dim: DataFrame, key: str, salt_cols: Sequence[str],
                 buckets: int = 16, how: str = "left", hot_rows: int | None = None,
                 max_hot_keys: int = 1000) -> DataFrame:
-    """Equi-join that spreads a hot key over ``buckets`` tasks.
+    """Equi-join (inner, left, semi or anti) that spreads a hot key over
+    ``buckets`` tasks; a right or full join would repeat the replicated
+    dimension rows and is rejected.
 
     Each fact row of a hot key gets a deterministic salt from a hash of
     ``salt_cols`` (a recomputed partition gets the same salt); the
@@ -114,10 +119,13 @@ def salted_join(df: DataFrame, dim: DataFrame, key: str, salt_cols: Sequence[str
     ``hot_rows`` only keys with at least that many fact rows are salted (at
     most ``max_hot_keys``, found by :func:`hot_keys` and broadcast -- the
     list has a fixed bound); every other key joins with salt 0 and the
-    dimension is not replicated for it.  Without ``hot_rows`` every key is
+    dimension is not replicated for it; rows with a NULL key match nothing and
+    are spread.  Without ``hot_rows`` every key is
     salted.  The result equals the unsalted join.  Use when a key holds a
     large share of the rows and AQE's skew-join split does not apply.
     """
+    if how.replace("_", "").lower() not in ("inner", "left", "leftouter", "leftsemi", "semi", "leftanti", "anti"):
+        raise ValueError(f"salted_join cannot do a {how} join")
     h = F.pmod(F.xxhash64(*[F.col(c) for c in salt_cols]), F.lit(buckets))
     all_salts = F.sequence(F.lit(0), F.lit(buckets - 1).cast("long"))
     fan = F.explode(all_salts)
@@ -127,7 +135,7 @@ def salted_join(df: DataFrame, dim: DataFrame, key: str, salt_cols: Sequence[str
     else:
         hot = F.broadcast(hot_keys(df, key, hot_rows, max_hot_keys))
         f = (df.join(hot, key, "left")
-               .withColumn("_salt", F.when(F.col("_hot"), h).otherwise(F.lit(0)))
+               .withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), h).otherwise(F.lit(0)))
                .drop("_hot"))
         d = (dim.join(hot, key, "left")
                 .withColumn("_salt", F.explode(F.when(F.col("_hot"), all_salts)
@@ -144,9 +152,10 @@ MAX_VERSIONS_PER_KEY = 1000
 def as_of_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], fact_time: str,
                dim_start: str, take: Sequence[str], dim_keys: Sequence[str] | None = None,
                dim_end: str | None = None, end_inclusive: bool = True,
-               prefix: str = "", skew_safe: bool = True,
+               prefix: str = "", skew_safe: bool | str = "auto",
                time_bounds: tuple | None = None, strategy: str = "auto",
-               max_versions_per_key: int = MAX_VERSIONS_PER_KEY) -> DataFrame:
+               max_versions_per_key: int = MAX_VERSIONS_PER_KEY,
+               dim_order: Sequence[str] = ()) -> DataFrame:
     """Validity-interval (as-of) left join: for every fact row the dimension
     version with the latest ``dim_start <= fact_time`` for the same key.
 
@@ -157,7 +166,10 @@ def as_of_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], fact_time:
     not one task.  At equal instants the version precedes the fact
     (``start <= t``).  With ``dim_end`` the match is also required to
     satisfy ``t <= end`` (``t < end`` when ``end_inclusive=False``).
-    Exactly one output row per fact row.  ``time_bounds`` = ``(min, max)``
+    Exactly one output row per fact row.  Of several versions of a key with
+    one start, the one with the largest ``dim_order`` (e.g. the sequence
+    column), then the largest taken values, counts - in every strategy.
+    ``time_bounds`` = ``(min, max)``
     of the fact time (see :func:`~lakemart.operators.sequence.order_bounds`)
     spares a pass over ``facts`` when the caller knows a cheaper source.
 
@@ -170,6 +182,8 @@ def as_of_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], fact_time:
     """
     keys = list(keys)
     dkeys = list(dim_keys) if dim_keys else keys
+    dim = _one_per_start(dim, dkeys, dim_start, list(dim_order),
+                         list(dict.fromkeys([*take, *([dim_end] if dim_end else [])])))
     if strategy in ("auto", "broadcast"):
         out = _as_of_broadcast(facts, dim, keys, dkeys, fact_time, dim_start, list(take), dim_end,
                                end_inclusive, prefix, max_versions_per_key)
@@ -180,6 +194,15 @@ def as_of_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], fact_time:
     t_type = facts.schema[fact_time].dataType
     fact_cols = facts.columns
     take = list(take)
+    # facts without a key or time match nothing: they skip the timeline, however many they are
+    lost = F.col(fact_time).isNull()
+    for k in keys:
+        lost = lost | F.col(k).isNull()
+    unmatched = facts.filter(lost).select(*[F.col(c) for c in fact_cols], *[
+        F.lit(None).cast(dim.schema[c].dataType).alias(prefix + c) for c in take])
+    facts = facts.filter(~lost)
+    if skew_safe == "auto":
+        skew_safe = is_bucketable(facts, fact_time) and (has_hot_key(facts, keys) or has_hot_key(dim, dkeys))
     dim_fields = take + ([dim_end] if dim_end and dim_end not in take else [])
     dim_struct_type = T.StructType([T.StructField(c, dim.schema[c].dataType) for c in dim_fields])
     fact_struct_type = T.StructType([T.StructField(c, facts.schema[c].dataType) for c in fact_cols])
@@ -209,18 +232,23 @@ def as_of_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], fact_time:
     carried = carry_forward(u, kcols, ["_aj_t", "_aj_side"], ["_aj_dim"], skew_safe=skew_safe,
                             bounds=bounds, summary_input=d.unionByName(presence))
     out = carried.filter(F.col("_aj_side") == 1)
-    # a fact with a NULL key or time matches nothing (equi-join semantics)
     valid = F.lit(True)
-    for k in kcols:
-        valid = valid & F.col(k).isNotNull()
-    valid = valid & F.col("_aj_t").isNotNull()
     if dim_end:
         end = F.col(f"_aj_dim.{dim_end}").cast(t_type)
         inside = (F.col("_aj_t") <= end) if end_inclusive else (F.col("_aj_t") < end)
         valid = valid & (end.isNull() | inside)
     dim_val = F.when(valid, F.col("_aj_dim"))
-    return out.select(*[F.col(f"_aj_fact.{c}").alias(c) for c in fact_cols],
-                      *[dim_val.getField(c).alias(prefix + c) for c in take])
+    matched = out.select(*[F.col(f"_aj_fact.{c}").alias(c) for c in fact_cols],
+                         *[dim_val.getField(c).alias(prefix + c) for c in take])
+    return matched.union(unmatched)
+
+
+def _one_per_start(dim: DataFrame, keys, start: str, order, fields) -> DataFrame:
+    """One version per (key, start): the largest in ``order``, then in ``fields``."""
+    rest = [c for c in fields if c not in keys and c != start]
+    own = F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate([*order, *rest])], F.lit(0).alias("_z"))
+    picked = dim.groupBy(*keys, start).agg(F.max(own).alias("_v"))
+    return picked.select(*keys, start, *[F.col(f"_v._o{len(order) + i}").alias(c) for i, c in enumerate(rest)])
 
 
 def _as_of_broadcast(facts: DataFrame, dim: DataFrame, keys, dkeys, fact_time: str, dim_start: str,
@@ -238,7 +266,6 @@ def _as_of_broadcast(facts: DataFrame, dim: DataFrame, keys, dkeys, fact_time: s
                  F.col(dim_start).cast(t_type).alias("_ab_s"),
                  *[F.col(c).alias(f"_ab_v{i}") for i, c in enumerate(fields)])
     kc = [f"_ab_k{i}" for i in range(len(dkeys))]
-    v = v.dropDuplicates(kc + ["_ab_s"])                  # one version per (key, start)
     small = bounded_broadcast(v)
     if small is v:                                        # too large to broadcast
         return None

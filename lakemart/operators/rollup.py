@@ -12,25 +12,10 @@ from pyspark.sql import functions as F
 from lakemart.functions.dates import truncate
 
 
-def exact_sum(c, scale: int = 2) -> Column:
-    """Sum of a double column whose values carry at most ``scale``
-    decimals, added exactly as a decimal.  Double addition is not
-    associative, so a plain ``sum`` can change in the last bits with the
-    partitioning; this one cannot."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.sum(col.cast(f"decimal(38,{scale})"))
-
-
-def exact_avg(c, scale: int = 2) -> Column:
-    """``exact_sum / count`` computed as one double division."""
-    col = F.col(c) if isinstance(c, str) else c
-    return exact_sum(col, scale).cast("double") / F.count(col).cast("double")
-
-
 def period_rollup(df: DataFrame, keys: Sequence[str], ts: str, unit: str,
                   aggs: Mapping[str, Column], period_col: str = "period_start") -> DataFrame:
     """``groupBy(keys, date_trunc(unit, ts)).agg(**aggs)``."""
-    return (df.withColumn(period_col, truncate(unit, ts))
+    return (df.withColumn(period_col, truncate(unit, ts, df.schema[ts].dataType))
               .groupBy(*keys, period_col)
               .agg(*[v.alias(k) for k, v in aggs.items()]))
 
@@ -45,23 +30,22 @@ def hourly_rollup(df: DataFrame, key: str = "vehicle_id", ts: str = "reading_tim
                   odometer: str = "odometer_km", fuel: str = "fuel_pct",
                   engine: str = "engine_temp_c", cargo: str = "cargo_temp_c",
                   status: str = "vehicle_status", inactive: Sequence[str] = INACTIVE_STATUSES,
-                  period_col: str = "period_start_timestamp", avg_scale: int = 4) -> DataFrame:
+                  period_col: str = "period_start_timestamp") -> DataFrame:
     """Vehicle x hour telemetry rollup.
 
     ``active_readings`` counts readings whose status is not in ``inactive``
     (a NULL status counts as active); ``utilization_pct`` is its share of
     the readings, ``km_driven`` the odometer span within the hour.
-    Averages are computed from exact decimal sums of the values rounded
-    to ``avg_scale`` decimals, so they do not depend on partitioning.
+    Averages are those of the raw values, rounded once at the end.
     """
     agg = period_rollup(df, [key], ts, "hour", {
         "readings_count": F.count(F.col(reading_id)),
-        "avg_speed_kmh": F.round(exact_avg(speed, avg_scale), 0),
+        "avg_speed_kmh": F.round(F.avg(speed), 0),
         "max_speed_kmh": F.max(speed),
         "_min_odo": F.min(odometer),
         "_max_odo": F.max(odometer),
-        "avg_fuel_pct": F.round(exact_avg(fuel, avg_scale), 2),
-        "avg_engine_temp_c": F.round(exact_avg(engine, avg_scale), 0),
+        "avg_fuel_pct": F.round(F.avg(fuel), 2),
+        "avg_engine_temp_c": F.round(F.avg(engine), 0),
         "min_cargo_temp_c": F.min(cargo),
         "max_cargo_temp_c": F.max(cargo),
         "active_readings": F.count_if(~F.coalesce(F.col(status).isin(*inactive), F.lit(False))),

@@ -34,7 +34,8 @@ from lakemart.operators.cdc import DELETE, UPDATE_PRE
 from lakemart.operators.dedupe import dedupe
 from lakemart.operators.merge import upsert
 from lakemart.operators.joins import bounded_broadcast
-from lakemart.operators.sequence import BUCKET, next_value, order_bounds, with_order_bucket
+from lakemart.operators.sequence import (BUCKET, has_hot_key, is_bucketable, next_value, order_bounds,
+                                         with_order_bucket)
 
 START, END, CURRENT, DELETED, DELETE_SEQ = "start_at", "end_at", "is_current", "_is_delete", "_delete_seq"
 
@@ -50,8 +51,8 @@ def scd1_apply(target: DataFrame | None, changes: DataFrame, keys: Sequence[str]
     ``desc=False``: first delivery wins, e.g. events delivered at least
     once).  With ``guard_sequence`` (default) a target row survives when it
     is newer (older) than the incoming one, so batches may arrive in any
-    order; on a tie the target row stays for ``desc=False`` and is replaced
-    for ``desc=True``.  Without the guard the incoming row always replaces
+    order; ties are decided by ``tiebreak`` and then by the rows' content,
+    never by arrival.  Without the guard the incoming row always replaces
     the target row (plain upsert).
     """
     keys = list(keys)
@@ -63,7 +64,9 @@ def scd1_apply(target: DataFrame | None, changes: DataFrame, keys: Sequence[str]
     touched = bounded_broadcast(latest.select(*keys))     # unique already: one row per key
     old = target.join(touched, keys, "left_semi").withColumn("_src", F.lit(0))
     cand = old.unionByName(latest.withColumn("_src", F.lit(1)), allowMissingColumns=True)
-    win = dedupe(cand, keys, [seq, "_src", *tiebreak], desc=desc).drop("_src")
+    # data decides ties, arrival last: the same state whatever the order of batches
+    cand = cand.withColumn("_h", F.xxhash64(*[F.col(c) for c in latest.columns]))
+    win = dedupe(cand, keys, [seq, *tiebreak, "_h", "_src"], desc=desc).drop("_src", "_h")
     rest = target.join(touched, keys, "left_anti")
     return rest.unionByName(win, allowMissingColumns=True)
 
@@ -86,7 +89,7 @@ def scd2_apply(target: DataFrame | None, changes: DataFrame, keys: Sequence[str]
                attrs: Sequence[str], start: str | None = None,
                change_col: str | None = None, delete_values: Sequence[str] = (DELETE,),
                drop_values: Sequence[str] = (UPDATE_PRE,), tiebreak: Sequence[str] = (),
-               end_offset_ms: int = 1, skew_safe: bool = True,
+               end_offset_ms: int = 1, skew_safe: bool | str = "auto",
                stamp_col: str | None = None) -> DataFrame:
     """Apply a batch of changes to an SCD2 table (see module doc).
 
@@ -97,6 +100,12 @@ def scd2_apply(target: DataFrame | None, changes: DataFrame, keys: Sequence[str]
     ``is_current``, ``_is_delete``, ``_delete_seq`` (and ``stamp_col``: the
     run time on rebuilt rows, kept on untouched ones -- the high-water
     column for incremental downstream reads).
+
+    ``skew_safe='auto'`` (default): one shuffle by key and a plain ``lead``
+    window, unless some key has more rows than a task should hold
+    (:func:`~lakemart.operators.sequence.has_hot_key`); then timelines are
+    split into order buckets.  Sequences without a numeric image (text)
+    always use the plain window.
     """
     keys, attrs = list(keys), list(attrs)
     start = start or seq
@@ -140,6 +149,10 @@ def scd2_apply(target: DataFrame | None, changes: DataFrame, keys: Sequence[str]
     versions = versions.withColumn("_h", F.xxhash64(*[F.col(c) for c in attrs]) if attrs else F.lit(0))
     group = keys + [seq]
     bounds = None
+    if skew_safe and not is_bucketable(changes, seq):
+        skew_safe = False
+    elif skew_safe == "auto":
+        skew_safe = has_hot_key(narrow, keys)
     if skew_safe:
         # one shuffle by (key, order bucket) serves the dedupe below and the
         # `lead` window; the range comes from the cheap inputs (batch +

@@ -30,6 +30,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakemart.functions.dates import order_number
 
@@ -44,6 +45,21 @@ MAX_BUCKETS = 1 << 22
 ROWS_PER_BUCKET = 250_000
 
 
+def has_hot_key(df: DataFrame, keys: Sequence[str], rows: int = ROWS_PER_BUCKET) -> bool:
+    """Has any non-NULL key more than ``rows`` rows?  One partial aggregate
+    over the key columns.  Without one, a window per key is the best plan."""
+    for k in keys:
+        df = df.filter(F.col(k).isNotNull())
+    return not df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows).isEmpty()
+
+
+def is_bucketable(df: DataFrame, order_col: str) -> bool:
+    """Has the ordering column a numeric image (numbers, dates, timestamps)?
+    Text sequences have none and use the plain window."""
+    return isinstance(df.schema[order_col].dataType,
+                      (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
 def order_bounds(df: DataFrame, order_col: str) -> tuple:
     """``(min, max, rows)`` of the numeric image of an ordering column: a
     single one-row aggregate (partial per task, nothing data-sized reaches
@@ -146,8 +162,15 @@ def carry_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     out = list(out) if out is not None else list(cols)
     hi = Window.currentRow if include_current else -1
     oexpr = _order_exprs(order, descending)
+    if skew_safe and not bucketed:
+        if not is_bucketable(df, order[0]):
+            skew_safe = False
+        elif skew_safe == "auto":
+            skew_safe = has_hot_key(summary_input if summary_input is not None else df, keys)
 
     if not skew_safe:
+        # rows with a NULL key are one group; spread over order buckets they
+        # would still be joined to nothing by callers, so they stay one window
         w = Window.partitionBy(*keys).orderBy(*oexpr).rowsBetween(Window.unboundedPreceding, hi)
         return df.withColumns({o: F.last(F.col(c), ignorenulls=True).over(w)
                                for c, o in zip(cols, out)})
@@ -200,7 +223,7 @@ def next_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: st
     """Value of ``col`` on the next row of the same key in ``order``
     (``lead``) -- exact when ``col`` is non-NULL on every row, e.g. the next
     version's start in an SCD2 timeline."""
-    if not skew_safe:
+    if not skew_safe or (not bucketed and not is_bucketable(df, order[0])):
         w = Window.partitionBy(*keys).orderBy(*_order_exprs(order, False))
         return df.withColumn(out, F.lead(F.col(col)).over(w))
     return carry_forward(df, keys, order, [col], [out], include_current=False,

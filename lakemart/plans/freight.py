@@ -17,22 +17,22 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from lakemart.functions.dates import truncate
 from lakemart.functions.keys import surrogate_key
 from lakemart.operators.cdc import snapshot_diff
-from lakemart.operators.cleanse import require_keys, stamp
-from lakemart.operators.erase import erase
+from lakemart.operators.cleanse import enforce_schema, require_keys, stamp
+from lakemart.operators.erase import erased_keys
+from lakemart.operators.merge import delete_matching
 from lakemart.operators.scd import scd1_apply, scd2_apply
 from lakemart.plans import marts
 from lakemart.session import cut_lineage
-from lakemart.sinks.tables import load, merge_into, publish, write_bucketed
+from lakemart.sinks.tables import load, merge_into, publish, table_exists, write_bucketed
 from lakemart.sources.files import read_window
 from lakemart.sources.schema import evolve_stored_schema
 from lakemart.streaming.ingest import append_stream, apply_stream, json_stream, stream_table
 
-BUCKETS = 16
+BUCKETS = None                  # follows each table's size (lakemart.sinks.buckets_for)
 # Bronze feeds are partitioned by ingest date; windowed silver reads prune by it.
 INGEST_DATE = "_ingest_date"
 
@@ -64,6 +64,9 @@ CUSTOMERS = T.StructType([
     T.StructField("city", T.StringType()), T.StructField("postal_code", T.StringType()),
     T.StructField("tier", T.StringType()), T.StructField("industry", T.StringType()),
     T.StructField("signup_date", T.TimestampType()), T.StructField("last_updated", T.TimestampType())])
+# Types of the silver tables where they differ from the feeds'.
+CUSTOMER_TYPES = {"postal_code": T.IntegerType(), "signup_date": T.DateType()}
+ORDER_TYPES = {"order_date": T.DateType(), "delivery_date": T.DateType()}
 CUSTOMER_ATTRS = ["company_name", "contact_email", "address", "city", "postal_code", "tier", "industry",
                   "signup_date"]
 ORDER_ATTRS = ["customer_id", "product_code", "product_name", "quantity", "total_amount", "status",
@@ -76,18 +79,26 @@ def _p(root: str, *parts: str) -> str:
     return "/".join([root.rstrip("/"), *parts])
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018
-        return True
-    except AnalysisException:
-        return False
+def _read(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
+    df = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
+    return df.drop("_bucket") if "_bucket" in df.columns else df
 
 
-def _read(spark: SparkSession, path: str) -> DataFrame:
-    # bronze files written before a schema evolution lack the new columns
-    df = spark.read.option("mergeSchema", "true").parquet(path)
-    return df.drop("_bucket") if "_bucket" in df.columns else df
+def _bronze(spark: SparkSession, root: str, feed: str) -> DataFrame:
+    """A bronze feed.  Files written before a schema evolution lack the new
+    columns; only feeds whose stored schema has grown pay for opening every
+    footer."""
+    from lakemart.sources.schema import load_schema
+
+    stored = load_schema(spark, _p(root, "_schemas", feed))
+    grown = stored is not None and len(stored.fields) > len(FEEDS[feed].fields)
+    return _read(spark, _p(root, "bronze", feed), grown)
+
+
+def silver_types(df: DataFrame, types: dict) -> DataFrame:
+    """Cast the columns of ``types``; values that do not fit become NULL."""
+    want = T.StructType([T.StructField(f.name, types.get(f.name, f.dataType)) for f in df.schema.fields])
+    return enforce_schema(df, want)
 
 
 # ------------------------------------------------------------------ bronze
@@ -112,13 +123,17 @@ def ingest_customer_snapshot(spark: SparkSession, root: str, snapshot: DataFrame
     """Append the change rows turning the previous customer snapshot into
     ``snapshot`` to ``bronze/customers_changes`` and keep the snapshot."""
     snap_path = _p(root, "bronze", "customers_snapshot")
-    prev = _read(spark, snap_path) if exists(spark, snap_path) else \
-        spark.createDataFrame([], snapshot.schema)
-    changes = snapshot_diff(prev, snapshot, ["customer_id"], version) \
-        .withColumn("_commit_timestamp", F.current_timestamp())
-    publish(changes, _p(root, "bronze", "customers_changes"), "append")
-    publish(snapshot, snap_path + f"_v{version}", "replace")
-    publish(spark.read.parquet(snap_path + f"_v{version}"), snap_path, "replace")
+    feed = _p(root, "bronze", "customers_changes")
+    # a version that an interrupted run has appended already is not appended again
+    done = table_exists(spark, feed) and not _read(spark, feed).filter(F.col("_commit_version") >= version).isEmpty()
+    snapshot = cut_lineage(snapshot, "snapshot")
+    if not done:
+        prev = _read(spark, snap_path) if table_exists(spark, snap_path) else \
+            spark.createDataFrame([], snapshot.schema)
+        changes = snapshot_diff(prev, snapshot, ["customer_id"], version) \
+            .withColumn("_commit_timestamp", F.current_timestamp())
+        publish(changes, feed, "append")
+    publish(snapshot, snap_path, "replace")
 
 
 # --- fixed values: per-feed bad-record rules, keys and lateness -------------------
@@ -150,7 +165,7 @@ def audit_batch(spark: SparkSession, root: str, feed: str, batch_id: str, since,
     from lakemart.operators.audit import health_audit, late_rows
     from lakemart.sources.schema import load_schema
 
-    bronze = _read(spark, _p(root, "bronze", feed)).filter(
+    bronze = _bronze(spark, root, feed).filter(
         F.col("_ingested_at") >= F.lit(since).cast("timestamp"))
     run_ts = bronze.select(F.max("_ingested_at")).scalar()
     late = None
@@ -179,32 +194,32 @@ def audit_batch(spark: SparkSession, root: str, feed: str, batch_id: str, since,
 # ------------------------------------------------------------------ silver
 
 def silver_vehicles(spark: SparkSession, root: str, start, end) -> None:
-    bronze = read_window(_read(spark, _p(root, "bronze", "vehicles")), "_ingested_at", start, end,
+    bronze = read_window(_bronze(spark, root, "vehicles"), "_ingested_at", start, end,
                          partition_col=INGEST_DATE)
     out = stamp(marts.silver_scd1(bronze, "vehicle_id", "last_updated", VEHICLES))
     path = _p(root, "silver", "vehicles")
     # sequence-guarded: an older vehicle record never overwrites a newer one
-    load(spark, out, path, ["vehicle_id"], BUCKETS, initial=not exists(spark, path),
+    load(spark, out, path, ["vehicle_id"], BUCKETS, initial=not table_exists(spark, path),
          how=lambda t, s, k: scd1_apply(t, s, k, "last_updated"))
 
 
 def silver_shipment_events(spark: SparkSession, root: str, start, end) -> None:
-    bronze = read_window(_read(spark, _p(root, "bronze", "shipment_events")), "_ingested_at", start, end,
+    bronze = read_window(_bronze(spark, root, "shipment_events"), "_ingested_at", start, end,
                          partition_col=INGEST_DATE)
     out = stamp(marts.silver_events(bronze, "event_id", "event_timestamp", EVENTS,
                                     tiebreak=["source_system"]))
     path = _p(root, "silver", "shipment_events")
     # first delivery wins across batches too (a re-delivered id never replaces it)
-    load(spark, out, path, ["event_id"], BUCKETS, initial=not exists(spark, path),
+    load(spark, out, path, ["event_id"], BUCKETS, initial=not table_exists(spark, path),
          how=lambda t, s, k: scd1_apply(t, s, k, "event_timestamp", desc=False))
 
 
 def silver_telemetry(spark: SparkSession, root: str, start, end) -> None:
-    bronze = read_window(_read(spark, _p(root, "bronze", "telemetry")), "_ingested_at", start, end,
+    bronze = read_window(_bronze(spark, root, "telemetry"), "_ingested_at", start, end,
                          partition_col=INGEST_DATE)
     out = stamp(marts.silver_telemetry(bronze))
     path = _p(root, "silver", "telemetry")
-    load(spark, out, path, ["reading_id"], BUCKETS, initial=not exists(spark, path),
+    load(spark, out, path, ["reading_id"], BUCKETS, initial=not table_exists(spark, path),
          how=lambda t, s, k: scd1_apply(t, s, k, "reading_timestamp", desc=False))
 
 
@@ -218,7 +233,7 @@ def _scd2_stream(spark: SparkSession, root: str, src: str, dst: str, keys, seq,
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         batch = batch.withColumn("_process_ts", F.current_timestamp())
-        if not exists(spark, path):
+        if not table_exists(spark, path):
             write_bucketed(scd2_apply(None, batch, keys, seq, attrs, **kw), path, keys, BUCKETS)
         else:
             merge_into(spark, path, batch, keys, BUCKETS,
@@ -232,14 +247,14 @@ def _scd2_stream(spark: SparkSession, root: str, src: str, dst: str, keys, seq,
 
 def silver_customers(spark: SparkSession, root: str) -> None:
     _scd2_stream(spark, root, "customers_changes", "customers", ["customer_id"], "_commit_version",
-                 CUSTOMER_ATTRS, start="last_updated", change_col="_change_type",
+                 CUSTOMER_ATTRS, prefilter=lambda df: silver_types(df, CUSTOMER_TYPES), start="last_updated", change_col="_change_type",
                  stamp_col="_insert_update_ts")
 
 
 def silver_orders(spark: SparkSession, root: str) -> None:
     # rows without an order id never reach silver
     _scd2_stream(spark, root, "orders", "orders", ["order_id"], "_change_ts", ORDER_ATTRS,
-                 prefilter=lambda df: require_keys(df, ["order_id"]), tiebreak=["status"],
+                 prefilter=lambda df: silver_types(require_keys(df, ["order_id"]), ORDER_TYPES), tiebreak=["status"],
                  stamp_col="_insert_update_ts")
 
 
@@ -249,16 +264,17 @@ def silver_location_lookup(spark: SparkSession, root: str) -> None:
 
 # ------------------------------------------------------------------ gold
 
-def gold_dimensions(spark: SparkSession, root: str, start: str, end: str, touched_since=None) -> None:
+def gold_dimensions(spark: SparkSession, root: str, start: str | None = None, end: str | None = None,
+                    touched_since=None) -> None:
     """Customer and vehicle dimensions are upserted by surrogate key from
     the silver rows stamped since ``touched_since`` (all rows on the first
     run) -- an SCD2 rebuild re-stamps the versions whose interval changed,
-    so closed versions are refreshed too.  Location and calendar
-    dimensions are small and rebuilt."""
+    so closed versions are refreshed too.  The location dimension is small
+    and rebuilt; the calendar continues from its last date."""
     s = lambda n: _read(spark, _p(root, "silver", n))
 
-    def window(df: DataFrame) -> DataFrame:
-        if touched_since is None:
+    def window(df: DataFrame, first: bool) -> DataFrame:
+        if touched_since is None or first:
             return df
         return df.filter(F.col("_insert_update_ts") >= F.lit(touched_since).cast("timestamp"))
 
@@ -266,12 +282,37 @@ def gold_dimensions(spark: SparkSession, root: str, start: str, end: str, touche
             ("dim_customer", "customers", "customer_sk", "customer_id", marts.build_dim_scd2),
             ("dim_vehicle", "vehicles", "vehicle_sk", "vehicle_id", marts.build_dim_scd1)):
         path = _p(root, "gold", name)
-        rows = stamp(build(window(s(src)).drop("_insert_update_ts"), sk, key))
-        load(spark, rows, path, [sk], BUCKETS, initial=not exists(spark, path))
+        first = not table_exists(spark, path)
+        rows = stamp(build(window(s(src), first).drop("_insert_update_ts"), sk, key))
+        load(spark, rows, path, [sk], BUCKETS, initial=first)
     publish(stamp(marts.build_dim_location(s("orders"), "origin_city", "destination_city",
                                            s("location_lookup"))),
             _p(root, "gold", "dim_location"), "replace")
-    publish(marts.build_dim_date(spark, start, end), _p(root, "gold", "dim_date"), "replace")
+    extend_dim_date(spark, root, start, end)
+
+
+def extend_dim_date(spark: SparkSession, root: str, start: str | None = None, end: str | None = None) -> None:
+    """Continue the date dimension from its high-water mark (``max(full_date)``)
+    to ``end``, or to the last date the silver tables mention; the first run
+    begins at ``start``, or at their first date."""
+    path = _p(root, "gold", "dim_date")
+    spans = []
+    for name, cols in (("orders", ["order_date", "delivery_date", "start_at"]),
+                       ("shipment_events", ["event_timestamp"]), ("telemetry", ["reading_timestamp"])):
+        src = _p(root, "silver", name)
+        if table_exists(spark, src):
+            t = _read(spark, src)
+            spans += [t.agg(F.min(F.to_date(c)).alias("lo"), F.max(F.to_date(c)).alias("hi")) for c in cols]
+    lo, hi = F.lit(start).cast("date"), F.lit(end).cast("date")
+    if spans:
+        whole = spans[0]
+        for x in spans[1:]:
+            whole = whole.union(x)
+        whole = whole.agg(F.coalesce(F.least(lo, F.min("lo")), F.min("lo"), lo).alias("lo"),
+                          F.greatest(hi, F.max("hi")).alias("hi"))
+    else:
+        whole = spark.range(1).select(lo.alias("lo"), hi.alias("hi"))
+    marts.continue_dim_date(spark, path, whole)
 
 
 def gold_fact_order(spark: SparkSession, root: str, touched_since=None) -> None:
@@ -279,8 +320,10 @@ def gold_fact_order(spark: SparkSession, root: str, touched_since=None) -> None:
     silver change at or after it are recomputed and merged."""
     g = lambda n: _read(spark, _p(root, "gold", n))
     hist = _read(spark, _p(root, "silver", "orders"))
+    path = _p(root, "gold", "fact_order_fulfillment")
+    first = not table_exists(spark, path)
     touched = None
-    if touched_since is not None:
+    if touched_since is not None and not first:
         touched = hist.filter(F.col("_insert_update_ts") >= F.lit(touched_since).cast("timestamp"))
     carry = [c for c in ORDER_ATTRS if c != "status"] + ["start_at"]
     f = marts.build_fact_order(
@@ -298,16 +341,20 @@ def gold_fact_order(spark: SparkSession, root: str, touched_since=None) -> None:
                    "payment_method", F.col("current_status"), "created_ts", "confirmed_ts", "picked_up_ts",
                    "in_transit_ts", "out_for_delivery_ts", "delivered_ts", "failed_delivery_ts",
                    "returned_ts", "order_date", "delivery_date", "delivery_days", "is_on_time")
-    path = _p(root, "gold", "fact_order_fulfillment")
-    load(spark, out, path, ["order_id"], BUCKETS, initial=not exists(spark, path))
+    load(spark, out, path, ["order_id"], BUCKETS, initial=first)
 
 
-def gold_fact_shipment_event(spark: SparkSession, root: str) -> None:
+def gold_fact_shipment_event(spark: SparkSession, root: str, touched_since=None) -> None:
+    """Shipment event fact; with ``touched_since`` only events stamped at or
+    after it are read and merged (all on the first run)."""
     g = lambda n: _read(spark, _p(root, "gold", n))
-    ev = _read(spark, _p(root, "silver", "shipment_events")).drop("_insert_update_ts")
-    out = marts.build_fact_event(ev, g("dim_vehicle"), g("dim_date"))
     path = _p(root, "gold", "fact_shipment_event")
-    load(spark, out, path, ["event_id"], BUCKETS, initial=not exists(spark, path))
+    first = not table_exists(spark, path)
+    ev = _read(spark, _p(root, "silver", "shipment_events"))
+    if touched_since is not None and not first:
+        ev = ev.filter(F.col("_insert_update_ts") >= F.lit(touched_since).cast("timestamp"))
+    out = marts.build_fact_event(ev.drop("_insert_update_ts"), g("dim_vehicle"), g("dim_date"))
+    load(spark, out, path, ["event_id"], BUCKETS, initial=first)
 
 
 def gold_fact_telemetry(spark: SparkSession, root: str, touched_since=None) -> None:
@@ -316,43 +363,43 @@ def gold_fact_telemetry(spark: SparkSession, root: str, touched_since=None) -> N
     replaces an hour by a partial one."""
     g = lambda n: _read(spark, _p(root, "gold", n))
     silver = _read(spark, _p(root, "silver", "telemetry"))
-    if touched_since is not None:
+    path = _p(root, "gold", "fact_vehicle_telemetry")
+    first = not table_exists(spark, path)
+    if touched_since is not None and not first:
         hours = (silver.filter(F.col("_insert_update_ts") >= F.lit(touched_since).cast("timestamp"))
                        .select(F.col("vehicle_id").alias("_v"),
-                               truncate("hour", "reading_timestamp", keep_ntz=False).alias("_h"))
+                               truncate("hour", "reading_timestamp").alias("_h"))
                        .distinct())
         silver = silver.join(hours, (F.col("vehicle_id") == F.col("_v"))
                              & (F.date_trunc("hour", F.col("reading_timestamp")) == F.col("_h")),
                              "left_semi")
     out = marts.build_fact_telemetry(silver, g("dim_vehicle"), g("dim_date"))
-    path = _p(root, "gold", "fact_vehicle_telemetry")
-    keys = ["vehicle_id", "period_start_timestamp"]
-    load(spark, out, path, keys, BUCKETS, initial=not exists(spark, path))
+    load(spark, out, path, ["vehicle_id", "period_start_timestamp"], BUCKETS, initial=first)
 
 
-def gold_erase_customers(spark: SparkSession, root: str) -> None:
+def gold_erase_customers(spark: SparkSession, root: str) -> int:
     """Remove deleted customers from the order fact and the customer
-    dimension (every version; by surrogate and natural key)."""
+    dimension (every version; by surrogate key).  Without deletions nothing
+    is read further or written; otherwise only the buckets that hold erased
+    rows are rewritten.  Returns the number of buckets written."""
     silver = _read(spark, _p(root, "silver", "customers"))
     deleted = silver.filter(F.col("_is_delete")).select("customer_id").distinct()
+    if deleted.isEmpty():
+        return 0
     # every surrogate key ever issued for a customer (deleted versions are
     # already gone from the dimension, but facts may still carry their keys)
     issued = surrogate_key(silver.filter(F.col("start_at").isNotNull()), "customer_sk",
                            ["customer_id", "start_at"])
-    dim = _read(spark, _p(root, "gold", "dim_customer"))
-    fact = _read(spark, _p(root, "gold", "fact_order_fulfillment"))
-    dim2, facts = erase(deleted, dim, {"order": fact}, "customer_id", "customer_sk", key_map=issued)
-    # staged first: never overwrite a table while reading it
-    tmp_d, tmp_f = _p(root, "gold", "_dim_customer_erased"), _p(root, "gold", "_fact_order_erased")
-    publish(dim2, tmp_d, "replace")
-    publish(facts["order"], tmp_f, "replace")
-    write_bucketed(spark.read.parquet(tmp_d), _p(root, "gold", "dim_customer"), ["customer_sk"], BUCKETS)
-    write_bucketed(spark.read.parquet(tmp_f), _p(root, "gold", "fact_order_fulfillment"),
-                   ["order_id"], BUCKETS)
+    keys = cut_lineage(erased_keys(issued, deleted, "customer_id", "customer_sk").distinct(), "erased")
+    dim, fact = _p(root, "gold", "dim_customer"), _p(root, "gold", "fact_order_fulfillment")
+    orders = _read(spark, fact).join(keys, "customer_sk", "left_semi").select("order_id")
+    return (merge_into(spark, dim, _read(spark, dim).join(keys, "customer_sk", "left_semi").select("customer_sk"),
+                       ["customer_sk"], how=delete_matching)
+            + merge_into(spark, fact, orders, ["order_id"], how=delete_matching))
 
 
 def run_all(spark: SparkSession, root: str, start: str, end: str, touched_since=None,
-            calendar: tuple[str, str] = ("2024-01-01", "2026-12-31")) -> None:
+            calendar: tuple[str | None, str | None] = (None, None)) -> None:
     """Silver -> gold in the reference's task order (bronze is fed by the
     ingest functions)."""
     silver_vehicles(spark, root, start, end)
@@ -363,7 +410,7 @@ def run_all(spark: SparkSession, root: str, start: str, end: str, touched_since=
     silver_location_lookup(spark, root)
     gold_dimensions(spark, root, *calendar, touched_since=touched_since)
     gold_fact_order(spark, root, touched_since)
-    gold_fact_shipment_event(spark, root)
+    gold_fact_shipment_event(spark, root, touched_since)
     gold_fact_telemetry(spark, root, touched_since)
     gold_erase_customers(spark, root)
 
@@ -402,7 +449,7 @@ def main(argv=None) -> None:
     c.add_argument("--start")
     c.add_argument("--end")
     c.add_argument("--since")
-    c.add_argument("--calendar", nargs=2, default=["2024-01-01", "2026-12-31"])
+    c.add_argument("--calendar", nargs=2, default=[None, None])
     args = ap.parse_args(argv)
 
     spark = configure(SparkSession.builder.getOrCreate())

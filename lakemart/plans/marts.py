@@ -17,6 +17,8 @@ from lakemart.functions.keys import normalize_expr, surrogate_key
 from lakemart.operators.cleanse import (enforce_schema, enrich_telemetry, live_rows,
                                         normalize_telemetry, require_keys, require_non_blank)
 from lakemart.operators.dedupe import dedupe
+from lakemart.session import cut_lineage
+from lakemart.sinks.tables import publish, table_exists
 from lakemart.operators.joins import as_of_join, bounded_broadcast, lookup_key, touched_history
 from lakemart.operators.rollup import hourly_rollup, milestone_pivot, union_distinct
 from lakemart.operators.scd import START, scd1_apply
@@ -138,8 +140,19 @@ def calendar_for(df: DataFrame, *ts_cols: str) -> DataFrame:
     return calendar(df.agg(lo.alias("lo"), hi.alias("hi")))
 
 
-# Calendars are a few thousand rows per decade: broadcast bound for lookups.
-CALENDAR_MAX_ROWS = 200_000
+def continue_dim_date(spark: SparkSession, path: str, span: DataFrame) -> None:
+    """Append the calendar days of ``span`` (one row: ``lo``, ``hi``) after the
+    dimension's last date; the first run writes them all.  Days before the
+    first date that is stored are added too, so no fact is without a date."""
+    if not table_exists(spark, path):
+        publish(calendar(span.filter("lo IS NOT NULL AND hi IS NOT NULL")), path, "replace")
+        return
+    first, last = spark.read.parquet(path).agg(F.min("full_date"), F.max("full_date")).first()
+    new = span.filter("lo IS NOT NULL AND hi IS NOT NULL").select(F.explode(F.array(
+        F.struct(F.col("lo"), F.least(F.col("hi"), F.date_sub(F.lit(first), 1)).alias("hi")),
+        F.struct(F.greatest(F.col("lo"), F.date_add(F.lit(last), 1)).alias("lo"), F.col("hi")))).alias("s")) \
+        .select("s.lo", "s.hi").filter("lo <= hi")
+    publish(calendar(cut_lineage(new, "days")), path, "append")
 
 
 # ---------------------------------------------------------------- silver loads
@@ -193,8 +206,7 @@ def build_fact_telemetry(silver: DataFrame, dim_vehicle: DataFrame, dim_date: Da
     agg = hourly_rollup(silver, key=key, **rollup_cols)
     period = rollup_cols.get("period_col", "period_start_timestamp")
     f = lookup_key(agg, dim_vehicle, key, key, {vehicle_sk: vehicle_sk}, dim_rows=dim_rows)
-    f = lookup_key(f, dim_date, "period_date", "full_date", {"date_key": "date_key"},
-                   max_broadcast_rows=CALENDAR_MAX_ROWS)
+    f = lookup_key(f, dim_date, "period_date", "full_date", {"date_key": "date_key"})
     rest = [c for c in agg.columns if c not in (key, period)]
     return f.select(key, period, vehicle_sk, "date_key", *rest)
 
@@ -205,8 +217,7 @@ def build_fact_event(silver: DataFrame, dim_vehicle: DataFrame, dim_date: DataFr
                      dim_rows: int | None = None) -> DataFrame:
     """One row per event (G6) with the vehicle key and the date key."""
     f = lookup_key(silver, dim_vehicle, key, key, {vehicle_sk: vehicle_sk}, dim_rows=dim_rows)
-    f = lookup_key(f, dim_date, date_col, "full_date", {"date_key": "date_key"},
-                   max_broadcast_rows=CALENDAR_MAX_ROWS)
+    f = lookup_key(f, dim_date, date_col, "full_date", {"date_key": "date_key"})
     rest = [c for c in silver.columns if c != event_id]
     return f.select(event_id, vehicle_sk, "date_key", *rest)
 
@@ -249,8 +260,7 @@ def build_fact_order(history: DataFrame, key: str, status_col: str, time_col: st
     cal_rows = date_dim.count() if date_roles else 0
     for out, expr in date_roles.items():
         e = F.col(expr) if isinstance(expr, str) else expr
-        f = lookup_key(f, date_dim, F.to_date(e), "full_date", {out: "date_key"},
-                       max_broadcast_rows=CALENDAR_MAX_ROWS, dim_rows=cal_rows)
+        f = lookup_key(f, date_dim, F.to_date(e), "full_date", {out: "date_key"}, dim_rows=cal_rows)
     dd = F.col(delivery_date) if isinstance(delivery_date, str) else delivery_date
     days = F.datediff(dd, F.col(order_date))
     return (f.withColumn("delivery_days", days)

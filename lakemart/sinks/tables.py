@@ -1,30 +1,92 @@
 """Table sinks over Parquet paths: replace, append, bucketed merge,
 JSON export, compaction and statistics.
 
+A replacing write goes to a folder beside the table and is renamed into place
+when it is complete, so a crash leaves the old table or the new one
+(:func:`recover` puts the old one back when the crash fell between the two
+renames).
+
 A merge target is stored partitioned by a hash bucket of its key
-(``_bucket = pmod(xxhash64(keys), n)``).  A merge materialises the source
-batch once, reads only the buckets it touches (partition pruning),
-recomputes them, and rewrites just those buckets (dynamic partition
-overwrite).  The recomputed buckets are first materialised in the shared
-checkpoint folder so the write never reads the files it replaces.
+(``_bucket = pmod(xxhash64(keys), n)``); ``n`` follows the table's size and is
+recorded in the folder.  A merge materialises the source batch once, reads
+only the buckets it touches (partition pruning), writes the recomputed buckets
+beside them and renames bucket after bucket; a touched bucket that ends up
+without rows is removed.  A bucket may have many files: rows are rebalanced
+by bucket, and AQE splits large ones.  Merges are idempotent (upsert, delete,
+SCD apply), so one that was interrupted is simply run again.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.operators.merge import upsert
+from lakemart.operators.joins import plan_bytes
+from lakemart.operators.merge import assert_unique_keys, upsert
 from lakemart.session import cut_lineage
 
 BUCKET_COL = "_bucket"
+BUCKET_BYTES = 1 << 30          # of Spark's size estimate, per merge bucket
+MIN_BUCKETS, MAX_BUCKETS = 16, 65_536
+_COUNT = "_buckets-"            # name of the empty file that records the number of buckets
+_OLD = ".replaced-"
+
+
+def _fs(spark: SparkSession, path: str):
+    """Hadoop file system and path maker for ``path``."""
+    jvm = spark.sparkContext._jvm
+    make = jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
+def replace_folder(spark: SparkSession, staged: str, path: str) -> None:
+    """Rename the complete folder ``staged`` to ``path``; what was there goes."""
+    fs, make = _fs(spark, path)
+    if not fs.exists(make(staged)):
+        raise OSError(f"{staged} does not exist")
+    old = f"{path.rstrip('/')}{_OLD}{uuid.uuid4().hex}"
+    had = fs.exists(make(path))
+    if had and not fs.rename(make(path), make(old)):
+        raise OSError(f"cannot rename {path}")
+    if not fs.rename(make(staged), make(path)):
+        if had:
+            fs.rename(make(old), make(path))
+        raise OSError(f"cannot rename {staged} to {path}")
+    if had:
+        fs.delete(make(old), True)
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Put back a table whose replacement stopped between its two renames."""
+    fs, make = _fs(spark, path)
+    if fs.exists(make(path)):
+        return False
+    left = fs.globStatus(make(f"{path.rstrip('/')}{_OLD}*"))
+    if not left:
+        return False
+    return fs.rename(left[0].getPath(), make(path))
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Is there a readable Parquet table at ``path``?"""
+    recover(spark, path)
+    fs, make = _fs(spark, path)
+    if not fs.exists(make(path)):
+        return False
+    try:
+        return bool(spark.read.parquet(path).columns)
+    except AnalysisException:
+        return False
 
 
 def publish(df: DataFrame, path: str, mode: str = "replace",
             partition_by: Sequence[str] = (), sort_within: Sequence[str] = ()) -> None:
-    """Write ``df`` as Parquet: ``replace`` (create or replace) or ``append``.
+    """Write ``df`` as Parquet: ``replace`` (create or replace, staged and
+    renamed; ``df`` may read the table it replaces) or ``append``.
 
     ``sort_within`` clusters rows inside each file so min/max statistics
     skip row groups for filters on those columns.
@@ -33,49 +95,111 @@ def publish(df: DataFrame, path: str, mode: str = "replace",
         raise ValueError("mode must be 'replace' or 'append'")
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
-    w = df.write.mode("overwrite" if mode == "replace" else "append")
+    target = path if mode == "append" else f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    w = df.write.mode("append" if mode == "append" else "errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    w.parquet(target)
+    if mode == "replace":
+        replace_folder(df.sparkSession, target, path)
 
 
 def bucket_expr(keys: Sequence[str], buckets: int):
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 
 
-def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int,
+def buckets_for(df: DataFrame) -> int:
+    """Number of merge buckets for a table of ``df``'s estimated size."""
+    size = plan_bytes(df) or 0
+    return int(min(MAX_BUCKETS, max(MIN_BUCKETS, -(-size // BUCKET_BYTES))))
+
+
+def stored_buckets(spark: SparkSession, path: str) -> int | None:
+    """The number of buckets a merge target was written with."""
+    fs, make = _fs(spark, path)
+    found = fs.globStatus(make(f"{path.rstrip('/')}/{_COUNT}*"))
+    return int(found[0].getPath().getName()[len(_COUNT):]) if found else None
+
+
+def _by_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    return df.withColumn(BUCKET_COL, bucket_expr(keys, buckets)).hint("rebalance", F.col(BUCKET_COL))
+
+
+def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int | None = None,
                    sort_within: Sequence[str] = ()) -> None:
     """Initial (replacing) load of a merge target, hash-bucketed on ``keys``."""
-    out = df.withColumn(BUCKET_COL, bucket_expr(keys, buckets)).repartition(F.col(BUCKET_COL))
-    publish(out, path, "replace", partition_by=[BUCKET_COL], sort_within=sort_within)
+    spark = df.sparkSession
+    n = buckets or buckets_for(df)
+    out = _by_bucket(df, keys, n)
+    if sort_within:
+        out = out.sortWithinPartitions(*sort_within)
+    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
+    out.write.partitionBy(BUCKET_COL).parquet(staged)
+    fs, make = _fs(spark, staged)
+    if not fs.globStatus(make(f"{staged}/{BUCKET_COL}=*")):
+        _empty_bucket(df, staged)
+    fs.create(make(f"{staged}/{_COUNT}{n}")).close()
+    replace_folder(spark, staged, path)
+
+
+def _empty_bucket(df: DataFrame, path: str) -> None:
+    """A file without rows, so that a table without rows keeps its schema."""
+    df.sparkSession.createDataFrame([], df.schema).coalesce(1).write.parquet(f"{path}/{BUCKET_COL}=0")
 
 
 def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
-               buckets: int,
-               how: Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame] = upsert) -> None:
+               buckets: int | None = None,
+               how: Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame] = upsert,
+               check_unique: bool | None = None) -> int:
     """Apply ``how(target, source, keys)`` (upsert, delete_matching, SCD
-    apply, ...) to a bucketed target, rewriting only touched buckets."""
-    # the batch is computed once: bucket ids and the merge read the copy
-    src = cut_lineage(source.withColumn(BUCKET_COL, bucket_expr(keys, buckets)), "merge-src")
-    # at most `buckets` small ints reach the driver
+    apply, ...) to a bucketed target; returns the number of buckets written.
+
+    Several source rows for one key stop an upsert with
+    :class:`~lakemart.operators.merge.DuplicateSourceKeys`; operators that
+    take several changes per key (SCD) are not checked unless
+    ``check_unique`` says so.
+    """
+    recover(spark, path)
+    n = stored_buckets(spark, path) or buckets
+    if not n:
+        raise ValueError(f"{path} does not record its number of buckets; pass buckets=")
+    # the batch is computed once: the check, bucket ids and the merge read the copy
+    src = cut_lineage(source.withColumn(BUCKET_COL, bucket_expr(keys, n)), "merge-src")
+    if check_unique or (check_unique is None and how is upsert):
+        assert_unique_keys(src, keys)
+    # at most `n` small ints reach the driver
     touched = [r[0] for r in src.select(BUCKET_COL).distinct().collect()]
     if not touched:
-        return
-    target = spark.read.parquet(path).filter(F.col(BUCKET_COL).isin(touched))
-    merged = how(target.drop(BUCKET_COL), src.drop(BUCKET_COL), keys)
-    merged = merged.withColumn(BUCKET_COL, bucket_expr(keys, buckets))
-    merged = cut_lineage(merged.repartition(F.col(BUCKET_COL)))
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(BUCKET_COL).parquet(path))
+        return 0
+    target = spark.read.parquet(path).filter(F.col(BUCKET_COL).isin(touched)).drop(BUCKET_COL)
+    merged = how(target, src.drop(BUCKET_COL), keys)
+    root = path.rstrip("/")
+    staged = f"{root}/.staged-{uuid.uuid4().hex}"
+    _by_bucket(merged, keys, n).write.partitionBy(BUCKET_COL).parquet(staged)
+    fs, make = _fs(spark, path)
+    for b in touched:
+        new, own = f"{staged}/{BUCKET_COL}={b}", f"{root}/{BUCKET_COL}={b}"
+        if fs.exists(make(new)):
+            replace_folder(spark, new, own)
+        else:
+            fs.delete(make(own), True)
+    fs.delete(make(staged), True)
+    if not fs.globStatus(make(f"{root}/{BUCKET_COL}=*")):
+        _empty_bucket(merged, root)
+    return len(touched)
 
 
-def load(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str], buckets: int,
+def load(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str], buckets: int | None,
          initial: bool,
          how: Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame] = upsert) -> None:
     """Bootstrap-vs-incremental switch: first run replaces, later runs merge
-    with ``how`` (default: upsert)."""
+    with ``how`` (default: upsert).  ``df`` must hold the whole table on the
+    first run."""
     if initial:
-        write_bucketed(df, path, keys, buckets)
+        src = cut_lineage(df, "load-src")
+        if how is upsert:
+            assert_unique_keys(src, keys)
+        write_bucketed(src, path, keys, buckets)
     else:
         merge_into(spark, path, df, keys, buckets, how=how)
 

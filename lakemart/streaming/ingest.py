@@ -10,6 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakemart.functions.dates import truncate
+from lakemart.operators.dedupe import dedupe
+from lakemart.operators.merge import insert_missing
+from lakemart.session import cut_lineage
+from lakemart.sinks.tables import merge_into, table_exists, write_bucketed
 from lakemart.sources.files import parse_json_rescued
 
 
@@ -78,55 +83,55 @@ def stream_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str
     return r.load(path)
 
 
-def dedupe_stream(df: DataFrame, keys: Sequence[str], event_time: str, watermark: str) -> DataFrame:
-    """Drop repeated deliveries of the same key within the watermark.
+def first_deliveries(spark: SparkSession, stream: DataFrame, path: str, keys: Sequence[str],
+                     order: str, checkpoint: str, buckets: int | None = None) -> None:
+    """Append a stream to a bucketed table, each key once, run to completion.
 
-    ``dropDuplicatesWithinWatermark`` keeps state only for keys still
-    inside the watermark, so state stays bounded; an NTZ event time is
-    cast to TIMESTAMP first (watermarks require it)."""
-    t = df.schema[event_time].dataType
-    if isinstance(t, T.TimestampNTZType):
-        df = df.withColumn(event_time, F.col(event_time).cast(T.TimestampType()))
-    return df.withWatermark(event_time, watermark).dropDuplicatesWithinWatermark(list(keys))
+    Every micro-batch keeps the earliest row per key and inserts the keys the
+    table does not have (insert-only merge), so late first deliveries are
+    kept, repeats across batches and runs are dropped, and a replayed batch
+    adds nothing.  No watermark and no state but the table itself.
+    """
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        first = dedupe(batch, list(keys), order, desc=False)
+        if table_exists(spark, path):
+            merge_into(spark, path, first, list(keys), buckets, how=insert_missing)
+        else:
+            write_bucketed(cut_lineage(first, "first"), path, list(keys), buckets)
+
+    apply_stream(stream, apply, checkpoint)
 
 
-def rollup_stream(df: DataFrame, keys: Sequence[str], event_time: str, every: str, watermark: str,
-                  aggs: dict) -> DataFrame:
+def rollup_stream(spark: SparkSession, stream: DataFrame, path: str, keys: Sequence[str], event_time: str,
+                  unit: str, aggs: dict, checkpoint: str, buckets: int | None = None) -> None:
     """Tumbling-window rollup of a stream (the streaming form of the hourly
-    rollup): ``groupBy(keys, window(t, every)).agg(...)`` with a watermark
-    bounding the state.  Run it in ``update`` mode and upsert each
-    micro-batch by ``(keys, period_start)`` (see :func:`upsert_windows`) so
-    a window refined by late rows is replaced, never duplicated.  Rows
-    older than the watermark are dropped by Spark.
+    rollup), run to completion; the result is the bucketed table
+    ``path/windows`` with one row per (keys, ``period_start``).
+
+    Each micro-batch is kept below ``path/rows/batch=<id>`` (a replay writes
+    the same folder again); the windows it touches are computed from all rows
+    kept for them and merged by key.  Nothing is dropped for lateness, and a
+    restart finds everything it needs in storage.
     """
-    t = df.schema[event_time].dataType
-    if isinstance(t, T.TimestampNTZType):
-        df = df.withColumn(event_time, F.col(event_time).cast(T.TimestampType()))
-    w = F.window(F.col(event_time), every)
-    return (df.withWatermark(event_time, watermark)
-              .groupBy(*keys, w.alias("_w"))
-              .agg(*[v.alias(k) for k, v in aggs.items()])
-              .select(*keys, F.col("_w.start").alias("period_start"), *aggs.keys()))
-
-
-def upsert_windows(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str],
-                   checkpoint: str) -> int | None:
-    """Run a windowed aggregate in ``update`` mode, upserting every
-    micro-batch into a versioned Parquet table under ``path``: batch ``n``
-    writes ``path/v=n`` from ``v=n-1`` plus the batch, so no folder is read
-    while it is written.  Returns the last version written."""
-    from lakemart.operators.merge import upsert
-
-    state = {}
+    rows, windows = f"{path.rstrip('/')}/rows", f"{path.rstrip('/')}/windows"
+    by = [*keys, "period_start"]
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        cur = state.get("t")
-        out = batch if cur is None else upsert(cur, batch, list(keys) + ["period_start"])
-        out.write.mode("overwrite").parquet(f"{path}/v={batch_id}")
-        state["t"] = spark.read.parquet(f"{path}/v={batch_id}")
-        state["last"] = batch_id
-
-    q = (df.writeStream.outputMode("update").foreachBatch(apply)
-           .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return state.get("last")
+        kind = batch.schema[event_time].dataType
+        start = truncate(unit, event_time, kind)
+        (batch.withColumn("period_start", start).withColumn("period_date", F.to_date("period_start"))
+              .write.mode("overwrite").partitionBy("period_date").parquet(f"{rows}/batch={batch_id}"))
+        got = spark.read.parquet(f"{rows}/batch={batch_id}")
+        touched = got.select(*by, "period_date").distinct()
+        known = spark.read.parquet(rows)
+        # dates prune the folders that are read; at most one value per day of data
+        days = [r[0] for r in touched.select("period_date").distinct().collect()]
+        known = known.filter(F.col("period_date").isin(days) | F.col("period_date").isNull())
+        out = (known.join(touched.select(*by), by, "left_semi").groupBy(*by)
+                    .agg(*[v.alias(k) for k, v in aggs.items()]))
+        if table_exists(spark, windows):
+            merge_into(spark, windows, out, by, buckets)
+        else:
+            write_bucketed(cut_lineage(out, "windows"), windows, by, buckets)
+
+    apply_stream(stream, apply, checkpoint)

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemart.operators.cleanse import (add_flags, enforce_schema, enrich_telemetry, live_rows,
+from lakemart.operators.cleanse import (TELEMETRY_RANGES, add_flags, enforce_schema, enrich_telemetry, live_rows,
                                         deleted_rows, normalize_telemetry, require_non_blank)
 from tests.conftest import rows
 
@@ -9,27 +9,26 @@ RAW = "reading_id string, vehicle_id string, reading_timestamp string, speed_kmh
       "engine_temp_c string, cargo_temp_c string, fuel_pct string, odometer_km string, vehicle_status string"
 
 
-def test_normalize_telemetry_ranges_and_key(spark):
-    data = [
-        ("r1", "v1", "2024-01-01 10:00:00", "50", "90", "4", "80", "100", "moving"),      # valid
-        ("r2", "v1", "2024-01-01 10:00:00", "50", "90", "-300", "80", "100", "moving"),   # cargo < -273
-        ("r3", "v1", "2024-01-01 10:00:00", "50", "90", "101", "80", "100", "moving"),    # cargo > 100
-        ("r4", "v1", "2024-01-01 10:00:00", "50", "-1", "4", "80", "100", "moving"),      # engine < 0
-        ("r5", "v1", "2024-01-01 10:00:00", "50", "201", "4", "80", "100", "moving"),     # engine > 200
-        ("r6", "v1", "2024-01-01 10:00:00", "-5", "90", "4", "80", "100", "moving"),      # speed < 0
-        ("r7", "v1", "2024-01-01 10:00:00", "181", "90", "4", "80", "100", "moving"),     # speed > 180
-        (None, "v1", "2024-01-01 10:00:00", "50", "90", "4", "80", "100", "moving"),      # null key
-        ("r9", "v1", "2024-01-01 10:00:00", "180", "200", "100", "80", "100", "moving"),  # at limits
-    ]
-    out = normalize_telemetry(spark.createDataFrame(data, RAW))
-    got = {r.reading_id: (r.speed_kmh, r.engine_temp_c, r.cargo_temp_c) for r in out.collect()}
-    assert None not in got
-    assert got["r1"] == (50.0, 90.0, 4.0)
-    assert got["r2"][2] is None and got["r3"][2] is None
-    assert got["r4"][1] is None and got["r5"][1] is None
-    assert got["r6"][0] is None and got["r7"][0] is None
-    assert got["r9"] == (180.0, 200.0, 100.0)
-    assert out.schema["odometer_km"].dataType == T.IntegerType()
+def test_telemetry_bounds(spark):
+    """Each range keeps its ends and turns what lies beyond into NULL; the
+    other columns of the row stay."""
+    fields = [f.split()[0] for f in RAW.split(", ")]
+    base = {"reading_id": "x", "vehicle_id": "v", "reading_timestamp": "2024-05-05 05:05:05", "speed_kmh": "10",
+            "engine_temp_c": "20", "cargo_temp_c": "3", "fuel_pct": "40", "odometer_km": "5", "vehicle_status": "moving"}
+    cases = []
+    for col, (lo, hi) in TELEMETRY_RANGES.items():
+        for value, inside in ((lo, True), (hi, True), (lo - 1, False), (hi + 1, False), (None, False)):
+            cases.append((col, value, inside))
+    data = [tuple({**base, "reading_id": str(i), col: None if v is None else str(v)}[f] for f in fields)
+            for i, (col, v, _) in enumerate(cases)]
+    data.append(tuple({**base, "reading_id": None}[f] for f in fields))
+    got = {r.reading_id: r for r in normalize_telemetry(spark.createDataFrame(data, RAW)).collect()}
+    assert set(got) == {str(i) for i in range(len(cases))}
+    for i, (col, v, inside) in enumerate(cases):
+        row = got[str(i)]
+        assert row[col] == (float(v) if inside else None)
+        for other in set(TELEMETRY_RANGES) - {col}:
+            assert row[other] == float(base[other])
 
 
 def test_enrich_flags_null_safe(spark):

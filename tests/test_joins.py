@@ -52,7 +52,7 @@ def test_as_of_matches_range_join(spark):
     assert "BroadcastHashJoin" in plan and "_obkt" not in plan      # facts not shuffled
     assert rows(got_b, "fid", "d_v") == got
     # too many versions per key -> falls back to the timeline plan
-    fb = as_of_join(f, d, ["k"], "t", "s", ["v"], prefix="d_", max_versions_per_key=2)
+    fb = as_of_join(f, d, ["k"], "t", "s", ["v"], prefix="d_", max_versions_per_key=2, skew_safe=True)
     assert "_obkt" in fb._jdf.queryExecution().executedPlan().toString()
     assert rows(fb, "fid", "d_v") == got
     d.createOrReplaceTempView("d"); f.createOrReplaceTempView("f")
@@ -79,10 +79,11 @@ def test_salted_equals_unsalted(spark):
 
 def test_bounded_broadcast_and_lookup(spark):
     small = spark.range(10).withColumnRenamed("id", "k")
-    plan = small.join(bounded_broadcast(small, 100), "k")._jdf.queryExecution().executedPlan().toString()
+    plan = small.join(bounded_broadcast(small), "k")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
-    big = spark.range(50)
-    assert bounded_broadcast(big, 10) is big
+    big = spark.range(10_000_000)
+    assert bounded_broadcast(big) is big
+    assert bounded_broadcast(big, known_rows=20_000_000) is big
     f = spark.createDataFrame([(1, 2), (2, None)], "a int, b int")
     dim = spark.createDataFrame([(1, "one"), (2, "two")], "k int, name string")
     out = lookup_key(lookup_key(f, dim, "a", "k", {"a_name": "name"}), dim, "b", "k", {"b_name": "name"})
@@ -124,13 +125,50 @@ def test_hot_keys_threshold_and_cap(spark):
     assert rows(hot_keys(df, "k", 10, max_keys=1), "k") == [(1,)]
 
 
-def test_row_width_drives_byte_cap(spark):
+def test_long_strings_stay_a_shuffle_join(spark):
     from pyspark.sql import types as T
 
-    from lakemart.operators.joins import bounded_broadcast, row_width
-    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
-    assert row_width(schema) == 8 + 32 + 8
-    df = spark.range(100).selectExpr("id AS a", "cast(id AS string) AS b")
-    assert bounded_broadcast(df, max_bytes=48 * 50) is df            # cap of 50 rows < 100
-    plan = df.join(bounded_broadcast(df, max_bytes=48 * 200), "a")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan
+    from lakemart.operators.joins import plan_bytes, row_width
+    from lakemart.session import cut_lineage
+    assert row_width(T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])) is None
+    assert row_width(T.StructType([T.StructField("a", T.LongType())])) == 16
+    # few rows of long, incompressible text: their size counts, not their number
+    long = cut_lineage(spark.range(400).select(F.col("id").alias("a"), F.array_join(F.transform(
+        F.sequence(F.lit(1), F.lit(700)), lambda i: F.sha2((F.col("id") * 1000 + i).cast("string"), 256)), "").alias("b")))
+    assert plan_bytes(long) > 16 * 1024 * 1024 * 0.5
+    assert bounded_broadcast(long, known_rows=400, max_bytes=4_000_000) is long
+    short = cut_lineage(long.select("a", F.substring("b", 1, 5).alias("b")))
+    assert bounded_broadcast(short, max_bytes=4_000_000) is not short
+
+
+def test_as_of_ties_agree_in_both_plans(spark):
+    d = spark.createDataFrame([(1, 10, 5, "a"), (1, 10, 7, "b"), (1, 10, 6, "c"), (2, 1, 1, None)], "k int, s int, seq int, v string")
+    f = spark.createDataFrame([(1, 1, 10), (2, 1, 11), (3, 2, 0), (4, None, 5), (5, 1, None), (6, 2, 3)], "id int, k int, t int")
+    for order, want in ((["seq"], "b"), ([], "c")):
+        got = [rows(as_of_join(f, d, ["k"], "t", "s", ["v"], strategy=x, skew_safe=y, dim_order=order), "id", "v")
+               for x, y in (("broadcast", True), ("carry", True), ("carry", False), ("carry", "auto"))]
+        assert got[0] == got[1] == got[2] == got[3] == [(1, want), (2, want), (3, None), (4, None), (5, None), (6, None)]
+
+
+def test_null_keys_skip_the_timeline(spark):
+    f = spark.range(9000).select(F.when(F.col("id") % 3 != 0, F.col("id") % 50).alias("k"), F.col("id").alias("t"))
+    d = spark.range(50).select(F.col("id").alias("k"), F.lit(0).cast("long").alias("s"), F.col("id").alias("v"))
+    out = as_of_join(f, d, ["k"], "t", "s", ["v"], strategy="carry")
+    assert out.count() == 9000 and out.filter("v IS NULL").count() == 3000
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert max(sizes) < 3000
+
+
+def test_salted_join_rejects_right_and_full(spark):
+    import pytest
+    f = spark.createDataFrame([(None, 1), (1, 2), (1, 3)], "k int, i int")
+    d = spark.createDataFrame([(1, "x"), (9, "y")], "k int, v string")
+    for how in ("right", "full", "full_outer"):
+        with pytest.raises(ValueError):
+            salted_join(f, d, "k", ["i"], how=how)
+    for hot in (None, 2):
+        assert rows(salted_join(f, d, "k", ["i"], hot_rows=hot), "i", "v") == rows(f.join(d, "k", "left"), "i", "v")

@@ -38,13 +38,24 @@ def test_next_value_equals_lead(spark):
     assert rows(got, "k", "t", "n") == rows(want, "k", "t", "n")
 
 
-def test_hot_key_is_split_across_tasks(spark):
+def test_auto_splits_only_hot_keys(spark):
+    from lakemart.operators import sequence
     df = _data(spark)
-    out = carry_forward(df, ["k"], ["t", "i"], ["v"], n_buckets=16)
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "_obkt" in plan    # windows are partitioned by (key, order bucket)
-    hot_buckets = out.filter("k = 0").select("i").count()
-    assert hot_buckets == df.filter("k = 0").count()
+    plain = carry_forward(df, ["k"], ["t", "i"], ["v"], skew_safe=False)
+    assert not sequence.has_hot_key(df, ["k"]) and sequence.has_hot_key(df, ["k"], rows=5)
+    auto = carry_forward(df, ["k"], ["t", "i"], ["v"], skew_safe="auto")
+    assert "_obkt" not in auto._jdf.queryExecution().executedPlan().toString()
+    assert rows(auto, "i", "v") == rows(plain, "i", "v")
+
+
+def test_text_sequences_use_the_plain_window(spark):
+    df = spark.createDataFrame([("a", "2024-01-02", 1), ("a", "2024-01-03", None), ("b", "v2", None)], "k string, t string, v int")
+    assert rows(carry_forward(df, ["k"], ["t"], ["v"]), "k", "t", "v") == [
+        ("a", "2024-01-02", 1), ("a", "2024-01-03", 1), ("b", "v2", None)]
+    from lakemart.operators.scd import scd2_apply
+    hist = scd2_apply(None, df.withColumn("at", F.lit("2024-01-01").cast("timestamp")), ["k"], "t", ["v"], start="at")
+    assert rows(hist, "k", "t", "is_current") == [
+        ("a", "2024-01-02", False), ("a", "2024-01-03", True), ("b", "v2", True)]
 
 
 def test_hot_key_rows_spread_over_buckets(spark):

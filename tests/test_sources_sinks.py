@@ -78,6 +78,42 @@ def test_bucketed_merge_equals_upsert(spark):
     assert got == rows(upsert(t, s, ["k"]))
 
 
+def test_merge_empties_buckets_and_checks_keys(spark):
+    import pytest
+
+    from lakemart.operators.merge import DuplicateSourceKeys, delete_matching
+    from lakemart.sinks.tables import recover, replace_folder, stored_buckets, table_exists
+    path = scratch_path(spark, "t-merge-del")
+    t = spark.range(20).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    write_bucketed(t, path, ["k"], 8)
+    assert stored_buckets(spark, path) == 8
+    merge_into(spark, path, t.filter("k < 10").select("k"), ["k"], how=delete_matching)
+    assert rows(spark.read.parquet(path), "k") == [(k,) for k in sorted(range(10, 20), key=str)]
+    with pytest.raises(DuplicateSourceKeys):
+        merge_into(spark, path, spark.createDataFrame([(1, 1), (1, 2)], "k long, v long"), ["k"])
+    merge_into(spark, path, t.select("k"), ["k"], how=delete_matching)          # nothing is left, the schema is
+    left = spark.read.parquet(path)
+    assert left.count() == 0 and set(left.columns) == {"k", "v", "_bucket"}
+    merge_into(spark, path, t, ["k"])
+    assert rows(spark.read.parquet(path), "k", "v") == rows(t)
+    # a replacement that stopped between its renames is put back
+    from lakemart.sinks.tables import _fs
+    fs, make = _fs(spark, path)
+    fs.rename(make(path), make(path + ".replaced-x"))
+    assert not fs.exists(make(path)) and recover(spark, path) and table_exists(spark, path)
+    with pytest.raises(OSError):
+        replace_folder(spark, path + "-missing", path)
+    assert spark.read.parquet(path).count() == 20
+
+
+def test_replace_may_read_the_table_it_replaces(spark):
+    path = scratch_path(spark, "t-replace")
+    publish(spark.range(10), path)
+    publish(spark.read.parquet(path).filter("id > 4"), path)
+    publish(spark.range(100, 102), path, "append")
+    assert spark.read.parquet(path).count() == 7
+
+
 def test_compact_keeps_multiset_and_json_precision(spark):
     src = scratch_path(spark, "t-src")
     publish(spark.range(1000).repartition(20).withColumn("x", F.col("id") % 7), src)

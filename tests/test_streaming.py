@@ -4,7 +4,7 @@ from pyspark.sql import types as T
 from lakemart.operators.scd import scd2_apply
 from lakemart.session import scratch_path
 from lakemart.sinks.tables import write_json
-from lakemart.streaming.ingest import append_stream, apply_stream, dedupe_stream, json_stream
+from lakemart.streaming.ingest import append_stream, apply_stream, first_deliveries, json_stream, rollup_stream
 from tests.conftest import SF, rows
 
 EV = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
@@ -24,13 +24,29 @@ def test_stream_ingest_equals_batch_and_is_incremental(spark):
     assert rows(got.select(*EV.fieldNames())) == rows(ev)
 
 
-def test_stream_dedupe(spark):
+def test_first_deliveries_keep_late_ones_and_survive_restarts(spark):
     ev = spark.read.parquet(f"{SF}/events.parquet").select(*EV.fieldNames())
     src, out, ck = scratch_path(spark, "d-src"), scratch_path(spark, "d-out"), scratch_path(spark, "d-ck")
-    write_json(ev.unionByName(ev.filter("value > 20")), src, files=3)
-    stream = json_stream(spark, src, EV, rescue=False).drop("_source_file", "_ingested_at")
-    append_stream(dedupe_stream(stream, ["event_id"], "ts", "1 hour"), out, ck)
-    assert spark.read.parquet(out).count() == ev.count()
+    days = F.dayofmonth("ts")
+    for i, part in enumerate((ev.filter(days > 20), ev.filter(days <= 20), ev.filter("value > 20"))):
+        write_json(part, f"{src}/drop={i}", files=3)        # the older days arrive later, then repeats
+        stream = spark.readStream.schema(EV).option("maxFilesPerTrigger", 1).json(f"{src}/*")
+        first_deliveries(spark, stream, out, ["event_id"], "ts", ck)
+    assert rows(spark.read.parquet(out).select(*EV.fieldNames())) == rows(ev)
+
+
+def test_rollup_stream_keeps_history_and_late_rows(spark):
+    ev = spark.read.parquet(f"{SF}/events.parquet").select(*EV.fieldNames())
+    src, out, ck = scratch_path(spark, "r-src"), scratch_path(spark, "r-out"), scratch_path(spark, "r-ck")
+    aggs = {"n": F.count("event_id"), "hi": F.max("value")}
+    for i, part in enumerate((ev.filter("event_type = 'view'"), ev.filter("event_type = 'click'"),
+                              ev.filter("event_type NOT IN ('view', 'click')"))):
+        write_json(part, f"{src}/drop={i}", files=2)
+        stream = spark.readStream.schema(EV).option("maxFilesPerTrigger", 1).json(f"{src}/*")
+        rollup_stream(spark, stream, out, ["user_id"], "ts", "hour", aggs, ck)
+    want = ev.groupBy("user_id", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("period_start")) \
+             .agg(F.count("event_id").alias("n"), F.max("value").alias("hi"))
+    assert rows(spark.read.parquet(f"{out}/windows"), "user_id", "period_start", "n", "hi") == rows(want)
 
 
 def test_foreach_batch_scd2_equals_batch(spark):
