@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakemart.functions.keys import surrogate_key
 from lakemart.operators import audit, cdc, joins, merge, scd
 from lakemart.plans import freight, marts
 from lakemart.plans.catalog import (EVENT_SCHEMA_PROPS, ORDER_SCD_ATTRS, _customer_snapshots, _line_facts,
@@ -310,6 +311,34 @@ SQL["q_silver_orders"] = """WITH v AS (
     FROM v WINDOW w AS (PARTITION BY order_id ORDER BY start_at)"""
 
 
+def q_erase_job(spark, d):
+    """The erasure job over persisted tables; customers in debt are
+    deleted, and only buckets with rows of theirs are rewritten."""
+    root = scratch_path(spark, "freight-erase")
+    at = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("customer_id"), at.alias("start_at"),
+                                           (F.col("c_acctbal") < 0).alias("_is_delete"))
+    write_bucketed(c, f"{root}/silver/customers", ["customer_id"], 32)
+    write_bucketed(surrogate_key(c.drop("_is_delete"), "customer_sk", ["customer_id", "start_at"]),
+                   f"{root}/gold/dim_customer", ["customer_sk"], 32)
+    o = table(spark, d, "orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
+                                         at.alias("start_at"))
+    write_bucketed(surrogate_key(o, "customer_sk", ["customer_id", "start_at"]).drop("customer_id", "start_at"),
+                   f"{root}/gold/fact_order_fulfillment", ["order_id"], 32)
+    freight.gold_erase_customers(spark, root)
+    fact = spark.read.parquet(f"{root}/gold/fact_order_fulfillment").select(
+        F.lit("fact").alias("kind"), "order_id", "customer_sk")
+    return fact.unionByName(spark.read.parquet(f"{root}/gold/dim_customer").select(
+        F.lit("dim").alias("kind"), F.col("customer_id").alias("order_id"), "customer_sk"))
+
+
+SQL["q_erase_job"] = """WITH k AS (SELECT c_custkey, md5(concat_ws('|', CAST(c_custkey AS VARCHAR), '2024-01-01 00:00:00')) AS sk
+      FROM customer WHERE NOT coalesce(c_acctbal < 0, false))
+    SELECT 'fact' AS kind, o_orderkey AS order_id, sk AS customer_sk FROM orders JOIN k ON o_custkey = c_custkey
+    UNION ALL
+    SELECT 'dim', c_custkey, sk FROM k"""
+
+
 def q_mart_silver_telemetry(spark, d):
     """G10 through ``marts.silver_telemetry``."""
     bronze = telemetry_bronze(spark, d).withColumn("reading_timestamp", F.col("reading_timestamp").cast("timestamp"))

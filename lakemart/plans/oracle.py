@@ -40,7 +40,7 @@ FROM silver"""
 def _round(expr: str, d: int) -> str:
     """Half-up rounding of the value's decimal form (Spark's ``round`` on
     doubles); DuckDB's double ``round`` works on the binary value instead."""
-    return f"CAST(round(CAST({expr} AS DECIMAL(38,9)), {d}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38,18)), {d}) AS DOUBLE)"
 
 
 _SNAP = f"""o AS (SELECT {_CUST_COLS} FROM customer WHERE c_mktsegment <> 'BUILDING'),
