@@ -40,8 +40,10 @@ from pyspark.sql import functions as F
 from lakemart.llm.common import short_batches
 
 LEAF = 3                        # pieces of up to so many bytes are merged directly
-MEMO = 400_000                  # entries a memo table may hold
+MEMO = 500_000                  # entries a generation of a memo table may hold
 MEMO_BYTES = 24                 # longest byte string kept in a memo table
+NEVER = 1 << 60                 # rank of a pair that does not merge
+HALF_BYTES = 12                 # longest half that is worth remembering
 PLAIN = 48                      # windows up to so many bytes use the plain merge loop
 
 
@@ -52,9 +54,11 @@ class Codec:
         self.vocab = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             self.vocab[rank] = token
+        self.packed = [i.to_bytes(4, "little") for i in range(len(self.vocab))]
         self.known: dict[bytes, tuple] = {}
         self.pairs: dict[tuple, bool] = {}
         self.pieces: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}               # the generation before ``pieces``
 
     # -- merging ------------------------------------------------------------
 
@@ -62,18 +66,21 @@ class Codec:
         """Rank-ordered merging of the single bytes of ``data``."""
         if len(data) > PLAIN:
             return self._merge_long(data)
-        parts = [data[i:i + 1] for i in range(len(data))]
         get = self.ranks.get
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                r = get(parts[i] + parts[i + 1])
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if best is None:
+        parts = [data[i:i + 1] for i in range(len(data))]
+        pairs = [get(data[i:i + 2], NEVER) for i in range(len(data) - 1)]     # rank of each part with the next
+        while pairs:
+            best = min(pairs)
+            if best == NEVER:
                 break
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return tuple(self.ranks[p] for p in parts)
+            i = pairs.index(best)
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            del pairs[i]
+            if i:
+                pairs[i - 1] = get(parts[i - 1] + parts[i], NEVER)
+            if i < len(pairs):
+                pairs[i] = get(parts[i] + parts[i + 1], NEVER)
+        return tuple([self.ranks[p] for p in parts])
 
     def _merge_long(self, data: bytes) -> tuple:
         """The same with a heap over adjacent pairs, for long windows."""
@@ -121,11 +128,26 @@ class Codec:
         k = 1
         while True:
             i, j = max(0, len(a) - k), min(len(b), k)
-            window = self.merge(b"".join(self.vocab[t] for t in chain(a[i:], b[:j])))
+            window = self.encoded(b"".join([self.vocab[t] for t in chain(a[i:], b[:j])]))
             if (i == 0 or self.holds(a[i - 1], window[0])) and (j == len(b) or self.holds(window[-1], b[j])):
                 return a[:i] + window + b[j:]
             k *= 2
 
+    def encoded(self, data: bytes) -> tuple:
+        """Merged tokens of a window; the memo table is that of the halves,
+        as both hold encodings."""
+        ids = self.known.get(data)
+        if ids is None:
+            ids = self.merge(data)
+            self._remember(data, ids)
+        return ids
+
+    def _remember(self, data: bytes, ids: tuple) -> None:
+        if len(data) <= MEMO_BYTES:
+            if len(self.known) >= MEMO:
+                self.known.clear()
+            self.known[data] = ids
+
     def reduce(self, data: bytes) -> tuple:
         """Encoding of one piece by halves."""
         ids = self.known.get(data)
@@ -133,22 +155,21 @@ class Codec:
             n = len(data)
             ids = (self.merge(data) if n <= LEAF
                    else self.join(self.reduce(data[:n // 2]), self.reduce(data[n // 2:])))
-            if n <= MEMO_BYTES:
-                if len(self.known) >= MEMO:
-                    self.known.clear()
-                self.known[data] = ids
+            if n <= HALF_BYTES:
+                self._remember(data, ids)
         return ids
 
     def piece(self, text: str) -> bytes:
         """Ids of one piece as little-endian 32-bit integers.  A piece that is
         a token itself is that token."""
-        data = text.encode("utf-8", "replace")
-        rank = self.ranks.get(data)
-        ids = (rank,) if rank is not None else self.reduce(data)
-        out = np.array(ids, "<u4").tobytes()
-        if len(data) <= MEMO_BYTES:
+        out = self.older.get(text)
+        if out is None:
+            data = text.encode("utf-8", "replace")
+            rank = self.ranks.get(data)
+            out = self.packed[rank] if rank is not None else b"".join([self.packed[i] for i in self.reduce(data)])
+        if len(text) <= MEMO_BYTES:
             if len(self.pieces) >= MEMO:
-                self.pieces.clear()
+                self.older, self.pieces = self.pieces, {}
             self.pieces[text] = out
         return out
 
