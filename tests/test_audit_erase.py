@@ -53,3 +53,25 @@ def test_erase_leaves_zero_residue(spark):
     # without the natural key the NULL-sk row would survive
     _, only_sk = erase(ent, dim, {"f": fact}, "cust", "sk")
     assert rows(only_sk["f"], "oid") == [(102,), (103,)]
+
+
+def test_erasure_job_touches_only_buckets_with_erased_rows(spark):
+    from lakemart.functions.keys import surrogate_key
+    from lakemart.plans import freight
+    from lakemart.session import scratch_path
+    from lakemart.sinks.tables import write_bucketed
+    root = scratch_path(spark, "t-erase-job")
+    at = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    c = spark.range(40).select(F.col("id").cast("int").alias("customer_id"), at.alias("start_at"), F.lit(False).alias("_is_delete"))
+    sk = surrogate_key(c.drop("_is_delete"), "customer_sk", ["customer_id", "start_at"])
+    write_bucketed(c, f"{root}/silver/customers", ["customer_id"], 16)
+    write_bucketed(sk, f"{root}/gold/dim_customer", ["customer_sk"], 16)
+    write_bucketed(sk.select((F.col("customer_id") * 10).alias("order_id"), "customer_sk"),
+                   f"{root}/gold/fact_order_fulfillment", ["order_id"], 16)
+    assert freight.gold_erase_customers(spark, root) == 0                 # nobody is deleted
+    write_bucketed(c.withColumn("_is_delete", F.col("customer_id") == 7), f"{root}/silver/customers", ["customer_id"], 16)
+    assert freight.gold_erase_customers(spark, root) == 2                 # one bucket of each table
+    assert spark.read.parquet(f"{root}/gold/dim_customer").count() == 39
+    left = spark.read.parquet(f"{root}/gold/fact_order_fulfillment")
+    assert left.count() == 39 and left.filter("order_id = 70").isEmpty()
+    assert freight.gold_erase_customers(spark, root) == 0
