@@ -128,7 +128,7 @@ def _grid_tree(g: np.ndarray, h: np.ndarray, least: float) -> tuple[np.ndarray,
                 break
             row = _leaves(sg, sh, 1, least)
             step[part] = row
-            gain += float(-(row * sg + row * row * (sh + 0.0) / 2).sum())
+            gain += float(-(row * sg + row * row * sh / 2).sum())
         else:
             if gain > best:
                 best, out = gain, step

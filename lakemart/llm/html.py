@@ -262,7 +262,7 @@ class Flow:
 
     def end(self, keep: bool = False) -> None:
         """Finish the current line; ``keep``: also an empty one."""
-        if self.line or keep or self.marker and keep:
+        if self.line or keep:
             if self.lines and self.gap:
                 self.lines.append("")
             self.gap = 0
