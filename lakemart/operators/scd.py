@@ -90,7 +90,7 @@ def scd2_apply(target: DataFrame | None, changes: DataFrame, keys: Sequence[str]
                change_col: str | None = None, delete_values: Sequence[str] = (DELETE,),
                drop_values: Sequence[str] = (UPDATE_PRE,), tiebreak: Sequence[str] = (),
                end_offset_ms: int = 1, skew_safe: bool | str = "auto",
-               stamp_col: str | None = None) -> DataFrame:
+               stamp_col: str | None = None, close_deleted: bool = False) -> DataFrame:
     """Apply a batch of changes to an SCD2 table (see module doc).
 
     ``seq`` orders versions; ``start`` (default ``seq``) is the instant a
@@ -101,6 +101,9 @@ def scd2_apply(target: DataFrame | None, changes: DataFrame, keys: Sequence[str]
     run time on rebuilt rows, kept on untouched ones -- the high-water
     column for incremental downstream reads).
 
+    The last version of a deleted key keeps an open end; ``close_deleted``
+    ends it at the delete sequence (which must then be the start column).
+
     ``skew_safe='auto'`` (default): one shuffle by key and a plain ``lead``
     window, unless some key has more rows than a task should hold
     (:func:`~lakemart.operators.sequence.has_hot_key`); then timelines are
@@ -109,6 +112,8 @@ def scd2_apply(target: DataFrame | None, changes: DataFrame, keys: Sequence[str]
     """
     keys, attrs = list(keys), list(attrs)
     start = start or seq
+    if close_deleted and start != seq:
+        raise ValueError("close_deleted needs the sequence to be the start column")
     payload = list(dict.fromkeys(keys + attrs + [seq, start]))
     spark = changes.sparkSession
     schema = scd2_schema(changes, keys, seq, attrs, start)
@@ -198,7 +203,7 @@ def scd2_apply(target: DataFrame | None, changes: DataFrame, keys: Sequence[str]
     rebuilt = versions.select(
         *[F.col(c) for c in keys + attrs + ([seq] if seq not in keys + attrs else [])],
         F.col(start).alias(START),
-        F.when(F.col("_next").isNotNull(), minus_millis("_next", end_offset_ms)).alias(END),
+        minus_millis(F.coalesce("_next", "_ds") if close_deleted else "_next", end_offset_ms).alias(END),
         (F.col("_next").isNull() & ~deleted).alias(CURRENT),
         deleted.alias(DELETED),
         F.col("_ds").cast(schema[DELETE_SEQ].dataType).alias(DELETE_SEQ),

@@ -22,7 +22,6 @@ from lakemart.sinks.tables import publish, table_exists
 from lakemart.operators.joins import as_of_join, bounded_broadcast, lookup_key, touched_history
 from lakemart.operators.rollup import hourly_rollup, milestone_pivot, union_distinct
 from lakemart.operators.scd import START, scd1_apply
-from lakemart.operators.sequence import order_bounds
 
 # --- fixed values: static location lookup (city, realm_name, realm_code, region, language_region)
 LOCATION_LOOKUP_ROWS = [
@@ -230,7 +229,8 @@ def build_fact_order(history: DataFrame, key: str, status_col: str, time_col: st
                      header: DataFrame | None = None,
                      lookups: Sequence[tuple] = (),
                      touched: DataFrame | None = None, order: Sequence[str] | None = None,
-                     dim_end: str | None = None, on_time_days: int = ON_TIME_DAYS) -> DataFrame:
+                     dim_end: str | None = None, on_time_days: int = ON_TIME_DAYS,
+                     unknown: Mapping[str, str] | None = None) -> DataFrame:
     """Order fulfilment fact (G5), one row per order.
 
     1. touched orders' full history (semi join) -- incremental runs;
@@ -241,21 +241,23 @@ def build_fact_order(history: DataFrame, key: str, status_col: str, time_col: st
     4. role-playing lookups -- ``lookups`` is a list of
        ``(dim, fact_col, dim_col, {new_name: dim_col})`` (e.g. origin and
        destination city) -- and one date lookup per ``date_roles`` entry;
-       each dimension broadcast behind a size bound;
+       each dimension broadcast behind a size bound; ``unknown`` maps looked-up
+       columns to the key of an unknown member for rows without a match
+       (default: they stay NULL);
     5. ``delivery_days`` and ``is_on_time`` (false when undelivered).
     """
     h = history if touched is None else touched_history(history, touched, [key])
     f = milestone_pivot(h, key, status_col, time_col, statuses,
                         carry_cols=list(carry_cols), order=order)
-    tb = None
     if header is not None:
         src = header if touched is None else touched_history(header, touched, [key])
         f = src.join(f, key, "left")
-        tb = order_bounds(header, asof_col)
     f = as_of_join(f, customer_dim, [customer_key], asof_col, START, [customer_sk],
-                   dim_end=dim_end, time_bounds=tb)
+                   dim_end=dim_end)
     for dim, fact_col, dim_col, take in lookups:
         f = lookup_key(f, dim, fact_col, dim_col, take)
+    for name, member in (unknown or {}).items():
+        f = f.withColumn(name, F.coalesce(F.col(name), F.lit(member)))
     # one size check for the calendar, shared by every date role
     cal_rows = date_dim.count() if date_roles else 0
     for out, expr in date_roles.items():

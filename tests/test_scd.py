@@ -130,3 +130,13 @@ def test_scd1_earliest_first_delivery_wins(spark):
     assert rows(scd1_apply(first, later, ["k"], "seq", desc=False), "v") == [("first",)]
     earlier = spark.createDataFrame([(1, 3, "earlier")], s)
     assert rows(scd1_apply(first, earlier, ["k"], "seq", desc=False), "v") == [("earlier",)]
+
+
+def test_close_deleted_ends_the_last_version(spark):
+    t = [dt.datetime(2024, 1, d) for d in (1, 2, 5)]
+    ch = spark.createDataFrame([(1, t[0], "a", "insert"), (1, t[1], "b", "insert"), (1, t[2], None, "delete"),
+                                (2, t[0], "c", "insert")], "k int, s timestamp, v string, c string")
+    for close, end in ((False, None), (True, t[2] - dt.timedelta(milliseconds=1))):
+        out = scd2_apply(None, ch, ["k"], "s", ["v"], change_col="c", close_deleted=close)
+        got = {(r.k, r.v): (r.end_at, r.is_current) for r in out.collect()}
+        assert got == {(1, "a"): (t[1] - dt.timedelta(milliseconds=1), False), (1, "b"): (end, False), (2, "c"): (None, True)}
