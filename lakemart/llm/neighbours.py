@@ -179,13 +179,19 @@ def _start(nodes: DataFrame, n: int, dim: int, seed: int) -> DataFrame:
 # ------------------------------------------------------------- descent
 
 def _merge(links: DataFrame, turn: int) -> DataFrame:
-    """The best ``DEGREE`` links of each node from (u, v, s, new), with
-    ``pick``: whether a link takes part in the next round."""
-    best = Window.partitionBy("u").orderBy(F.desc("s"), "v")
+    """The best ``DEGREE`` links of each node from (u, v, s, new), in one
+    shuffle by node, with ``pick``: whether a link takes part in the next
+    round, and on each node's first link (``k`` = 1) ``worst``: the score an
+    offer has to beat."""
+    node = Window.partitionBy("u")
+    best = node.orderBy(F.desc("s"), "v")
     draw = Window.partitionBy("u", "new").orderBy(F.xxhash64("u", "v", F.lit(turn)), "v")
     kept = (links.repartition("u").groupBy("u", "v").agg(F.max("s").alias("s"), F.min("new").alias("new"))
-            .withColumn("k", F.row_number().over(best)).filter(F.col("k") <= DEGREE).drop("k"))
-    return kept.withColumn("pick", F.row_number().over(draw) <= SAMPLE)
+            .withColumn("k", F.row_number().over(best)).filter(F.col("k") <= DEGREE))
+    # a list that is not full takes any offer
+    full = F.max("k").over(node) >= DEGREE
+    return (kept.withColumn("worst", F.when(full, F.min("s").over(node)).otherwise(F.lit(-9.0)).cast("float"))
+            .withColumn("pick", F.row_number().over(draw) <= SAMPLE))
 
 
 def _compare_round(batches):
@@ -235,11 +241,9 @@ def graph(nodes: DataFrame, n: int, dim: int) -> DataFrame:
         picked = links.filter("pick")
         both = picked.select("u", "v", "new").union(picked.select(F.col("v").alias("u"), F.col("u").alias("v"), "new"))
         draw = Window.partitionBy("u", "new").orderBy(F.xxhash64("u", "v", F.lit(turn)), "v")
-        both = (both.groupBy("u", "v").agg(F.max("new").alias("new"))
+        both = (both.repartition("u").groupBy("u", "v").agg(F.max("new").alias("new"))
                 .withColumn("k", F.row_number().over(draw)).filter(F.col("k") <= SAMPLE).drop("k"))
-        # lists that are not full take any offer
-        worst = links.groupBy("u").agg(F.when(F.count("*") >= DEGREE, F.min("s")).otherwise(F.lit(-9.0)).cast("float")
-                                       .alias("worst")).withColumnRenamed("u", "node")
+        worst = links.filter("k = 1").select(F.col("u").alias("node"), "worst")
         known = nodes.join(worst, "node", "left").select(
             F.col("node").alias("v"), "vec", F.coalesce("worst", F.lit(-9.0).cast("float")).alias("worst"))
         offers = (both.join(known, "v").select("u", "v", "new", "vec", "worst").repartition("u").sortWithinPartitions("u")
@@ -304,30 +308,38 @@ def search(links: DataFrame, nodes: DataFrame, queries: DataFrame, n: int, beam:
         F.lit(None).cast("float").alias("floor"), F.lit(None).cast("array<long>").alias("nodes"))
     queries = cut_lineage(queries, "queries")
     beams = cut_lineage(queries.select("q", F.col("q").alias("node"), F.lit(-8.0).cast("float").alias("s"),
-                                       F.lit(False).alias("done")), "beams")
+                                       F.lit(False).alias("done"), F.lit(True).alias("pick"),
+                                       F.lit(-9.0).cast("float").alias("floor")), "beams")
     for hop in range(HOPS):
-        order = Window.partitionBy("q").orderBy(F.desc("s"), "node")
-        picks = cut_lineage(beams.filter("NOT done").withColumn("k", F.row_number().over(order))
-                            .filter(F.col("k") <= EXPAND).select("q", "node"), "picks")
+        picks = beams.filter("pick").select("q", "node", "floor")
         if picks.isEmpty():
             break
-        floors = beams.groupBy("q").agg(F.when(F.count("*") >= beam, F.min("s")).otherwise(F.lit(-9.0)).cast("float")
-                                        .alias("floor"))
-        asked = (picks.join(lists, "node").select("q", F.explode("near").alias("node"))
-                 .groupBy("q", block.alias("block")).agg(F.collect_set("node").alias("nodes")))
-        asked = asked.join(queries, "q").join(floors, "q").select(
+        asked = (picks.join(lists, "node").select("q", "floor", F.explode("near").alias("node"))
+                 .withColumn("block", block).repartition("q")
+                 .groupBy("q", "block").agg(F.collect_set("node").alias("nodes"), F.max("floor").alias("floor")))
+        asked = asked.join(queries, "q").select(
             "block", F.lit(1).alias("kind"), F.col("q").alias("id"), F.col("qvec").alias("vec"), "floor", "nodes")
         scored = (store.union(asked).repartition("block").sortWithinPartitions("block", "kind")
                   .mapInArrow(_score_requests, "q long, node long, s float"))
-        older = beams.join(picks.withColumn("now", F.lit(True)), ["q", "node"], "left").select(
-            "q", "node", "s", (F.col("done") | F.coalesce("now", F.lit(False))).alias("done"))
-        beams = cut_lineage(older.union(scored.withColumn("done", F.lit(False))).repartition("q")
-                            .groupBy("q", "node").agg(F.max("s").alias("s"), F.max("done").alias("done"))
-                            .withColumn("k", F.row_number().over(order)).filter(F.col("k") <= beam).drop("k"), "beams")
+        older = beams.select("q", "node", "s", (F.col("done") | F.col("pick")).alias("done"))
+        beams = cut_lineage(_next_beams(older.union(scored.withColumn("done", F.lit(False))), beam), "beams")
         release_shuffles(spark)
     return beams.select("q", "node", "s")
 
 
+def _next_beams(found: DataFrame, beam: int) -> DataFrame:
+    """The ``beam`` best nodes of each query, in one shuffle by query, with
+    the nodes to expand next (``pick``) and the score to beat (``floor``)."""
+    query = Window.partitionBy("q")
+    order = query.orderBy(F.desc("s"), "node")
+    undone = Window.partitionBy("q", "done").orderBy(F.desc("s"), "node")
+    kept = (found.repartition("q").groupBy("q", "node").agg(F.max("s").alias("s"), F.max("done").alias("done"))
+            .withColumn("k", F.row_number().over(order)).filter(F.col("k") <= beam))
+    full = F.max("k").over(query) >= beam
+    return (kept.withColumn("floor", F.when(full, F.min("s").over(query)).otherwise(F.lit(-9.0)).cast("float"))
+            .withColumn("pick", ~F.col("done") & (F.row_number().over(undone) <= EXPAND)).drop("k"))
+
+
 # ------------------------------------------------------------- whole operator
 
 RESULT = "query_id long, rank int, vec_id long, score double"
