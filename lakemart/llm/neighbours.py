@@ -12,8 +12,11 @@ Search: a beam per query starts at the query's own node; each hop joins the
 best unexpanded nodes of the beam with the graph, scores their neighbours and
 keeps the ``beam`` best, until every node in the beam is expanded.  Candidate
 vectors are not sent to the queries: requests go to blocks of vectors of
-fixed size and only scores that enter a beam come back.  The best of the beam
-are scored anew in double precision on the original vectors.
+fixed size and only scores that enter a beam come back.  The whole beam is
+scored anew by the SQL sum that gives the reported scores.
+
+Vectors are packed without loss and all products are in double precision:
+among near copies the scores differ by less than single floats resolve.
 
 Inner products become distances of unit vectors by one further component
 (``sqrt(M^2 - |x|^2)``, M the largest norm), so long vectors are found too.
@@ -35,6 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from lakemart.llm.common import short_batches
 from lakemart.session import cut_lineage, release_shuffles
@@ -50,8 +54,8 @@ BEAM = 400                      # nodes kept per query
 EXPAND = 100                    # nodes expanded per hop
 HOPS = 60                       # a guard; beams end when all their nodes are expanded
 STORE = 4096                    # vectors per block during the search
-AGAIN = 3                       # times the wanted neighbours scored in double precision
 ROWS = 8192                     # rows per Arrow batch; rows are narrow
+NOTHING = float("-inf")         # a floor that any score passes
 
 
 # ------------------------------------------------------------- vectors
@@ -68,25 +72,12 @@ def _dot(a: Column, b: Column) -> Column:
                        F.lit(0.0), lambda s, x: s + x)
 
 
-def _pack(vec: str, dim: int, largest: float) -> Column:
-    """Vector as packed 16-bit floats, scaled to the largest norm and
-    completed to length one."""
-
-    @F.arrow_udf("binary")
-    def run(rows: pa.Array) -> pa.Array:
-        x = _padded(rows, dim) / largest
-        rest = np.sqrt(np.maximum(0.0, 1.0 - (x * x).sum(axis=1, keepdims=True)))
-        return _binary(np.hstack([x, rest]))
-
-    return run(F.col(vec))
-
+def _pack(vec: str, dim: int, kind: str) -> Column:
+    """Vector padded with zeros, as packed numbers of type ``kind``."""
 
-def _pack_query(vec: str, dim: int) -> Column:
     @F.arrow_udf("binary")
     def run(rows: pa.Array) -> pa.Array:
-        x = _padded(rows, dim)
-        x = x / np.linalg.norm(x, axis=1, keepdims=True)
-        return _binary(np.hstack([x, np.zeros((len(x), 1))]))
+        return _binary(_padded(rows, dim), kind)
 
     return run(F.col(vec))
 
@@ -101,16 +92,23 @@ def _padded(rows: pa.Array, dim: int) -> np.ndarray:
     return out
 
 
-def _binary(x: np.ndarray) -> pa.Array:
-    data = np.ascontiguousarray(x, np.float16)
-    width = data.shape[1] * 2
+def _binary(x: np.ndarray, kind: str) -> pa.Array:
+    data = np.ascontiguousarray(x, kind)
+    width = data.shape[1] * data.itemsize
     raw = data.tobytes()
     return pa.array([raw[i * width:(i + 1) * width] for i in range(len(data))], pa.binary())
 
 
-def _matrix(col: pa.Array) -> np.ndarray:
+def _matrix(col: pa.Array, kind: str) -> np.ndarray:
     rows = col.to_pylist()
-    return np.frombuffer(b"".join(rows), np.float16).reshape(len(rows), -1).astype(np.float32)
+    return np.frombuffer(b"".join(rows), kind).reshape(len(rows), -1).astype(np.float64)
+
+
+def _completed(col: pa.Array, kind: str, largest: float) -> np.ndarray:
+    """Vectors scaled to the largest norm and completed to length one."""
+    x = _matrix(col, kind) / largest
+    rest = np.sqrt(np.maximum(0.0, 1.0 - np.einsum("ij,ij->i", x, x)))
+    return np.hstack([x, rest[:, None]])
 
 
 def _by_key(batches, key: str, least: int):
@@ -133,16 +131,16 @@ def _by_key(batches, key: str, least: int):
 
 # ------------------------------------------------------------- start
 
-def _start(nodes: DataFrame, n: int, dim: int, seed: int) -> DataFrame:
+def _start(nodes: DataFrame, n: int, dim: int, kind: str, largest: float, seed: int) -> DataFrame:
     """Links (u, v, s) among rows that are close in an order by random
     hyperplanes."""
     bits = max(1, min(30, int(np.log2(max(2, n / BLOCK)))))
     rng = np.random.default_rng(seed)
-    planes = rng.standard_normal((dim + 1, bits + 1)).astype(np.float32)
+    planes = rng.standard_normal((dim + 1, bits + 1))
 
     @F.arrow_udf("double")
     def place(vecs: pa.Array) -> pa.Array:
-        p = _matrix(vecs) @ planes
+        p = _completed(vecs, kind, largest) @ planes
         code = (p[:, :bits] > 0) @ (1 << np.arange(bits, dtype=np.int64))
         return pa.array(code + 0.5 + np.arctan(p[:, bits]) / np.pi)
 
@@ -159,7 +157,7 @@ def _start(nodes: DataFrame, n: int, dim: int, seed: int) -> DataFrame:
             yield from best(rest)
 
     def best(t):
-        ids, x = t.column("node").to_numpy(), _matrix(t.column("vec").combine_chunks())
+        ids, x = t.column("node").to_numpy(), _completed(t.column("vec").combine_chunks(), kind, largest)
         for i in range(0, len(ids), BLOCK):
             own, y = ids[i:i + BLOCK], x[i:i + BLOCK]
             s = y @ y.T
@@ -169,11 +167,11 @@ def _start(nodes: DataFrame, n: int, dim: int, seed: int) -> DataFrame:
                 top = np.argpartition(-s, k - 1, axis=1)[:, :k]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.repeat(own, k)), pa.array(own[top].reshape(-1)),
-                     pa.array(np.take_along_axis(s, top, 1).reshape(-1).astype(np.float32))], names=["u", "v", "s"])
+                     pa.array(np.take_along_axis(s, top, 1).reshape(-1))], names=["u", "v", "s"])
 
     placed = nodes.withColumn("at", place("vec"))
     return (placed.repartitionByRange(max(1, n // 2048), "at").sortWithinPartitions("at")
-            .select("node", "vec").mapInArrow(compare, "u long, v long, s float"))
+            .select("node", "vec").mapInArrow(compare, "u long, v long, s double"))
 
 
 # ------------------------------------------------------------- descent
@@ -190,48 +188,52 @@ def _merge(links: DataFrame, turn: int) -> DataFrame:
             .withColumn("k", F.row_number().over(best)).filter(F.col("k") <= DEGREE))
     # a list that is not full takes any offer
     full = F.max("k").over(node) >= DEGREE
-    return (kept.withColumn("worst", F.when(full, F.min("s").over(node)).otherwise(F.lit(-9.0)).cast("float"))
+    return (kept.withColumn("worst", F.when(full, F.min("s").over(node)).otherwise(F.lit(-9.0)))
             .withColumn("pick", F.row_number().over(draw) <= SAMPLE))
 
 
-def _compare_round(batches):
+def _compare_round(kind: str, largest: float):
     """Local joins: (u, v, new, vec, worst) sorted by u -> offers (u, v, s)."""
-    for t in _by_key(batches, "u", 40_000):
-        u, v = t.column("u").to_numpy(), t.column("v").to_numpy()
-        fresh, worst = t.column("new").to_numpy(zero_copy_only=False), t.column("worst").to_numpy()
-        x = _matrix(t.column("vec").combine_chunks())
-        first = np.concatenate([[0], np.flatnonzero(np.diff(u)) + 1])
-        sizes = np.diff(np.concatenate([first, [len(u)]]))
-        groups = np.repeat(np.arange(len(first)), sizes)
-        place = np.arange(len(u)) - first[groups]
-        a, b, s = [], [], []
-        for lo in range(0, len(first), 256):
-            rows = slice(first[lo], first[lo + 256] if lo + 256 < len(first) else len(u))
-            g, p, m = groups[rows] - lo, place[rows], int(sizes[lo:lo + 256].max())
-            k = min(256, len(first) - lo)
-            ids, new = np.full((k, m), -1), np.zeros((k, m), bool)
-            bound, y = np.full((k, m), np.inf, np.float32), np.zeros((k, m, x.shape[1]), np.float32)
-            has = np.zeros((k, m), bool)
-            ids[g, p], new[g, p], bound[g, p], y[g, p], has[g, p] = v[rows], fresh[rows], worst[rows], x[rows], True
-            score = y @ y.transpose(0, 2, 1)
-            ok = (has[:, :, None] & has[:, None, :] & (new[:, :, None] | new[:, None, :])
-                  & (ids[:, :, None] != ids[:, None, :]) & (score > bound[:, :, None]))
-            i, j, l = np.nonzero(ok)
-            a.append(ids[i, j]), b.append(ids[i, l]), s.append(score[i, j, l])
-        a, b, s = np.concatenate(a), np.concatenate(b), np.concatenate(s)
-        order = np.lexsort((b, a))
-        a, b, s = a[order], b[order], s[order]
-        once = np.ones(len(a), bool)
-        once[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-        yield pa.RecordBatch.from_arrays([pa.array(a[once]), pa.array(b[once]), pa.array(s[once])], names=["u", "v", "s"])
-
-
-def graph(nodes: DataFrame, n: int, dim: int) -> DataFrame:
-    """NN-descent over (node, vec): the links (u, v, s)."""
+
+    def run(batches):
+        for t in _by_key(batches, "u", 40_000):
+            u, v = t.column("u").to_numpy(), t.column("v").to_numpy()
+            fresh, worst = t.column("new").to_numpy(zero_copy_only=False), t.column("worst").to_numpy()
+            x = _completed(t.column("vec").combine_chunks(), kind, largest)
+            first = np.concatenate([[0], np.flatnonzero(np.diff(u)) + 1])
+            sizes = np.diff(np.concatenate([first, [len(u)]]))
+            groups = np.repeat(np.arange(len(first)), sizes)
+            place = np.arange(len(u)) - first[groups]
+            a, b, s = [], [], []
+            for lo in range(0, len(first), 256):
+                rows = slice(first[lo], first[lo + 256] if lo + 256 < len(first) else len(u))
+                g, p, m = groups[rows] - lo, place[rows], int(sizes[lo:lo + 256].max())
+                k = min(256, len(first) - lo)
+                ids, new = np.full((k, m), -1), np.zeros((k, m), bool)
+                bound, y = np.full((k, m), np.inf), np.zeros((k, m, x.shape[1]))
+                has = np.zeros((k, m), bool)
+                ids[g, p], new[g, p], bound[g, p], y[g, p], has[g, p] = v[rows], fresh[rows], worst[rows], x[rows], True
+                score = y @ y.transpose(0, 2, 1)
+                ok = (has[:, :, None] & has[:, None, :] & (new[:, :, None] | new[:, None, :])
+                      & (ids[:, :, None] != ids[:, None, :]) & (score > bound[:, :, None]))
+                i, j, l = np.nonzero(ok)
+                a.append(ids[i, j]), b.append(ids[i, l]), s.append(score[i, j, l])
+            a, b, s = np.concatenate(a), np.concatenate(b), np.concatenate(s)
+            order = np.lexsort((b, a))
+            a, b, s = a[order], b[order], s[order]
+            once = np.ones(len(a), bool)
+            once[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+            yield pa.RecordBatch.from_arrays([pa.array(a[once]), pa.array(b[once]), pa.array(s[once])], names=["u", "v", "s"])
+
+    return run
+
+
+def graph(nodes: DataFrame, n: int, dim: int, kind: str, largest: float) -> DataFrame:
+    """NN-descent over (node, vec), packed as ``kind``: the links (u, v, s)."""
     spark = nodes.sparkSession
     links = None
     for t in range(ORDERS):
-        some = _start(nodes, n, dim, 17 + t)
+        some = _start(nodes, n, dim, kind, largest, 17 + t)
         links = some if links is None else links.union(some)
     links = cut_lineage(_merge(links.withColumn("new", F.lit(True)), 0), "graph")
     for turn in range(1, ROUNDS + 1):
@@ -245,9 +247,9 @@ def graph(nodes: DataFrame, n: int, dim: int) -> DataFrame:
                 .withColumn("k", F.row_number().over(draw)).filter(F.col("k") <= SAMPLE).drop("k"))
         worst = links.filter("k = 1").select(F.col("u").alias("node"), "worst")
         known = nodes.join(worst, "node", "left").select(
-            F.col("node").alias("v"), "vec", F.coalesce("worst", F.lit(-9.0).cast("float")).alias("worst"))
+            F.col("node").alias("v"), "vec", F.coalesce("worst", F.lit(-9.0)).alias("worst"))
         offers = (both.join(known, "v").select("u", "v", "new", "vec", "worst").repartition("u").sortWithinPartitions("u")
-                  .mapInArrow(_compare_round, "u long, v long, s float").withColumn("new", F.lit(True)))
+                  .mapInArrow(_compare_round(kind, largest), "u long, v long, s double").withColumn("new", F.lit(True)))
         older = links.select("u", "v", "s", (F.col("new") & ~F.col("pick")).alias("new"))
         links = cut_lineage(_merge(older.union(offers), turn), "graph")
         release_shuffles(spark)
@@ -256,44 +258,48 @@ def graph(nodes: DataFrame, n: int, dim: int) -> DataFrame:
 
 # ------------------------------------------------------------- search
 
-def _score_requests(batches):
+def _score_requests(kind: str):
     """Rows sorted by (block, kind): vectors of a block (kind 0), then requests
-    (kind 1: query, query vector, floor, nodes) -> (q, node, s) above the floor."""
-    block, parts, ids, x = None, [], None, None
-    for b in batches:
-        t = pa.Table.from_batches([b])
-        blocks, kinds = t.column("block").to_numpy(), t.column("kind").to_numpy()
-        cuts = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(kinds) != 0)) + 1
-        for lo, hi in zip([0, *cuts], [*cuts, len(blocks)]):
-            part = t.slice(lo, hi - lo)
-            if blocks[lo] != block:
-                block, parts, ids = blocks[lo], [], None
-            if kinds[lo] == 0:
-                parts.append((part.column("id").to_numpy(), _matrix(part.column("vec").combine_chunks())))
-                continue
-            if not parts:
-                continue
-            if ids is None:
-                ids, x = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-                order = np.argsort(ids)
-                ids, x = ids[order], x[order]
-            y, floors = _matrix(part.column("vec").combine_chunks()), part.column("floor").to_numpy()
-            lists = part.column("nodes").combine_chunks()
-            flat, width = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
-            row = np.repeat(np.arange(len(width)), width)
-            at = np.searchsorted(ids, flat)
-            q, out = part.column("id").to_numpy(), ([], [], [])
-            for i in range(0, len(flat), 50_000):
-                r = row[i:i + 50_000]
-                s = np.einsum("ij,ij->i", x[at[i:i + 50_000]], y[r])
-                good = s > floors[r]
-                for o, v in zip(out, (q[r][good], flat[i:i + 50_000][good], s[good])):
-                    o.append(v)
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(o)) for o in out], names=["q", "node", "s"])
-
-
-def search(links: DataFrame, nodes: DataFrame, queries: DataFrame, n: int, beam: int = BEAM) -> DataFrame:
+    (kind 1: query, query vector, floor, nodes) -> (q, node, s) not below the floor."""
+
+    def run(batches):
+        block, parts, ids, x = None, [], None, None
+        for b in batches:
+            t = pa.Table.from_batches([b])
+            blocks, kinds = t.column("block").to_numpy(), t.column("kind").to_numpy()
+            cuts = np.flatnonzero((np.diff(blocks) != 0) | (np.diff(kinds) != 0)) + 1
+            for lo, hi in zip([0, *cuts], [*cuts, len(blocks)]):
+                part = t.slice(lo, hi - lo)
+                if blocks[lo] != block:
+                    block, parts, ids = blocks[lo], [], None
+                if kinds[lo] == 0:
+                    parts.append((part.column("id").to_numpy(), _matrix(part.column("vec").combine_chunks(), kind)))
+                    continue
+                if not parts:
+                    continue
+                if ids is None:
+                    ids, x = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+                    order = np.argsort(ids)
+                    ids, x = ids[order], x[order]
+                y, floors = _matrix(part.column("vec").combine_chunks(), kind), part.column("floor").to_numpy()
+                lists = part.column("nodes").combine_chunks()
+                flat, width = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+                row = np.repeat(np.arange(len(width)), width)
+                at = np.searchsorted(ids, flat)
+                q, out = part.column("id").to_numpy(), ([], [], [])
+                for i in range(0, len(flat), 50_000):
+                    r = row[i:i + 50_000]
+                    s = np.einsum("ij,ij->i", x[at[i:i + 50_000]], y[r])
+                    good = s >= floors[r]      # equal scores go to the smaller node
+                    for o, v in zip(out, (q[r][good], flat[i:i + 50_000][good], s[good])):
+                        o.append(v)
+                if out[0]:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(o)) for o in out], names=["q", "node", "s"])
+
+    return run
+
+
+def search(links: DataFrame, nodes: DataFrame, queries: DataFrame, n: int, kind: str, beam: int = BEAM) -> DataFrame:
     """Greedy search for ``queries`` (q: a node, qvec): beams (q, node, s)."""
     spark = nodes.sparkSession
     blocks = max(1, -(-n // STORE))
@@ -305,11 +311,11 @@ def search(links: DataFrame, nodes: DataFrame, queries: DataFrame, n: int, beam:
                         .agg(F.collect_set("v").alias("near")), "lists")
     store = cut_lineage(nodes.withColumn("block", block), "store").select(
         "block", F.lit(0).alias("kind"), F.col("node").alias("id"), "vec",
-        F.lit(None).cast("float").alias("floor"), F.lit(None).cast("array<long>").alias("nodes"))
+        F.lit(None).cast("double").alias("floor"), F.lit(None).cast("array<long>").alias("nodes"))
     queries = cut_lineage(queries, "queries")
-    beams = cut_lineage(queries.select("q", F.col("q").alias("node"), F.lit(-8.0).cast("float").alias("s"),
+    beams = cut_lineage(queries.select("q", F.col("q").alias("node"), F.lit(NOTHING).alias("s"),
                                        F.lit(False).alias("done"), F.lit(True).alias("pick"),
-                                       F.lit(-9.0).cast("float").alias("floor")), "beams")
+                                       F.lit(NOTHING).alias("floor")), "beams")
     for hop in range(HOPS):
         picks = beams.filter("pick").select("q", "node", "floor")
         if picks.isEmpty():
@@ -320,7 +326,7 @@ def search(links: DataFrame, nodes: DataFrame, queries: DataFrame, n: int, beam:
         asked = asked.join(queries, "q").select(
             "block", F.lit(1).alias("kind"), F.col("q").alias("id"), F.col("qvec").alias("vec"), "floor", "nodes")
         scored = (store.union(asked).repartition("block").sortWithinPartitions("block", "kind")
-                  .mapInArrow(_score_requests, "q long, node long, s float"))
+                  .mapInArrow(_score_requests(kind), "q long, node long, s double"))
         older = beams.select("q", "node", "s", (F.col("done") | F.col("pick")).alias("done"))
         beams = cut_lineage(_next_beams(older.union(scored.withColumn("done", F.lit(False))), beam), "beams")
         release_shuffles(spark)
@@ -336,7 +342,7 @@ def _next_beams(found: DataFrame, beam: int) -> DataFrame:
     kept = (found.repartition("q").groupBy("q", "node").agg(F.max("s").alias("s"), F.max("done").alias("done"))
             .withColumn("k", F.row_number().over(order)).filter(F.col("k") <= beam))
     full = F.max("k").over(query) >= beam
-    return (kept.withColumn("floor", F.when(full, F.min("s").over(query)).otherwise(F.lit(-9.0)).cast("float"))
+    return (kept.withColumn("floor", F.when(full, F.min("s").over(query)).otherwise(F.lit(NOTHING)))
             .withColumn("pick", ~F.col("done") & (F.row_number().over(undone) <= EXPAND)).drop("k"))
 
 
@@ -360,16 +366,16 @@ def nearest(df: DataFrame, id_col: str, vec_col: str, is_query: Column, k: int =
     n, dim, largest = seen
     if n == 0:
         return spark.createDataFrame([], RESULT)
-    packed = cut_lineage(nodes.select("node", _pack("v", dim, largest).alias("vec")), "packed")
-    links = graph(packed, n, dim)
+    kind = "<f4" if isinstance(df.schema[vec_col].dataType.elementType, FloatType) else "<f8"
+    packed = cut_lineage(nodes.select("node", _pack("v", dim, kind).alias("vec")), "packed")
+    links = graph(packed, n, dim, kind, largest)
     members = cut_lineage(rows.join(nodes, "v").select("id", "node", "asks"), "members")
     asking = members.filter("asks")
-    of_node = nodes.join(asking.select("node").distinct(), "node")
-    beams = search(links, packed, of_node.select(F.col("node").alias("q"), _pack_query("v", dim).alias("qvec")), n,
+    of_node = packed.join(asking.select("node").distinct(), "node")
+    beams = search(links, packed, of_node.select(F.col("node").alias("q"), F.col("vec").alias("qvec")), n, kind,
                    max(beam, k + 1))
-    # the best of each beam, scored exactly
-    order = Window.partitionBy("q").orderBy(F.desc("s"), "node")
-    top = beams.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= AGAIN * (k + 1)).select("q", "node")
+    # the whole beam, scored by one fixed sum
+    top = beams.select("q", "node")
     top = top.join(nodes.withColumnRenamed("v", "b"), "node").join(
         nodes.select(F.col("node").alias("q"), F.col("v").alias("a")), "q")
     exact = top.select("q", "node", _dot(F.col("a"), F.col("b")).alias("score"))

@@ -183,6 +183,16 @@ def test_neighbours_recall_with_copies_and_long_vectors(spark):
         assert [v for v, _ in got[q]] == [v for v, _ in want[q]]
 
 
+def test_neighbours_recall_among_near_copies(spark):
+    r = np.random.default_rng(3)
+    x = r.standard_normal(64) * (1 + 0.001 * r.standard_normal((1500, 64)))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    rows = [(i, [float(np.float32(c)) for c in v]) for i, v in enumerate(x)]
+    got, want = run(spark, rows), brute(rows, 20)
+    recall = np.mean([len({v for v, _ in got[q]} & {v for v, _ in want[q]}) / 20 for q in want])
+    assert set(got) == set(want) and recall >= 0.95
+
+
 # ------------------------------------------------------------- pipeline
 
 def test_pipeline_stages_on_their_own_inputs(spark):
