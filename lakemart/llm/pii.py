@@ -3,7 +3,9 @@
 Built-in SQL functions only.  For every kind a regular expression proposes
 spans (leftmost, not overlapping); a validator confirms or drops each (address
 parts, Luhn and mod-97 checksums, digit counts), and words near the span raise
-its score.  Kinds marked ``needs_context`` are reported only when their score
+its score.  An IBAN is as long as its country's are (``IBAN_LENGTHS``), so
+that words and numbers after it are not taken for a part of it; codes of other
+countries have no IBANs.  Kinds marked ``needs_context`` are reported only when their score
 reaches ``ACCEPT``; base kinds are reported whenever they are valid.
 
 Positions come from splitting the text by the same expression: gap lengths and
@@ -40,7 +42,15 @@ class Kind:
     needs_context: bool = False
 
 
-# --- fixed values: kinds in the order in which spans are listed ------------------
+# --- fixed values: characters of an IBAN by country, kinds in the order in which spans are listed
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD TG",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+_IBAN = "|".join(f"(?:{c.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items())
 _LOCAL = "[A-Za-z0-9._%+-]"
 KINDS = [
     Kind("email", "@", rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", 0.9,
@@ -49,7 +59,7 @@ KINDS = [
          r"\bip\b|host|server|address|login"),
     Kind("card", r"[0-9]", r"[0-9](?:[ -]?[0-9])++", 0.7, r"card|visa|credit|payment|account"),
     Kind("phone", r"\+[0-9]", r"\+[0-9][ ().0-9-]+[0-9]", 0.7, r"phone|call|tel|mobile|fax"),
-    Kind("iban", r"[A-Z]{2}[0-9]{2}", r"(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Z0-9])", 0.8,
+    Kind("iban", r"[A-Z]{2}[0-9]{2}", rf"(?<![A-Z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{_IBAN})(?![A-Z0-9])", 0.8,
          r"iban|bank|account|konto|compte|cuenta", base=False),
     Kind("ssn", r"[0-9]-[0-9]{2}-[0-9]",
          r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])", 0.4,

@@ -121,6 +121,20 @@ def test_added_kinds_checksums_and_context(spark):
     assert got[4][0][4] > got[5][0][4]
 
 
+def test_iban_ends_where_its_country_says(spark):
+    ibans = ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "NO9386011117947", "GB29 NWBK 6016 1331 9268 19",
+             "FR1420041010050500013M02606", "MT84MALT011000012345MTLCAST001S"]
+    tails = [" Thanks", " BIC COBADEFF", " 12 May", " DE 5", "", ".", " and", " " + ibans[0]]
+    texts = [f"IBAN {i}{t}" for i in ibans for t in tails] + ["IBAN DE893704004405320130005", "XX89370400440532013000"]
+    got = found(spark, texts)
+    for n, t in enumerate(texts[:-2]):
+        i = ibans[n // len(tails)]
+        spans = [s[1:3] for s in got[n] if s[0] == "iban"]
+        assert spans[0] == (5, 5 + len(i)), t
+        assert len(spans) == 1 + t.endswith(" " + ibans[0]) - (t == f"IBAN {ibans[0]}"), t
+    assert not [s for n in (-2, -1) for s in got[len(texts) + n] if s[0] == "iban"]
+
+
 def test_query_digest(spark):
     from pyspark.sql import functions as F
     df = spark.createDataFrame([(None, "a@b.c 1.2.3.4"), (1, None)], "spans long, text string")
