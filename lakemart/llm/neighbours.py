@@ -8,7 +8,9 @@ pairs among them are compared with one matrix product per node, and a pair
 that beats the worst neighbour of either end is offered to it.  Rounds end
 when few lists change.
 
-Search: a beam per query starts at the query's own node; each hop joins the
+Search: a beam per query starts at the query's own node, which is always among
+the nodes scored at the end; every node that has a link is in at least one
+list.  Each hop joins the
 best unexpanded nodes of the beam with the graph, scores their neighbours and
 keeps the ``beam`` best, until every node in the beam is expanded.  Candidate
 vectors are not sent to the queries: requests go to blocks of vectors of
@@ -299,21 +301,43 @@ def _score_requests(kind: str):
     return run
 
 
+def _lists(links: DataFrame) -> DataFrame:
+    """(node, near): each node's links, the ``REVERSE`` best of the nodes that
+    list it, and the nodes that would else be in no list.  Such a node joins
+    the list of the one of its neighbours that the fewest nodes list, so that
+    a neighbour of many nodes does not get a long list."""
+    better = Window.partitionBy("u").orderBy(F.desc("s"), "v")
+    back = (links.select(F.col("v").alias("u"), F.col("u").alias("v"), "s")
+            .withColumn("k", F.row_number().over(better)).filter(F.col("k") <= REVERSE).select("u", "v"))
+    near = cut_lineage(links.select("u", "v").union(back).distinct(), "near")
+    missing = links.join(near.select(F.col("v").alias("u")).distinct(), "u", "left_anti")
+    listed = links.groupBy("v").agg(F.count("*").alias("n"))
+    fewest = Window.partitionBy("u").orderBy("n", F.desc("s"), "v")
+    kept = (missing.join(listed, "v").withColumn("k", F.row_number().over(fewest)).filter("k = 1")
+            .select(F.col("v").alias("u"), F.col("u").alias("v")))
+    return near.union(kept).groupBy(F.col("u").alias("node")).agg(F.collect_set("v").alias("near"))
+
+
+def _own_score(vec: str, kind: str) -> Column:
+    @F.arrow_udf("double")
+    def run(rows: pa.Array) -> pa.Array:
+        x = _matrix(rows, kind)
+        return pa.array(np.einsum("ij,ij->i", x, x))
+
+    return run(F.col(vec))
+
+
 def search(links: DataFrame, nodes: DataFrame, queries: DataFrame, n: int, kind: str, beam: int = BEAM) -> DataFrame:
     """Greedy search for ``queries`` (q: a node, qvec): beams (q, node, s)."""
     spark = nodes.sparkSession
     blocks = max(1, -(-n // STORE))
     block = F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int")
-    better = Window.partitionBy("u").orderBy(F.desc("s"), "v")
-    back = (links.select(F.col("v").alias("u"), F.col("u").alias("v"), "s")
-            .withColumn("k", F.row_number().over(better)).filter(F.col("k") <= REVERSE).select("u", "v"))
-    lists = cut_lineage(links.select("u", "v").union(back).groupBy(F.col("u").alias("node"))
-                        .agg(F.collect_set("v").alias("near")), "lists")
+    lists = cut_lineage(_lists(links), "lists")
     store = cut_lineage(nodes.withColumn("block", block), "store").select(
         "block", F.lit(0).alias("kind"), F.col("node").alias("id"), "vec",
         F.lit(None).cast("double").alias("floor"), F.lit(None).cast("array<long>").alias("nodes"))
     queries = cut_lineage(queries, "queries")
-    beams = cut_lineage(queries.select("q", F.col("q").alias("node"), F.lit(NOTHING).alias("s"),
+    beams = cut_lineage(queries.select("q", F.col("q").alias("node"), _own_score("qvec", kind).alias("s"),
                                        F.lit(False).alias("done"), F.lit(True).alias("pick"),
                                        F.lit(NOTHING).alias("floor")), "beams")
     for hop in range(HOPS):
@@ -374,8 +398,9 @@ def nearest(df: DataFrame, id_col: str, vec_col: str, is_query: Column, k: int =
     of_node = packed.join(asking.select("node").distinct(), "node")
     beams = search(links, packed, of_node.select(F.col("node").alias("q"), F.col("vec").alias("qvec")), n, kind,
                    max(beam, k + 1))
-    # the whole beam, scored by one fixed sum
-    top = beams.select("q", "node")
+    # the whole beam and the query's own node, scored by one fixed sum
+    own = of_node.select(F.col("node").alias("q"), "node")
+    top = beams.select("q", "node").union(own).distinct()
     top = top.join(nodes.withColumnRenamed("v", "b"), "node").join(
         nodes.select(F.col("node").alias("q"), F.col("v").alias("a")), "q")
     exact = top.select("q", "node", _dot(F.col("a"), F.col("b")).alias("score"))

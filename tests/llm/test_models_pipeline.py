@@ -193,6 +193,20 @@ def test_neighbours_recall_among_near_copies(spark):
     assert set(got) == set(want) and recall >= 0.95
 
 
+def test_neighbours_of_a_node_in_no_list(spark, monkeypatch):
+    """Links in which all nodes list 0 and 1 only, 0 and 1 each other: beyond
+    the reverse links no list has the worst nodes, one of which asks."""
+    x = [[1.0, 0.0], [0.999, 0.01]] + [[0.9 - 0.005 * i, 0.1 + 0.005 * i] for i in range(98)] + [[0.1, 2.0], [0.1, 1.9]]
+    rows = [(i + 1, [float(np.float32(c)) for c in v]) for i, v in enumerate(x)] + [(200, [float(np.float32(0.1)), 2.0]),
+                                                                                (220, [float(np.float32(0.1)), 2.0])]
+    links = [(u, v, float(np.dot(x[u - 1], x[v - 1]) / 5)) for u in range(1, len(x) + 1) for v in (1, 2) if u != v]
+    monkeypatch.setattr(neighbours, "graph", lambda *a: spark.createDataFrame(links, "u long, v long, s double"))
+    got, want = run(spark, rows, 2), brute(rows, 2)
+    assert [v for v, _ in got[200]] == [v for v, _ in want[200]] == [101, 220]
+    assert [s for _, s in got[200]] == pytest.approx([s for _, s in want[200]])
+    assert [v for v, _ in got[100]] == [v for v, _ in want[100]] == [101, 200]
+
+
 # ------------------------------------------------------------- pipeline
 
 def test_pipeline_stages_on_their_own_inputs(spark):
