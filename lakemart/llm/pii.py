@@ -10,7 +10,8 @@ reaches ``ACCEPT``; base kinds are reported whenever they are valid.
 
 Positions come from splitting the text by the same expression: gap lengths and
 match lengths, summed in blocks, give starts and ends in code points, linear
-in the text.  The patterns use possessive repeats, so that one long run of
+in the text.  Context is cut by position, other spans included, from pieces of
+the text of equal length, so that a span costs the same in any text.  The patterns use possessive repeats, so that one long run of
 letters or digits is scanned once, not once per start; ``\\G`` and lookbehinds
 keep the spans those of the plain patterns.
 
@@ -29,6 +30,7 @@ CONTEXT = 40                    # code points before and after a span that may h
 ACCEPT = 0.6                    # least score of a kind that needs context
 RAISE = 0.3                     # what a context word adds
 BLOCK = 256                     # spans per block of the running sums
+PIECE = 256                     # code points per piece of a text, from which context is cut; above CONTEXT
 
 
 @dataclass(frozen=True)
@@ -122,17 +124,23 @@ def running_sums(lengths: Column) -> Column:
     return F.flatten(F.zip_with(blocks, scan(sums, F.lit(0)), scan))
 
 
+def _between(start: Column, end: Column) -> Column:
+    """Code points of the text from start to end, at most ``CONTEXT``."""
+    first = F.floor(start / PIECE).cast("int")
+    two = F.concat(F.coalesce(F.get("pieces", first), F.lit("")), F.coalesce(F.get("pieces", first + 1), F.lit("")))
+    return F.substring(two, start - first * PIECE + 1, end - start)
+
+
 def _spans(k: Kind):
     """Struct of the i-th match of kind ``k``, from its gaps and sums."""
     gaps, sums = F.col(f"g_{k.name}"), F.col(f"s_{k.name}")
 
     def span(match, i):
-        before, after = F.get(gaps, i), F.get(gaps, i + 1)
-        around = F.concat(F.substring(before, F.greatest(F.length(before) - CONTEXT + 1, F.lit(1)), F.lit(CONTEXT)),
-                          F.lit(" "), F.substring(after, F.lit(1), F.lit(CONTEXT)))
-        start = F.get(sums, i) + F.length(before)
+        start = F.get(sums, i) + F.length(F.get(gaps, i))
+        end = start + F.length(match)
+        around = F.concat(_between(F.greatest(start - CONTEXT, F.lit(0)), start), F.lit(" "), _between(end, end + CONTEXT))
         score = F.least(F.lit(k.score) + F.when(around.rlike(f"(?i){k.words}"), RAISE).otherwise(0.0), F.lit(1.0))
-        return F.struct(F.lit(k.name).alias("kind"), start.alias("start"), (start + F.length(match)).alias("end"),
+        return F.struct(F.lit(k.name).alias("kind"), start.alias("start"), end.alias("end"),
                         score.alias("score"), F.lit(k.base).alias("base"), _valid(k.name, match).alias("valid"))
 
     return span
@@ -159,6 +167,8 @@ def find(df: DataFrame, text: str, out: str = "spans") -> DataFrame:
         m, g = F.col(f"m_{k.name}"), F.col(f"g_{k.name}")
         steps = F.zip_with(F.slice(g, 1, F.size(m)), m, lambda a, b: F.length(a) + F.length(b))
         work = work.withColumn(f"s_{k.name}", F.when(F.size(m) > 0, running_sums(steps)))
+    some = F.greatest(*[F.size(f"m_{k.name}") for k in KINDS]) > 0
+    work = work.withColumn("pieces", F.when(some, F.regexp_extract_all("t", F.lit(rf"(?s).{{1,{PIECE}}}"), F.lit(0))))
     for k in KINDS:
         found = F.filter(F.transform(F.col(f"m_{k.name}"), _spans(k)), _reported(k))
         work = work.withColumn(f"f_{k.name}", F.when(F.size(f"m_{k.name}") > 0, found))

@@ -135,6 +135,17 @@ def test_iban_ends_where_its_country_says(spark):
     assert not [s for n in (-2, -1) for s in got[len(texts) + n] if s[0] == "iban"]
 
 
+def test_context_reaches_over_neighbouring_spans(spark):
+    near = "SSN: 123-45-6789, 234-56-7890, 345-67-8901"
+    far = "ssn" + " " * 37 + "123-45-6789" + " " * 41 + "234-56-7890" + "é" * 37 + "SSN" + " " * 38 + "345-67-8901"
+    texts = [near, far, "😀" * 251 + near, "contact a@b.co c@d.co", "x" * 600 + " a@b.co"]
+    got = found(spark, texts)
+    assert [s[:3] for s in got[0]] == [("ssn", 5, 16), ("ssn", 18, 29), ("ssn", 31, 42)]
+    assert [s[1] for s in got[1]] == [40, 92]              # 40 and 37 code points away, the third more than 38
+    assert [s[1:3] for s in got[2]] == [(a + 251, b + 251) for _, a, b, *_ in got[0]]
+    assert [s[4] for s in got[3]] == [1.0, 1.0] and [s[4] for s in got[4]] == [0.9]
+
+
 def test_query_digest(spark):
     from pyspark.sql import functions as F
     df = spark.createDataFrame([(None, "a@b.c 1.2.3.4"), (1, None)], "spans long, text string")
