@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakemart.llm import bpe, exact, gam, html, mixing, neighbours, pii, sharding, simhash, warc
+from lakemart.llm import bpe, centroids, exact, gam, html, mixing, neighbours, pii, sharding, simhash, warc
 from lakemart.llm.common import table
 from lakemart.session import cut_lineage, scratch_path
 
@@ -86,6 +86,11 @@ def op10_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return exact.groups(table(spark, d, "documents"), "doc_id", "text", keep="largest")
 
 
+def op11_centroids(spark: SparkSession, d: str) -> DataFrame:
+    """Clusters of all vectors around 16 centroids after three rounds."""
+    return centroids.cluster(table(spark, d, "embeddings"), "vec_id", "embedding", k=16, rounds=3, dims=64, scale=64)
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_html": op2_html,
@@ -97,6 +102,7 @@ QUERIES = {
     "op8_rendezvous": op8_rendezvous,
     "op9_bpe": op9_bpe,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_centroids": op11_centroids,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -118,4 +124,5 @@ SELECT doc_id,
        sha256(coalesce(text, '')) AS text_sha256
 FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op11_centroids": centroids.sql(k=16, rounds=3, dims=64, scale=64),
 }
