@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakemart.llm import bpe, centroids, exact, gam, html, mixing, neighbours, pii, sharding, simhash, warc
+from lakemart.llm import bpe, centroids, exact, gam, html, mixing, neighbours, phrases, pii, sharding, simhash, warc
 from lakemart.llm.common import table
 from lakemart.session import cut_lineage, scratch_path
 
@@ -91,6 +91,11 @@ def op11_centroids(spark: SparkSession, d: str) -> DataFrame:
     return centroids.cluster(table(spark, d, "embeddings"), "vec_id", "embedding", k=16, rounds=3, dims=64, scale=64)
 
 
+def op12_phrases(spark: SparkSession, d: str) -> DataFrame:
+    """The best collocations of two and three words in every language."""
+    return phrases.collocations(table(spark, d, "documents"), "text", "lang", longest=3, least=10, inside=50, top=2000)
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_html": op2_html,
@@ -103,6 +108,7 @@ QUERIES = {
     "op9_bpe": op9_bpe,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_centroids": op11_centroids,
+    "op12_phrases": op12_phrases,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -125,4 +131,5 @@ SELECT doc_id,
 FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))""",
     "op11_centroids": centroids.sql(k=16, rounds=3, dims=64, scale=64),
+    "op12_phrases": phrases.sql(least=10, inside=50, top=2000),
 }
