@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakemart.llm import bpe, centroids, exact, gam, html, mixing, neighbours, phrases, pii, sharding, simhash, warc
+from lakemart.llm import (bpe, centroids, exact, gam, html, mixing, neighbours, phrases, pii, sharding, simhash, toxicity,
+                          warc)
 from lakemart.llm.common import table
 from lakemart.session import cut_lineage, scratch_path
 
@@ -96,6 +97,15 @@ def op12_phrases(spark: SparkSession, d: str) -> DataFrame:
     return phrases.collocations(table(spark, d, "documents"), "text", "lang", longest=3, least=10, inside=50, top=2000)
 
 
+def op13_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = table(spark, d, "documents")
+    model = toxicity.fit(docs, table(spark, d, "labels"), "doc_id", "text", "toxic")
+    scored = docs.select("doc_id", toxicity.is_held_out("doc_id").alias("held_out"),
+                         toxicity.score_text(model, "text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_html": op2_html,
@@ -109,6 +119,7 @@ QUERIES = {
     "op10_exact_dedup": op10_exact_dedup,
     "op11_centroids": op11_centroids,
     "op12_phrases": op12_phrases,
+    "op13_toxicity": op13_toxicity,
     "pipeline": corpus_pipeline.run,
 }
 
