@@ -7,8 +7,8 @@ prefixes, and one that grows past ``BURST`` entries bursts into two at a word
 boundary, first between first words, then below one first word between second
 words, and so on.  When the tries of a task hold ``HELD`` entries, their largest
 subtrees are spilled whole as sorted runs until half is left.  A run is a row per
-prefix partition: its words, the paths as positions in them, and the counts - a
-few bytes per path, in the byte order of the words.
+prefix partition: its words, the paths as positions in them, and the counts,
+compressed to a few bytes per path, in the byte order of the words.
 
 Runs of one prefix partition meet in one task, which merges them (a stable sort
 of sorted runs) and keeps the paths that reach the least count.  The partition is
@@ -29,11 +29,14 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import repeat
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,7 +48,7 @@ WORDS = 1 << 20                 # numbered by a task before it spills all and st
 HELD = 1_000_000                # entries in a task's tries before it spills
 BURST = 1 << 14                 # entries of a container
 MERGED = 4_000_000              # entries merged at once
-PART_BYTES = 8 << 20            # of text per prefix partition
+PART_BYTES = 16 << 20           # of text per prefix partition
 MAX_PARTS = 1 << 16
 
 # --- fixed values: what ends a word, what ends a piece, letters to lower -----------
@@ -105,8 +108,8 @@ class HatTrie:
             a, b = at[i], at[i + 1]
             if a < b:
                 before = len(held)
-                for k, n in zip(keys[a:b].tolist(), counts[a:b].tolist()):
-                    held[k] = held.get(k, 0) + n
+                mine = keys[a:b].tolist()
+                held.update(zip(mine, map(add, counts[a:b].tolist(), map(held.get, mine, repeat(0)))))
                 self.size += len(held) - before
                 if len(held) > BURST:
                     full.append(self.starts[i])
@@ -159,23 +162,47 @@ def _join(at: np.ndarray) -> np.ndarray:
 
 
 def _narrow(x: np.ndarray) -> bytes:
-    """The numbers in the fewest of 1, 2, 4 or 8 bytes each."""
+    """The numbers in the fewest of 1, 2, 4 or 8 bytes each, that many first."""
     top = int(x.max(initial=0))
-    return x.astype(f"<u{next(w for w in (1, 2, 4, 8) if top < 1 << 8 * w)}").tobytes()
+    width = next(w for w in (1, 2, 4, 8) if top < 1 << 8 * w)
+    return bytes([width]) + x.astype(f"<u{width}").tobytes()
 
 
-def _wide(x: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(x, f"<u{len(x) // n}").astype(np.int64)
+def _wide(data: memoryview, n: int) -> tuple[np.ndarray, memoryview]:
+    """``n`` numbers from the front of ``data``, and the rest."""
+    end = 1 + n * data[0]
+    return np.frombuffer(data[1:end], f"<u{data[0]}").astype(np.int64), data[end:]
 
 
-RUN = "part int, lang string, words array<string>, n int, paths binary, counts binary"
+def packed(words: str, paths: np.ndarray, counts: np.ndarray) -> bytes:
+    """A run: its words in order (joined by spaces), paths and counts.  The
+    first words of paths in order are stored as differences."""
+    text = words.encode()
+    first = np.diff(paths[0], prepend=0)
+    return zstandard.compress(b"".join([len(text).to_bytes(4, "little"), text, _narrow(first), _narrow(paths[1]),
+                                        _narrow(paths[2]), _narrow(counts)]), 1)
+
+
+def unpacked(data: bytes, n: int) -> tuple[list[str], np.ndarray, np.ndarray]:
+    rest = memoryview(zstandard.decompress(data))
+    size = int.from_bytes(rest[:4], "little")
+    text, rest = bytes(rest[4:4 + size]).decode(), rest[4 + size:]
+    columns = []
+    for _ in range(4):
+        x, rest = _wide(rest, n)
+        columns.append(x)
+    return text.split(" "), np.stack([columns[0].cumsum(), columns[1], columns[2]]), columns[3]
+
+
+RUN = "part int, lang string, n int, run binary"
 
 
 def runs(lang: str, keys: np.ndarray, counts: np.ndarray, words: list[str], hashes: np.ndarray, parts: int) -> pa.RecordBatch:
     """One sorted run per prefix partition of the given paths."""
     at = _split(keys)
-    used, at = np.unique(at, return_inverse=True)
-    at = at.reshape(3, -1)
+    present = np.zeros(len(words) + 1, bool)
+    present[at] = True
+    used, at = np.flatnonzero(present), (np.cumsum(present) - 1)[at]
     none = int(len(used) > 0 and used[0] == 0)          # position 0 stands for no word
     texts = pa.array([words[i - 1] for i in used[none:].tolist()], pa.utf8())
     mixed = np.append(np.zeros(1, np.uint64), hashes[used[none:] - 1])[at + 1 - none]
@@ -193,19 +220,16 @@ def runs(lang: str, keys: np.ndarray, counts: np.ndarray, words: list[str], hash
     by = np.lexsort((_join(at), part))
     at, counts, part = at[:, by], counts[by], part[by]
     cuts = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(part)).tolist()
-    lists, sizes, rows = [], [0], ([], [], [])
+    lists, sizes, paths = [], [0], []
     for a, b in zip(cuts, cuts[1:]):
         own, local = np.unique(at[:, a:b], return_inverse=True)
-        local = local.reshape(3, -1) + int(own[0] != 0)
-        own = own[own > 0]
-        lists.append(own - 1)
-        sizes.append(sizes[-1] + len(own))
-        for column, x in zip(rows, (b - a, _narrow(local), _narrow(counts[a:b]))):
-            column.append(x)
-    listed = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), texts.take(pa.array(np.concatenate(lists))))
-    return pa.record_batch([pa.array(part[cuts[:-1]].astype(np.int32)), pa.array([lang] * len(lists), pa.utf8()), listed,
-                            pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.binary()), pa.array(rows[2], pa.binary())],
-                           names=["part", "lang", "words", "n", "paths", "counts"])
+        paths.append(local.reshape(3, -1) + int(own[0] != 0))
+        lists.append(own[own > 0] - 1)
+        sizes.append(sizes[-1] + len(lists[-1]))
+    listed = pc.binary_join(pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), texts.take(pa.array(np.concatenate(lists)))), " ")
+    data = [packed(w, p, counts[a:b]) for w, p, a, b in zip(listed.to_pylist(), paths, cuts, cuts[1:])]
+    return pa.record_batch([pa.array(part[cuts[:-1]].astype(np.int32)), pa.array([lang] * len(data), pa.utf8()),
+                            pa.array(np.diff(cuts).astype(np.int32)), pa.array(data, pa.binary())], names=["part", "lang", "n", "run"])
 
 
 def count_runs(batches: Iterator[pa.RecordBatch], longest: int, parts: int) -> Iterator[pa.RecordBatch]:
@@ -258,10 +282,10 @@ def merge_runs(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Rec
     """Counts of paths from runs ordered by (part, lang): complete ones from
     ``least`` on, or all of a partition merged in portions; and the number of
     words per language, as the phrase null of length 0."""
-    at, held, entries, whole = None, [], 0, True
+    at, held, entries, words, whole = None, [], 0, 0, True
 
     def merged(lang: str, complete: bool) -> pa.RecordBatch:
-        every = pa.concat_arrays([w for w, _, _ in held]).dictionary_encode()
+        every = pa.array([w for words, _, _ in held for w in words], pa.utf8()).dictionary_encode()
         order = pc.sort_indices(every.dictionary).to_numpy()
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(1, len(order) + 1)
@@ -290,16 +314,16 @@ def merge_runs(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Rec
                                names=["lang", "phrase", "f", "length"])
 
     for b in batches:
-        words, lang = b["words"], b["lang"].to_pylist()
-        for i, (part, n, paths, counts) in enumerate(zip(*(b[c].to_pylist() for c in ("part", "n", "paths", "counts")))):
-            if held and (at != (part, lang[i]) or entries + n > MERGED or sum(len(w) for w, _, _ in held) > WORDS):
-                whole = whole and at != (part, lang[i])
+        for part, lang, n, run in zip(*(b[c].to_pylist() for c in ("part", "lang", "n", "run"))):
+            if held and (at != (part, lang) or entries + n > MERGED or words > WORDS):
+                whole = whole and at != (part, lang)
                 yield merged(at[1], whole)
-                held, entries = [], 0
-            if at != (part, lang[i]):
-                at, whole = (part, lang[i]), True
-            held.append((words[i].values, _wide(paths, 3 * n).reshape(3, -1), _wide(counts, n)))
+                held, entries, words = [], 0, 0
+            if at != (part, lang):
+                at, whole = (part, lang), True
+            held.append(unpacked(run, n))
             entries += n
+            words += len(held[-1][0])
     if held:
         yield merged(at[1], whole)
 
@@ -314,7 +338,7 @@ def count_paths(df: DataFrame, text_col: str, lang_col: str, longest: int, least
     rows = df.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     if parts is None:
         size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-        parts = min(MAX_PARTS, max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES)))
+        parts = min(MAX_PARTS, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES)))
 
     def count(batches):
         return count_runs(batches, longest, parts)
