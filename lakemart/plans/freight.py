@@ -29,8 +29,8 @@ from lakemart.plans import marts
 from lakemart.session import cut_lineage
 from lakemart.sinks.tables import load, merge_into, publish, table_exists, write_bucketed
 from lakemart.sources.files import read_window
-from lakemart.sources.schema import evolve_stored_schema
-from lakemart.streaming.ingest import append_stream, apply_stream, json_stream, stream_table
+from lakemart.sources.schema import load_schema
+from lakemart.streaming.ingest import apply_stream, ingest_on_arrival, read_arrived, stream_table
 
 BUCKETS = None                  # follows each table's size (lakemart.sinks.buckets_for)
 # Bronze feeds are partitioned by ingest date; windowed silver reads prune by it.
@@ -42,8 +42,8 @@ ORDERS = T.StructType([
     T.StructField("product_code", T.StringType()), T.StructField("product_name", T.StringType()),
     T.StructField("quantity", T.IntegerType()), T.StructField("total_amount", T.DoubleType()),
     T.StructField("status", T.StringType()), T.StructField("payment_method", T.StringType()),
-    T.StructField("origin_city", T.StringType()), T.StructField("destination_city", T.StringType()),
     T.StructField("order_date", T.TimestampType()), T.StructField("delivery_date", T.TimestampType()),
+    T.StructField("origin_city", T.StringType()), T.StructField("destination_city", T.StringType()),
     T.StructField("_change_type", T.StringType()), T.StructField("_change_ts", T.TimestampType())])
 EVENTS = T.StructType([
     T.StructField("event_id", T.StringType()), T.StructField("order_id", T.StringType()),
@@ -70,7 +70,7 @@ ORDER_TYPES = {"order_date": T.DateType(), "delivery_date": T.DateType()}
 CUSTOMER_ATTRS = ["company_name", "contact_email", "address", "city", "postal_code", "tier", "industry",
                   "signup_date"]
 ORDER_ATTRS = ["customer_id", "product_code", "product_name", "quantity", "total_amount", "status",
-               "payment_method", "origin_city", "destination_city", "order_date", "delivery_date"]
+               "payment_method", "order_date", "delivery_date", "origin_city", "destination_city"]
 FEEDS = {"orders": ORDERS, "shipment_events": EVENTS, "telemetry": TELEMETRY, "vehicles": VEHICLES}
 # ------------------------------------------------------------------------------
 
@@ -79,20 +79,18 @@ def _p(root: str, *parts: str) -> str:
     return "/".join([root.rstrip("/"), *parts])
 
 
-def _read(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
-    df = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
+def _read(spark: SparkSession, path: str) -> DataFrame:
+    df = spark.read.parquet(path)
     return df.drop("_bucket") if "_bucket" in df.columns else df
 
 
 def _bronze(spark: SparkSession, root: str, feed: str) -> DataFrame:
-    """A bronze feed.  Files written before a schema evolution lack the new
-    columns; only feeds whose stored schema has grown pay for opening every
-    footer."""
-    from lakemart.sources.schema import load_schema
-
-    stored = load_schema(spark, _p(root, "_schemas", feed))
-    grown = stored is not None and len(stored.fields) > len(FEEDS[feed].fields)
-    return _read(spark, _p(root, "bronze", feed), grown)
+    """A bronze feed; files written before a schema grew give NULL in the
+    columns they lack."""
+    store = _p(root, "_schemas", feed)
+    path = _p(root, "bronze", feed)
+    df = read_arrived(spark, path, store, INGEST_DATE) if load_schema(spark, store) else _read(spark, path)
+    return df.drop("batch")
 
 
 def silver_types(df: DataFrame, types: dict) -> DataFrame:
@@ -108,15 +106,11 @@ def ingest_feed(spark: SparkSession, root: str, landing: str, feed: str, schema:
     """New JSON files of a landing folder -> append to ``bronze/<feed>``
     (typed columns, ``_rescued_data``, ``_corrupt_record``, ``_source_file``,
     ``_ingested_at``); exactly once through the stream checkpoint.  With
-    ``evolve`` the stored feed schema gains any new field first (returned
-    as the drift action, e.g. for the health audit)."""
-    action = "none"
-    if evolve:
-        schema, action = evolve_stored_schema(spark, landing, _p(root, "_schemas", feed), schema)
-    append_stream(json_stream(spark, landing, schema, ingest_date_col=INGEST_DATE),
-                  _p(root, "bronze", feed), _p(root, "_checkpoints", "bronze", feed),
-                  partition_by=[INGEST_DATE])
-    return action
+    ``evolve`` the feed's schema is stored and gains the fields that new files
+    bring (returned as the drift action, e.g. for the health audit)."""
+    actions = ingest_on_arrival(spark, landing, _p(root, "bronze", feed), _p(root, "_schemas", feed), schema,
+                                _p(root, "_checkpoints", "bronze", feed), ingest_date_col=INGEST_DATE, grow=evolve)
+    return "; ".join(actions) or "none"
 
 
 def ingest_customer_snapshot(spark: SparkSession, root: str, snapshot: DataFrame, version: int) -> None:
@@ -163,8 +157,6 @@ def audit_batch(spark: SparkSession, root: str, feed: str, batch_id: str, since,
     after ``since``: rows, bad records, duplicates, late records, drift
     action, active extra columns and the classification.  Returns it."""
     from lakemart.operators.audit import health_audit, late_rows
-    from lakemart.sources.schema import load_schema
-
     bronze = _bronze(spark, root, feed).filter(
         F.col("_ingested_at") >= F.lit(since).cast("timestamp"))
     run_ts = bronze.select(F.max("_ingested_at")).scalar()
@@ -239,7 +231,7 @@ def _scd2_stream(spark: SparkSession, root: str, src: str, dst: str, keys, seq,
             merge_into(spark, path, batch, keys, BUCKETS,
                        how=lambda t, s, k: scd2_apply(t, s, k, seq, attrs, **kw))
 
-    stream = stream_table(spark, src_path, schema)
+    stream = stream_table(spark, src_path, schema).drop("batch")
     if prefilter is not None:
         stream = prefilter(stream)
     apply_stream(stream, apply, _p(root, "_checkpoints", "silver", dst))

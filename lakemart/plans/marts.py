@@ -156,6 +156,7 @@ def continue_dim_date(spark: SparkSession, path: str, span: DataFrame) -> None:
 
 # ---------------------------------------------------------------- silver loads
 
+# --- fixed values: column names and types of the vehicle table ----------------------
 VEHICLE_SCHEMA = T.StructType([
     T.StructField("capacity_kg", T.IntegerType()),
     T.StructField("cold_chain_capable", T.BooleanType()),
@@ -167,6 +168,7 @@ VEHICLE_SCHEMA = T.StructType([
     T.StructField("vehicle_id", T.StringType()),
     T.StructField("vehicle_type", T.StringType()),
 ])
+# -----------------------------------------------------------------------------------
 
 
 def silver_scd1(bronze: DataFrame, key: str, seq: str, schema: T.StructType,

@@ -260,3 +260,21 @@ def analyze(spark: SparkSession, table: str, columns: Sequence[str] = ()) -> Non
     table (feeds the cost-based optimizer)."""
     cols = f" FOR COLUMNS {', '.join(columns)}" if columns else ""
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS{cols}")
+
+
+def column_statistics(spark: SparkSession, table: str, columns: Sequence[str]) -> DataFrame:
+    """The statistics that :func:`analyze` stored in the catalog, one row per
+    column: ``column``, ``rows`` of the table, ``nulls``, ``least`` and ``most``
+    (as text) and the estimate ``distinct_values``.  Catalog data only."""
+    size = spark.sql(f"DESCRIBE EXTENDED {table}").filter("col_name = 'Statistics'").first()["data_type"]
+    rows = int(size.split(",")[1].split()[0])
+
+    def number(x: str) -> int | None:
+        return None if x == "NULL" else int(x)
+
+    out = []
+    for c in columns:
+        got = {r["info_name"]: r["info_value"] for r in spark.sql(f"DESCRIBE EXTENDED {table} {c}").collect()}
+        least, most = (None if got[k] == "NULL" else got[k] for k in ("min", "max"))
+        out.append((c, rows, number(got["num_nulls"]), least, most, number(got["distinct_count"])))
+    return spark.createDataFrame(out, "column string, rows long, nulls long, least string, most string, distinct_values long")

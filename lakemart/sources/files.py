@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart.operators.dedupe import dedupe
+from lakemart.sources.variant import unfit
 
 CORRUPT_COL = "_corrupt_record"
 RESCUED_COL = "_rescued_data"
@@ -75,30 +76,37 @@ def parse_json_rescued(lines: DataFrame, schema: T.StructType, value_col: str =
       NULL there;
     * ``rescued_col``: JSON object of every key not in the schema plus every
       schema key whose value did not fit its type (NULL when nothing was
-      rescued);
+      rescued); below structs, arrays and maps the key is the path, such as
+      ``a.b[2].c``;
     * ``corrupt_col``: the whole line when it is not a JSON object at all.
 
     One pass, all JVM expressions: a typed ``from_json`` and an untyped
-    ``from_json`` to ``map<string,string>`` of the same line.
+    ``from_json`` to ``map<string,string>`` of the same line; for a schema with
+    nested fields also a VARIANT that is walked along the schema.  A line
+    without a VARIANT form (repeated keys) is compared at its top level.
     """
     raw = F.col(value_col)
     typed = F.from_json(raw, schema, {"mode": "PERMISSIVE"})
     as_map = F.from_json(raw, T.MapType(T.StringType(), T.StringType()), {"mode": "PERMISSIVE"})
-    known = F.array(*[F.lit(f.name) for f in schema.fields])
+    known = F.array(*[F.lit(f.name) for f in schema.fields]).cast("array<string>")
     parsed = lines.select("*", typed.alias("_typed"), as_map.alias("_map"))
     # a schema key whose raw value exists but whose typed value is NULL did
     # not fit its type; it goes to the rescue column as well
-    misfit = {f.name: F.col(f"_typed.{f.name}").isNull() for f in schema.fields}
+    misfit = {f.name: F.col(f"_typed.`{f.name}`").isNull() for f in schema.fields}
     def keep(k, v):
         bad = F.lit(False)
         for name, cond in misfit.items():
             bad = bad | ((k == F.lit(name)) & cond)
         return (~F.array_contains(known, k)) | (v.isNotNull() & bad)
     rescued = F.map_filter(F.col("_map"), keep)
-    rescued = F.when(F.size(rescued) > 0, F.to_json(rescued))
+    if any(isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)) for f in schema.fields):
+        parsed = parsed.withColumn("_variant", F.try_parse_json(raw))
+        walked = F.map_from_entries(unfit(F.col("_variant"), F.col("_typed"), schema))
+        rescued = F.when(F.col("_variant").isNull(), rescued).otherwise(walked)
+    parsed = parsed.withColumn("_rescued", rescued)
     base = [c for c in lines.columns if keep_value or c != value_col]
-    return parsed.select(*base, *[F.col(f"_typed.{f.name}").alias(f.name) for f in schema.fields],
-                         rescued.alias(rescued_col),
+    return parsed.select(*[F.col(f"`{c}`") for c in base], *[F.col(f"_typed.`{f.name}`").alias(f.name) for f in schema.fields],
+                         F.when(F.size("_rescued") > 0, F.to_json("_rescued")).alias(rescued_col),
                          F.when(F.col("_map").isNull() & raw.isNotNull(), raw).alias(corrupt_col))
 
 

@@ -11,14 +11,40 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def evolve_schema(known: T.StructType, incoming: T.StructType) -> T.StructType:
+def evolve_schema(known: T.StructType, incoming: T.StructType, nested: bool = False) -> T.StructType:
     """Known fields (types unchanged) plus incoming fields not yet known,
-    appended in arrival order -- new columns are added, never dropped."""
+    appended in arrival order -- new columns are added, never dropped.  With
+    ``nested`` the fields of structs, also within arrays, grow the same way."""
+    if nested:
+        came = {f.name: f.dataType for f in incoming.fields}
+        known = T.StructType([T.StructField(f.name, _grown(f.dataType, came[f.name]) if f.name in came else f.dataType,
+                                            f.nullable) for f in known.fields])
     names = set(known.fieldNames())
     added = [f for f in incoming.fields if f.name not in names]
     return T.StructType(list(known.fields) + [T.StructField(f.name, f.dataType, True) for f in added])
 
 
+def _grown(known: T.DataType, incoming: T.DataType) -> T.DataType:
+    if isinstance(known, T.StructType) and isinstance(incoming, T.StructType):
+        return evolve_schema(known, incoming, nested=True)
+    if isinstance(known, T.ArrayType) and isinstance(incoming, T.ArrayType):
+        return T.ArrayType(_grown(known.elementType, incoming.elementType), known.containsNull)
+    return known
+
+
+def field_paths(schema: T.StructType, prefix: str = "") -> list[str]:
+    """The dotted paths of all fields, those below structs and arrays included."""
+    out = []
+    for f in schema.fields:
+        kind = f.dataType
+        while isinstance(kind, T.ArrayType):
+            kind = kind.elementType
+        out.append(prefix + f.name)
+        if isinstance(kind, T.StructType):
+            out += field_paths(kind, f"{prefix}{f.name}.")
+    return out
+
+
 def detect_drift(known: Sequence[str] | T.StructType, incoming: Sequence[str] | T.StructType
                  ) -> tuple[list[str], str]:
     """``(new_columns, action)``; action is ``"none"`` or a description of
@@ -53,20 +79,28 @@ def drift_state(audit: DataFrame, source_col: str = "source", order: Sequence[st
 
 
 def store_schema(spark, schema: T.StructType, path: str) -> None:
-    """Persist a schema as one JSON line with Spark (works on any shared
-    filesystem the cluster can write; no driver-side file I/O)."""
-    spark.createDataFrame([(schema.json(),)], "schema string").coalesce(1) \
-        .write.mode("overwrite").text(path)
+    """Append a schema to the versions below ``path`` (works on any shared
+    filesystem the cluster can write; no driver-side file I/O).  Earlier
+    versions stay, so a write that stops half-way loses none."""
+    latest = _latest(spark, path)
+    spark.createDataFrame([(latest[0] + 1 if latest else 0, schema.json())], "version long, schema string").coalesce(1) \
+        .write.mode("append").json(path)
 
 
-def load_schema(spark, path: str) -> T.StructType | None:
-    """The stored schema, or None when nothing was stored yet."""
+def _latest(spark, path: str) -> tuple[int, str] | None:
     from pyspark.errors import AnalysisException
     try:
-        row = spark.read.text(path).first()
+        versions = spark.read.schema("version long, schema string").json(path)
     except AnalysisException:
         return None
-    return schema_from_json(row[0]) if row else None
+    row = versions.orderBy(F.desc("version")).first()
+    return (row[0], row[1]) if row else None
+
+
+def load_schema(spark, path: str) -> T.StructType | None:
+    """The last stored schema, or None when nothing was stored yet."""
+    latest = _latest(spark, path)
+    return schema_from_json(latest[1]) if latest else None
 
 
 def infer_json_schema(spark, path: str, sampling_ratio: float = 1.0) -> T.StructType:

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,7 +16,9 @@ from lakemart.operators.dedupe import dedupe
 from lakemart.operators.merge import insert_missing
 from lakemart.session import cut_lineage
 from lakemart.sinks.tables import merge_into, table_exists, write_bucketed
-from lakemart.sources.files import parse_json_rescued
+from lakemart.sources.files import CORRUPT_COL, RESCUED_COL, parse_json_rescued
+from lakemart.sources.schema import evolve_schema, field_paths, load_schema, store_schema
+from lakemart.sources.variant import infer_lines
 
 
 # A landing backlog is read in micro-batches of at most this many files
@@ -73,6 +76,74 @@ def apply_stream(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint
     q.awaitTermination()
 
 
+class SchemaGrown(Exception):
+    """A micro-batch brought fields that the schema of the running query lacks."""
+
+
+def ingest_on_arrival(spark: SparkSession, src: str, path: str, schema_path: str, base: T.StructType, checkpoint: str,
+                      ingest_date_col: str | None = None, grow: bool = True,
+                      max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> list[str]:
+    """New JSON-lines files under ``src`` appended to ``path`` with a schema
+    that grows on arrival, run to completion; returns the drift actions.
+
+    Every micro-batch infers the schema of its own lines - one aggregate over
+    VARIANT values, no file is opened that an earlier batch has read.  Fields
+    that the stored schema (``base`` before anything is stored) lacks, below
+    structs and arrays too, are added and stored; the query then stops and
+    starts again with the grown schema, and its checkpoint hands it the same
+    micro-batch.  Known fields keep their types, values that do not fit are
+    rescued; without ``grow`` unknown fields are, too.  A micro-batch is the folder ``batch=<id>``; a replay writes the
+    same folder again.  Read ``path`` with :func:`read_arrived`.
+    """
+    actions: list[str] = []
+    while True:
+        stored = load_schema(spark, schema_path)
+        schema, grown = stored or base, []
+
+        def apply(batch: DataFrame, batch_id: int) -> None:
+            batch = batch.persist()
+            try:
+                wide = evolve_schema(schema, infer_lines(batch), nested=True) if grow else schema
+                known = set(field_paths(schema))
+                new = [p for p in field_paths(wide) if p not in known]
+                if grow and (new or stored is None):
+                    store_schema(spark, wide, schema_path)
+                if new:
+                    grown.append("added column " + ", ".join(f"'{p}'" for p in new))
+                    raise SchemaGrown(grown[-1])
+                out = parse_json_rescued(batch, schema).withColumn("_ingested_at", F.current_timestamp())
+                if ingest_date_col:
+                    out = out.withColumn(ingest_date_col, F.to_date("_ingested_at"))
+                w = out.write.mode("overwrite")
+                (w.partitionBy(ingest_date_col) if ingest_date_col else w).parquet(f"{path.rstrip('/')}/batch={batch_id}")
+            finally:
+                batch.unpersist()
+
+        lines = spark.readStream
+        if max_files_per_trigger:
+            lines = lines.option("maxFilesPerTrigger", max_files_per_trigger)
+        lines = lines.text(src).filter(F.trim(F.col("value")) != "").withColumn("_source_file", F.col("_metadata.file_path"))
+        try:
+            apply_stream(lines, apply, checkpoint)
+            return actions
+        except StreamingQueryException:
+            if not grown:
+                raise
+            actions += grown                            # each restart has added a field, so they end
+
+
+def read_arrived(spark: SparkSession, path: str, schema_path: str, ingest_date_col: str | None = None) -> DataFrame:
+    """The table written by :func:`ingest_on_arrival` with its stored schema;
+    columns that older files lack are NULL.  No file footers are merged."""
+    known = load_schema(spark, schema_path)
+    extra = [T.StructField("_source_file", T.StringType()), T.StructField(RESCUED_COL, T.StringType()),
+             T.StructField(CORRUPT_COL, T.StringType()), T.StructField("_ingested_at", T.TimestampType()),
+             T.StructField("batch", T.LongType())]
+    if ingest_date_col:
+        extra.append(T.StructField(ingest_date_col, T.DateType()))
+    return spark.read.schema(T.StructType(extra[:1] + known.fields + extra[1:])).parquet(path)
+
+
 def stream_table(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
                  max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> DataFrame:
     """Stream the files of a table (new files only after the first run),
