@@ -44,11 +44,11 @@ from lakemart.session import cut_lineage
 
 BITS = 21                       # of a word number within a path
 MASK = (1 << BITS) - 1
-WORDS = 1 << 20                 # numbered by a task before it spills all and starts anew
+WORDS = 1 << 19                 # numbered by a task before it spills all and starts anew
 HELD = 1_000_000                # entries in a task's tries before it spills
 BURST = 1 << 14                 # entries of a container
-MERGED = 4_000_000              # entries merged at once
-PART_BYTES = 16 << 20           # of text per prefix partition
+MERGED = 2_000_000              # entries merged at once
+PART_BYTES = 8 << 20            # of text per prefix partition
 MAX_PARTS = 1 << 16
 
 # --- fixed values: what ends a word, what ends a piece, letters to lower -----------
@@ -183,15 +183,19 @@ def packed(words: str, paths: np.ndarray, counts: np.ndarray) -> bytes:
                                         _narrow(paths[2]), _narrow(counts)]), 1)
 
 
-def unpacked(data: bytes, n: int) -> tuple[list[str], np.ndarray, np.ndarray]:
+def unpacked(data: bytes, n: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The words of a run, its packed paths and their counts."""
     rest = memoryview(zstandard.decompress(data))
     size = int.from_bytes(rest[:4], "little")
-    text, rest = bytes(rest[4:4 + size]).decode(), rest[4 + size:]
+    text, rest = np.frombuffer(rest[4:4 + size], np.uint8), rest[4 + size:]
+    ends = np.append(np.flatnonzero(text == 32), size)
+    offsets = np.append(0, ends - np.arange(len(ends))).astype(np.int32)
+    words = pa.Array.from_buffers(pa.utf8(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(text[text != 32])])
     columns = []
     for _ in range(4):
         x, rest = _wide(rest, n)
         columns.append(x)
-    return text.split(" "), np.stack([columns[0].cumsum(), columns[1], columns[2]]), columns[3]
+    return words, _join((columns[0].cumsum(), columns[1], columns[2])), columns[3]
 
 
 RUN = "part int, lang string, n int, run binary"
@@ -285,13 +289,13 @@ def merge_runs(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Rec
     at, held, entries, words, whole = None, [], 0, 0, True
 
     def merged(lang: str, complete: bool) -> pa.RecordBatch:
-        every = pa.array([w for words, _, _ in held for w in words], pa.utf8()).dictionary_encode()
+        every = pa.concat_arrays([w for w, _, _ in held]).dictionary_encode()
         order = pc.sort_indices(every.dictionary).to_numpy()
         rank = np.empty(len(order), np.int64)
         rank[order] = np.arange(1, len(order) + 1)
         place, offset, keys = rank[every.indices.to_numpy()], 0, []
         for w, paths, _ in held:
-            keys.append(_join(np.append(np.zeros(1, np.int64), place[offset:offset + len(w)])[paths]))
+            keys.append(_join(np.append(np.zeros(1, np.int64), place[offset:offset + len(w)])[_split(paths)]))
             offset += len(w)
         keys, counts = np.concatenate(keys), np.concatenate([c for _, _, c in held])
         by = np.argsort(keys, kind="stable")
