@@ -45,16 +45,29 @@ def assert_unique_keys(source: DataFrame, keys: Sequence[str]) -> None:
         raise DuplicateSourceKeys(f"source has repeated keys on {list(keys)}")
 
 
+def without(rows: DataFrame, known: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
+    """Rows whose key is not among ``known`` ones (a frame of the key
+    columns).  NULL keys match nothing, or with ``null_safe`` each other."""
+    if not null_safe:
+        return rows.join(known, list(keys), "left_anti")
+    k = known.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)])
+    cond = F.lit(True)
+    for i, c in enumerate(keys):
+        cond = cond & rows[c].eqNullSafe(k[f"_k{i}"])
+    return rows.join(k, cond, "left_anti")
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
-           check_unique: bool = False) -> DataFrame:
+           check_unique: bool = False, null_safe: bool = False) -> DataFrame:
     """Matched -> replaced by the source row; unmatched -> inserted.
 
     ``target ⟕anti source ∪ source``: the anti join only needs the source's
-    key columns.  Columns missing on either side are NULL-filled.
+    key columns.  Columns missing on either side are NULL-filled.  NULL keys
+    match nothing, as in a MERGE, unless ``null_safe``.
     """
     if check_unique:
         assert_unique_keys(source, keys)
-    kept = target.join(bounded_broadcast(source.select(*keys)), list(keys), "left_anti")
+    kept = without(target, bounded_broadcast(source.select(*keys)), keys, null_safe)
     return kept.unionByName(source, allowMissingColumns=True)
 
 
@@ -97,13 +110,15 @@ def update_matching(target: DataFrame, source: DataFrame, keys: Sequence[str],
 
 
 def insert_missing(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                   columns: Sequence[str] | None = None) -> DataFrame:
+                   columns: Sequence[str] | None = None, null_safe: bool = False) -> DataFrame:
     """Insert-only merge: source rows whose key is not in the target.
 
-    Idempotent: applying the same source twice adds nothing the second
-    time.  Use keys ``(entity, sequence)`` for versioned inserts.
+    Applying the same source twice adds nothing the second time, apart from
+    rows with a NULL key, which match nothing as in a MERGE; with ``null_safe``
+    NULL is a key like any other and the merge is idempotent for all rows.
+    Use keys ``(entity, sequence)`` for versioned inserts.
     """
-    new = source.join(target.select(*keys), list(keys), "left_anti")
+    new = without(source, target.select(*keys), keys, null_safe)
     if columns is not None:
         new = new.select(*columns)
     return target.unionByName(new, allowMissingColumns=True)

@@ -1,29 +1,31 @@
 """Table sinks over Parquet paths: replace, append, bucketed merge,
 JSON export, compaction and statistics.
 
-A replacing write goes to a folder beside the table and is renamed into place
-when it is complete, so a crash leaves the old table or the new one
-(:func:`recover` puts the old one back when the crash fell between the two
-renames).
+Spark stages and commits every write.  What replaces rows of an existing table
+is first written completely beside the table (``<table>.next``) and then written
+over it: the whole table, or in a merge the touched buckets, by Spark's dynamic
+partition overwrite.  If a job stops before the copy is complete, the table is as
+it was; if it stops later, the copy is written over the table again by whatever
+touches the table next (:func:`finish`: every write here, and
+:func:`table_exists`).  A stopped merge can simply be run again.
 
 A merge target is stored partitioned by a hash bucket of its key
-(``_bucket = pmod(xxhash64(keys), n)``); ``n`` follows the table's size and is
-recorded in the folder.  A merge materialises the source batch once, reads
-only the buckets it touches (partition pruning), writes the recomputed buckets
-beside them and renames bucket after bucket; a touched bucket that ends up
-without rows is removed.  A bucket may have many files: rows are rebalanced
-by bucket, and AQE splits large ones.  Merges are idempotent (upsert, delete,
-SCD apply), so one that was interrupted is simply run again.
+(``_bucket = <b>of<n>``, ``b = pmod(xxhash64(keys), n)``); ``n`` follows the
+table's size and is read back from any row.  A merge materialises the source
+batch once and reads only the buckets it touches (partition pruning); a touched
+bucket that ends up without rows is removed.  A bucket may have many files: rows
+are rebalanced by bucket, and AQE splits large ones.
 """
 
 from __future__ import annotations
 
-import uuid
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakemart.operators.joins import plan_bytes
 from lakemart.operators.merge import assert_unique_keys, upsert
@@ -32,8 +34,7 @@ from lakemart.session import cut_lineage
 BUCKET_COL = "_bucket"
 BUCKET_BYTES = 1 << 30          # of Spark's size estimate, per merge bucket
 MIN_BUCKETS, MAX_BUCKETS = 16, 65_536
-_COUNT = "_buckets-"            # name of the empty file that records the number of buckets
-_OLD = ".replaced-"
+_WHAT = "by array<string>, touched array<string>, kind string"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -43,50 +44,73 @@ def _fs(spark: SparkSession, path: str):
     return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
 
 
-def replace_folder(spark: SparkSession, staged: str, path: str) -> None:
-    """Rename the complete folder ``staged`` to ``path``; what was there goes."""
+def _rows(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``, None without any file."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
+
+
+def _next(path: str) -> str:
+    return f"{path.rstrip('/')}.next"
+
+
+def finish(spark: SparkSession, path: str) -> None:
+    """Write over the table what a complete copy beside it holds; nothing to
+    do unless an earlier write has stopped.  The description of the copy is
+    written last: (partition columns, buckets to replace or null for all,
+    schema)."""
     fs, make = _fs(spark, path)
-    if not fs.exists(make(staged)):
-        raise OSError(f"{staged} does not exist")
-    old = f"{path.rstrip('/')}{_OLD}{uuid.uuid4().hex}"
-    had = fs.exists(make(path))
-    if had and not fs.rename(make(path), make(old)):
-        raise OSError(f"cannot rename {path}")
-    if not fs.rename(make(staged), make(path)):
-        if had:
-            fs.rename(make(old), make(path))
-        raise OSError(f"cannot rename {staged} to {path}")
-    if had:
-        fs.delete(make(old), True)
-
-
-def recover(spark: SparkSession, path: str) -> bool:
-    """Put back a table whose replacement stopped between its two renames."""
+    copy = _next(path)
+    if not fs.exists(make(f"{copy}/what/_SUCCESS")):
+        return
+    what = spark.read.schema(_WHAT).json(f"{copy}/what").first()
+    kinds = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(kinds)
+    spark.conf.set(kinds, "false")                      # partition values are written as they are
+    try:
+        rows = _rows(spark, f"{copy}/rows")
+    finally:
+        spark.conf.set(kinds, before)
+    if what.touched is None:
+        _overwrite(rows, path, what.by)
+    else:
+        left = set()
+        if rows is not None:
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*what.by).parquet(path)
+            left = {r[0] for r in rows.select(BUCKET_COL).distinct().collect()}     # one value per bucket at most
+        for b in set(what.touched) - left:
+            fs.delete(make(f"{path.rstrip('/')}/{BUCKET_COL}={b}"), True)
+        if _rows(spark, path) is None:
+            _empty_file(spark, T.StructType.fromJson(json.loads(what.kind)), path)
+    fs.delete(make(copy), True)
+
+
+def _overwrite(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    w = df.write.mode("overwrite")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+
+
+def _write_next(df: DataFrame, path: str, by: Sequence[str], touched: Sequence[str] | None) -> None:
+    """The complete copy beside ``path``: rows, then what they are."""
+    spark, copy = df.sparkSession, _next(path)
     fs, make = _fs(spark, path)
-    if fs.exists(make(path)):
-        return False
-    left = fs.globStatus(make(f"{path.rstrip('/')}{_OLD}*"))
-    if not left:
-        return False
-    return fs.rename(left[0].getPath(), make(path))
+    fs.delete(make(copy), True)                         # the rest of a write that never became complete
+    _overwrite(df, f"{copy}/rows", by)
+    spark.createDataFrame([(list(by), touched, df.schema.json())], _WHAT).coalesce(1).write.json(f"{copy}/what")
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Is there a readable Parquet table at ``path``?"""
-    recover(spark, path)
-    fs, make = _fs(spark, path)
-    if not fs.exists(make(path)):
-        return False
-    try:
-        return bool(spark.read.parquet(path).columns)
-    except AnalysisException:
-        return False
+    finish(spark, path)
+    return _rows(spark, path) is not None
 
 
 def publish(df: DataFrame, path: str, mode: str = "replace",
             partition_by: Sequence[str] = (), sort_within: Sequence[str] = ()) -> None:
-    """Write ``df`` as Parquet: ``replace`` (create or replace, staged and
-    renamed; ``df`` may read the table it replaces) or ``append``.
+    """Write ``df`` as Parquet: ``replace`` (create, or replace through a
+    complete copy; ``df`` may read the table it replaces) or ``append``.
 
     ``sort_within`` clusters rows inside each file so min/max statistics
     skip row groups for filters on those columns.
@@ -95,17 +119,21 @@ def publish(df: DataFrame, path: str, mode: str = "replace",
         raise ValueError("mode must be 'replace' or 'append'")
     if sort_within:
         df = df.sortWithinPartitions(*sort_within)
-    target = path if mode == "append" else f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
-    w = df.write.mode("append" if mode == "append" else "errorifexists")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(target)
-    if mode == "replace":
-        replace_folder(df.sparkSession, target, path)
+    spark = df.sparkSession
+    known = table_exists(spark, path)
+    if mode == "append":
+        w = df.write.mode("append")
+        (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+    elif known:
+        _write_next(df, path, partition_by, None)
+        finish(spark, path)
+    else:
+        _overwrite(df, path, partition_by)
 
 
 def bucket_expr(keys: Sequence[str], buckets: int):
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+    b = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("string")
+    return F.concat(b, F.lit(f"of{buckets}"))
 
 
 def buckets_for(df: DataFrame) -> int:
@@ -115,10 +143,10 @@ def buckets_for(df: DataFrame) -> int:
 
 
 def stored_buckets(spark: SparkSession, path: str) -> int | None:
-    """The number of buckets a merge target was written with."""
-    fs, make = _fs(spark, path)
-    found = fs.globStatus(make(f"{path.rstrip('/')}/{_COUNT}*"))
-    return int(found[0].getPath().getName()[len(_COUNT):]) if found else None
+    """The number of buckets a merge target was written with; None while it
+    has no rows, when any number will do."""
+    row = spark.read.parquet(path).select(BUCKET_COL).first()
+    return int(row[0].split("of")[1]) if row else None
 
 
 def _by_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
@@ -128,23 +156,17 @@ def _by_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
 def write_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int | None = None,
                    sort_within: Sequence[str] = ()) -> None:
     """Initial (replacing) load of a merge target, hash-bucketed on ``keys``."""
-    spark = df.sparkSession
-    n = buckets or buckets_for(df)
-    out = _by_bucket(df, keys, n)
-    if sort_within:
-        out = out.sortWithinPartitions(*sort_within)
-    staged = f"{path.rstrip('/')}.staged-{uuid.uuid4().hex}"
-    out.write.partitionBy(BUCKET_COL).parquet(staged)
-    fs, make = _fs(spark, staged)
-    if not fs.globStatus(make(f"{staged}/{BUCKET_COL}=*")):
-        _empty_bucket(df, staged)
-    fs.create(make(f"{staged}/{_COUNT}{n}")).close()
-    replace_folder(spark, staged, path)
+    out = _by_bucket(df, keys, buckets or buckets_for(df))
+    publish(out, path, partition_by=[BUCKET_COL], sort_within=sort_within)
+    if _rows(df.sparkSession, path) is None:
+        _empty_file(df.sparkSession, df.schema, path)
 
 
-def _empty_bucket(df: DataFrame, path: str) -> None:
+def _empty_file(spark: SparkSession, kind: T.StructType, path: str) -> None:
     """A file without rows, so that a table without rows keeps its schema."""
-    df.sparkSession.createDataFrame([], df.schema).coalesce(1).write.parquet(f"{path}/{BUCKET_COL}=0")
+    fields = [f for f in kind.fields if f.name != BUCKET_COL]
+    spark.createDataFrame([], T.StructType(fields)).coalesce(1) \
+        .write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BUCKET_COL}=0of1")
 
 
 def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
@@ -159,33 +181,19 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence
     take several changes per key (SCD) are not checked unless
     ``check_unique`` says so.
     """
-    recover(spark, path)
-    n = stored_buckets(spark, path) or buckets
-    if not n:
-        raise ValueError(f"{path} does not record its number of buckets; pass buckets=")
+    finish(spark, path)
+    n = stored_buckets(spark, path) or buckets or buckets_for(source)
     # the batch is computed once: the check, bucket ids and the merge read the copy
     src = cut_lineage(source.withColumn(BUCKET_COL, bucket_expr(keys, n)), "merge-src")
-    if check_unique or (check_unique is None and how is upsert):
+    if check_unique or (check_unique is None and (how is upsert or getattr(how, "func", None) is upsert)):
         assert_unique_keys(src, keys)
-    # at most `n` small ints reach the driver
+    # at most `n` short names reach the driver
     touched = [r[0] for r in src.select(BUCKET_COL).distinct().collect()]
     if not touched:
         return 0
     target = spark.read.parquet(path).filter(F.col(BUCKET_COL).isin(touched)).drop(BUCKET_COL)
-    merged = how(target, src.drop(BUCKET_COL), keys)
-    root = path.rstrip("/")
-    staged = f"{root}/.staged-{uuid.uuid4().hex}"
-    _by_bucket(merged, keys, n).write.partitionBy(BUCKET_COL).parquet(staged)
-    fs, make = _fs(spark, path)
-    for b in touched:
-        new, own = f"{staged}/{BUCKET_COL}={b}", f"{root}/{BUCKET_COL}={b}"
-        if fs.exists(make(new)):
-            replace_folder(spark, new, own)
-        else:
-            fs.delete(make(own), True)
-    fs.delete(make(staged), True)
-    if not fs.globStatus(make(f"{root}/{BUCKET_COL}=*")):
-        _empty_bucket(merged, root)
+    _write_next(_by_bucket(how(target, src.drop(BUCKET_COL), keys), keys, n), path, [BUCKET_COL], touched)
+    finish(spark, path)
     return len(touched)
 
 

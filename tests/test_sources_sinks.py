@@ -82,7 +82,7 @@ def test_merge_empties_buckets_and_checks_keys(spark):
     import pytest
 
     from lakemart.operators.merge import DuplicateSourceKeys, delete_matching
-    from lakemart.sinks.tables import recover, replace_folder, stored_buckets, table_exists
+    from lakemart.sinks.tables import stored_buckets
     path = scratch_path(spark, "t-merge-del")
     t = spark.range(20).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     write_bucketed(t, path, ["k"], 8)
@@ -96,16 +96,85 @@ def test_merge_empties_buckets_and_checks_keys(spark):
     assert left.count() == 0 and set(left.columns) == {"k", "v", "_bucket"}
     merge_into(spark, path, t, ["k"])
     assert rows(spark.read.parquet(path), "k", "v") == rows(t)
-    # a replacement that stopped between its renames is put back
-    from lakemart.sinks.tables import _fs
-    fs, make = _fs(spark, path)
-    fs.rename(make(path), make(path + ".replaced-x"))
-    assert not fs.exists(make(path)) and recover(spark, path) and table_exists(spark, path)
-    with pytest.raises(OSError):
-        replace_folder(spark, path + "-missing", path)
     assert spark.read.parquet(path).count() == 20
 
 
+def _stopping(monkeypatch, after):
+    """Let the ``after``-th write or delete of a merge fail."""
+    from pyspark.sql.readwriter import DataFrameWriter
+    calls = []
+
+    def stop(real):
+        def run(self, *a, **k):
+            calls.append(1)
+            if len(calls) == after:
+                raise RuntimeError("stopped")
+            return real(self, *a, **k)
+        return run
+
+    for name in ("parquet", "json"):
+        monkeypatch.setattr(DataFrameWriter, name, stop(getattr(DataFrameWriter, name)))
+
+
+def test_stopped_merge_is_run_again(spark, monkeypatch):
+    from lakemart.operators.merge import delete_matching
+    t = spark.range(40).select(F.col("id").alias("k"), F.lit("old").alias("v"))
+    s = spark.range(30, 50).select(F.col("id").alias("k"), F.lit("new").alias("v"))
+    for how, src, want in ((upsert, s, upsert(t, s, ["k"])), (delete_matching, t.select("k"), t.limit(0))):
+        for after in range(1, 6):                       # source copy, rows, description, the table, its empty file
+            path = scratch_path(spark, "t-stop")
+            write_bucketed(t, path, ["k"], 4)
+            with monkeypatch.context() as m:
+                _stopping(m, after)
+                try:
+                    merge_into(spark, path, src, ["k"], how=how)
+                except RuntimeError:
+                    pass
+            merge_into(spark, path, src, ["k"], how=how)
+            assert rows(spark.read.parquet(path), "k", "v") == rows(want), after
+            assert not os.path.exists(path + ".next")
+
+
+def test_table_partly_overwritten_is_finished(spark):
+    """The state after a commit that has deleted one bucket's old files."""
+    from lakemart.sinks import tables
+    path = scratch_path(spark, "t-part-merge")
+    t = spark.range(40).select(F.col("id").alias("k"), F.lit("old").alias("v"))
+    s = spark.range(30, 50).select(F.col("id").alias("k"), F.lit("new").alias("v"))
+    write_bucketed(t, path, ["k"], 4)
+    real, tables.finish = tables.finish, lambda *a: None
+    try:
+        merge_into(spark, path, s, ["k"])
+    finally:
+        tables.finish = real
+    assert rows(spark.read.parquet(path), "k", "v") == rows(t)      # readers still see the table before the merge
+    fs, make = tables._fs(spark, path)
+    assert fs.delete(make(f"{path}/_bucket=2of4"), True)
+    assert tables.table_exists(spark, path)
+    assert rows(spark.read.parquet(path), "k", "v") == rows(upsert(t, s, ["k"]))
+
+
+def test_replacing_keeps_partition_values(spark):
+    from lakemart.sinks import tables
+    path = scratch_path(spark, "t-values")
+    df = spark.createDataFrame([("01", 1), ("1", 2), ("2024-01-01", 3)], "p string, x int")
+    for _ in range(2):
+        publish(df, path, partition_by=["p"])
+    fs, make = tables._fs(spark, path)
+    assert sorted(f.getPath().getName() for f in fs.listStatus(make(path)) if f.isDirectory()) == ["p=01", "p=1", "p=2024-01-01"]
+
+
+def test_null_safe_merges(spark):
+    from lakemart.operators.merge import insert_missing
+    t = spark.createDataFrame([(1, "a"), (None, "b")], "k int, v string")
+    s = spark.createDataFrame([(None, "c"), (2, "d")], "k int, v string")
+    assert rows(upsert(t, s, ["k"], null_safe=True)) == rows(spark.createDataFrame([(1, "a"), (None, "c"), (2, "d")], t.schema))
+    assert upsert(t, s, ["k"]).count() == 4
+    once = insert_missing(t, s, ["k"], null_safe=True)
+    assert rows(once) == rows(spark.createDataFrame([(1, "a"), (None, "b"), (2, "d")], t.schema))
+    assert rows(insert_missing(once, s, ["k"], null_safe=True)) == rows(once)
+
+
 def test_replace_may_read_the_table_it_replaces(spark):
     path = scratch_path(spark, "t-replace")
     publish(spark.range(10), path)
