@@ -9,10 +9,12 @@ from pyspark.sql import types as T
 
 from lakemart.plans import freight
 from lakemart.plans.catalog import _json_lines, table
+from lakemart.plans.oracle import _round
 from lakemart.session import scratch_path
 from lakemart.sinks.tables import analyze, column_statistics, write_json
 from lakemart.sources.files import empty_like, parse_json_rescued, quarantine_split, read_json_lines
 from lakemart.streaming.ingest import ingest_on_arrival, read_arrived
+from lakemart.streaming.state import earliest_state, rollup_state
 
 SQL: dict[str, str] = {}
 
@@ -176,4 +178,66 @@ SQL["q_analyze"] = """SELECT 'l_orderkey' AS "column", count(*) AS rows, count(*
       min(l_orderkey)::DOUBLE AS least, max(l_orderkey)::DOUBLE AS most FROM lineitem
     UNION ALL SELECT 'l_quantity', count(*), count(*) FILTER (l_quantity IS NULL), min(l_quantity)::DOUBLE, max(l_quantity)::DOUBLE FROM lineitem"""
 
+def _late_feed(spark, d):
+    """Events without some users and times, landed against the order of time;
+    purchases come again in a second landing."""
+    ev = table(spark, d, "events")
+    kind = F.col("event_type")
+    ev = ev.select("event_id", F.when(kind != "signup", F.col("ts")).alias("ts"),
+                   F.when(kind != "error", F.col("user_id")).alias("user_id"), "event_type", "value")
+    late = F.coalesce(F.dayofmonth("ts") <= 10, F.lit(False))
+    return ev, [[ev.filter(~late), ev.filter(late & (kind != "click"))],
+                [ev.filter(late & (kind == "click")), ev.filter(kind == "purchase")]]
+
+
+def _land_and_run(spark, name, schema, landings, run):
+    """Two runs on one checkpoint; every drop of JSON files is a micro-batch."""
+    src, ck = scratch_path(spark, f"{name}-land"), scratch_path(spark, f"{name}-ck")
+    for i, drops in enumerate(landings):
+        for j, rows in enumerate(drops):
+            write_json(rows, f"{src}/drop={i}{j}")
+        run(spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).json(f"{src}/*"), ck)
+
+
+def q_state_rollup(spark, d):
+    """2.12: hourly windows from keyed state over two runs, with late and
+    repeated rows, and rows without user or time."""
+    ev, landings = _late_feed(spark, d)
+    out = scratch_path(spark, "state-rollup")
+    aggs = {"n": F.count(F.lit(1)), "least": F.min("value"), "most": F.max("value"), "total": F.round(F.sum("value"), 4)}
+    _land_and_run(spark, "state-rollup", ev.schema, landings,
+                  lambda s, ck: rollup_state(spark, s, out, ["user_id"], "ts", "hour", aggs, ck))
+    return spark.read.parquet(out).drop("_bucket")
+
+
+_LATE = """late AS (SELECT event_id, CASE WHEN event_type <> 'signup' THEN ts END AS ts,
+      CASE WHEN event_type <> 'error' THEN user_id END AS user_id, event_type, value FROM events)"""
+
+SQL["q_state_rollup"] = f"""WITH {_LATE}
+    SELECT user_id, date_trunc('hour', ts) AS period_start, count(*) AS n, min(value) AS least, max(value) AS most,
+      {_round('sum(value)', 4)} AS total
+    FROM (SELECT * FROM late UNION ALL SELECT * FROM late WHERE event_type = 'purchase') GROUP BY 1, 2"""
+
+
+def q_state_dedupe(spark, d):
+    """2.12: each event once from keyed state over two runs; corrected repeats
+    come later, and all events without identifier count as one."""
+    ev, landings = _late_feed(spark, d)
+    ev = ev.withColumn("event_id", F.when(F.col("user_id").isNull() & (F.col("value") < 20), None).otherwise(F.col("event_id")))
+    again = ev.withColumn("value", F.col("value") + 1).withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 SECOND"))
+    kind, late = F.col("event_type"), F.coalesce(F.dayofmonth("ts") <= 10, F.lit(False))
+    landings = [[ev.filter(~late), again.filter(kind != "view")], [ev.filter(late), again.filter(kind == "purchase")]]
+    out = scratch_path(spark, "state-dedupe")
+    _land_and_run(spark, "state-dedupe", ev.schema, landings,
+                  lambda s, ck: earliest_state(spark, s, out, ["event_id"], "ts", ck))
+    return spark.read.parquet(out).select("event_id", "ts", "user_id", "event_type", "value")
+
+
+SQL["q_state_dedupe"] = f"""WITH {_LATE},
+    named AS (SELECT * REPLACE (CASE WHEN user_id IS NOT NULL OR value >= 20 THEN event_id END AS event_id) FROM late),
+    every AS (SELECT * FROM named UNION ALL SELECT * REPLACE (value + 1 AS value, ts + INTERVAL 1 SECOND AS ts) FROM named)
+    SELECT event_id, ts, user_id, event_type, value FROM every
+    QUALIFY row_number() OVER (PARTITION BY event_id
+      ORDER BY ts NULLS LAST, user_id NULLS FIRST, event_type NULLS FIRST, value NULLS FIRST) = 1"""
+
 QUERIES = {name: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)}

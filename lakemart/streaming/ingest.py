@@ -5,13 +5,13 @@ everything new since the checkpoint, then stop."""
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import partial
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemart.functions.dates import truncate
 from lakemart.operators.dedupe import dedupe
 from lakemart.operators.merge import insert_missing
 from lakemart.session import cut_lineage
@@ -19,6 +19,7 @@ from lakemart.sinks.tables import merge_into, table_exists, write_bucketed
 from lakemart.sources.files import CORRUPT_COL, RESCUED_COL, parse_json_rescued
 from lakemart.sources.schema import evolve_schema, field_paths, load_schema, store_schema
 from lakemart.sources.variant import infer_lines
+from lakemart.streaming.state import rollup_state
 
 
 # A landing backlog is read in micro-batches of at most this many files
@@ -161,12 +162,15 @@ def first_deliveries(spark: SparkSession, stream: DataFrame, path: str, keys: Se
     Every micro-batch keeps the earliest row per key and inserts the keys the
     table does not have (insert-only merge), so late first deliveries are
     kept, repeats across batches and runs are dropped, and a replayed batch
-    adds nothing.  No watermark and no state but the table itself.
+    adds nothing; NULL is a key like any other.  No watermark and no state but
+    the table itself.
     """
+    insert = partial(insert_missing, null_safe=True)
+
     def apply(batch: DataFrame, batch_id: int) -> None:
         first = dedupe(batch, list(keys), order, desc=False)
         if table_exists(spark, path):
-            merge_into(spark, path, first, list(keys), buckets, how=insert_missing)
+            merge_into(spark, path, first, list(keys), buckets, how=insert)
         else:
             write_bucketed(cut_lineage(first, "first"), path, list(keys), buckets)
 
@@ -177,32 +181,8 @@ def rollup_stream(spark: SparkSession, stream: DataFrame, path: str, keys: Seque
                   unit: str, aggs: dict, checkpoint: str, buckets: int | None = None) -> None:
     """Tumbling-window rollup of a stream (the streaming form of the hourly
     rollup), run to completion; the result is the bucketed table
-    ``path/windows`` with one row per (keys, ``period_start``).
-
-    Each micro-batch is kept below ``path/rows/batch=<id>`` (a replay writes
-    the same folder again); the windows it touches are computed from all rows
-    kept for them and merged by key.  Nothing is dropped for lateness, and a
-    restart finds everything it needs in storage.
+    ``path/windows`` with one row per (keys, ``period_start``), NULL keys and
+    times included.  Nothing is dropped for lateness; a micro-batch touches
+    the state of its own windows (:mod:`lakemart.streaming.state`).
     """
-    rows, windows = f"{path.rstrip('/')}/rows", f"{path.rstrip('/')}/windows"
-    by = [*keys, "period_start"]
-
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        kind = batch.schema[event_time].dataType
-        start = truncate(unit, event_time, kind)
-        (batch.withColumn("period_start", start).withColumn("period_date", F.to_date("period_start"))
-              .write.mode("overwrite").partitionBy("period_date").parquet(f"{rows}/batch={batch_id}"))
-        got = spark.read.parquet(f"{rows}/batch={batch_id}")
-        touched = got.select(*by, "period_date").distinct()
-        known = spark.read.parquet(rows)
-        # dates prune the folders that are read; at most one value per day of data
-        days = [r[0] for r in touched.select("period_date").distinct().collect()]
-        known = known.filter(F.col("period_date").isin(days) | F.col("period_date").isNull())
-        out = (known.join(touched.select(*by), by, "left_semi").groupBy(*by)
-                    .agg(*[v.alias(k) for k, v in aggs.items()]))
-        if table_exists(spark, windows):
-            merge_into(spark, windows, out, by, buckets)
-        else:
-            write_bucketed(cut_lineage(out, "windows"), windows, by, buckets)
-
-    apply_stream(stream, apply, checkpoint)
+    rollup_state(spark, stream, f"{path.rstrip('/')}/windows", keys, event_time, unit, aggs, checkpoint, buckets)

@@ -90,3 +90,71 @@ def test_schema_evolution_adds_columns_across_batches(spark, tmp_path):
     bronze = spark.read.option("mergeSchema", "true").parquet(f"{root}/bronze")
     got = {r.event_id: r.firmware for r in bronze.collect()}
     assert got == {0: None, 1: None, 2: None, 9: "fw1.2"}
+
+
+def _drops(spark, name, schema, parts, run):
+    src, ck = scratch_path(spark, f"{name}-src"), scratch_path(spark, f"{name}-ck")
+    for i, part in enumerate(parts):
+        write_json(spark.createDataFrame(part, schema), f"{src}/drop={i}", files=1)
+        run(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(f"{src}/*"), ck)
+
+
+def test_rollup_stream_counts_null_keys_and_times(spark):
+    out = scratch_path(spark, "null-roll")
+    part = [(1, "2024-01-01 10:05:00"), (None, "2024-01-01 10:06:00"), (1, None)]
+    _drops(spark, "null-roll", "k int, ts string", [part, part + [(None, None)]], lambda s, ck: rollup_stream(
+        spark, s.withColumn("ts", F.col("ts").cast("timestamp")), out, ["k"], "ts", "hour", {"n": F.count(F.lit(1))}, ck))
+    got = {(r.k, str(r.period_start)): r.n for r in spark.read.parquet(f"{out}/windows").collect()}
+    assert got == {(1, "2024-01-01 10:00:00"): 2, (None, "2024-01-01 10:00:00"): 2, (1, "None"): 2, (None, "None"): 1}
+
+
+def test_first_deliveries_of_null_keys(spark):
+    out = scratch_path(spark, "null-first")
+    part = [(1, 5), (None, 3), (None, 2)]
+    _drops(spark, "null-first", "k int, t int", [part, part], lambda s, ck: first_deliveries(spark, s, out, ["k"], "t", ck))
+    assert rows(spark.read.parquet(out), "k", "t") == [(1, 5), (None, 2)]
+
+
+def test_earliest_state_ignores_order_of_arrival(spark):
+    from lakemart.streaming.state import earliest_state
+    every = [(1, 5, "b"), (1, 3, "z"), (1, None, "a"), (None, 9, "x"), (None, 8, "y"), (2, None, "q"), (1, 3, "c")]
+    want = [(1, 3, "c"), (2, None, "q"), (None, 8, "y")]
+    for turn in range(3):
+        parts = [every[turn::2], every[1 - turn % 2::2], every]
+        out = scratch_path(spark, "earliest")
+        _drops(spark, "earliest", "k int, t int, v string", parts,
+               lambda s, ck: earliest_state(spark, s, out, ["k"], "t", ck))
+        assert rows(spark.read.parquet(out), "k", "t", "v") == rows(spark.createDataFrame(want, "k int, t int, v string"))
+
+
+def test_replayed_batch_counts_once(spark):
+    """The merge of a micro-batch fails once after its state was computed."""
+    from lakemart.streaming import state
+    out, src, ck = (scratch_path(spark, n) for n in ("replay", "replay-src", "replay-ck"))
+    calls = []
+    real = state.merge_into
+
+    def failing(*a, **k):
+        calls.append(1)
+        out = real(*a, **k)
+        if len(calls) == 1:
+            raise RuntimeError("stopped after the merge")
+        return out
+
+    def run():
+        s = spark.readStream.schema("k int, v int").option("maxFilesPerTrigger", 1).json(f"{src}/*")
+        state.keyed_state(spark, s, out, ["k"], {"n": F.count(F.lit(1)), "v": F.sum("v")}, ck)
+
+    write_json(spark.createDataFrame([(1, 1), (None, 2)], "k int, v int"), f"{src}/a", files=1)
+    run()
+    write_json(spark.createDataFrame([(1, 10), (None, 20), (3, 30)], "k int, v int"), f"{src}/b", files=1)
+    state.merge_into = failing
+    try:
+        run()
+        raise AssertionError("should have stopped")
+    except Exception as e:
+        assert "stopped after the merge" in str(e)
+    finally:
+        state.merge_into = real
+    run()
+    assert rows(spark.read.parquet(out), "k", "n", "v") == [(1, 2, 11), (3, 1, 30), (None, 2, 22)]
