@@ -45,11 +45,12 @@ from lakemart.session import cut_lineage
 BITS = 21                       # of a word number within a path
 MASK = (1 << BITS) - 1
 WORDS = 1 << 19                 # numbered by a task before it spills all and starts anew
-HELD = 1_000_000                # entries in a task's tries before it spills
+HELD = 700_000                  # entries in a task's tries before it spills
 BURST = 1 << 14                 # entries of a container
 MERGED = 2_000_000              # entries merged at once
 PART_BYTES = 8 << 20            # of text per prefix partition
 MAX_PARTS = 1 << 16
+SPREAD = 16                     # shares of a language that are ranked by themselves first
 
 # --- fixed values: what ends a word, what ends a piece, letters to lower -----------
 SPACES = b" \t"
@@ -319,7 +320,7 @@ def merge_runs(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Rec
 
     for b in batches:
         for part, lang, n, run in zip(*(b[c].to_pylist() for c in ("part", "lang", "n", "run"))):
-            if held and (at != (part, lang) or entries + n > MERGED or words > WORDS):
+            if held and (at != (part, lang) or entries + n > MERGED or words >= MASK - 2 * WORDS):
                 whole = whole and at != (part, lang)
                 yield merged(at[1], whole)
                 held, entries, words = [], 0, 0
@@ -388,8 +389,12 @@ def collocations(df: DataFrame, text_col: str, lang_col: str, longest: int = 3,
     kept = (scored.join(covered, ["lang", "phrase"], "left")
                   .filter(F.col("longer").isNull() | (100 * F.col("longer") < inside * F.col("a")))
                   .select("lang", "phrase", "a", "s.l", "s.r", "s.score"))
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top)
+    # the best of each of SPREAD shares of a language first, so that one language's candidates are spread over tasks
+    share = F.pmod(F.xxhash64("phrase"), F.lit(SPREAD)).alias("share")
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    ranked = kept.select("*", share).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "share").orderBy(*order)))
+    ranked = ranked.filter(F.col("rank") <= top).withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
+    ranked = ranked.filter(F.col("rank") <= top)
     total = counts.filter(F.col("phrase").isNull()).select("lang", F.col("f").alias("n"))
     return ranked.join(total, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r",
                                              "n", "score")
