@@ -320,15 +320,16 @@ def merge_runs(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Rec
 
     for b in batches:
         for part, lang, n, run in zip(*(b[c].to_pylist() for c in ("part", "lang", "n", "run"))):
-            if held and (at != (part, lang) or entries + n > MERGED or words >= MASK - 2 * WORDS):
+            run = unpacked(run, n)
+            if held and (at != (part, lang) or entries + n > MERGED or words + len(run[0]) >= MASK):
                 whole = whole and at != (part, lang)
                 yield merged(at[1], whole)
                 held, entries, words = [], 0, 0
             if at != (part, lang):
                 at, whole = (part, lang), True
-            held.append(unpacked(run, n))
+            held.append(run)
             entries += n
-            words += len(held[-1][0])
+            words += len(run[0])
     if held:
         yield merged(at[1], whole)
 
