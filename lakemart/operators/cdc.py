@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.operators.sequence import carry_forward
+from lakemart.operators.sequence import ROWS_PER_BUCKET, carry_forward
 
 CHANGE_TYPE = "_change_type"
 COMMIT_VERSION = "_commit_version"
@@ -77,8 +77,10 @@ def upserts_only(df: DataFrame, change_col: str = CHANGE_TYPE) -> DataFrame:
 
 
 def fill_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                 cols: Sequence[str], skew_safe: bool | str = "auto") -> DataFrame:
+                 cols: Sequence[str], skew_safe: bool | str = "auto",
+                 rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Complete sparse updates: each of ``cols`` takes the latest non-NULL
     value seen so far for its key (a full post-image from partial ones).
-    ``skew_safe='auto'`` splits timelines only when some key is hot."""
-    return carry_forward(df, keys, order, cols, skew_safe=skew_safe)
+    Timelines of keys with more than ``rows_per_bucket`` rows are split, that
+    of the rows without key too."""
+    return carry_forward(df, keys, order, cols, skew_safe=skew_safe, rows_per_bucket=rows_per_bucket)

@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart.functions.keys import normalize_expr
-from lakemart.operators.sequence import carry_forward, has_hot_key, is_bucketable, order_bounds
+from lakemart.operators.heavy import heavy_keys
+from lakemart.operators.sequence import carry_forward, is_bucketable, order_splits
+from lakemart.session import cut_lineage
 
 # Largest side we broadcast on our own, by Spark's own size estimate.  Estimates
 # of Parquet scans are file bytes; the cap leaves room for their decompression.
 DEFAULT_BROADCAST_BYTES = 16 * 1024 * 1024
+MAX_BROADCAST_KEYS = 100_000    # of a written list of keys
 
 _WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
           T.FloatType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8,
@@ -96,19 +99,14 @@ def normalized_lookup(df: DataFrame, lookup: DataFrame, col: str, lookup_col: st
     return left.join(right, left["_nrm_l"] == right["_nrm_r"], "left").drop("_nrm_l", "_nrm_r")
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int, max_keys: int = 1000) -> DataFrame:
-    """Keys with at least ``min_rows`` rows, at most ``max_keys`` of them
-    (the largest): a partially aggregated count, then a distributed top-k.
-    Stays a DataFrame -- nothing is collected."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return (counts.filter(F.col("_n") >= min_rows)
-                  .orderBy(F.col("_n").desc(), F.col(key).asc()).limit(max_keys)
-                  .select(key, F.lit(True).alias("_hot")))
+def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
+    """Keys with at least ``min_rows`` rows (at most ``rows / min_rows`` of
+    them), found by a frequent-items sketch and counted exactly."""
+    return heavy_keys(df.filter(F.col(key).isNotNull()), [key], min_rows).select(key, F.lit(True).alias("_hot"))
 
 
 def salted_join(df: DataFrame, dim: DataFrame, key: str, salt_cols: Sequence[str],
-                buckets: int = 16, how: str = "left", hot_rows: int | None = None,
-                max_hot_keys: int = 1000) -> DataFrame:
+                buckets: int = 16, how: str = "left", hot_rows: int | None = None) -> DataFrame:
     """Equi-join (inner, left, semi or anti) that spreads a hot key over
     ``buckets`` tasks; a right or full join would repeat the replicated
     dimension rows and is rejected.
@@ -116,9 +114,9 @@ def salted_join(df: DataFrame, dim: DataFrame, key: str, salt_cols: Sequence[str
     Each fact row of a hot key gets a deterministic salt from a hash of
     ``salt_cols`` (a recomputed partition gets the same salt); the
     dimension rows of hot keys are replicated once per salt value.  With
-    ``hot_rows`` only keys with at least that many fact rows are salted (at
-    most ``max_hot_keys``, found by :func:`hot_keys` and broadcast -- the
-    list has a fixed bound); every other key joins with salt 0 and the
+    ``hot_rows`` only keys with at least that many fact rows are salted, all of
+    them (:func:`hot_keys`; the list is written, and broadcast when it is
+    small); every other key joins with salt 0 and the
     dimension is not replicated for it; rows with a NULL key match nothing and
     are spread.  Without ``hot_rows`` every key is
     salted.  The result equals the unsalted join.  Use when a key holds a
@@ -133,7 +131,9 @@ def salted_join(df: DataFrame, dim: DataFrame, key: str, salt_cols: Sequence[str
         f = df.withColumn("_salt", h)
         d = dim.withColumn("_salt", fan)
     else:
-        hot = F.broadcast(hot_keys(df, key, hot_rows, max_hot_keys))
+        hot = cut_lineage(hot_keys(df, key, hot_rows), "hot")
+        if hot.count() <= MAX_BROADCAST_KEYS:
+            hot = F.broadcast(hot)
         f = (df.join(hot, key, "left")
                .withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), h).otherwise(F.lit(0)))
                .drop("_hot"))
@@ -153,7 +153,7 @@ def as_of_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], fact_time:
                dim_start: str, take: Sequence[str], dim_keys: Sequence[str] | None = None,
                dim_end: str | None = None, end_inclusive: bool = True,
                prefix: str = "", skew_safe: bool | str = "auto",
-               time_bounds: tuple | None = None, strategy: str = "auto",
+               strategy: str = "auto",
                max_versions_per_key: int = MAX_VERSIONS_PER_KEY,
                dim_order: Sequence[str] = ()) -> DataFrame:
     """Validity-interval (as-of) left join: for every fact row the dimension
@@ -169,9 +169,6 @@ def as_of_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], fact_time:
     Exactly one output row per fact row.  Of several versions of a key with
     one start, the one with the largest ``dim_order`` (e.g. the sequence
     column), then the largest taken values, counts - in every strategy.
-    ``time_bounds`` = ``(min, max)``
-    of the fact time (see :func:`~lakemart.operators.sequence.order_bounds`)
-    spares a pass over ``facts`` when the caller knows a cheaper source.
 
     ``strategy``: ``"carry"`` always uses the timeline above (facts are
     shuffled once); ``"broadcast"`` / ``"auto"`` use a broadcast equi-join
@@ -201,8 +198,6 @@ def as_of_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], fact_time:
     unmatched = facts.filter(lost).select(*[F.col(c) for c in fact_cols], *[
         F.lit(None).cast(dim.schema[c].dataType).alias(prefix + c) for c in take])
     facts = facts.filter(~lost)
-    if skew_safe == "auto":
-        skew_safe = is_bucketable(facts, fact_time) and (has_hot_key(facts, keys) or has_hot_key(dim, dkeys))
     dim_fields = take + ([dim_end] if dim_end and dim_end not in take else [])
     dim_struct_type = T.StructType([T.StructField(c, dim.schema[c].dataType) for c in dim_fields])
     fact_struct_type = T.StructType([T.StructField(c, facts.schema[c].dataType) for c in fact_cols])
@@ -220,17 +215,15 @@ def as_of_join(facts: DataFrame, dim: DataFrame, keys: Sequence[str], fact_time:
         d = d.filter(F.col(f"_aj_k{i}").isNotNull())
     kcols = [f"_aj_k{i}" for i in range(len(keys))]
     u = f.unionByName(d)
-    bounds = None
-    if skew_safe:
-        # versions outside the facts' range fall into the end buckets
-        bounds = time_bounds if time_bounds is not None else order_bounds(facts, fact_time)
     # only version rows carry a value; the bucket summary needs them plus
     # the (key, time) of the facts so every bucket has a summary row -- a
     # column-pruned scan and a partial aggregate, not a second full shuffle
     presence = f.select(*kcols, "_aj_t", "_aj_side", F.lit(None).cast(fact_struct_type).alias("_aj_fact"),
                         F.lit(None).cast(dim_struct_type).alias("_aj_dim"))
-    carried = carry_forward(u, kcols, ["_aj_t", "_aj_side"], ["_aj_dim"], skew_safe=skew_safe,
-                            bounds=bounds, summary_input=d.unionByName(presence))
+    both = d.unionByName(presence)
+    splits = order_splits(both, kcols, "_aj_t") if skew_safe and is_bucketable(both, "_aj_t") else None
+    carried = carry_forward(u, kcols, ["_aj_t", "_aj_side"], ["_aj_dim"], skew_safe=splits is not None,
+                            splits=splits, summary_input=both)
     out = carried.filter(F.col("_aj_side") == 1)
     valid = F.lit(True)
     if dim_end:

@@ -34,8 +34,7 @@ from lakemart.operators.cdc import DELETE, UPDATE_PRE
 from lakemart.operators.dedupe import dedupe
 from lakemart.operators.merge import upsert
 from lakemart.operators.joins import bounded_broadcast
-from lakemart.operators.sequence import (BUCKET, has_hot_key, is_bucketable, next_value, order_bounds,
-                                         with_order_bucket)
+from lakemart.operators.sequence import BUCKET, is_bucketable, next_value, order_splits, with_order_bucket
 
 START, END, CURRENT, DELETED, DELETE_SEQ = "start_at", "end_at", "is_current", "_is_delete", "_delete_seq"
 
@@ -106,7 +105,7 @@ def scd2_apply(target: DataFrame | None, changes: DataFrame, keys: Sequence[str]
 
     ``skew_safe='auto'`` (default): one shuffle by key and a plain ``lead``
     window, unless some key has more rows than a task should hold
-    (:func:`~lakemart.operators.sequence.has_hot_key`); then timelines are
+    (:func:`~lakemart.operators.sequence.order_splits`); then timelines are
     split into order buckets.  Sequences without a numeric image (text)
     always use the plain window.
     """
@@ -153,20 +152,14 @@ def scd2_apply(target: DataFrame | None, changes: DataFrame, keys: Sequence[str]
         narrow = hist.select(*keys, seq).unionByName(narrow)
     versions = versions.withColumn("_h", F.xxhash64(*[F.col(c) for c in attrs]) if attrs else F.lit(0))
     group = keys + [seq]
-    bounds = None
-    if skew_safe and not is_bucketable(changes, seq):
-        skew_safe = False
-    elif skew_safe == "auto":
-        skew_safe = has_hot_key(narrow, keys)
+    splits = None
+    if skew_safe and is_bucketable(changes, seq):
+        splits = order_splits(narrow, keys, seq, null_keys=False)
+    skew_safe = splits is not None
     if skew_safe:
         # one shuffle by (key, order bucket) serves the dedupe below and the
-        # `lead` window; the range comes from the cheap inputs (batch +
-        # target column), not from the derived version set
-        span = ch.select(F.col(seq))
-        if not initial:
-            span = span.unionByName(target.select(F.col(seq)))
-        bounds = order_bounds(span, seq)
-        versions = with_order_bucket(versions, keys, seq, bounds=bounds)
+        # `lead` window; the splits come from the narrow image of the versions
+        versions = with_order_bucket(versions, keys, seq, splits)
         group = keys + [BUCKET, seq]       # same groups: the bucket is a function of seq
     # data first, arrival last: equal (key, seq) resolve the same way whatever
     # the batch order; only exact replays fall through to `_src`
@@ -197,7 +190,7 @@ def scd2_apply(target: DataFrame | None, changes: DataFrame, keys: Sequence[str]
     # duplicates of a (key, seq) share the start when start == seq, so the
     # lead's per-bucket summary can be a partial aggregate of `narrow`
     versions = next_value(versions, keys, [seq], start, "_next", skew_safe=skew_safe,
-                          bounds=bounds, bucketed=still_bucketed,
+                          splits=splits, bucketed=still_bucketed,
                           summary_input=narrow if (skew_safe and start == seq) else None)
     deleted = F.col("_ds").isNotNull()
     rebuilt = versions.select(

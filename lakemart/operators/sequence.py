@@ -3,12 +3,11 @@
 A plain ``Window.partitionBy(key).orderBy(t)`` sends every row of a key to
 one task.  When a single key carries a large share of the data (a third of
 all rows is the design assumption) that task holds the whole group.  The
-primitives here split each key's timeline into *order buckets*: contiguous
-ranges of the ordering value, of equal width over the global range (one
-one-row aggregate, preferably over a cheap source of the same column).  The
-number of buckets grows with the row count (``ROWS_PER_BUCKET``), so even a
-key holding every row is cut into tasks of bounded size when its rows are
-spread in time.  The window runs per
+primitives here split the timelines of hot keys into *order buckets*:
+contiguous ranges of the ordering value that hold about equally many rows.
+Their bounds come from a quantile sketch (KLL) of the ordering value per hot
+key - mergeable, so it is aggregated map-side - and follow bursts and
+outliers.  NULL is a key like any other.  The window runs per
 ``(key, bucket)``, so a hot key is spread over many tasks, and a small
 per-bucket summary stitches the buckets back together:
 
@@ -20,8 +19,9 @@ per-bucket summary stitches the buckets back together:
 * result -- ``coalesce(in-bucket, carry-in)`` after an equi-join on
   ``(key, bucket)``; the row side is already partitioned on that pair.
 
-Bucket assignment is a pure function of the row and the global range, so
-re-computing a lost partition yields the same buckets.
+The splits are written once, and the bucket is a pure function of the row and
+its key's splits, so re-computing a lost partition yields the same buckets.
+Rows of one key with equal ordering values stay together.
 """
 
 from __future__ import annotations
@@ -33,24 +33,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakemart.functions.dates import order_number
+from lakemart.operators.heavy import heavy_keys
+from lakemart.session import cut_lineage
 
 BUCKET = "_obkt"
-MIN_BUCKETS = 32
-MAX_BUCKETS = 1 << 22
-# Order buckets are sized so that a single key holding *every* row still
-# has about this many rows per (key, bucket) task on evenly spread data; a
-# key with a third of the rows packed into 1% of the time range gets about
-# 8M rows per task.  The per-key carry-in window runs over at most
-# MAX_BUCKETS summary rows (key, bucket, value).
-ROWS_PER_BUCKET = 250_000
-
-
-def has_hot_key(df: DataFrame, keys: Sequence[str], rows: int = ROWS_PER_BUCKET) -> bool:
-    """Has any non-NULL key more than ``rows`` rows?  One partial aggregate
-    over the key columns.  Without one, a window per key is the best plan."""
-    for k in keys:
-        df = df.filter(F.col(k).isNotNull())
-    return not df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > rows).isEmpty()
+ROWS_PER_BUCKET = 250_000       # of one key, about; a key with fewer rows is not split
+SPLITS = 1024                   # sketched ranges of a hot key; more buckets cut these evenly by value
+SKETCH = 4096                   # size parameter of the sketch: ranks are right to about 0.1 %
+MAX_BROADCAST_BOUNDS = 1 << 20  # bounds of all hot keys that are broadcast, at most
 
 
 def is_bucketable(df: DataFrame, order_col: str) -> bool:
@@ -60,92 +50,114 @@ def is_bucketable(df: DataFrame, order_col: str) -> bool:
                       (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType))
 
 
-def order_bounds(df: DataFrame, order_col: str) -> tuple:
-    """``(min, max, rows)`` of the numeric image of an ordering column: a
-    single one-row aggregate (partial per task, nothing data-sized reaches
-    the driver).  Pass a cheap frame with the same column -- a base table or
-    a change batch -- rather than a deep derived plan."""
-    num = order_number(order_col, df.schema[order_col].dataType)
-    row = df.select(F.min(num).alias("lo"), F.max(num).alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    return (row["lo"], row["hi"], row["n"]) if row is not None else (None, None, 0)
-
-
-def bucket_count(rows: int | None) -> int:
-    """Buckets for ``rows`` rows: grows with the data so a hot key's share
-    per task stays bounded (``ROWS_PER_BUCKET``), never below 32."""
-    if not rows:
-        return MIN_BUCKETS
-    return int(min(MAX_BUCKETS, max(MIN_BUCKETS, -(-rows // ROWS_PER_BUCKET))))
-
-
-def _bucket_expr(df: DataFrame, order_col: str, n_buckets: int | None,
-                 bounds: tuple | None, keys: Sequence[str] = ()) -> Column:
-    num = order_number(order_col, df.schema[order_col].dataType)
-    b3 = tuple(bounds) if bounds is not None else order_bounds(df, order_col)
-    lo, hi = b3[0], b3[1]
-    if n_buckets is None:
-        n_buckets = bucket_count(b3[2] if len(b3) > 2 else None)
-    if lo is None or hi is None:
-        return F.lit(-1)
-    # literal range: the expression is identical in every branch that
-    # uses it, so Spark reuses the exchange instead of recomputing it
-    width = max((float(hi) - float(lo)) / n_buckets, 1e-9)
-    b = F.greatest(F.least(F.floor((num - F.lit(float(lo))) / F.lit(width)), F.lit(n_buckets - 1)),
-                   F.lit(0)).cast("int")
+def _number(df: DataFrame, order_col: str) -> Column:
+    return order_number(order_col, df.schema[order_col].dataType).cast("double")
+
+
+def _on_splits(df: DataFrame, keys: Sequence[str], splits: DataFrame) -> Column:
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        cond = cond & df[k].eqNullSafe(splits[f"_sk{i}"])
+    return cond
+
+
+def order_splits(df: DataFrame, keys: Sequence[str], order_col: str, rows: int = ROWS_PER_BUCKET,
+                 null_keys: bool = True) -> DataFrame | None:
+    """Splits of the hot keys, those with more than ``rows`` rows: one row
+    (key columns ``_sk<i>``, ``_bounds``, ``_parts``) each, written; None
+    without any.  Pass a narrow frame with the rows' keys and order.
+
+    A frequent-items sketch finds the keys (:func:`heavy_keys`); only rows of
+    hot keys are sketched.
+    """
+    key = [F.col(k).alias(f"_sk{i}") for i, k in enumerate(keys)]
+    narrow = df.select(*key, _number(df, order_col).alias("_num"))
+    if not null_keys:
+        narrow = narrow.dropna(subset=[f"_sk{i}" for i in range(len(keys))])
+    names = [f"_sk{i}" for i in range(len(keys))]
+    total = narrow.count()
+    if total <= rows:
+        return None
+    hot = cut_lineage(heavy_keys(narrow, names, rows + 1, total).withColumnRenamed("n", "_n"), "hot-keys")
+    if hot.isEmpty():
+        return None
+    # hot keys are total rows / rows at most; a table of a few megabytes is broadcast, a larger one is joined
+    known = hot.select(*[F.col(n).alias(f"_h{i}") for i, n in enumerate(names)], "_n")
+    if hot.count() <= MAX_BROADCAST_BOUNDS // SPLITS:
+        known = F.broadcast(known)
+    cond = F.lit(True)
+    for i, n in enumerate(names):
+        cond = cond & narrow[n].eqNullSafe(known[f"_h{i}"])
+    sketch = (narrow.join(known, cond).groupBy(*names, "_n")
+                    .agg(F.kll_sketch_agg_double("_num", F.lit(SKETCH)).alias("_sketch")))
+    ranks = F.array(*[F.lit(i / SPLITS) for i in range(SPLITS + 1)])
+    wanted = F.least(F.lit(SPLITS), F.ceil(F.col("_n") / rows))
+    bounds = F.filter(F.col("_all"), lambda b, i: (i == SPLITS) | (F.floor(i * wanted / SPLITS) > F.floor((i - 1) * wanted / SPLITS)))
+    sketch = sketch.withColumn("_all", F.when(F.kll_sketch_get_n_double("_sketch") > 0,
+                                              F.kll_sketch_get_quantile_double("_sketch", ranks)))
+    parts = F.greatest(F.lit(1), F.ceil(F.col("_n") / (rows * SPLITS))).cast("int")
+    return cut_lineage(sketch.select(*names, F.array_distinct(bounds).alias("_bounds"), parts.alias("_parts"))
+                             .filter(F.col("_bounds").isNotNull()), "splits")
+
+
+def _bucket(num: Column, bounds: Column, parts: Column) -> Column:
+    """Number of bounds at or below ``num`` (binary search), times ``parts``,
+    plus the part by value between the two bounds."""
+    def step(a: Column, _: Column) -> Column:
+        mid = F.floor((a["lo"] + a["hi"]) / 2).cast("int")
+        right = (a["lo"] < a["hi"]) & (F.get(bounds, mid) <= num)
+        return F.struct(F.when(right, mid + 1).otherwise(a["lo"]).alias("lo"),
+                        F.when((a["lo"] < a["hi"]) & ~right, mid).otherwise(a["hi"]).alias("hi"))
+
+    start = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"))
+    at = F.aggregate(F.sequence(F.lit(1), F.lit(SPLITS.bit_length() + 1)), start, step, lambda a: a["lo"])
+    low, high = F.get(bounds, at - 1), F.get(bounds, at)
+    inside = F.floor((num - low) / (high - low) * parts).cast("int")
+    part = F.when((parts > 1) & low.isNotNull() & high.isNotNull(), F.least(F.greatest(inside, F.lit(0)), parts - 1)).otherwise(0)
     # NULL order values sort first ascending and last descending (Spark's
     # defaults); bucket -1 is first in ascending and last in descending
-    # bucket order, so it holds them in both directions.
-    # A row with a NULL key goes to bucket -1 as well: the whole NULL-key
-    # group then sits in one bucket and needs no carry-in, so the stitching
-    # join can be a plain equi-join on (keys, bucket) that reuses the
-    # existing partitioning (a null-safe join would hash on coalesce(key)
-    # and re-shuffle every row).
-    null_key = F.lit(False)
-    for k in keys:
-        null_key = null_key | F.col(k).isNull()
-    return F.when(num.isNull() | null_key, F.lit(-1)).otherwise(b)
-
-
-def with_order_bucket(df: DataFrame, keys: Sequence[str], order_col: str,
-                      n_buckets: int | None = None, bounds: tuple | None = None) -> DataFrame:
+    # bucket order, so it holds them in both directions.  Unsplit keys are one bucket.
+    return F.when(num.isNull(), F.lit(-1)).when(bounds.isNull(), F.lit(0)).otherwise(at * parts + part).cast("int")
+
+
+def add_order_bucket(df: DataFrame, keys: Sequence[str], order_col: str, splits: DataFrame) -> DataFrame:
+    """Add the order-bucket column."""
+    if (splits.agg(F.sum(F.size("_bounds"))).first()[0] or 0) <= MAX_BROADCAST_BOUNDS:
+        splits = F.broadcast(splits)
+    joined = df.join(splits, _on_splits(df, keys, splits), "left")
+    return joined.select(*[df[c] for c in df.columns], _number(df, order_col).alias("_num"), "_bounds", "_parts") \
+                 .withColumn(BUCKET, _bucket(F.col("_num"), F.col("_bounds"), F.col("_parts"))) \
+                 .drop("_num", "_bounds", "_parts")
+
+
+def with_order_bucket(df: DataFrame, keys: Sequence[str], order_col: str, splits: DataFrame) -> DataFrame:
     """Add the order-bucket column and hash-partition by ``(keys, bucket)``.
 
     Callers that group by ``(keys, order...)`` before a :func:`carry_forward`
     (e.g. a dedupe on ``(key, sequence)``) can group by ``(keys, bucket,
     order...)`` instead -- the same groups, since the bucket is a function
     of the order value -- and pass ``bucketed=True`` to reuse this one
-    shuffle for both steps."""
-    return (df.withColumn(BUCKET, _bucket_expr(df, order_col, n_buckets, bounds, keys))
-              .repartition(*[F.col(k) for k in keys], F.col(BUCKET)))
+    shuffle for both steps.  ``splits`` without NULL keys then."""
+    return add_order_bucket(df, keys, order_col, splits).repartition(*[F.col(k) for k in keys], F.col(BUCKET))
 
 
 def _order_exprs(order: Sequence[str], descending: bool) -> list[Column]:
     return [F.col(c).desc() if descending else F.col(c).asc() for c in order]
 
 
-def null_safe_on(left: str, right: str, cols: Sequence[str]) -> Column:
-    """Null-safe equi-join condition between two aliased frames."""
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
-    return cond
-
-
 def carry_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   cols: Sequence[str], out: Sequence[str] | None = None,
                   include_current: bool = True, descending: bool = False,
-                  skew_safe: bool = True, n_buckets: int | None = None,
-                  bounds: tuple | None = None, bucketed: bool = False,
-                  summary_input: DataFrame | None = None) -> DataFrame:
+                  skew_safe: bool = True, splits: DataFrame | None = None, bucketed: bool = False,
+                  summary_input: DataFrame | None = None, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Last non-NULL value of each of ``cols`` up to (or strictly before)
     the current row, per key, in ``order`` (first column buckets).
 
     Equals ``last(c, ignorenulls) OVER (PARTITION BY keys ORDER BY order
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW | 1 PRECEDING)`` when
-    ``order`` is unique within a key.  ``bounds`` = ``(min, max[, rows])`` of
-    the first order column (see :func:`order_bounds`); values outside it
-    still land in the first or last bucket, so a loose range is safe.
-    ``n_buckets`` defaults to :func:`bucket_count` of the row count.
+    ``order`` is unique within a key.  ``splits``: see :func:`order_splits`;
+    found from the data when not given, and without hot keys the window above
+    is used.
     ``bucketed=True``: ``df`` comes from :func:`with_order_bucket` with the
     same keys and first order column and is still partitioned that way (only
     narrow steps or broadcast joins since), so no new shuffle is made.
@@ -162,26 +174,23 @@ def carry_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     out = list(out) if out is not None else list(cols)
     hi = Window.currentRow if include_current else -1
     oexpr = _order_exprs(order, descending)
-    if skew_safe and not bucketed:
-        if not is_bucketable(df, order[0]):
-            skew_safe = False
-        elif skew_safe == "auto":
-            skew_safe = has_hot_key(summary_input if summary_input is not None else df, keys)
-
-    if not skew_safe:
-        # rows with a NULL key are one group; spread over order buckets they
-        # would still be joined to nothing by callers, so they stay one window
+    if skew_safe and splits is None and is_bucketable(df, order[0]):
+        splits = order_splits(summary_input if summary_input is not None else df, keys, order[0], rows_per_bucket)
+    if not skew_safe or splits is None:
         w = Window.partitionBy(*keys).orderBy(*oexpr).rowsBetween(Window.unboundedPreceding, hi)
         return df.withColumns({o: F.last(F.col(c), ignorenulls=True).over(w)
                                for c, o in zip(cols, out)})
 
-    if bounds is None and not bucketed:
-        bounds = order_bounds(df, order[0])      # one range for rows and summary
-    if bucketed:
-        rows = df
-    else:
-        rows = with_order_bucket(df, keys, order[0], n_buckets, bounds)
-    w_in = (Window.partitionBy(*keys, BUCKET).orderBy(*oexpr)
+    # the key as one struct: equal also where a part is NULL, so the stitching
+    # join is a plain equi-join that reuses the rows' partitioning
+    by = keys if bucketed else ["_key"]
+
+    def keyed(x: DataFrame) -> DataFrame:
+        x = x if BUCKET in x.columns else add_order_bucket(x, keys, order[0], splits)
+        return x if bucketed else x.withColumn("_key", F.struct(*keys))
+
+    rows = df if bucketed else keyed(df).repartition("_key", BUCKET)
+    w_in = (Window.partitionBy(*by, BUCKET).orderBy(*oexpr)
             .rowsBetween(Window.unboundedPreceding, hi))
     tmp = [f"_cf_in_{i}" for i in range(len(cols))]
     rows = rows.withColumns({t: F.last(F.col(c), ignorenulls=True).over(w_in)
@@ -190,24 +199,20 @@ def carry_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     # one row per (key, bucket): the bucket's last non-NULL value of each col
     ord_struct = F.struct(*[F.col(c) for c in order])
     pick = F.min_by if descending else F.max_by
-    if summary_input is not None:
-        src = summary_input if BUCKET in summary_input.columns else \
-            summary_input.withColumn(BUCKET, _bucket_expr(summary_input, order[0], n_buckets, bounds, keys))
-    else:
-        src = rows
-    summ = src.groupBy(*keys, BUCKET).agg(*[
+    src = keyed(summary_input) if summary_input is not None else rows
+    summ = src.groupBy(*by, BUCKET).agg(*[
         pick(F.col(c), F.when(F.col(c).isNotNull(), ord_struct)).alias(f"_cf_last_{i}")
         for i, c in enumerate(cols)])
-    w_b = (Window.partitionBy(*keys)
+    w_b = (Window.partitionBy(*by)
            .orderBy(F.col(BUCKET).desc() if descending else F.col(BUCKET).asc())
            .rowsBetween(Window.unboundedPreceding, -1))
-    summ = summ.select(*keys, BUCKET, *[
+    summ = summ.select(*by, BUCKET, *[
         F.last(F.col(f"_cf_last_{i}"), ignorenulls=True).over(w_b).alias(f"_cf_carry_{i}")
         for i in range(len(cols))])
     s = summ.alias("_s")
     r = rows.alias("_r")
     on = F.lit(True)
-    for c in keys + [BUCKET]:
+    for c in by + [BUCKET]:
         on = on & (F.col(f"_r.{c}") == F.col(f"_s.{c}"))
     joined = r.join(s, on, "left")
     keep = [F.col(f"_r.{c}") for c in df.columns if c not in out and c != BUCKET]
@@ -217,8 +222,7 @@ def carry_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 def next_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str,
-               out: str, skew_safe: bool = True, n_buckets: int | None = None,
-               bounds: tuple | None = None, bucketed: bool = False,
+               out: str, skew_safe: bool = True, splits: DataFrame | None = None, bucketed: bool = False,
                summary_input: DataFrame | None = None) -> DataFrame:
     """Value of ``col`` on the next row of the same key in ``order``
     (``lead``) -- exact when ``col`` is non-NULL on every row, e.g. the next
@@ -227,5 +231,5 @@ def next_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: st
         w = Window.partitionBy(*keys).orderBy(*_order_exprs(order, False))
         return df.withColumn(out, F.lead(F.col(col)).over(w))
     return carry_forward(df, keys, order, [col], [out], include_current=False,
-                         descending=True, skew_safe=True, n_buckets=n_buckets, bounds=bounds,
+                         descending=True, skew_safe=True, splits=splits,
                          bucketed=bucketed, summary_input=summary_input)

@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakemart.operators import cdc
+from lakemart.operators.heavy import heavy_keys
 from lakemart.plans import freight
 from lakemart.plans.catalog import _json_lines, table
 from lakemart.plans.oracle import _round
@@ -240,4 +242,37 @@ SQL["q_state_dedupe"] = f"""WITH {_LATE},
     QUALIFY row_number() OVER (PARTITION BY event_id
       ORDER BY ts NULLS LAST, user_id NULLS FIRST, event_type NULLS FIRST, value NULLS FIRST) = 1"""
 
+def q_fill_forward_burst(spark, d):
+    """Values filled forward where one key has two fifths of the rows,
+    half of them within one hour, and a fifth has no key; timelines are split
+    at 500 rows."""
+    ev = table(spark, d, "events")
+    kind, at = F.col("event_type"), F.unix_micros(F.col("ts").cast("timestamp"))
+    rows = ev.select(F.when(kind.isin("click", "view"), 0).when(kind != "error", F.col("user_id")).alias("k"),
+                     F.when(kind == "click", at % 3_600_000_000).otherwise(at).alias("t"), "event_id",
+                     F.when(F.col("value") < 20, F.col("value")).alias("filled"))
+    return cdc.fill_forward(rows, ["k"], ["t", "event_id"], ["filled"], rows_per_bucket=500)
+
+
+SQL["q_fill_forward_burst"] = """WITH r AS (
+      SELECT CASE WHEN event_type IN ('click', 'view') THEN 0 WHEN event_type <> 'error' THEN user_id END AS k,
+        CASE WHEN event_type = 'click' THEN epoch_us(ts) % 3600000000 ELSE epoch_us(ts) END AS t, event_id,
+        CASE WHEN value < 20 THEN value END AS v FROM events)
+    SELECT k, t, event_id, last_value(v IGNORE NULLS) OVER (PARTITION BY k ORDER BY t, event_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS filled FROM r"""
+
+
+def q_heavy_keys(spark, d):
+    """All customers with more than one in 1,400 orders, from a sketch
+    and an exact count of its candidates; orders of low priority count as without customer."""
+    o = table(spark, d, "orders")
+    key = F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_custkey")).alias("o_custkey")
+    n = o.count()
+    return heavy_keys(o.select(key), ["o_custkey"], n // 1400 + 1, n)
+
+
+SQL["q_heavy_keys"] = """SELECT o_custkey, count(*) AS n
+    FROM (SELECT CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey END AS o_custkey FROM orders) GROUP BY 1
+    HAVING count(*) >= (SELECT count(*) FROM orders) // 1400 + 1"""
+
 QUERIES = {name: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)}

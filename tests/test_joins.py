@@ -53,7 +53,7 @@ def test_as_of_matches_range_join(spark):
     assert rows(got_b, "fid", "d_v") == got
     # too many versions per key -> falls back to the timeline plan
     fb = as_of_join(f, d, ["k"], "t", "s", ["v"], prefix="d_", max_versions_per_key=2, skew_safe=True)
-    assert "_obkt" in fb._jdf.queryExecution().executedPlan().toString()
+    assert "_aj_side" in fb._jdf.queryExecution().executedPlan().toString()
     assert rows(fb, "fid", "d_v") == got
     d.createOrReplaceTempView("d"); f.createOrReplaceTempView("f")
     want = spark.sql("""
@@ -63,6 +63,19 @@ def test_as_of_matches_range_join(spark):
     assert got == rows(want)
 
 
+def test_as_of_splits_hot_keys(spark, monkeypatch):
+    from lakemart.operators import joins
+    d = spark.range(300).select((F.col("id") % 3).alias("k"), F.col("id").alias("s"), F.col("id").alias("v"))
+    f = spark.range(4000).select(F.col("id").alias("fid"), F.when(F.col("id") % 4 > 0, 0).otherwise(F.col("id") % 5).alias("k"),
+                                 F.when(F.col("id") % 9 == 0, F.col("id") % 400).otherwise(F.col("id") % 10 + 100).alias("t"))
+    want = rows(as_of_join(f, d, ["k"], "t", "s", ["v"], prefix="d_", strategy="carry"), "fid", "d_v")
+    real = joins.order_splits
+    monkeypatch.setattr(joins, "order_splits", lambda *a: real(*a, rows=100))
+    split = as_of_join(f, d, ["k"], "t", "s", ["v"], prefix="d_", strategy="carry")
+    assert "_obkt" in split._jdf.queryExecution().executedPlan().toString()
+    assert rows(split, "fid", "d_v") == want
+
+
 def test_salted_equals_unsalted(spark):
     f = spark.range(2000).select(F.col("id").alias("e"), F.when(F.col("id") % 10 < 7, 0)
                                  .otherwise(F.col("id") % 50).alias("k"))

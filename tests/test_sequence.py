@@ -3,7 +3,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lakemart.operators.sequence import carry_forward, next_value
+from lakemart.operators.sequence import BUCKET, add_order_bucket, carry_forward, next_value, order_splits, with_order_bucket
 from tests.conftest import rows
 
 
@@ -21,10 +21,12 @@ def _data(spark, n=3000, seed=3):
 
 def test_carry_forward_equals_window(spark):
     df = _data(spark)
+    splits = order_splits(df, ["k"], "t", rows=60)
+    assert {None, 0} <= {r._sk0 for r in splits.collect()}
     for incl in (True, False):
         for desc in (False, True):
             fast = carry_forward(df, ["k"], ["t", "i"], ["v"], out=["c"], include_current=incl,
-                                 descending=desc, n_buckets=16)
+                                 descending=desc, splits=splits)
             plain = carry_forward(df, ["k"], ["t", "i"], ["v"], out=["c"], include_current=incl,
                                   descending=desc, skew_safe=False)
             assert rows(fast, "i", "c") == rows(plain, "i", "c"), (incl, desc)
@@ -34,15 +36,15 @@ def test_next_value_equals_lead(spark):
     df = _data(spark).filter(F.col("t").isNotNull()).dropDuplicates(["k", "t"])
     w = Window.partitionBy("k").orderBy("t")
     want = df.withColumn("n", F.lead("t").over(w))
-    got = next_value(df, ["k"], ["t"], "t", "n", n_buckets=8)
+    got = next_value(df, ["k"], ["t"], "t", "n", splits=order_splits(df, ["k"], "t", rows=40))
     assert rows(got, "k", "t", "n") == rows(want, "k", "t", "n")
 
 
 def test_auto_splits_only_hot_keys(spark):
-    from lakemart.operators import sequence
     df = _data(spark)
     plain = carry_forward(df, ["k"], ["t", "i"], ["v"], skew_safe=False)
-    assert not sequence.has_hot_key(df, ["k"]) and sequence.has_hot_key(df, ["k"], rows=5)
+    assert order_splits(df, ["k"], "t") is None
+    assert {r._sk0 for r in order_splits(df, ["k"], "t", rows=1000).collect()} == {0}
     auto = carry_forward(df, ["k"], ["t", "i"], ["v"], skew_safe="auto")
     assert "_obkt" not in auto._jdf.queryExecution().executedPlan().toString()
     assert rows(auto, "i", "v") == rows(plain, "i", "v")
@@ -58,26 +60,59 @@ def test_text_sequences_use_the_plain_window(spark):
         ("a", "2024-01-02", False), ("a", "2024-01-03", True), ("b", "v2", True)]
 
 
-def test_hot_key_rows_spread_over_buckets(spark):
-    from lakemart.operators.sequence import _bucket_expr, bucket_count
-    # one key with a third of the rows, spread over time
-    df = spark.range(30000).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
-                                   (F.col("id") * 7).alias("t"))
-    b = df.withColumn("b", _bucket_expr(df, "t", 32, None))
-    per = b.filter("k = 0").groupBy("b").count().collect()
-    assert len(per) == 32
-    assert max(r["count"] for r in per) <= 2 * (10000 // 32)
-    assert bucket_count(10) == 32 and bucket_count(10**12) == 4_000_000
+def _largest(df, splits):
+    got = add_order_bucket(df, ["k"], "t", splits).groupBy("k", BUCKET).count()
+    return max(r["count"] for r in got.collect())
+
+
+def test_bursts_outliers_and_null_keys_are_spread(spark):
+    """The largest (key, bucket) group, which one task holds, stays near the wanted size."""
+    n, rows_each = 60_000, 1_000
+    hour = 3_600_000_000
+    i = F.col("id")
+    burst = F.when(i % 10 < 9, i % hour).otherwise(i * hour)                 # nine tenths within one hour
+    far = F.when(i == 0, F.lit(-10**15)).otherwise(burst)                    # and an outlier
+    key = F.when(i % 3 == 0, F.lit(0)).when(i % 3 == 1, F.lit(None)).otherwise(i + 1)
+    df = spark.range(n).select(key.cast("long").alias("k"), far.alias("t"), i.alias("i"),
+                               F.when(i % 7 == 0, i).alias("v"))
+    splits = order_splits(df, ["k"], "t", rows=rows_each)
+    assert {r._sk0 for r in splits.collect()} == {0, None}
+    assert _largest(df, splits) <= 1.3 * rows_each
+    fast = carry_forward(df, ["k"], ["t", "i"], ["v"], out=["c"], splits=splits)
+    plain = carry_forward(df, ["k"], ["t", "i"], ["v"], out=["c"], skew_safe=False)
+    assert fast.exceptAll(plain).count() == 0 and fast.count() == n
+
+
+def test_more_buckets_than_sketched_ranges(spark, monkeypatch):
+    from lakemart.operators import sequence
+    monkeypatch.setattr(sequence, "SPLITS", 8)
+    df = spark.range(20_000).select(F.lit(1).alias("k"), (F.col("id") * 50 + F.col("id") % 7).alias("t"),
+                                    F.when(F.col("id") % 5 == 0, F.col("id")).alias("v"))
+    splits = order_splits(df, ["k"], "t", rows=200)
+    assert splits.first()._parts == 13
+    assert _largest(df, splits) <= 400
+    fast = carry_forward(df, ["k"], ["t"], ["v"], out=["c"], splits=splits)
+    plain = carry_forward(df, ["k"], ["t"], ["v"], out=["c"], skew_safe=False)
+    assert fast.exceptAll(plain).count() == 0
+
+
+def test_equal_and_missing_order_values(spark):
+    df = spark.range(500).select(F.lit(1).alias("k"), F.lit(7).alias("t"), F.col("id").alias("i"), F.col("id").alias("v"))
+    df = df.unionAll(spark.range(500, 900).selectExpr("2", "cast(null as int)", "id", "id"))
+    splits = order_splits(df, ["k"], "t", rows=100)
+    assert {r._sk0 for r in splits.collect()} == {1}    # nothing to sketch for key 2
+    got = add_order_bucket(df, ["k"], "t", splits).select("k", BUCKET).distinct().collect()
+    assert {r.k: r[BUCKET] for r in got}[2] == -1 and len(got) == 2
 
 
 def test_hot_key_rows_spread_over_shuffle_partitions(spark):
-    from lakemart.operators.sequence import with_order_bucket
     n = 60000
     df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"),
                                (F.col("id") * 7).alias("t"))
+    splits = order_splits(df, ["k"], "t", rows=300)
     spark.conf.set("spark.sql.adaptive.enabled", "false")       # keep the 8 planned partitions
     try:
-        parts = (with_order_bucket(df, ["k"], "t", n_buckets=64)
+        parts = (with_order_bucket(df, ["k"], "t", splits)
                  .groupBy(F.spark_partition_id().alias("p")).count().collect())
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
