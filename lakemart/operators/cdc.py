@@ -5,10 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.operators.sequence import ROWS_PER_BUCKET, carry_forward
+from lakemart.session import cut_lineage
 
 CHANGE_TYPE = "_change_type"
 COMMIT_VERSION = "_commit_version"
@@ -63,6 +64,59 @@ def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], version:
                        F.lit(version).cast("long").alias(COMMIT_VERSION))
 
 
+def digests(df: DataFrame, keys: Sequence[str], columns: Sequence[str], bits: int,
+            parents: DataFrame | None = None, parent_bits: int = 0) -> DataFrame:
+    """Order-independent digest of the rows of each range of the key's hash:
+    ``node`` (the hash's first ``bits`` bits), number of rows, and two xors and
+    two sums of row hashes that also tell NULLs apart.  A partial aggregate, at most
+    ``2**bits`` rows per task.  ``parents``: only below these nodes."""
+    h = F.xxhash64(*[F.col(k) for k in keys])
+    cells = [F.col(c) for c in columns] + [F.col(c).isNull() for c in columns]
+    rows = df.select(h.alias("_h"), F.xxhash64(*cells).alias("_a"), F.xxhash64(F.lit("second"), *cells).alias("_b"))
+    if parents is not None:
+        rows = rows.join(parents, F.shiftrightunsigned("_h", 64 - parent_bits) == F.col("_parent"), "left_semi")
+
+    def total(c: str) -> Column:                        # sums that cannot overflow
+        return F.sum(F.col(c).cast("decimal(38,0)"))
+
+    return rows.groupBy(F.shiftrightunsigned("_h", 64 - bits).alias("node")).agg(
+        F.struct(F.count(F.lit(1)), F.bit_xor("_a"), F.bit_xor("_b"), total("_a"), total("_b")).alias("digest"))
+
+
+def snapshot_diff_tree(old: DataFrame, new: DataFrame, keys: Sequence[str], version: int,
+                       compare: Sequence[str] | None = None, levels: Sequence[int] = (8, 16)) -> DataFrame:
+    """The rows of :func:`snapshot_diff`, for large snapshots with few changes.
+
+    A digest tree over ranges of the key's hash, ``levels`` giving the bits of
+    each level, finds the ranges in which the snapshots differ; only their rows
+    are shuffled and joined.  Each level reads both snapshots and shuffles at most
+    ``2**bits`` digests per task, below differing nodes only.  The differing nodes
+    (``2**bits`` numbers at most, so 20 bits are the limit) are broadcast.
+    """
+    if list(levels) != sorted(set(levels)) or not levels or levels[0] < 1 or levels[-1] > 20:
+        raise ValueError("levels must rise from 1 to at most 20 bits")
+    columns = list(dict.fromkeys([*new.columns, *old.columns]))
+    if compare is not None:
+        columns = [c for c in columns if c in keys or c in compare]
+
+    def full(df: DataFrame, other: DataFrame) -> DataFrame:
+        return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast(other.schema[c].dataType).alias(c) for c in columns])
+
+    parents, before = None, 0
+    for bits in levels:
+        a = digests(full(old, new), keys, columns, bits, parents, before)
+        b = digests(full(new, old), keys, columns, bits, parents, before)
+        both = a.withColumnRenamed("digest", "_x").join(b.withColumnRenamed("digest", "_y"), "node", "full_outer")
+        nodes = both.filter(~F.col("_x").eqNullSafe(F.col("_y"))).select(F.col("node").alias("_parent"))
+        parents, before = F.broadcast(cut_lineage(nodes, "nodes")), bits
+
+    def below(df: DataFrame) -> DataFrame:
+        h = F.shiftrightunsigned(F.xxhash64(*[F.col(k) for k in keys]), 64 - before)
+        return df.withColumn("_node", h).join(parents, F.col("_node") == F.col("_parent"), "left_semi").drop("_node")
+
+    return snapshot_diff(below(old), below(new), keys, version, compare)
+
+
 def split_changes(df: DataFrame, change_col: str = CHANGE_TYPE,
                   delete_values: Sequence[str] = (DELETE,),
                   drop_values: Sequence[str] = (UPDATE_PRE,)) -> tuple[DataFrame, DataFrame]:

@@ -7,12 +7,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemart.operators import cdc
+from lakemart.operators import cdc, episodes
 from lakemart.operators.heavy import heavy_keys
 from lakemart.plans import freight
-from lakemart.plans.catalog import _json_lines, table
-from lakemart.plans.oracle import _round
-from lakemart.session import scratch_path
+from lakemart.plans.catalog import _customer_snapshots, _json_lines, table
+from lakemart.plans.oracle import ORACLE_SQL, _round
+from lakemart.session import cut_lineage, scratch_path
+from lakemart.sinks import expect as expectations
 from lakemart.sinks.tables import analyze, column_statistics, write_json
 from lakemart.sources.files import empty_like, parse_json_rescued, quarantine_split, read_json_lines
 from lakemart.streaming.ingest import ingest_on_arrival, read_arrived
@@ -275,4 +276,63 @@ SQL["q_heavy_keys"] = """SELECT o_custkey, count(*) AS n
     FROM (SELECT CASE WHEN o_orderpriority <> '5-LOW' THEN o_custkey END AS o_custkey FROM orders) GROUP BY 1
     HAVING count(*) >= (SELECT count(*) FROM orders) // 1400 + 1"""
 
+def q_scd2_reopen(spark, d):
+    """C3 with L8: customers whose pending orders delete them and later orders
+    bring them back, in three batches out of order (finished orders last)."""
+    o = table(spark, d, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice", "o_orderpriority", "o_orderstatus")
+    ch = o.withColumn("_change_type", F.when(F.col("o_orderstatus") == "P", "delete").otherwise("update_postimage"))
+    out, status = None, F.coalesce(F.col("o_orderstatus"), F.lit("-"))
+    for part in (status == "P", ~status.isin("P", "F"), status == "F"):
+        out = cut_lineage(episodes.reopen_apply(out, ch.filter(part), ["o_custkey"], "o_orderdate",
+                                                ["o_orderkey", "o_totalprice", "o_orderpriority"], "_change_type"), "reopen")
+    return out.drop("o_orderdate")
+
+
+SQL["q_scd2_reopen"] = """WITH ev AS (
+      SELECT o_custkey, o_orderdate AS t, coalesce(o_orderstatus = 'P', false) AS gone, o_orderkey, o_totalprice, o_orderpriority
+      FROM orders WHERE o_orderdate IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY o_custkey, o_orderdate
+        ORDER BY coalesce(o_orderstatus = 'P', false) DESC, o_orderkey DESC) = 1),
+    seen AS (
+      SELECT *, lag(gone) OVER w AS before, lead(t) OVER w AS next, lead(gone) OVER w AS next_gone
+      FROM ev WINDOW w AS (PARTITION BY o_custkey ORDER BY t)),
+    island AS (
+      SELECT *, max(CASE WHEN NOT gone AND coalesce(before, true) THEN t END)
+        OVER (PARTITION BY o_custkey ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS opened FROM seen)
+    SELECT o_custkey, CASE WHEN NOT gone THEN o_orderkey END AS o_orderkey, CASE WHEN NOT gone THEN o_totalprice END AS o_totalprice,
+      CASE WHEN NOT gone THEN o_orderpriority END AS o_orderpriority, t AS start_at,
+      CASE WHEN NOT gone THEN next - INTERVAL 1 MILLISECOND END AS end_at, NOT gone AND next IS NULL AS is_current,
+      gone AS _is_delete, CASE WHEN NOT gone THEN opened END AS episode_start,
+      CASE WHEN NOT gone THEN CASE WHEN next_gone THEN 'delete' WHEN next IS NOT NULL THEN 'update' END END AS ended_by
+    FROM island"""
+
+
+def q_snapshot_diff_tree(spark, d):
+    """C1 by digest tree: the change feed between two customer snapshots."""
+    old, new = _customer_snapshots(spark, d)
+    return cdc.snapshot_diff_tree(old, new, ["c_custkey"], version=1)
+
+
+SQL["q_snapshot_diff_tree"] = ORACLE_SQL["q_snapshot_diff"]
+
+
+def q_expectations(spark, d):
+    """2.15: events written under three rules; counts of the write itself,
+    and what it kept."""
+    ev, path = table(spark, d, "events"), scratch_path(spark, "expected")
+    rules = {"small_value": (expectations.WARN, F.col("value") <= 100),
+             "known_kind": (expectations.DROP, F.col("event_type").isin("click", "view", "purchase")),
+             "has_id": (expectations.FAIL, F.col("event_id").isNotNull())}
+    got = expectations.publish_expected(ev, path, rules)
+    written = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("written"), F.round(F.sum("value"), 3).alias("value_sum"))
+    return got.crossJoin(F.broadcast(written))          # one row
+
+
+SQL["q_expectations"] = f"""WITH rules AS (
+      SELECT 'small_value' AS rule, 'warn' AS action, count(*) FILTER (NOT coalesce(value <= 100, false)) AS bad FROM events
+      UNION ALL SELECT 'known_kind', 'drop', count(*) FILTER (NOT coalesce(event_type IN ('click', 'view', 'purchase'), false)) FROM events
+      UNION ALL SELECT 'has_id', 'fail', count(*) FILTER (event_id IS NULL) FROM events)
+    SELECT rule, action, (SELECT count(*) FROM events) AS rows, bad, kept, kept AS written, value_sum FROM rules,
+      (SELECT count(*) AS kept, {_round('sum(value)', 3)} AS value_sum FROM events WHERE event_type IN ('click', 'view', 'purchase'))"""
+
 QUERIES = {name: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)}
