@@ -45,7 +45,9 @@ SAMPLE = 20_000                 # labelled documents the model is fitted on, at
 FEATURES = 4_096                # selected features, at most
 SWAPS = 2                       # swapped forms of a sentence
 LEAST = 2                       # documents a feature occurs in, at least
-BEGINNINGS = (3, 4, 5, 6)       # lengths of the word beginnings used as features
+LEAST_Z = 2.4                   # how sure its association with label 1 must be, in standard errors
+LEAN = 2.0                      # weight of a labelled row with label 1
+BEGINNINGS = (4, 5, 6, 7, 8)    # lengths of the word beginnings used as features
 MEMO = 200_000                  # words whose features a task remembers
 
 # --- fixed values: identity terms by group ------------------------------------------
@@ -82,8 +84,9 @@ _SENTENCE = re.compile(r"[.!?\n]+")
 
 
 def features_of_word(word: str) -> tuple[int, ...]:
-    """Feature numbers (31 bits) of a lower-case word."""
-    parts = [f"={word}", *(f"^{word[:n]}" for n in BEGINNINGS if len(word) >= n)]
+    """Feature numbers (31 bits) of a lower-case word: itself, and its
+    beginnings with about how much follows."""
+    parts = [f"={word}", *(f"^{word[:n]}+{min(len(word) - n, 9) // 3}" for n in BEGINNINGS if len(word) >= n)]
     return tuple(zlib.crc32(p.encode("utf-8", "replace")) >> 1 for p in parts)
 
 
@@ -172,10 +175,11 @@ class _Rows:
 
 
 def train(docs: list[tuple[int, list[int]]], swaps: list[tuple[list[int], list[int], int]], weight: float = 1.0,
-          ridge: float = 1e-4, steps: int = 400) -> Model:
+          ridge: float = 1e-5, sparse: float = 1.0, lean: float = LEAN, steps: int = 1000) -> Model:
     """Weights of zero or more by accelerated projected gradient steps on the
-    mean logistic loss, a ridge and ``weight`` times the mean squared change of
-    the score over counterfactual pairs.
+    mean logistic loss (rows of label 1 count ``lean`` times), a ridge,
+    ``sparse`` rows' share of the sum of weights and ``weight`` times the mean
+    squared change of the score over counterfactual pairs.
 
     ``docs``: (label, features); ``swaps``: (features added, taken, number of
     such sentences)."""
@@ -197,15 +201,17 @@ def train(docs: list[tuple[int, list[int]]], swaps: list[tuple[list[int], list[i
               [c for a, b, _ in pairs for c in (*a, *b)],
               [v for a, b, n in pairs for v in (*[math.sqrt(weight * n / total)] * len(a), *[-math.sqrt(weight * n / total)] * len(b))])
 
+    each = np.where(y == 1, lean, 1.0)
+
     def slope(w):
         p = 1.0 / (1.0 + np.exp(-np.clip(x.times(w), -35, 35)))
-        g = x.back(p - y) / len(y) + ridge * w
-        g[-1] -= ridge * w[-1]
+        g = x.back((p - y) * each) / len(y)
+        g[:-1] += ridge * w[:-1] + sparse / len(y)
         return g + d.back(d.times(w)) if len(pairs) else g
 
     v = np.ones(size) / math.sqrt(size)                 # power steps: the largest curvature
     for _ in range(30):
-        v = x.back(x.times(v)) / (4 * len(y)) + ridge * v + (d.back(d.times(v)) if len(pairs) else 0)
+        v = x.back(x.times(v) * each) / (4 * len(y)) + ridge * v + (d.back(d.times(v)) if len(pairs) else 0)
         bound = float(np.linalg.norm(v))
         v /= bound
     w = np.zeros(size)
@@ -267,7 +273,7 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col:
     counted = (docs.select("label", F.explode("plus").alias("feature")).groupBy("feature")
                    .agg(F.sum("label").cast("double").alias("pos"), F.sum(1 - F.col("label")).cast("double").alias("neg")))
     best = (counted.filter(F.col("pos") + F.col("neg") >= LEAST).withColumn("z", odds / F.sqrt(1 / pos + 1 / neg))
-                   .filter("z > 0").orderBy(F.desc("z"), "feature").limit(keep))
+                   .filter(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "feature").limit(keep))
     chosen = np.sort(np.asarray([r.feature for r in best.select("feature").collect()], np.int32))
 
     def only(batches):
