@@ -1,6 +1,7 @@
 """Visible text of HTML pages, laid out as a reader sees it.
 
-Three steps, each linear in the page and free of recursion:
+Three steps, free of recursion and linear in the page (indentation beyond 80
+columns and tables nested more than 50 deep are not laid out, their text is kept):
 
 1. A scanner cuts the page into tags, comments and text; the content of
    script-like elements is skipped as a whole.
@@ -8,7 +9,8 @@ Three steps, each linear in the page and free of recursion:
    (``</p>`` before a block, ``</li>`` before the next item, cells and rows,
    the head's end) and decides visibility: elements that never show, the
    ``hidden`` attribute, inline ``display`` and ``visibility``, and simple
-   selectors (tag, class, id) of the page's own style sheets.
+   selectors (tag, class, id) of the page's own style sheets, wherever they
+   stand; rules for media other than a wide screen do not hold.
 3. A renderer writes block after block: paragraphs and headings stand between
    blank lines, other blocks on lines of their own, list items carry markers
    and indentation, ``pre`` keeps its spaces, and table cells are padded so
@@ -23,6 +25,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -56,12 +59,14 @@ IMPLIED = {
 _P_SCOPE = CELLS | {"table", "caption", "button", "html", "object"}
 _END_SCOPE = CELLS | {"caption"}
 
-_TAG = re.compile(r"""<!--.*?(?:--!?>|\Z)|<![^>]*+>|<\?[^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
-                  r"""|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>""", re.S)
+_START = re.compile(r"<(?:(!--)|[!?]|(/?)([a-zA-Z][^\s/>]*+))")
+_ENDS = re.compile(r"""[>"']""")
 _ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'=<>`]+)))?""")
-_CSS_RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
 _SIMPLE = re.compile(r"^([a-z][a-z0-9]*|)((?:[.#][\w-]+)*)$")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
+SCREEN_PX = 1280                # width of the screen that media conditions are tested for
+INDENT = 80                     # columns of indentation, at most
+NESTED = 50                     # tables within tables whose cells are aligned; deeper ones are plain blocks
 
 
 def declared(css: str) -> dict[str, str]:
@@ -74,29 +79,89 @@ def declared(css: str) -> dict[str, str]:
     return out
 
 
+def on_screen(media: str) -> bool:
+    """Does a list of media queries hold on a wide screen?  A query with a
+    condition that is not about the width does not: text is shown rather than
+    hidden by mistake."""
+    def holds(query: str) -> bool:
+        kind, *conditions = re.split(r"\band\b", query)
+        kind = kind.replace("only", "").strip()
+        if kind.startswith("("):
+            conditions.insert(0, kind)
+        elif kind not in ("", "all", "screen"):
+            return kind.startswith("not") and kind[3:].strip() not in ("all", "screen") and not conditions
+        for c in conditions:
+            m = re.fullmatch(r"\s*\(\s*(min|max)-width\s*:\s*([0-9.]{1,9})\s*(px|r?em)\s*\)\s*", c)
+            if not m or not re.fullmatch(r"[0-9]*\.?[0-9]+|[0-9]+\.", m[2]):
+                return False
+            width = float(m[2]) * (1 if m[3] == "px" else 16)
+            if (width > SCREEN_PX) if m[1] == "min" else (width < SCREEN_PX):
+                return False
+        return True
+
+    return any(holds(q) for q in media.lower().split(","))
+
+
+def css_rules(css: str):
+    """(selectors, body) of the rules of a style sheet that hold on a screen,
+    in one pass."""
+    parts, pos = [], 0
+    while (at := css.find("/*", pos)) >= 0:
+        parts.append(css[pos:at])
+        pos = css.find("*/", at + 2)
+        if pos < 0:
+            pos = len(css)
+            break
+        pos += 2
+    css = "".join([*parts, css[pos:]])
+    start, open_blocks = 0, []                          # (selectors or None for an at-rule, holds)
+    for m in re.finditer(r"[{};]", css):
+        holds = not open_blocks or open_blocks[-1][1]
+        in_rule = bool(open_blocks) and open_blocks[-1][0] is not None
+        if m[0] == "{":
+            prelude = css[start:m.start()].strip()
+            name, _, rest = prelude.partition(" ") if prelude.startswith("@") else ("", "", "")
+            if not name:
+                open_blocks.append((prelude, holds and not in_rule))
+            elif name.lower().startswith("@media"):
+                open_blocks.append((None, holds and on_screen(prelude[6:])))
+            else:
+                open_blocks.append((None, holds and name.lower() in ("@supports", "@layer")))
+        elif m[0] == "}" and open_blocks:
+            selectors, holds = open_blocks.pop()
+            if selectors is not None and holds:
+                yield selectors, css[start:m.start()]
+        elif m[0] == ";" and in_rule:
+            continue
+        start = m.end()
+
+
 class Styles:
     """Rules of a page's style sheets that hide elements, for selectors of a
-    tag, classes and an id."""
+    tag, classes and an id; found by one of their parts."""
 
     def __init__(self):
-        self.rules = []
+        self.rules, self.count = {}, 0
 
-    def add(self, css: str) -> None:
-        if "display" not in css and "visibility" not in css:
+    def add(self, css: str, media: str = "") -> None:
+        if "display" not in css and "visibility" not in css or not on_screen(media):
             return
-        for selectors, body in _CSS_RULE.findall(re.sub(r"/\*.*?\*/", "", css, flags=re.S)):
+        for selectors, body in css_rules(css):
             style = declared(body)
             for s in selectors.lower().split(",") if style else ():
                 if (m := _SIMPLE.match(s.strip())) and (m[1] or m[2]):
-                    self.rules.append((m[1], set(re.findall(r"[.#][\w-]+", m[2])), style))
+                    parts = frozenset(re.findall(r"[.#][\w-]+", m[2]))
+                    self.count += 1
+                    self.rules.setdefault(min(parts, default=m[1]), {}).setdefault((m[1], parts), []).append((self.count, style))
 
     def of(self, tag: str, attrs: dict) -> dict:
         out = {}
         if self.rules:
             own = {"." + c for c in attrs.get("class", "").lower().split()} | {"#" + attrs.get("id", "").lower()}
-            for t, parts, style in self.rules:
-                if t in ("", tag) and parts <= own:
-                    out |= style
+            found = [x for key in (own | {tag}) & self.rules.keys() for (t, parts), styles in self.rules[key].items()
+                     if t in ("", tag) and parts <= own for x in styles]
+            for _, style in sorted(found, key=lambda x: x[0]):
+                out |= style
         return out
 
 
@@ -109,68 +174,148 @@ def attributes(text: str) -> dict[str, str]:
     return out
 
 
-# ------------------------------------------------------------- tree builder
+# ------------------------------------------------------------- tokens
 
-def events(page: str):
-    """Yields ('open', tag, attrs), ('close', tag) and ('text', string) of the
-    page's tree, every open with its close, hidden subtrees left out."""
-    styles, stack, n, pos = Styles(), [], len(page), 0      # stack: [tag, hidden, invisible]
+def tokens(page: str):
+    """Yields ('text', string), ('end', tag), ('start', tag, attributes) and
+    ('raw', tag, attributes, content), in one pass over the page."""
+    n, pos, begin = len(page), 0, 0
+    last = {c: page.rfind(c) for c in ">\"'"}
+    dead: set[int] = set()                              # places outside quotes from which no tag ends
     lower = None
 
-    def shown():
-        return not stack or not (stack[-1][1] or stack[-1][2])
+    def tag_end(at: int) -> int:
+        """After the ``>`` that ends a tag: outside quotes, or else the next."""
+        seen, p = [], at
+        while p not in dead and (m := _ENDS.search(page, p)):
+            if m[0] == ">":
+                return m.end()
+            close = page.find(m[0], m.end()) if m.start() < last[m[0]] else -1
+            if close < 0:
+                break
+            p = close + 1
+            seen.append(p)
+        dead.update(seen)
+        return page.find(">", at) + 1
+
+    while m := _START.search(page, pos):
+        at, closing, tag = m.start(), m[2], (m[3] or "").lower()
+        if m[1]:                                        # a comment
+            end = re.compile(r"--!?>").search(page, m.end()) if m.end() <= last[">"] else None
+            end = end.end() if end else n
+        elif m.end() > last[">"]:                       # nothing ends here any more
+            break
+        else:
+            end = tag_end(m.end()) if tag else page.find(">", m.end()) + 1
+        if at > begin:
+            yield ("text", page[begin:at])
+        pos = begin = end
+        if not tag:
+            continue
+        if closing:
+            yield ("end", tag)
+            continue
+        attrs = attributes(page[m.end():end - 1])
+        if tag not in RAW:
+            yield ("start", tag, attrs)
+            continue
+        if lower is None:
+            lower = page.lower()
+            if len(lower) != n:                         # a few letters change length
+                lower = re.sub(r"[A-Z]", lambda x: x[0].lower(), page)
+            gone: set[str] = set()                      # raw elements that no end tag follows
+        stop = -1 if tag in gone else lower.find(f"</{tag}", pos)
+        if stop < 0:
+            gone.add(tag)
+        stop = n if stop < 0 else stop
+        yield ("raw", tag, attrs, page[pos:stop])
+        after = page.find(">", stop)
+        pos = begin = n if after < 0 else after + 1
+    if begin < n:
+        yield ("text", page[begin:])
 
-    def pop():
-        tag, hidden, _ = stack.pop()
-        return [] if hidden else [("close", tag)]
 
-    def pop_to(i):
+# ------------------------------------------------------------- tree builder
+
+class _Open:
+    """The open elements, and the places of each name among them."""
+
+    def __init__(self):
+        self.all, self.places, self.blocks = [], {}, []
+
+    def push(self, name: str, hidden: bool, invisible: bool) -> None:
+        at = len(self.all)
+        self.all.append((name, hidden, invisible))
+        self.places.setdefault(name, []).append(at)
+        if name in BLOCK:
+            self.blocks.append(at)
+
+    def pop(self):
+        name, hidden, _ = self.all.pop()
+        self.places[name].pop()
+        if name in BLOCK:
+            self.blocks.pop()
+        return [] if hidden else [("close", name)]
+
+    def pop_to(self, i: int):
         out = []
-        while len(stack) > i:
-            out += pop()
+        while len(self.all) > i:
+            out += self.pop()
         return out
 
-    def close(targets, beyond):
+    def top(self, names) -> int:
+        """Place of the innermost open element of ``names``, -1 without any."""
+        return max((self.places[x][-1] for x in names if self.places.get(x)), default=-1)
+
+    def close(self, targets, beyond):
         """Close the outermost of ``targets`` inside the nearest ``beyond``."""
-        found = None
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in targets:
-                found = i
-            if stack[i][0] in beyond:
-                break
-        return [] if found is None else pop_to(found)
+        limit, found = self.top(beyond), len(self.all)
+        for x in targets:
+            own = self.places.get(x, ())
+            i = bisect_left(own, limit)
+            if i < len(own):
+                found = min(found, own[i])
+        return self.pop_to(found)
+
+
+def events(page: str):
+    """Yields ('open', tag, attrs), ('close', tag) and ('text', string) of the
+    page's tree, every open with its close, hidden subtrees left out.  All style
+    sheets of the page hold for the whole page."""
+    styles, stack = Styles(), _Open()
+    if re.search(r"<style\b", page, re.I):
+        for t in tokens(page):
+            if t[0] == "raw" and t[1] == "style":
+                styles.add(t[3], t[2].get("media", ""))
+
+    def here():
+        return stack.all[-1] if stack.all else ("", False, False)
+
+    def shown():
+        return not (here()[1] or here()[2])
 
     def push(tag, attrs):
         style = styles.of(tag, attrs) | (declared(attrs["style"]) if "style" in attrs else {})
-        up = stack[-1] if stack else [None, False, False]
+        up = here()
         hidden = (up[1] or tag in NEVER and not (tag == "dialog" and "open" in attrs) or "hidden" in attrs
                   or style.get("display") == "none")
         if up[0] == "details*" and tag != "summary":
             hidden = True
         invisible = style["visibility"] in ("hidden", "collapse") if "visibility" in style else up[2]
         name = "details*" if tag == "details" and "open" not in attrs else tag
-        stack.append([name, hidden, invisible])
+        stack.push(name, hidden, invisible)
         return [] if hidden else [("open", name, attrs)]
 
-    while pos < n:
-        m = _TAG.search(page, pos)
-        stop = m.start() if m else n
-        if stop > pos:
-            text = page[pos:stop]
-            if not text.isspace():
-                i = next((i for i, x in enumerate(stack) if x[0] == "head"), None)
-                if i is not None and stack[-1][0] == "head":
-                    yield from pop_to(i)
-            if shown() and not (stack and stack[-1][0] == "details*"):
-                yield ("text", entities.unescape(text))
-        if not m:
-            break
-        pos = m.end()
-        tag = (m[2] or m[5] or "").lower()
-        if not tag:
+    for token in tokens(page):
+        kind, tag = token[0], token[1]
+        if kind == "text":
+            if here()[0] == "head" and not tag.isspace():
+                yield from stack.pop_to(stack.places["head"][0])
+            if shown() and here()[0] != "details*":
+                yield ("text", entities.unescape(tag))
             continue
-        if m[1] or m[4]:                                              # an end tag
-            if tag == "p" and not any(x[0] == "p" for x in stack):
+        if kind == "end":
+            if tag == "p" and not stack.places.get("p"):
                 if shown():
                     yield ("open", "p", {})
                     yield ("close", "p")
@@ -178,47 +323,33 @@ def events(page: str):
                 if shown():
                     yield ("br",)
             elif tag not in ("html", "body"):
-                names = (tag, "details*") if tag == "details" else (tag,)
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] in names:
-                        if tag not in BLOCK and any(x[0] in BLOCK for x in stack[i + 1:]):
-                            break                                     # misnested formatting: the block stays open
-                        yield from pop_to(i)
-                        break
-                    if stack[i][0] in _END_SCOPE and tag not in TABLE_PARTS and tag != "table":
-                        break
-                    if stack[i][0] == "table" and tag != "table":
-                        break
+                i = stack.top((tag, "details*") if tag == "details" else (tag,))
+                fence = stack.top(() if tag in TABLE_PARTS or tag == "table" else _END_SCOPE)
+                if tag != "table":
+                    fence = max(fence, stack.top(("table",)))
+                # misnested formatting: the block stays open
+                if i > fence and (tag in BLOCK or not stack.blocks or stack.blocks[-1] <= i) or i == fence >= 0:
+                    yield from stack.pop_to(i)
             continue
-        attrs = attributes(m[3] or m[6])
-        if tag in ("html", "body") and any(x[0] == tag for x in stack):
+        attrs = token[2]
+        if tag in ("html", "body") and stack.places.get(tag):
             continue
-        if stack and stack[-1][0] == "head" and tag not in HEAD_PARTS:
-            yield from pop()
+        if here()[0] == "head" and tag not in HEAD_PARTS:
+            yield from stack.pop()
         if tag in CLOSES_P:
-            yield from close({"p"}, _P_SCOPE)
-        if tag[0] == "h" and tag[1:].isdigit() and stack and stack[-1][0][0] == "h" and stack[-1][0][1:].isdigit():
-            yield from pop()
+            yield from stack.close({"p"}, _P_SCOPE)
+        if tag[0] == "h" and tag[1:].isdigit() and here()[0][:1] == "h" and here()[0][1:].isdigit():
+            yield from stack.pop()
         if tag in IMPLIED:
-            yield from close(*IMPLIED[tag])
-        if tag in CELLS and stack and stack[-1][0] in ("table", "thead", "tbody", "tfoot"):
+            yield from stack.close(*IMPLIED[tag])
+        if tag in CELLS and here()[0] in ("table", "thead", "tbody", "tfoot"):
             yield from push("tr", {})
-        if tag in RAW:
-            if lower is None:
-                lower = page.lower()
-                if len(lower) != n:                                   # a few letters change length
-                    lower = re.sub(r"[A-Z]", lambda x: x[0].lower(), page)
-            end = lower.find(f"</{tag}", pos)
-            end = n if end < 0 else end
-            if tag == "style":
-                styles.add(page[pos:end])
-            elif tag in ("textarea", "xmp"):
+        if kind == "raw":
+            if tag in ("textarea", "xmp"):
                 yield from push(tag, attrs)
                 if shown():
-                    yield ("text", entities.unescape(page[pos:end]) if tag == "textarea" else page[pos:end])
-                yield from pop()
-            after = page.find(">", end)
-            pos = n if after < 0 else after + 1
+                    yield ("text", entities.unescape(token[3]) if tag == "textarea" else token[3])
+                yield from stack.pop()
         elif tag in VOID:
             if shown() and "hidden" not in attrs:
                 if tag in ("br", "hr"):
@@ -227,7 +358,7 @@ def events(page: str):
                     yield ("text", attrs.get("value", ""))
         else:
             yield from push(tag, attrs)
-    yield from pop_to(0)
+    yield from stack.pop_to(0)
 
 
 # ------------------------------------------------------------- renderer
@@ -267,11 +398,12 @@ class Flow:
                 self.lines.append("")
             self.gap = 0
             s = "".join(self.line)
+            indent = min(self.indent, INDENT)
             if self.marker:
-                at = max(0, self.indent - len(self.marker))
+                at = max(0, indent - len(self.marker))
                 s, self.marker = " " * at + self.marker + s, ""
             elif s:
-                s = " " * self.indent + s
+                s = " " * indent + s
             self.lines.append(s.rstrip())
             self.line = []
         self.space = False
@@ -377,10 +509,10 @@ def render(page: str | None) -> str:
             elif tag == "pre":
                 pre += 1
             elif tag == "table":
-                tables.append(Table())
-            elif tag == "tr" and tables:
+                tables.append(Table() if len(tables) < NESTED else None)
+            elif tag == "tr" and tables and tables[-1]:
                 tables[-1].row()
-            elif (tag in CELLS or tag == "caption") and tables:
+            elif (tag in CELLS or tag == "caption") and tables and tables[-1]:
                 flows.append(Flow())
                 cells.append((tag, attrs, pre))
                 pre = 0
@@ -404,8 +536,9 @@ def render(page: str | None) -> str:
             elif tag == "pre":
                 pre = max(0, pre - 1)
             elif tag == "table" and tables:
-                flow.add(tables.pop().lines())
-            elif (tag in CELLS or tag == "caption") and tables and len(flows) > 1:
+                done = tables.pop()
+                flow.add(done.lines() if done else [])
+            elif (tag in CELLS or tag == "caption") and tables and tables[-1] and len(flows) > 1:
                 done = flows.pop()
                 name, attrs, pre = cells.pop()
                 if name == "caption":
