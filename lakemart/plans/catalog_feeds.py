@@ -7,10 +7,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemart.operators import cdc, episodes
+from lakemart.operators import asof, cdc, episodes
 from lakemart.operators.heavy import heavy_keys
 from lakemart.plans import freight
-from lakemart.plans.catalog import _customer_snapshots, _json_lines, table
+from lakemart.plans.catalog import SCD2_SQL, _customer_snapshots, _json_lines, _line_facts, customer_scd2, table
 from lakemart.plans.oracle import ORACLE_SQL, _round
 from lakemart.session import cut_lineage, scratch_path
 from lakemart.sinks import expect as expectations
@@ -335,4 +335,19 @@ SQL["q_expectations"] = f"""WITH rules AS (
     SELECT rule, action, (SELECT count(*) FROM events) AS rows, bad, kept, kept AS written, value_sum FROM rules,
       (SELECT count(*) AS kept, {_round('sum(value)', 3)} AS value_sum FROM events WHERE event_type IN ('click', 'view', 'purchase'))"""
 
+def q_as_of_merge(spark, d):
+    """J2 as a merge of sorted streams: the customer version valid at each
+    shipment, timelines cut every 5,000 facts."""
+    facts = _line_facts(spark, d)
+    dim = customer_scd2(spark, d).filter(~F.col("_is_delete"))
+    out = asof.as_of_merge(facts, dim, ["o_custkey"], "l_shipdate", "start_at", ["o_orderkey", "o_totalprice"],
+                           prefix="v_", rows_per_part=5_000)
+    return out.select("l_orderkey", "l_linenumber", "o_custkey", "l_shipdate", "v_o_orderkey", "v_o_totalprice")
+
+
+SQL["q_as_of_merge"] = f"""WITH {SCD2_SQL},
+    f AS (SELECT l_orderkey, l_linenumber, o_custkey, l_shipdate FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+    SELECT f.l_orderkey, f.l_linenumber, f.o_custkey, f.l_shipdate, v.o_orderkey AS v_o_orderkey, v.o_totalprice AS v_o_totalprice
+    FROM f ASOF LEFT JOIN scd2 v ON f.o_custkey = v.o_custkey AND f.l_shipdate >= v.start_at"""
+
 QUERIES = {name: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)}
