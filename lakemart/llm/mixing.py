@@ -1,7 +1,9 @@
 """Soft-membership mixing of documents to target domain weights.
 
 1. A classifier learnt from a labelled table gives every document
-   posterior probabilities over the domains: text signals are binned, and the
+   posterior probabilities over the domains: words that tell a domain's labelled
+   documents from the others are learnt as log-odds of words and beginnings of
+   words; their number in a text and other text signals are binned, and the
    label counts of its combination of bins, smoothed by a naive Bayes estimate
    from the (domain, signal, bin) counts, give them.
 2. Projected-gradient least squares finds non-negative document rates whose
@@ -26,7 +28,8 @@ tables give no rows; other columns pass through.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -34,13 +37,17 @@ from pyspark.sql import functions as F
 
 from lakemart.session import cut_lineage
 
-# --- fixed values: words counted by the insult signal, bin edges ------------------
-INSULTS = ["clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum", "stupid", "trash", "worthless"]
+# --- fixed values: bin edges ---------------------------------------------------------
 SHARES = [0.0, 0.01, 0.05, 0.2, 0.5]
 COUNTS = [0.0, 1.0, 3.0]
 # -----------------------------------------------------------------------------------
 LEAST_SHARE = 1e-3              # of the budget: smaller targets weigh like this one
 PRIOR = 2.0                     # weight of the independent estimate, in labels
+SAMPLE = 20_000                 # labelled documents that words are learnt from, at most
+MARKS = 48                      # words and beginnings kept for a domain, at most
+LEAST_Z = 3.0                   # how sure their association with it must be, in standard errors
+LEAST_ODDS = 3.0                # and how strong, as a logarithm of the odds ratio
+BEGINNINGS = (5, 6, 7)          # lengths of beginnings, which stand for all longer words
 
 
 @dataclass(frozen=True)
@@ -71,10 +78,60 @@ TEXT_SIGNALS = Signals((
     ("shouted", lambda: _per_word(_occurrences("!!")), SHARES),
     ("bars", lambda: _per_word(_occurrences("|")), SHARES),
     ("repeated", lambda: _per_word(F.regexp_count("t", F.lit(r"(?<!\S)(\S++)(?=\s+\1(?!\S))"))), SHARES),
-    ("insults", lambda: F.regexp_count("t", F.lit(rf"(?i)\b(?:{'|'.join(INSULTS)})\b")), COUNTS),
 ))
 
 
+def with_words(marks: Mapping[str, Sequence[str]]) -> Signals:
+    """The text signals and, per domain, the number of its words in a text;
+    a mark that ends in ``*`` is a beginning."""
+    def count(words):
+        each = "|".join(re.escape(w[:-1]) + r"[\p{L}\p{N}]++" if w.endswith("*") else re.escape(w) for w in words)
+        return lambda: F.regexp_count("t", F.lit(rf"(?iu)(?<![\p{{L}}\p{{N}}])(?:{each})(?![\p{{L}}\p{{N}}])"))
+
+    return Signals(TEXT_SIGNALS.parts + tuple((f"words_{d}", count(words), COUNTS) for d, words in marks.items() if words))
+
+
+def learn_marks(df: DataFrame, id_col: str, text_col: str, labels: DataFrame, domain: str, sample: int = SAMPLE,
+                keep: int = MARKS) -> list[str]:
+    """Words, and beginnings of words, by which labelled documents of
+    ``domain`` are told from the other labelled ones: those with the largest
+    log-odds ratio in standard errors, from ``sample`` labels at most (smallest
+    hashes first).  ``labels`` has columns (id, domain)."""
+    known = (labels.select(F.col("id").alias("label_id"), (F.col("domain") == domain).cast("int").alias("y")).dropna().distinct()
+                   .orderBy(F.xxhash64("label_id"), "label_id", "y").limit(sample))
+    known = F.broadcast(known)                          # sample narrow rows at most
+    n = {r.y: r["count"] for r in df.select(F.col(id_col).alias("id")).join(known, F.col("id") == F.col("label_id"))
+                                    .groupBy("y").count().collect()}
+    if len(n) < 2:
+        return []
+    words = F.array_distinct(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[^\p{L}\p{N}]+"))
+
+    def beginnings(k: int) -> Column:
+        return F.transform(F.filter("w", lambda x: F.length(x) > k), lambda x: F.concat(F.substring(x, 1, k), F.lit("*")))
+
+    rows = (df.select(F.col(id_col).alias("id"), words.alias("w")).join(known, F.col("id") == F.col("label_id"))
+              .select("y", F.explode(F.array_distinct(F.concat("w", *[beginnings(k) for k in BEGINNINGS]))).alias("mark")))
+    counted = rows.filter(F.col("mark") != "").groupBy("mark").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
+    a, b = F.col("pos") + 0.5, F.col("neg") + 0.5
+    odds = F.log(a / (n[1] + 1 - a)) - F.log(b / (n[0] + 1 - b))
+    best = (counted.filter("pos >= 2").withColumn("odds", odds).filter(F.col("odds") >= LEAST_ODDS)
+                   .withColumn("z", F.col("odds") / F.sqrt(1 / a + 1 / b)).filter(F.col("z") >= LEAST_Z)
+                   .orderBy(F.desc("z"), F.length("mark"), "mark").limit(16 * keep))
+    out: list[str] = []
+    for r in best.select("mark").collect():             # 16 * keep words at most; one that a kept beginning covers says nothing new
+        if len(out) < keep and not any(x.endswith("*") and r.mark.startswith(x[:-1]) for x in out):
+            out.append(r.mark)
+    return out
+
+
+def learnt_signals(df: DataFrame, id_col: str, text_col: str, labels: DataFrame, domains: Sequence[str],
+                   anchor: str | None) -> Signals:
+    """The text signals and learnt words of every domain but the anchor (or
+    the first)."""
+    rest = [d for d in domains if d != (anchor or domains[0])]
+    return with_words({d: learn_marks(df, id_col, text_col, labels, d) for d in rest})
+
+
 def with_combination(df: DataFrame, text: str, signals: Signals = TEXT_SIGNALS) -> DataFrame:
     """Columns ``r`` (the row), ``words`` (tokens) and ``combo``, the code of
     the document's bins."""
@@ -190,12 +247,14 @@ def _plan(work: DataFrame, id_col: str, labels: DataFrame, domains, weights, anc
 
 def mix(df: DataFrame, id_col: str, text_col: str, labels: DataFrame, domains: Sequence[str],
         weights: Sequence[float], anchor: str | None = None, margin: float = 0.0,
-        signals: Signals = TEXT_SIGNALS) -> DataFrame:
+        signals: Signals | None = None) -> DataFrame:
     """One row per document: ``doc_id``, ``tokens``, ``p_<domain>``, ``rate``
     and ``copies``, the whole number of times to use it (the rate's fraction
     decided by a hash of the identifier and the text).
 
-    ``labels`` has columns (id, domain)."""
+    ``labels`` has columns (id, domain); ``signals`` are learnt from them
+    unless given."""
+    signals = signals or learnt_signals(df, id_col, text_col, labels, domains, anchor)
     work = cut_lineage(with_combination(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("body"))
                                         .withColumn("u", uniform("doc_id", "body")), "body", signals)
                        .select(F.struct("r.doc_id", "r.u").alias("r"), "words", "combo"), "mix")
@@ -208,9 +267,10 @@ def mix(df: DataFrame, id_col: str, text_col: str, labels: DataFrame, domains: S
 
 def thin(df: DataFrame, id_col: str, text_col: str, labels: DataFrame, domains: Sequence[str],
          weights: Sequence[float], anchor: str | None = None, margin: float = 0.0,
-         signals: Signals = TEXT_SIGNALS) -> DataFrame:
+         signals: Signals | None = None) -> DataFrame:
     """The rows of ``df`` kept by their rates: each with probability
     ``min(rate, 1)``, decided by a hash.  Texts are read, never shuffled."""
+    signals = signals or learnt_signals(df, id_col, text_col, labels, domains, anchor)
     work = cut_lineage(with_combination(df.select(id_col, text_col), text_col, signals)
                        .select(F.struct(f"r.{id_col}").alias("r"), "words", "combo"), "mix")
     plan = _plan(work, id_col, labels, domains, weights, anchor, margin, signals).select("combo", "rate")

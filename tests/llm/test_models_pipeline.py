@@ -87,12 +87,13 @@ def test_posteriors_equal_brute_force(spark):
     domains = ["clean", "toxic", "low"]
     labelled = [(r.choice([0, 1, 5, 40, 863, 2000]), r.choice(domains)) for _ in range(80)]
     combos = [0, 1, 5, 7, 40, 863, 2000, 5183]
+    signals = mixing.with_words({"toxic": ["idiot"]})
     got = mixing.posteriors(spark.createDataFrame([(c,) for c in combos], "combo int"),
-                            spark.createDataFrame(labelled, "combo int, domain string"), domains).collect()
-    want = brute_posteriors(combos, labelled, domains, mixing.TEXT_SIGNALS)
+                            spark.createDataFrame(labelled, "combo int, domain string"), domains, signals).collect()
+    want = brute_posteriors(combos, labelled, domains, signals)
     for x in got:
         assert x.p == pytest.approx(want[x.combo])
-    assert mixing.TEXT_SIGNALS.size == 6 ** 4 * 4
+    assert signals.size == 6 ** 4 * 4
 
 
 def test_rates_match_targets_and_stay_non_negative(spark):
@@ -124,10 +125,51 @@ def test_mixing_edge_cases(spark):
 def test_mixing_reads_signals(spark):
     texts = ["plain words here", "AA!! BB!! CC!!", "a| b| c|", "x### y$$$ z%%%", "go go go go", "you idiot"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.r.doc_id: r.combo for r in mixing.with_combination(df, "text").collect()}
+    got = {r.r.doc_id: r.combo for r in mixing.with_combination(df, "text", mixing.with_words({"toxic": ["idiot"]})).collect()}
     assert len(set(got.values())) == len(texts) and got[0] == 0
 
 
+def test_mixing_learns_words_of_a_domain(spark):
+    """Words and beginnings that only one domain's labelled texts have, in any language."""
+    r = random.Random(5)
+    plain = ["bald", "heute", "straße", "über", "haus", "und", "wegen", "lang"]
+    rows, labels = [], []
+    for i in range(400):
+        words = r.choices(plain, k=12)
+        toxic = i % 8 == 0
+        if toxic:
+            words += r.choices(["schuft", "übelmann", "übelfrau", "übelkerl", "übeltat"], k=3)
+        r.shuffle(words)
+        rows.append((i, " ".join(words).capitalize()))
+        if i < 300:
+            labels.append((i, "toxic" if toxic else "clean"))
+    df, lab = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "id long, domain string")
+    marks = mixing.learn_marks(df, "doc_id", "text", lab, "toxic")
+    assert any(m.startswith("schuf") for m in marks) and any(m.startswith("übel") for m in marks) and not set(plain) & set(marks)
+    counted = df.withColumn("t", F.col("text")).select("doc_id", mixing.with_words({"toxic": ["schuft", "übelm*"]}).parts[-1][1]().alias("n"))
+    for (i, text), x in zip(rows, counted.orderBy("doc_id").collect()):
+        assert x.n == sum(w == "schuft" or w.startswith("übelm") for w in text.lower().split())
+    out = mixing.mix(df, "doc_id", "text", lab, ["clean", "toxic"], [0.95, 0.05], "clean").collect()
+    held = [x for x in out if x.doc_id >= 300]
+    assert min(x.p_toxic for x in held if x.doc_id % 8 == 0) > 0.5 > 0.2 > max(x.p_toxic for x in held if x.doc_id % 8)
+    assert mixing.learn_marks(df, "doc_id", "text", lab.filter("domain = 'toxic'"), "toxic") == []
+    assert mixing.learn_marks(df.limit(0), "doc_id", "text", lab, "toxic") == []
+
+
+def test_toxic_documents_of_all_languages_are_told_apart(spark):
+    """Posteriors of labelled documents whose labels were not shown."""
+    d = "/root/testdata/sf0.1"
+    docs, labels = table(spark, d, "documents"), mixing.label_domains(table(spark, d, "labels"))
+    shown = F.pmod(F.crc32(F.col("id").cast("string").cast("binary")), F.lit(4)) != 2
+    out = mixing.mix(docs, "doc_id", "text", labels.filter(shown), corpus_pipeline.DOMAINS, corpus_pipeline.WEIGHTS, "clean")
+    held = labels.filter(~shown & F.col("domain").isin("toxic", "clean"))
+    rows = out.join(held, F.col("doc_id") == F.col("id")).join(docs.select("doc_id", "lang"), "doc_id") \
+              .groupBy((F.col("lang") == "en").alias("en"), "domain").agg(F.avg("p_toxic").alias("p")).collect()
+    p = {(x.en, x.domain): x.p for x in rows}
+    assert p[True, "toxic"] > 0.8 and p[False, "toxic"] > 0.4
+    assert p[True, "clean"] < 0.05 and p[False, "clean"] < 0.05
+
+
 # ------------------------------------------------------------- neighbours
 
 def brute(rows, k):
