@@ -28,7 +28,6 @@ tables give no rows; other columns pass through.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -81,14 +80,24 @@ TEXT_SIGNALS = Signals((
 ))
 
 
+def marks_in(text: str) -> Column:
+    """Distinct lower-case words of a text column, and the beginnings (with
+    ``*``) of longer ones."""
+    words = F.array_distinct(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}]+"))
+
+    def beginnings(k: int) -> Column:
+        return F.transform(F.filter(words, lambda x: F.length(x) > k), lambda x: F.concat(F.substring(x, 1, k), F.lit("*")))
+
+    return F.concat(words, *[beginnings(k) for k in BEGINNINGS])
+
+
 def with_words(marks: Mapping[str, Sequence[str]]) -> Signals:
-    """The text signals and, per domain, the number of its words in a text;
-    a mark that ends in ``*`` is a beginning."""
-    def count(words):
-        each = "|".join(re.escape(w[:-1]) + r"[\p{L}\p{N}]++" if w.endswith("*") else re.escape(w) for w in words)
-        return lambda: F.regexp_count("t", F.lit(rf"(?iu)(?<![\p{{L}}\p{{N}}])(?:{each})(?![\p{{L}}\p{{N}}])"))
+    """The text signals and, per domain, how many of its words and
+    beginnings a text has."""
+    def count(own):
+        return lambda: F.size(F.array_intersect(marks_in("t"), F.array(*[F.lit(w) for w in own])))
 
-    return Signals(TEXT_SIGNALS.parts + tuple((f"words_{d}", count(words), COUNTS) for d, words in marks.items() if words))
+    return Signals(TEXT_SIGNALS.parts + tuple((f"words_{d}", count(own), COUNTS) for d, own in marks.items() if own))
 
 
 def learn_marks(df: DataFrame, id_col: str, text_col: str, labels: DataFrame, domain: str, sample: int = SAMPLE,
@@ -104,13 +113,8 @@ def learn_marks(df: DataFrame, id_col: str, text_col: str, labels: DataFrame, do
                                     .groupBy("y").count().collect()}
     if len(n) < 2:
         return []
-    words = F.array_distinct(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[^\p{L}\p{N}]+"))
-
-    def beginnings(k: int) -> Column:
-        return F.transform(F.filter("w", lambda x: F.length(x) > k), lambda x: F.concat(F.substring(x, 1, k), F.lit("*")))
-
-    rows = (df.select(F.col(id_col).alias("id"), words.alias("w")).join(known, F.col("id") == F.col("label_id"))
-              .select("y", F.explode(F.array_distinct(F.concat("w", *[beginnings(k) for k in BEGINNINGS]))).alias("mark")))
+    rows = (df.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).join(known, F.col("id") == F.col("label_id"))
+              .select("y", F.explode(F.array_distinct(marks_in("t"))).alias("mark")))
     counted = rows.filter(F.col("mark") != "").groupBy("mark").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
     a, b = F.col("pos") + 0.5, F.col("neg") + 0.5
     odds = F.log(a / (n[1] + 1 - a)) - F.log(b / (n[0] + 1 - b))

@@ -148,7 +148,7 @@ def test_mixing_learns_words_of_a_domain(spark):
     assert any(m.startswith("schuf") for m in marks) and any(m.startswith("übel") for m in marks) and not set(plain) & set(marks)
     counted = df.withColumn("t", F.col("text")).select("doc_id", mixing.with_words({"toxic": ["schuft", "übelm*"]}).parts[-1][1]().alias("n"))
     for (i, text), x in zip(rows, counted.orderBy("doc_id").collect()):
-        assert x.n == sum(w == "schuft" or w.startswith("übelm") for w in text.lower().split())
+        assert x.n == len({w if w == "schuft" else w[:5] for w in text.lower().split() if w == "schuft" or w.startswith("übelm")})
     out = mixing.mix(df, "doc_id", "text", lab, ["clean", "toxic"], [0.95, 0.05], "clean").collect()
     held = [x for x in out if x.doc_id >= 300]
     assert min(x.p_toxic for x in held if x.doc_id % 8 == 0) > 0.5 > 0.2 > max(x.p_toxic for x in held if x.doc_id % 8)
