@@ -14,6 +14,7 @@ from lakemart.plans.catalog import SCD2_SQL, _customer_snapshots, _json_lines, _
 from lakemart.plans.oracle import ORACLE_SQL, _round
 from lakemart.session import cut_lineage, scratch_path
 from lakemart.sinks import expect as expectations
+from lakemart.sinks import pack
 from lakemart.sinks.tables import analyze, column_statistics, write_json
 from lakemart.sources.files import empty_like, parse_json_rescued, quarantine_split, read_json_lines
 from lakemart.streaming.ingest import ingest_on_arrival, read_arrived
@@ -350,4 +351,22 @@ SQL["q_as_of_merge"] = f"""WITH {SCD2_SQL},
     SELECT f.l_orderkey, f.l_linenumber, f.o_custkey, f.l_shipdate, v.o_orderkey AS v_o_orderkey, v.o_totalprice AS v_o_totalprice
     FROM f ASOF LEFT JOIN scd2 v ON f.o_custkey = v.o_custkey AND f.l_shipdate >= v.start_at"""
 
+def q_pack(spark, d):
+    """Q10: orders in one large and 24 small files; the small ones are packed
+    in an order by date and price, the large one is not touched."""
+    o, path = table(spark, d, "orders"), scratch_path(spark, "pack")
+    finished = F.coalesce(F.col("o_orderstatus") == "F", F.lit(False))
+    o.filter(finished).coalesce(1).write.parquet(path)
+    large = pack.list_files(spark, path).first()
+    o.filter(~finished).repartition(24, "o_orderkey").write.mode("append").parquet(path)
+    replaced = pack.pack(spark, path, large.length, cluster_by=["o_orderdate", "o_totalprice"])
+    files = pack.list_files(spark, path)
+    untouched = files.filter((F.col("path") == large.path) & (F.col("length") == large.length)).count()
+    return spark.read.parquet(path).select("o_orderkey", "o_orderstatus", "o_totalprice", F.lit(replaced).cast("long").alias("replaced"),
+                                           F.lit(untouched).cast("long").alias("untouched"))
+
+
+SQL["q_pack"] = """SELECT o_orderkey, o_orderstatus, o_totalprice, CAST(24 AS BIGINT) AS replaced, CAST(1 AS BIGINT) AS untouched
+    FROM orders"""
+
 QUERIES = {name: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)}

@@ -13,6 +13,7 @@ customers, orders} -> dims {customer, vehicle, location, date} -> facts
 from __future__ import annotations
 
 import datetime as dt
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from lakemart.functions.keys import surrogate_key
 from lakemart.operators.cdc import snapshot_diff
 from lakemart.operators.cleanse import enforce_schema, require_keys, stamp
 from lakemart.operators.erase import erased_keys
-from lakemart.operators.merge import delete_matching
+from lakemart.operators.merge import delete_matching, upsert
 from lakemart.operators.scd import scd1_apply, scd2_apply
 from lakemart.plans import marts
 from lakemart.session import cut_lineage
@@ -362,11 +363,13 @@ def gold_fact_telemetry(spark: SparkSession, root: str, touched_since=None) -> N
                        .select(F.col("vehicle_id").alias("_v"),
                                truncate("hour", "reading_timestamp").alias("_h"))
                        .distinct())
-        silver = silver.join(hours, (F.col("vehicle_id") == F.col("_v"))
-                             & (F.date_trunc("hour", F.col("reading_timestamp")) == F.col("_h")),
+        # hours of readings without a vehicle are refreshed too
+        silver = silver.join(hours, F.col("vehicle_id").eqNullSafe(F.col("_v"))
+                             & F.date_trunc("hour", F.col("reading_timestamp")).eqNullSafe(F.col("_h")),
                              "left_semi")
     out = marts.build_fact_telemetry(silver, g("dim_vehicle"), g("dim_date"))
-    load(spark, out, path, ["vehicle_id", "period_start_timestamp"], BUCKETS, initial=first)
+    load(spark, out, path, ["vehicle_id", "period_start_timestamp"], BUCKETS, initial=first,
+         how=partial(upsert, null_safe=True))
 
 
 def gold_erase_customers(spark: SparkSession, root: str) -> int:

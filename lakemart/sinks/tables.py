@@ -169,6 +169,10 @@ def _empty_file(spark: SparkSession, kind: T.StructType, path: str) -> None:
         .write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BUCKET_COL}=0of1")
 
 
+def _is_upsert(how: Callable) -> bool:
+    return upsert in (how, getattr(how, "func", None))
+
+
 def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str],
                buckets: int | None = None,
                how: Callable[[DataFrame, DataFrame, Sequence[str]], DataFrame] = upsert,
@@ -185,7 +189,7 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, keys: Sequence
     n = stored_buckets(spark, path) or buckets or buckets_for(source)
     # the batch is computed once: the check, bucket ids and the merge read the copy
     src = cut_lineage(source.withColumn(BUCKET_COL, bucket_expr(keys, n)), "merge-src")
-    if check_unique or (check_unique is None and (how is upsert or getattr(how, "func", None) is upsert)):
+    if check_unique or (check_unique is None and _is_upsert(how)):
         assert_unique_keys(src, keys)
     # at most `n` short names reach the driver
     touched = [r[0] for r in src.select(BUCKET_COL).distinct().collect()]
@@ -205,7 +209,7 @@ def load(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str], buc
     first run."""
     if initial:
         src = cut_lineage(df, "load-src")
-        if how is upsert:
+        if _is_upsert(how):
             assert_unique_keys(src, keys)
         write_bucketed(src, path, keys, buckets)
     else:
