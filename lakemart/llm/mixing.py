@@ -42,11 +42,11 @@ COUNTS = [0.0, 1.0, 3.0]
 # -----------------------------------------------------------------------------------
 LEAST_SHARE = 1e-3              # of the budget: smaller targets weigh like this one
 PRIOR = 2.0                     # weight of the independent estimate, in labels
-SAMPLE = 20_000                 # labelled documents that words are learnt from, at most
+SAMPLE = 10_000                 # labelled documents that words are learnt from, at most
 MARKS = 48                      # words and beginnings kept for a domain, at most
 LEAST_Z = 3.0                   # how sure their association with it must be, in standard errors
 LEAST_ODDS = 3.0                # and how strong, as a logarithm of the odds ratio
-BEGINNINGS = (5, 6, 7)          # lengths of beginnings, which stand for all longer words
+BEGINNINGS = (5, 6)             # lengths of beginnings, which stand for all longer words
 
 
 @dataclass(frozen=True)
@@ -80,22 +80,36 @@ TEXT_SIGNALS = Signals((
 ))
 
 
-def marks_in(text: str) -> Column:
-    """Distinct lower-case words of a text column, and the beginnings (with
-    ``*``) of longer ones."""
-    words = F.array_distinct(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}]+"))
+def distinct_words(text: str) -> Column:
+    """Distinct lower-case words of a text column."""
+    return F.array_distinct(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+"))
+
 
-    def beginnings(k: int) -> Column:
-        return F.transform(F.filter(words, lambda x: F.length(x) > k), lambda x: F.concat(F.substring(x, 1, k), F.lit("*")))
+def marks_in(text: str) -> Column:
+    """Words of a text column and the beginnings (with ``*``) of longer ones."""
+    def of(w):
+        starts = [F.transform(F.filter(w, lambda x, k=k: F.length(x) > k), lambda x, k=k: F.concat(F.substring(x, 1, k), F.lit("*")))
+                  for k in BEGINNINGS]
+        return F.array_distinct(F.concat(w, *starts))
 
-    return F.concat(words, *[beginnings(k) for k in BEGINNINGS])
+    return F.transform(F.array(distinct_words(text)), of)[0]
 
 
 def with_words(marks: Mapping[str, Sequence[str]]) -> Signals:
     """The text signals and, per domain, how many of its words and
     beginnings a text has."""
     def count(own):
-        return lambda: F.size(F.array_intersect(marks_in("t"), F.array(*[F.lit(w) for w in own])))
+        starts = [w[:-1] for w in own if w.endswith("*")]
+        by = {n: F.array(*[F.lit(x) for x in starts if len(x) == n]) for n in sorted({len(x) for x in starts})}
+        whole = F.array(*[F.lit(w) for w in own if not w.endswith("*")]).cast("array<string>")
+
+        def found(w):
+            parts = [F.size(F.array_intersect(F.transform(w, lambda x, n=n: F.when(F.length(x) > n, F.substring(x, 1, n))), a))
+                     for n, a in by.items()]
+            return sum(parts, F.size(F.array_intersect(w, whole)))
+
+        # the words are bound to a variable, so that they are computed once
+        return lambda: F.transform(F.array(distinct_words("t")), found)[0]
 
     return Signals(TEXT_SIGNALS.parts + tuple((f"words_{d}", count(own), COUNTS) for d, own in marks.items() if own))
 
@@ -113,8 +127,9 @@ def learn_marks(df: DataFrame, id_col: str, text_col: str, labels: DataFrame, do
                                     .groupBy("y").count().collect()}
     if len(n) < 2:
         return []
-    rows = (df.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).join(known, F.col("id") == F.col("label_id"))
-              .select("y", F.explode(F.array_distinct(marks_in("t"))).alias("mark")))
+    rows = (df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+              .join(known, F.col("id") == F.col("label_id"))
+              .select("y", F.explode(marks_in("t")).alias("mark")))
     counted = rows.filter(F.col("mark") != "").groupBy("mark").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
     a, b = F.col("pos") + 0.5, F.col("neg") + 0.5
     odds = F.log(a / (n[1] + 1 - a)) - F.log(b / (n[0] + 1 - b))
