@@ -85,11 +85,15 @@ def distinct_words(text: str) -> Column:
     return F.array_distinct(F.split(F.lower(F.col(text)), r"[^\p{L}\p{N}]+"))
 
 
+def _starts(w: Column, n: int) -> Column:
+    """The first ``n`` letters of each longer word, NULL for the others."""
+    return F.transform(w, lambda x: F.when(F.length(x) > n, F.substring(x, 1, n)))
+
+
 def marks_in(text: str) -> Column:
     """Words of a text column and the beginnings (with ``*``) of longer ones."""
     def of(w):
-        starts = [F.transform(F.filter(w, lambda x, k=k: F.length(x) > k), lambda x, k=k: F.concat(F.substring(x, 1, k), F.lit("*")))
-                  for k in BEGINNINGS]
+        starts = [F.transform(F.array_compact(_starts(w, n)), lambda x: F.concat(x, F.lit("*"))) for n in BEGINNINGS]
         return F.array_distinct(F.concat(w, *starts))
 
     return F.transform(F.array(distinct_words(text)), of)[0]
@@ -104,8 +108,7 @@ def with_words(marks: Mapping[str, Sequence[str]]) -> Signals:
         whole = F.array(*[F.lit(w) for w in own if not w.endswith("*")]).cast("array<string>")
 
         def found(w):
-            parts = [F.size(F.array_intersect(F.transform(w, lambda x, n=n: F.when(F.length(x) > n, F.substring(x, 1, n))), a))
-                     for n, a in by.items()]
+            parts = [F.size(F.array_intersect(_starts(w, n), own)) for n, own in by.items()]
             return sum(parts, F.size(F.array_intersect(w, whole)))
 
         # the words are bound to a variable, so that they are computed once
