@@ -5,11 +5,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from lakemart.plans import catalog, catalog_tables
+from lakemart.plans import catalog, catalog_feeds, catalog_tables
 from tests.conftest import SF
 from tools.check_oracle import TABLES, key, norm
 
-NAMES = sorted({**catalog.QUERIES, **catalog_tables.QUERIES})
+NAMES = sorted({**catalog.QUERIES, **catalog_tables.QUERIES, **catalog_feeds.QUERIES})
 
 
 @pytest.fixture(scope="module")
