@@ -12,11 +12,11 @@ from lakemart.plans import freight, marts
 from lakemart.plans.catalog import (EVENT_SCHEMA_PROPS, ORDER_SCD_ATTRS, _customer_snapshots, _line_facts,
                                     order_changes, table, telemetry_bronze)
 from lakemart.plans.oracle import _SNAP, _TELEMETRY_SILVER, _cal, _round
-from lakemart.session import cut_lineage, scratch_path
+from lakemart.session import scratch_path
 from lakemart.sinks.tables import load, merge_into, publish, table_exists, write_bucketed, write_json
 from lakemart.sources.files import parse_json_rescued, read_change_feed, read_json_lines
 from lakemart.sources.schema import evolve_stored_schema
-from lakemart.streaming.ingest import (append_stream, apply_stream, first_deliveries, json_stream,
+from lakemart.streaming.ingest import (append_stream, first_deliveries, json_stream, merge_stream,
                                        rollup_stream, stream_table)
 
 SQL: dict[str, str] = {}
@@ -51,8 +51,8 @@ def q_stream_dedupe(spark, d):
 
 
 def q_stream_scd2(spark, d):
-    """K2: SCD2 of orders applied per micro-batch with foreachBatch to a
-    bucketed table; only the buckets a drop touches are rewritten."""
+    """K2: SCD2 of orders applied with foreachBatch to a bucketed table, in
+    merges that grow with the table; only the buckets they touch are rewritten."""
     ch = order_changes(spark, d)
     src, tgt, ck = (scratch_path(spark, "landing-orders"), scratch_path(spark, "scd2-orders"),
                     scratch_path(spark, "ckpt-scd2"))
@@ -63,14 +63,14 @@ def q_stream_scd2(spark, d):
     def how(t, s, k):
         return scd.scd2_apply(t, s, k, "o_orderdate", ORDER_SCD_ATTRS, tiebreak=["o_orderkey"])
 
-    def apply(batch, batch_id):
+    def merge(changes):
         if table_exists(spark, tgt):
-            merge_into(spark, tgt, batch, ["o_custkey"], how=how)
+            merge_into(spark, tgt, changes, ["o_custkey"], how=how)
         else:
-            write_bucketed(how(None, cut_lineage(batch, "drop"), ["o_custkey"]), tgt, ["o_custkey"])
+            write_bucketed(how(None, changes, ["o_custkey"]), tgt, ["o_custkey"])
 
     stream = spark.readStream.schema(ch.schema).option("maxFilesPerTrigger", 1).json(f"{src}/*")
-    apply_stream(stream, apply, ck)
+    merge_stream(spark, stream, tgt, merge, ck)
     return spark.read.parquet(tgt).drop("_bucket")
 
 

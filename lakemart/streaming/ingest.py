@@ -19,6 +19,7 @@ from lakemart.sinks.tables import merge_into, table_exists, write_bucketed
 from lakemart.sources.files import CORRUPT_COL, RESCUED_COL, parse_json_rescued
 from lakemart.sources.schema import evolve_schema, field_paths, load_schema, store_schema
 from lakemart.sources.variant import infer_lines
+from lakemart.streaming.pending import settle, take
 from lakemart.streaming.state import rollup_state
 
 
@@ -77,6 +78,21 @@ def apply_stream(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint
     q.awaitTermination()
 
 
+def merge_stream(spark: SparkSession, df: DataFrame, path: str, merge: Callable[[DataFrame], None], checkpoint: str,
+                 prepare: Callable[[DataFrame], DataFrame] | None = None) -> None:
+    """Merge a stream into the bucketed table ``path``, run to completion.
+
+    Every micro-batch (after ``prepare``) waits beside the table, and ``merge(rows)``
+    is called with all waiting ones as they grow and when the run ends
+    (:mod:`lakemart.streaming.pending`).  ``rows`` has the column ``BATCH``, the
+    micro-batch that brought a row; a merge of rows merged before must change nothing.
+    """
+    settle(spark, path, merge)                          # what a stopped run has left
+    apply_stream(df, lambda batch, batch_id: take(spark, path, prepare(batch) if prepare else batch, batch_id, merge),
+                 checkpoint)
+    settle(spark, path, merge)
+
+
 class SchemaGrown(Exception):
     """A micro-batch brought fields that the schema of the running query lacks."""
 
