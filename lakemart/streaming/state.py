@@ -3,8 +3,9 @@
 Spark's streaming aggregation keeps one row of state per key in RocksDB (local
 files with changes in the checkpoint, so state may exceed memory and survives
 lost executors).  A micro-batch is pre-aggregated map-side, touches the state of
-its keys only, and hands over the new rows of those keys, which are merged into a
-bucketed table.  No history is read again.  A replayed micro-batch starts from the
+its keys only, and hands over the new rows of those keys, which wait beside a
+bucketed table and are merged into it as they grow and when the run ends
+(:mod:`lakemart.streaming.pending`).  No history is read again.  A replayed micro-batch starts from the
 state before it and gives the same rows, so nothing is lost or counted twice; NULL
 is a key like any other, and late rows simply update their key.
 """
@@ -18,9 +19,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.functions.dates import truncate
+from lakemart.operators.dedupe import dedupe
 from lakemart.operators.merge import upsert
-from lakemart.session import cut_lineage
 from lakemart.sinks.tables import merge_into, table_exists, write_bucketed
+from lakemart.streaming.pending import BATCH, settle, take
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKS_DB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -37,12 +39,17 @@ def keyed_state(spark: SparkSession, stream: DataFrame, path: str, by: Sequence[
     """
     merge = partial(upsert, null_safe=True)
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
+    def fold(rows: DataFrame) -> None:
+        latest = dedupe(rows, list(by), BATCH).drop(BATCH)      # a key's row of a later micro-batch replaces the others
         if table_exists(spark, path):
-            merge_into(spark, path, batch, list(by), buckets, how=merge, check_unique=False)
+            merge_into(spark, path, latest, list(by), buckets, how=merge, check_unique=False)
         else:
-            write_bucketed(cut_lineage(batch, "state"), path, list(by), buckets)
+            write_bucketed(latest, path, list(by), buckets)
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        take(spark, path, batch, batch_id, fold)
 
+    settle(spark, path, fold)                           # what a stopped run has left
     rows = stream.groupBy(*by).agg(*[v.alias(k) for k, v in aggs.items()])
     before = {k: spark.conf.get(k, None) for k in (STATE_STORE, CHANGELOG)}
     spark.conf.set(STATE_STORE, ROCKS_DB)
@@ -54,6 +61,7 @@ def keyed_state(spark: SparkSession, stream: DataFrame, path: str, by: Sequence[
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     q.awaitTermination()
+    settle(spark, path, fold)
 
 
 def rollup_state(spark: SparkSession, stream: DataFrame, path: str, keys: Sequence[str], event_time: str, unit: str,

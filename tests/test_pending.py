@@ -9,6 +9,7 @@ from lakemart.operators.scd import scd2_apply
 from lakemart.plans import catalog_tables
 from lakemart.session import scratch_path
 from lakemart.sinks.tables import merge_into, table_exists, write_bucketed, write_json
+from lakemart.streaming import state
 from lakemart.streaming.ingest import merge_stream
 from lakemart.streaming.pending import waiting
 from tests.conftest import SF, rows
@@ -62,3 +63,27 @@ def test_stopped_run_leaves_its_batches_to_the_next(spark):
     assert waiting(spark, path) is None
     want = scd2_apply(None, o, *args, tiebreak=["o_orderkey"])
     assert rows(spark.read.parquet(path), *want.columns) == rows(want)
+
+
+def _backlog(spark, name, ev, run):
+    """Fifteen micro-batches of one file, then repeats with later times in a second run."""
+    src, ck = scratch_path(spark, f"{name}-src"), scratch_path(spark, f"{name}-ck")
+    again = ev.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 SECOND"))
+    for i, drops in enumerate(([ev.filter("event_id % 3 = 0"), again.filter("event_id % 2 = 0"), ev.filter("event_id % 3 <> 0")],
+                               [ev, again])):
+        for j, part in enumerate(drops):
+            write_json(part, f"{src}/drop={i}{j}", files=5)
+        run(spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).json(f"{src}/*"), ck)
+
+
+def _events(spark):
+    return spark.read.parquet(f"{SF}/events.parquet").select(F.when(F.col("user_id") > 2, F.col("event_id")).alias("event_id"),
+                                                             "ts", "value")
+
+
+def test_keyed_state_merges_few_times(spark, monkeypatch):
+    calls, out, ev = _counted(monkeypatch, state), scratch_path(spark, "few-state"), _events(spark)
+    _backlog(spark, "few-state", ev, lambda s, ck: state.earliest_state(spark, s, out, ["event_id"], "ts", ck))
+    want = ev.groupBy("event_id").agg(F.min(F.struct("ts", "value")).alias("r")).select("event_id", "r.*")
+    assert rows(spark.read.parquet(out), *want.columns) == rows(want)
+    assert 1 <= len(calls) <= 10                        # of 25 micro-batches in two runs
