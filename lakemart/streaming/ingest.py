@@ -14,12 +14,11 @@ from pyspark.sql import types as T
 
 from lakemart.operators.dedupe import dedupe
 from lakemart.operators.merge import insert_missing
-from lakemart.session import cut_lineage
 from lakemart.sinks.tables import merge_into, table_exists, write_bucketed
 from lakemart.sources.files import CORRUPT_COL, RESCUED_COL, parse_json_rescued
 from lakemart.sources.schema import evolve_schema, field_paths, load_schema, store_schema
 from lakemart.sources.variant import infer_lines
-from lakemart.streaming.pending import settle, take
+from lakemart.streaming.pending import BATCH, settle, take
 from lakemart.streaming.state import rollup_state
 
 
@@ -175,22 +174,22 @@ def first_deliveries(spark: SparkSession, stream: DataFrame, path: str, keys: Se
                      order: str, checkpoint: str, buckets: int | None = None) -> None:
     """Append a stream to a bucketed table, each key once, run to completion.
 
-    Every micro-batch keeps the earliest row per key and inserts the keys the
-    table does not have (insert-only merge), so late first deliveries are
-    kept, repeats across batches and runs are dropped, and a replayed batch
-    adds nothing; NULL is a key like any other.  No watermark and no state but
-    the table itself.
+    Every micro-batch keeps the earliest row per key, and the keys the table
+    does not have are inserted (insert-only merge), those of the earliest
+    micro-batch if several wait.  So late first deliveries are kept, repeats across
+    batches and runs are dropped, and a replayed batch adds nothing; NULL is a
+    key like any other.  No watermark and no state but the table itself.
     """
     insert = partial(insert_missing, null_safe=True)
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        first = dedupe(batch, list(keys), order, desc=False)
+    def merge(rows: DataFrame) -> None:
+        first = dedupe(rows, list(keys), BATCH, desc=False).drop(BATCH)
         if table_exists(spark, path):
             merge_into(spark, path, first, list(keys), buckets, how=insert)
         else:
-            write_bucketed(cut_lineage(first, "first"), path, list(keys), buckets)
+            write_bucketed(first, path, list(keys), buckets)
 
-    apply_stream(stream, apply, checkpoint)
+    merge_stream(spark, stream, path, merge, checkpoint, lambda batch: dedupe(batch, list(keys), order, desc=False))
 
 
 def rollup_stream(spark: SparkSession, stream: DataFrame, path: str, keys: Sequence[str], event_time: str,

@@ -9,7 +9,7 @@ from lakemart.operators.scd import scd2_apply
 from lakemart.plans import catalog_tables
 from lakemart.session import scratch_path
 from lakemart.sinks.tables import merge_into, table_exists, write_bucketed, write_json
-from lakemart.streaming import state
+from lakemart.streaming import ingest, state
 from lakemart.streaming.ingest import merge_stream
 from lakemart.streaming.pending import waiting
 from tests.conftest import SF, rows
@@ -87,3 +87,13 @@ def test_keyed_state_merges_few_times(spark, monkeypatch):
     want = ev.groupBy("event_id").agg(F.min(F.struct("ts", "value")).alias("r")).select("event_id", "r.*")
     assert rows(spark.read.parquet(out), *want.columns) == rows(want)
     assert 1 <= len(calls) <= 10                        # of 25 micro-batches in two runs
+
+
+def test_first_deliveries_merge_few_times(spark, monkeypatch):
+    calls, out, ev = _counted(monkeypatch, ingest), scratch_path(spark, "few-first"), _events(spark).dropna()
+    _backlog(spark, "few-first", ev, lambda s, ck: ingest.first_deliveries(spark, s, out, ["event_id"], "ts", ck))
+    late = F.col("event_id") % 6 > 0                    # these were repeated before their first row came, or had none before
+    again = ev.filter("event_id % 2 = 0").filter(late).withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 SECOND"))
+    want = again.unionByName(ev.filter("event_id % 2 = 1 OR event_id % 6 = 0"))
+    assert rows(spark.read.parquet(out), *want.columns) == rows(want)
+    assert 1 <= len(calls) <= 10                        # of 25 micro-batches in two runs
