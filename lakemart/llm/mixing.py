@@ -51,8 +51,13 @@ BEGINNINGS = (5, 6)             # lengths of beginnings, which stand for all lon
 
 @dataclass(frozen=True)
 class Signals:
-    """Binned text signals: (name, expression of ``t`` and ``words``, edges)."""
+    """Binned text signals: (name, expression of ``t`` and ``words``, edges).
+    The last ``counted`` ones count marks; their expressions can also be given the
+    columns with the distinct words and their beginnings of ``lengths`` letters,
+    which are then computed once for all of them."""
     parts: tuple
+    counted: int = 0
+    lengths: tuple = ()
 
     @property
     def size(self) -> int:
@@ -68,15 +73,24 @@ def _occurrences(part: str) -> Column:
     return gone / len(part)
 
 
+def _runs(chars: str) -> Column:
+    """Runs of two or more of ``chars``; texts without any are not searched."""
+    some = F.contains(F.col("t"), F.lit(chars[0]))
+    for c in chars[1:]:
+        some = some | F.contains(F.col("t"), F.lit(c))
+    return F.when(some, F.regexp_count("t", F.lit(f"[{chars}]{{2,}}+"))).otherwise(0)
+
+
 def _per_word(count: Column) -> Column:
     return count / F.greatest(F.col("words"), F.lit(1))
 
 
 TEXT_SIGNALS = Signals((
-    ("marked", lambda: _per_word(F.regexp_count("t", F.lit(r"[#$%&*]{2,}+"))), SHARES),
+    ("marked", lambda: _per_word(_runs("#$%&*")), SHARES),
     ("shouted", lambda: _per_word(_occurrences("!!")), SHARES),
     ("bars", lambda: _per_word(_occurrences("|")), SHARES),
-    ("repeated", lambda: _per_word(F.regexp_count("t", F.lit(r"(?<!\S)(\S++)(?=\s+\1(?!\S))"))), SHARES),
+    # a space goes before the text, so that every word has one before it
+    ("repeated", lambda: _per_word(F.regexp_count(F.concat(F.lit(" "), "t"), F.lit(r"\s(\S++)(?=\s++\1(?!\S))"))), SHARES),
 ))
 
 
@@ -107,14 +121,22 @@ def with_words(marks: Mapping[str, Sequence[str]]) -> Signals:
         by = {n: F.array(*[F.lit(x) for x in starts if len(x) == n]) for n in sorted({len(x) for x in starts})}
         whole = F.array(*[F.lit(w) for w in own if not w.endswith("*")]).cast("array<string>")
 
-        def found(w):
-            parts = [F.size(F.array_intersect(_starts(w, n), own)) for n, own in by.items()]
+        def found(w, begin):
+            parts = [F.size(F.array_intersect(begin(n), own)) for n, own in by.items()]
             return sum(parts, F.size(F.array_intersect(w, whole)))
 
-        # the words are bound to a variable, so that they are computed once
-        return lambda: F.transform(F.array(distinct_words("t")), found)[0]
+        def signal(w=None, begin=None):
+            if w is not None:
+                return found(w, begin)
+            # the words are bound to a variable, so that they are computed once
+            return F.transform(F.array(distinct_words("t")), lambda w: found(w, lambda n: _starts(w, n)))[0]
+
+        return signal
 
-    return Signals(TEXT_SIGNALS.parts + tuple((f"words_{d}", count(own), COUNTS) for d, own in marks.items() if own))
+    own = {d: words for d, words in marks.items() if words}
+    lengths = tuple(sorted({len(w) - 1 for words in own.values() for w in words if w.endswith("*")}))
+    counts = tuple((f"words_{d}", count(words), COUNTS) for d, words in own.items())
+    return Signals(TEXT_SIGNALS.parts + counts, len(own), lengths)
 
 
 def learn_marks(df: DataFrame, id_col: str, text_col: str, labels: DataFrame, domain: str, sample: int = SAMPLE,
@@ -159,9 +181,15 @@ def with_combination(df: DataFrame, text: str, signals: Signals = TEXT_SIGNALS)
     the document's bins."""
     work = (df.select(F.struct(*[F.col(c) for c in df.columns]).alias("r"),
                       F.coalesce(F.col(text), F.lit("")).alias("t"))
-            .withColumn("words", F.regexp_count("t", F.lit(r"\S++")).cast("long")))
-    # the signals are columns of their own, so that each is computed once
-    work = work.select("r", "words", *[x().alias(f"x{i}") for i, (_, x, _) in enumerate(signals.parts)])
+            .withColumn("words", F.size(F.array_remove(F.split("t", r"\s"), "")).cast("long")))
+    # the distinct words, their beginnings and the signals are columns of their own, so that each is computed once
+    plain, shared = len(signals.parts) - signals.counted, {}
+    if signals.counted:
+        work = work.withColumn("w", distinct_words("t"))
+        work = work.select("*", *[_starts(F.col("w"), n).alias(f"w{n}") for n in signals.lengths])
+        shared = {"w": F.col("w"), "begin": lambda n: F.col(f"w{n}")}
+    work = work.select("r", "words", *[(x(**shared) if i >= plain else x()).alias(f"x{i}")
+                                       for i, (_, x, _) in enumerate(signals.parts)])
     code = F.lit(0)
     for i, (_, _, edges) in enumerate(signals.parts):
         code = code * (len(edges) + 1) + sum((F.when(F.col(f"x{i}") > e, 1).otherwise(0) for e in edges), F.lit(0))
